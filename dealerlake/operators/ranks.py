@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealerlake.session import checkpointed
+from dealerlake.session import written
 
 
 def row_numbers(df: DataFrame, key: str, metrics: dict[str, str]) -> DataFrame:
@@ -14,7 +14,7 @@ def row_numbers(df: DataFrame, key: str, metrics: dict[str, str]) -> DataFrame:
     ``key`` is unique, nulls allowed. The rows of all metrics are cut into ranges of
     (metric, value, key) in one shuffle, so that equal values spread over ranges too. Cut points are
     sampled and may differ from one run of the shuffle to the next, so the ranges are written to the
-    checkpoint folder before anything is counted on them. A place is then the row number inside the
+    shared folder before anything is counted on them. A place is then the row number inside the
     range plus the sizes of the ranges before it, of which there are at most one per shuffle
     partition and metric.
     """
@@ -29,7 +29,7 @@ def row_numbers(df: DataFrame, key: str, metrics: dict[str, str]) -> DataFrame:
         "key", "e.metric", "e.value", *[F.when(F.col("e.metric") == first, F.col(c)).alias(c) for c in payload]
     )
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = checkpointed(
+    ranges = written(
         long.repartitionByRange(partitions, "metric", "value", "key").withColumn("range", F.spark_partition_id())
     )
     sizes = ranges.groupBy("metric", "range").agg(F.count("*").alias("size"))

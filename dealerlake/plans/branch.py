@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dealerlake import schemas as S
 from dealerlake.functions.amounts import or_zero, ratio, sum0_where
 from dealerlake.plans.kpi import STOCK_PARTS, STOCK_VEHICLES, stock_as_facts
-from dealerlake.session import checkpointed
+from dealerlake.session import written
 from dealerlake.sources.bronze import PECA, SERVICO, VEICULO, Bronze
 
 CODE = ["COD_CONCESSIONARIA", "COD_FILIAL"]
@@ -107,9 +107,9 @@ def _one_row_per_code(by_name: DataFrame) -> DataFrame:
 
 
 def _one_row_per_spelling(by_name: DataFrame) -> DataFrame:
-    # The totals (a few rows per branch) are used six times below. Writing them to the checkpoint
-    # folder keeps that to one scan of the fact tables.
-    by_name = checkpointed(by_name)
+    # The totals (a few rows per branch) are used six times below; writing them keeps that to one
+    # scan of the fact tables.
+    by_name = written(by_name)
     wide = by_name.select(*CODE, "NOME_FILIAL").distinct()
     for origin in (VEICULO, PECA, SERVICO, STOCK_VEHICLES, STOCK_PARTS):
         figures = {name: m for name, (o, m) in _FIGURES.items() if o == origin}

@@ -11,8 +11,8 @@ from dealerlake import schemas as S
 from dealerlake.functions.amounts import or_zero, ratio
 from dealerlake.operators.forward_sum import forward_sums
 from dealerlake.plans.kpi import branch_keys, in_branch
-from dealerlake.session import checkpointed
-from dealerlake.sources.bronze import LINES, PECA, SERVICO, Bronze
+from dealerlake.session import written
+from dealerlake.sources.bronze import PECA, SERVICO, VEICULO, Bronze
 
 # A buyer is the name as written, within a dealer.
 _BUYER = ["COD_CONCESSIONARIA", "NOME_COMPRADOR"]
@@ -29,35 +29,35 @@ def _vehicle_sales(b: Bronze, columns, dt_ini, dt_fim, cod_concessionaria, cod_f
     )
 
 
-def _after_sales(b: Bronze, dt_ini: date, dt_fim: date, window_days: int, cod_concessionaria) -> DataFrame:
-    """Services and part sales by dealer, customer and day.
+def _measures() -> dict:
+    """Service and part amounts of a fact row; a vehicle sale has none."""
+    sides = {"SERVICOS": SERVICO, "PECAS": PECA}
+    return {
+        f"{m}_{side}": F.when(F.col("ORIGEM") == origin, F.col(m))
+        for side, origin in sides.items()
+        for m in ("RECEITA", "LUCRO")
+    }
 
-    They may happen in any branch of the dealer, so only the dealer filter carries over.
+
+def _facts(b: Bronze, origins, dt_ini, dt_fim, window_days, cod_concessionaria, keys=()) -> DataFrame:
+    """Fact rows that can be a sale of the period or fall in the window of one.
+
+    After-sales may happen in any branch of the dealer, so only the dealer filter applies to all.
     """
-    sides = []
-    for origin, name in ((SERVICO, "SERVICOS"), (PECA, "PECAS")):
-        line = LINES[origin]
-        source = line.columns
-        columns = ["COD_CONCESSIONARIA", source["CLIENTE"], source["DT"], source["RECEITA"], source["LUCRO"]]
-        rows = b.table(line.table, columns, (dt_ini, dt_fim + timedelta(days=window_days)))
-        sides.append(
-            in_branch(rows, cod_concessionaria, None).select(
-                "COD_CONCESSIONARIA",
-                F.col(source["CLIENTE"]).alias("NOME_COMPRADOR"),
-                F.col(source["DT"]).alias("DT_VENDA"),
-                or_zero(F.col(source["RECEITA"])).alias(f"RECEITA_{name}"),
-                or_zero(F.col(source["LUCRO"])).alias(f"LUCRO_{name}"),
-            )
-        )
-    return sides[0].unionByName(sides[1], allowMissingColumns=True)
+    columns = dict.fromkeys(["COD_CONCESSIONARIA", "CLIENTE", "DT", "RECEITA", "LUCRO", *keys])
+    rows = b.transactions(columns, (dt_ini, dt_fim + timedelta(days=window_days)), origins)
+    return (
+        in_branch(rows, cod_concessionaria, None)
+        .withColumnsRenamed({"CLIENTE": "NOME_COMPRADOR", "DT": "DT_VENDA"})
+        .withColumns(_measures())
+    )
 
 
-def _with_after_sales(sales: DataFrame, after: DataFrame, window_days: int) -> DataFrame:
-    """Sales with the after-sales sums of their buyer and dealer in [sale, sale + window].
+def _with_after_sales(sales: DataFrame, sums: DataFrame) -> DataFrame:
+    """Sales with the sums of their buyer, dealer and day.
 
     A service in the window of several sales of the same buyer counts for each of them.
     """
-    sums = forward_sums(sales, after, _BUYER, "DT_VENDA", _AFTER, window_days)
     joined = sales.join(sums, [*_BUYER, "DT_VENDA"], "left")
     return joined.withColumns({c: or_zero(F.col(c)) for c in _AFTER}).withColumns(
         {
@@ -91,12 +91,18 @@ def integrated_margin(
     # Order and limit depend on the sale alone, so they come before the window sums. The few sales
     # left are used three times below; writing them keeps that to one scan.
     sales = _vehicle_sales(b, columns, dt_ini, dt_fim, cod_concessionaria, cod_filial).orderBy(*newest).limit(limit)
-    sales = checkpointed(sales)
-    after = _after_sales(b, dt_ini, dt_fim, window_days, cod_concessionaria)
-    buyers = sales.select(*_BUYER).distinct()
-    after = after.join(buyers, _BUYER, "left_semi")
+    sales = written(sales)
+    after = (
+        _facts(b, (SERVICO, PECA), dt_ini, dt_fim, window_days, cod_concessionaria)
+        .select(*_BUYER, "DT_VENDA", F.lit(False).alias("is_anchor"), *_AFTER)
+        .join(sales.select(*_BUYER).distinct(), _BUYER, "left_semi")
+    )
+    anchors = sales.select(*_BUYER, "DT_VENDA", F.lit(True).alias("is_anchor"))
+    sums = forward_sums(
+        after.unionByName(anchors, allowMissingColumns=True), _BUYER, "DT_VENDA", _AFTER, window_days
+    )
     return (
-        _with_after_sales(sales, after, window_days)
+        _with_after_sales(sales, sums)
         .orderBy(*newest)
         .select(
             *columns[1:],
@@ -131,10 +137,15 @@ def model_ranking(
     sales = _vehicle_sales(
         b, [*_BUYER, "DT_VENDA", *model], dt_ini, dt_fim, cod_concessionaria, cod_filial
     )
-    after = _after_sales(b, dt_ini, dt_fim, window_days, cod_concessionaria)
+    filters = branch_keys(None, cod_filial)
+    facts = _facts(b, (VEICULO, SERVICO, PECA), dt_ini, dt_fim, window_days, cod_concessionaria, filters)
+    is_sale = (F.col("ORIGEM") == VEICULO) & (F.col("DT_VENDA") <= F.lit(dt_fim))
+    if cod_filial is not None:
+        is_sale = is_sale & (F.col("COD_FILIAL") == cod_filial)
+    after = forward_sums(facts.withColumn("is_anchor", is_sale), _BUYER, "DT_VENDA", _AFTER, window_days)
     sums = ["RECEITA_VEICULO", "RECEITA_SERVICOS", "RECEITA_PECAS", "RECEITA_INTEGRADA", "LUCRO_INTEGRADO"]
     return (
-        _with_after_sales(sales, after, window_days)
+        _with_after_sales(sales, after)
         .groupBy(*model)
         .agg(F.count("*").alias("QTD_VENDAS"), *[F.sum(c).alias(c) for c in sums])
         .filter(F.col("RECEITA_VEICULO") >= F.lit(min_revenue))

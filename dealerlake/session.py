@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,27 @@ def local_session(cpus: int | str = "*", app: str = "dealerlake", **conf: str) -
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the checkpoint folder, so that later uses read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a folder of this machine.
+    Only a local master may fall back to a folder of this machine.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="dealerlake-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="dealerlake-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the shared folder, so that later uses read it back.
+
+    For small results that a query uses several times, and for rows whose placement must not change
+    between uses. Losing executors loses nothing of it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/dealerlake/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,11 +128,14 @@ class Bronze:
                 df = df.filter(between(F.col(S.MONTH_PARTITION), (lo, hi)))
         return df.select(*columns)
 
-    def transactions(self, columns: Iterable[str], period: Period | None = None) -> DataFrame:
-        """All three lines as one fact: ORIGEM plus the asked columns, missing amounts as 0."""
+    def transactions(
+        self, columns: Iterable[str], period: Period | None = None, origins: Iterable[str] = tuple(LINES)
+    ) -> DataFrame:
+        """The lines as one fact: ORIGEM plus the asked columns, missing amounts as 0."""
         parts = []
         columns = list(columns)
-        for origin, line in LINES.items():
+        for origin in origins:
+            line = LINES[origin]
             source = {c: line.columns.get(c, c) for c in columns}
             df = self.table(line.table, list(dict.fromkeys(source.values())), period)
             parts.append(
@@ -140,7 +144,7 @@ class Bronze:
                     *[_unified(source[c], c).alias(c) for c in columns],
                 )
             )
-        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        return reduce(DataFrame.unionByName, parts)
 
 
 def _unified(source: str, name: str):

@@ -103,16 +103,19 @@ class StarBronze(Bronze):
                 df = df.join(self._star(dimension), F.col(left) == F.col(right), "left")
         return df
 
-    def transactions(self, columns: Iterable[str], period: Period | None = None) -> DataFrame:
-        """One scan for the three lines: they are told apart by the return flag."""
+    def transactions(
+        self, columns: Iterable[str], period: Period | None = None, origins: Iterable[str] = tuple(LINES)
+    ) -> DataFrame:
+        """One scan for all lines: they are told apart by the return flag."""
         columns = list(columns)
+        flags = {name: ORIGIN_FLAG[name] for name in origins}
         flag = F.col("l_returnflag")
         origin = F.lit(None).cast("string")
-        for name, value in ORIGIN_FLAG.items():
+        for name, value in flags.items():
             origin = F.when(flag == value, name).otherwise(origin)
         return (
             self._lines(columns, period)
-            .filter(flag.isin(*ORIGIN_FLAG.values()))
+            .filter(flag.isin(*flags.values()))
             .select(origin.alias("ORIGEM"), *[F.expr(_LINE_COLUMNS[c][0]).alias(c) for c in columns])
         )
 
