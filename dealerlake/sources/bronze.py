@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -81,46 +81,53 @@ def between(column, period: Period | None):
 class Bronze:
     """The five tables of one store. Every scan names its columns and period, so both reach the files."""
 
-    def __init__(self, frames: dict[str, DataFrame]):
-        self._frames = frames
+    def __init__(self, open_table: Callable[[str], DataFrame]):
+        self._open = open_table
+
+    @classmethod
+    def from_frames(cls, frames: dict[str, DataFrame]) -> Bronze:
+        return cls(frames.__getitem__)
 
     @classmethod
     def from_path(cls, spark: SparkSession, root: str) -> Bronze:
         """Parquet folders named after the tables under ``root``, as the append sink writes them."""
-        frames = {}
-        for name, table in S.TABLES.items():
-            schema = table.schema
-            if table.date:
-                schema = schema.add(S.MONTH_PARTITION, "int")
-            frames[name] = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
-        return cls(frames)
+
+        def open_table(name: str) -> DataFrame:
+            table = S.TABLES[name]
+            schema = table.schema.add(S.MONTH_PARTITION, "integer") if table.date else table.schema
+            return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
+
+        return cls(open_table)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str = "default") -> Bronze:
-        return cls({name: spark.table(f"{database}.{name}") for name in S.TABLES})
+        return cls(lambda name: spark.table(f"{database}.{name}"))
 
     @classmethod
     def from_jdbc(
-        cls, spark: SparkSession, url: str, partitions: int = 1, bounds: dict[str, tuple[int, int]] | None = None, **options: str
+        cls,
+        spark: SparkSession,
+        url: str,
+        partitions: int = 1,
+        bounds: dict[str, tuple[int, int]] | None = None,
+        **options: str,
     ) -> Bronze:
         """Tables of a database; with ``bounds`` (table -> id range) each is read in parallel id slices."""
-        frames = {}
-        for name, table in S.TABLES.items():
+
+        def open_table(name: str) -> DataFrame:
             reader = spark.read.format("jdbc").option("url", url).option("dbtable", name).options(**options)
-            if bounds and name in bounds and partitions > 1:
+            if name in (bounds or {}) and partitions > 1:
                 lo, hi = bounds[name]
-                reader = (
-                    reader.option("partitionColumn", table.id)
-                    .option("lowerBound", lo)
-                    .option("upperBound", hi)
-                    .option("numPartitions", partitions)
+                reader = reader.options(
+                    partitionColumn=S.TABLES[name].id, lowerBound=lo, upperBound=hi, numPartitions=partitions
                 )
-            frames[name] = reader.load()
-        return cls(frames)
+            return reader.load()
+
+        return cls(open_table)
 
     def table(self, name: str, columns: Iterable[str], period: Period | None = None) -> DataFrame:
         """Columns of one table; ``period`` filters its event date."""
-        df = self._frames[name]
+        df = self._open(name)
         if period is not None:
             df = df.filter(between(F.col(S.TABLES[name].date), period))
             if S.MONTH_PARTITION in df.columns:

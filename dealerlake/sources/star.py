@@ -71,12 +71,13 @@ _LINE_COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
     "DIAS_EM_ESTOQUE": (f"cast(datediff({_SHIP_DAY}, cast(o_orderdate as date)) as bigint)", ("orders",)),
 }
 
-_DIMENSION_KEYS = {
-    "orders": ("l_orderkey", "o_orderkey"),
-    "customer": ("o_custkey", "c_custkey"),
-    "part": ("l_partkey", "p_partkey"),
-    "supplier": ("l_suppkey", "s_suppkey"),
-    "nation": ("s_nationkey", "n_nationkey"),
+# Dimension -> (key on its parent, its own key, parent). Orders, part and supplier hang on lineitem.
+_DIMENSIONS = {
+    "customer": ("o_custkey", "c_custkey", "orders"),
+    "nation": ("s_nationkey", "n_nationkey", "supplier"),
+    "orders": ("l_orderkey", "o_orderkey", "lineitem"),
+    "part": ("l_partkey", "p_partkey", "lineitem"),
+    "supplier": ("l_suppkey", "s_suppkey", "lineitem"),
 }
 
 
@@ -84,7 +85,6 @@ class StarBronze(Bronze):
     """Bronze tables derived from the star tables in ``folder``."""
 
     def __init__(self, spark: SparkSession, folder: str, as_of: date):
-        super().__init__({})
         self._spark, self._folder, self._as_of = spark, folder, as_of
 
     def _star(self, name: str) -> DataFrame:
@@ -98,10 +98,13 @@ class StarBronze(Bronze):
         if hi is not None:
             df = df.filter(F.col("l_shipdate") < F.lit(str(hi + timedelta(days=1))).cast(T.TimestampNTZType()))
         needed = {d for c in columns for d in _LINE_COLUMNS[c][1]}
-        for dimension, (left, right) in _DIMENSION_KEYS.items():
+        # Customer and nation are joined to the small side first, so lineitem is shuffled once per branch.
+        sides = {name: self._star(name) for name in needed}
+        sides["lineitem"] = df
+        for dimension, (left, right, parent) in _DIMENSIONS.items():
             if dimension in needed:
-                df = df.join(self._star(dimension), F.col(left) == F.col(right), "left")
-        return df
+                sides[parent] = sides[parent].join(sides[dimension], F.col(left) == F.col(right), "left")
+        return sides["lineitem"]
 
     def transactions(
         self, columns: Iterable[str], period: Period | None = None, origins: Iterable[str] = tuple(LINES)
