@@ -302,7 +302,7 @@ _NULLS = ", ".join(f"'{t}'" for t in clean.NULL_TOKENS)
 _SHIFTED = "coalesce(regexp_full_match(trim(dias), '[A-Z0-9]{10,20}'), false)"
 _STATED = "CASE WHEN lower(trim({0})) IN ('nan', 'none', '') THEN NULL ELSE trim({0}) END"
 _FIRST = "coalesce(" + ", ".join(_STATED.format(c) for c in ("entrada", "entrada_1", "entrada_2")) + ")"
-_MISSING = "concat_ws(', ', CASE WHEN COD_CONCESSIONARIA IS NULL THEN 'COD_CONCESSIONARIA' END, CASE WHEN DT_VENDA IS NULL THEN 'DT_VENDA' END)"
+_MISSING = "concat_ws(', ', CASE WHEN COD_CONCESSIONARIA IS NULL THEN 'missing: COD_CONCESSIONARIA' END, CASE WHEN DT_VENDA IS NULL THEN 'missing: DT_VENDA' END)"
 
 REPAIRS = {
     "null_tokens": _raw(f"CASE WHEN raw IN ({_NULLS}) THEN NULL ELSE raw END"),
@@ -324,7 +324,7 @@ REPAIRS = {
     "dedupe_keep_first": """SELECT * EXCLUDE (place) FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, line ORDER BY ord) AS place FROM dirty) WHERE place = 1""",
     "contract_valid": "SELECT * FROM dirty WHERE COD_CONCESSIONARIA IS NOT NULL AND DT_VENDA IS NOT NULL",
-    "contract_rejects": f"SELECT *, 'missing: ' || {_MISSING} AS REASON FROM dirty WHERE COD_CONCESSIONARIA IS NULL OR DT_VENDA IS NULL",
+    "contract_rejects": f"SELECT *, {_MISSING} AS REASON FROM dirty WHERE COD_CONCESSIONARIA IS NULL OR DT_VENDA IS NULL",
     "unique_violations": "SELECT chassi, count(*) AS OCORRENCIAS FROM dirty WHERE chassi IS NOT NULL GROUP BY chassi HAVING count(*) > 1",
 }
 

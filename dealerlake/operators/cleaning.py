@@ -114,24 +114,21 @@ def dedupe_keep_first(df: DataFrame, order: str, subset: Sequence[str] = ()) ->
     return kept.select(*[F.col(c) if c in keys else F.col(f"kept.{c}").alias(c) for c in df.columns])
 
 
-def split_contract(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with every required column, the other rows with the REASON)."""
-    reason = contract_reason(required)
-    return df.filter(reason.isNull()), df.withColumn("REASON", reason).filter(F.col("REASON").isNotNull())
+def contract_reason(required: Sequence[str], max_lengths: dict[str, int] | None = None) -> Column:
+    """Which required columns are missing and which texts are too long, null when none is."""
+    broken = [F.when(F.col(c).isNull(), F.lit(f"missing: {c}")) for c in required]
+    broken += [F.when(F.length(c) > n, F.lit(f"longer than {n}: {c}")) for c, n in (max_lengths or {}).items()]
+    return F.nullif(F.concat_ws(", ", *broken), F.lit(""))
 
 
-def contract_reason(required: Sequence[str]) -> Column:
-    """Which required columns are missing, null when none is."""
-    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
-    return F.when(missing != "", F.concat(F.lit("missing: "), missing))
+def contract_valid(df: DataFrame, required: Sequence[str], max_lengths: dict[str, int] | None = None) -> DataFrame:
+    """Rows that meet the contract."""
+    return df.filter(contract_reason(required, max_lengths).isNull())
 
 
-def contract_valid(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    return split_contract(df, required)[0]
-
-
-def contract_rejects(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    return split_contract(df, required)[1]
+def contract_rejects(df: DataFrame, required: Sequence[str], max_lengths: dict[str, int] | None = None) -> DataFrame:
+    """The other rows, with the REASON."""
+    return df.withColumn("REASON", contract_reason(required, max_lengths)).filter(F.col("REASON").isNotNull())
 
 
 def unique_violations(df: DataFrame, *key: str) -> DataFrame:

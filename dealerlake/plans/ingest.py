@@ -241,6 +241,7 @@ def run_job(
     spec = S.TABLES[table]
     records, odd, _ = read_dirty_csv(spark, paths, multi_line=multi_line)
     base = next_id(spark, table, target)
+    reason = cleaning.contract_reason(spec.required, spec.max_lengths)
     read, kept = Observation(), Observation()
     read_counts = {"read": F.count(F.lit(1))}
     kept_counts = {"deduped": F.count(F.lit(1)), "rejected": F.count_if(F.col("REASON").isNotNull())}
@@ -249,7 +250,7 @@ def run_job(
     def typed(df: DataFrame) -> DataFrame:
         return (
             transform(table, df, ORDER)
-            .withColumns({spec.id: F.col(ORDER)[SEQ] + F.lit(base), "REASON": cleaning.contract_reason(spec.required)})
+            .withColumns({spec.id: F.col(ORDER)[SEQ] + F.lit(base), "REASON": reason})
             .drop(ORDER)
         )
 
