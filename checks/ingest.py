@@ -54,6 +54,7 @@ DIRTY = {
     "parse_locale_numbers": _dirty(raw=_LOCALE),
     "parse_strict_numbers": _dirty(raw=_STRICT),
     "parse_integers": _dirty(raw=_INT),
+    "parse_strict_integers": _dirty(raw=_INT),
     "normalize_flags": _dirty(raw=_FLAG),
     "bucket_to_days": _dirty(raw=_AGE),
     "default_zero": _dirty(raw=_STRICT.replace("'1e3'", "null")),
@@ -182,6 +183,7 @@ _JOBS = {
     "parse_locale_numbers": lambda df: cleaning.parse_locale_numbers(df, "raw"),
     "parse_strict_numbers": lambda df: cleaning.parse_strict_numbers(df, "raw"),
     "parse_integers": lambda df: cleaning.parse_integers(df, "raw"),
+    "parse_strict_integers": lambda df: cleaning.parse_strict_integers(df, "raw"),
     "normalize_flags": lambda df: cleaning.normalize_flags(df, "raw"),
     "bucket_to_days": lambda df: cleaning.bucket_to_days(df, "raw"),
     "default_zero": lambda df: cleaning.default_zero(df, "raw", "absent"),
@@ -312,6 +314,7 @@ REPAIRS = {
     "parse_locale_numbers": _raw(_locale("raw")),
     "parse_strict_numbers": _raw(_strict("raw")),
     "parse_integers": _raw(_int("raw")),
+    "parse_strict_integers": _raw(_whole(_text("raw"))),
     "normalize_flags": _raw(_yes_no("raw")),
     "bucket_to_days": _raw(_age("raw")),
     "default_zero": _raw("CASE WHEN raw IS NULL OR lower(trim(raw)) IN ('', 'nan', 'none') THEN '0' ELSE raw END"),

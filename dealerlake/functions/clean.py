@@ -58,76 +58,60 @@ def text(c: Column) -> Column:
     return F.nullif(F.btrim(c, F.lit(WHITESPACE)), F.lit(""))
 
 
-def _said(c: Column) -> Column:
-    """Trimmed text, null when blank or a spelled-out missing value."""
-    value = text(c)
+# The rules below take trimmed text, so that a job trims a column once however often a rule looks at it.
+
+
+def stated(value: Column) -> Column:
+    """The text, null when it spells out a missing value."""
     return F.when(~F.lower(value).isin("nan", "none"), value)
 
 
-def iso_date(c: Column) -> Column:
+def iso_date(value: Column) -> Column:
     """``2025-01-31``, one-digit month and day accepted."""
-    return _date(c, r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d")
+    return F.when(value.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), value.try_cast("date"))
 
 
-def br_date(c: Column) -> Column:
+def br_date(value: Column) -> Column:
     """``31/01/2025``, one-digit day and month accepted."""
-    return _date(c, r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy")
-
+    parts = [F.split_part(value, F.lit("/"), F.lit(i)) for i in (3, 2, 1)]
+    return F.when(value.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.concat_ws("-", *parts).try_cast("date"))
 
-def _date(c: Column, shape: str, pattern: str) -> Column:
-    value = text(c)
-    return F.when(value.rlike(shape), F.try_to_date(value, pattern))
 
-
-def locale_number_text(c: Column) -> Column:
-    """Number text with a decimal point: with both marks present the points are thousands marks."""
-    value = _said(c)
+def locale_number(value: Column, dtype=MONEY) -> Column:
+    """``1.234,56`` or ``1234.56`` as an exact number: with both marks the points are thousands marks."""
     both = F.contains(value, F.lit(",")) & F.contains(value, F.lit("."))
     plain = F.when(both, F.replace(value, F.lit("."), F.lit(""))).otherwise(value)
-    return F.replace(plain, F.lit(","), F.lit("."))
-
-
-def _decimal(number_text: Column, dtype) -> Column:
-    return F.when(number_text.rlike(_NUMBER), number_text.try_cast(dtype))
+    return strict_number(F.replace(plain, F.lit(","), F.lit(".")), dtype)
 
 
-def locale_number(c: Column, dtype=MONEY) -> Column:
-    """``1.234,56`` or ``1234.56`` as an exact number."""
-    return _decimal(locale_number_text(c), dtype)
-
-
-def strict_number(c: Column, dtype=MONEY) -> Column:
+def strict_number(value: Column, dtype=MONEY) -> Column:
     """``1234.56`` as an exact number; a comma makes it invalid."""
-    return _decimal(text(c), dtype)
+    return F.when(value.rlike(_NUMBER), value.try_cast(dtype))
 
 
-def integer(c: Column, dtype: str = "bigint") -> Column:
+def integer(value: Column, dtype: str = "bigint") -> Column:
     """Whole part of a number whose decimal mark may be a comma."""
-    return _whole(F.replace(_said(c), F.lit(","), F.lit(".")), dtype)
+    return strict_integer(F.replace(value, F.lit(","), F.lit(".")), dtype)
 
 
-def strict_integer(c: Column) -> Column:
+def strict_integer(value: Column, dtype: str = "bigint") -> Column:
     """Whole part of a plain number."""
-    return _whole(text(c), "bigint")
-
+    return F.when(value.rlike(_NUMBER), value.try_cast("double").try_cast("bigint").try_cast(dtype))
 
-def _whole(number_text: Column, dtype: str) -> Column:
-    return F.when(number_text.rlike(_NUMBER), number_text.try_cast("double").try_cast("bigint").try_cast(dtype))
 
-
-def flag(c: Column) -> Column:
+def flag(value: Column) -> Column:
     """SIM, NAO or null."""
-    value = F.lower(text(c))
-    return F.when(value.isin(*YES), "SIM").when(value.isin(*NO), "NAO")
+    lower = F.lower(value)
+    return F.when(lower.isin(*YES), "SIM").when(lower.isin(*NO), "NAO")
 
 
-def age_days(c: Column) -> Column:
+def age_days(value: Column) -> Column:
     """Days of a stock-age text such as ``1 A 3 MESES``, else the number in it."""
-    upper = F.upper(text(c))
+    upper = F.upper(value)
     days = F.when(F.contains(upper, F.lit(AGE_DAYS[0][0])), F.lit(AGE_DAYS[0][1]))
-    for label, value in AGE_DAYS[1:]:
-        days = days.when(F.contains(upper, F.lit(label)), F.lit(value))
-    return days.otherwise(integer(c)).cast("bigint")
+    for label, value_days in AGE_DAYS[1:]:
+        days = days.when(F.contains(upper, F.lit(label)), F.lit(value_days))
+    return days.otherwise(integer(value)).cast("bigint")
 
 
 def _coded(value: Column, codes: dict[str, str], otherwise: Column) -> Column:
@@ -137,32 +121,27 @@ def _coded(value: Column, codes: dict[str, str], otherwise: Column) -> Column:
 
 def dealer_code(name: Column) -> Column:
     """Code of a dealer from its name."""
-    value = text(name)
-    return _coded(value, DEALER_CODES, value)
+    return _coded(name, DEALER_CODES, name)
 
 
 def branch_code(name: Column, dealer: Column) -> Column:
     """Code of a branch from its name, else built on the dealer code, else the name itself."""
-    value = text(name)
-    return _coded(value, BRANCH_CODES, F.coalesce(F.concat(dealer, F.lit("-1-0")), value))
-
-
-def zero_if_missing(c: Column) -> Column:
-    return F.when(_said(c).isNull(), F.lit("0")).otherwise(c)
+    return _coded(name, BRANCH_CODES, F.coalesce(F.concat(dealer, F.lit("-1-0")), name))
 
 
-def one_of(c: Column, allowed: tuple[str, ...]) -> Column:
+def one_of(value: Column, allowed: tuple[str, ...]) -> Column:
     """Upper-case value when it is on the list."""
-    value = F.upper(text(c))
-    return F.when(value.isin(*allowed), value)
+    upper = F.upper(value)
+    return F.when(upper.isin(*allowed), upper)
 
 
-def fix_mojibake(c: Column) -> Column:
+def fix_mojibake(value: Column) -> Column:
     """Text that was UTF-8 but got read as Latin-1, read again; any other text unchanged."""
-    latin = c.rlike(r"(?s)\A[\x00-\xFF]*\z")
-    repaired = F.when(latin, F.try_validate_utf8(F.encode(c, "ISO-8859-1").cast("string")))
-    return F.coalesce(repaired, c)
+    # Plain ASCII reads the same both ways; a character beyond Latin-1 rules the mix-up out.
+    suspect = value.rlike(r"[\x80-\xFF]") & ~value.rlike(r"[^\x00-\xFF]")
+    repaired = F.when(suspect, F.try_validate_utf8(F.encode(value, "ISO-8859-1").cast("string")))
+    return F.coalesce(repaired, value)
 
 
-def looks_like_chassis(c: Column) -> Column:
-    return F.coalesce(text(c).rlike("^[A-Z0-9]{10,20}$"), F.lit(False))
+def looks_like_chassis(value: Column) -> Column:
+    return F.coalesce(value.rlike("^[A-Z0-9]{10,20}$"), F.lit(False))

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from dealerlake.functions import clean
 
 
-def _each(df: DataFrame, columns: Sequence[str], expression: Callable[[Column], Column]) -> DataFrame:
-    return df.withColumns({c: expression(F.col(c)) for c in columns})
+def _each(df: DataFrame, columns: Sequence[str], rule: Callable[[Column], Column]) -> DataFrame:
+    """The rule on the trimmed text of each column, trimmed in a step of its own."""
+    trimmed = df.withColumns({c: clean.text(F.col(c)) for c in columns})
+    return trimmed.withColumns({c: rule(F.col(c)) for c in columns})
 
 
 def _text_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -20,12 +22,12 @@ def _text_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 def null_tokens(df: DataFrame, *columns: str) -> DataFrame:
     """Missing-value texts as null, in the named or all text columns."""
-    return _each(df, _text_columns(df, columns), clean.null_token)
+    return df.withColumns({c: clean.null_token(F.col(c)) for c in _text_columns(df, columns)})
 
 
 def clean_strings(df: DataFrame, *columns: str) -> DataFrame:
     """Trimmed texts, blank as null, in the named or all text columns."""
-    return _each(df, _text_columns(df, columns), clean.text)
+    return df.withColumns({c: clean.text(F.col(c)) for c in _text_columns(df, columns)})
 
 
 def parse_iso_dates(df: DataFrame, *columns: str) -> DataFrame:
@@ -48,6 +50,10 @@ def parse_integers(df: DataFrame, *columns: str) -> DataFrame:
     return _each(df, columns, clean.integer)
 
 
+def parse_strict_integers(df: DataFrame, *columns: str) -> DataFrame:
+    return _each(df, columns, clean.strict_integer)
+
+
 def normalize_flags(df: DataFrame, *columns: str) -> DataFrame:
     return _each(df, columns, clean.flag)
 
@@ -57,8 +63,11 @@ def bucket_to_days(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def default_zero(df: DataFrame, *columns: str) -> DataFrame:
-    """Missing as text ``0``; columns the table does not have are skipped."""
-    return _each(df, [c for c in columns if c in df.columns], clean.zero_if_missing)
+    """Missing as text ``0``, other texts unchanged; columns the table does not have are skipped."""
+    existing = [c for c in columns if c in df.columns]
+    return df.withColumns(
+        {c: F.when(clean.stated(clean.text(F.col(c))).isNull(), "0").otherwise(F.col(c)) for c in existing}
+    )
 
 
 def whitelist_values(df: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:
@@ -66,25 +75,31 @@ def whitelist_values(df: DataFrame, column: str, allowed: tuple[str, ...]) -> Da
 
 
 def fix_mojibake(df: DataFrame, *columns: str) -> DataFrame:
-    return _each(df, columns, clean.fix_mojibake)
+    return df.withColumns({c: clean.fix_mojibake(F.col(c)) for c in columns})
 
 
 def derive_branch_codes(df: DataFrame, dealer_name: str, branch_name: str) -> DataFrame:
     """Adds COD_CONCESSIONARIA and COD_FILIAL derived from the two names."""
-    dealer = clean.dealer_code(F.col(dealer_name))
-    return df.withColumns(
-        {"COD_CONCESSIONARIA": dealer, "COD_FILIAL": clean.branch_code(F.col(branch_name), dealer)}
+    helpers = {"_dealer": clean.text(F.col(dealer_name)), "_branch": clean.text(F.col(branch_name))}
+    return (
+        df.withColumns(helpers)
+        .withColumn("COD_CONCESSIONARIA", clean.dealer_code(F.col("_dealer")))
+        .withColumn("COD_FILIAL", clean.branch_code(F.col("_branch"), F.col("COD_CONCESSIONARIA")))
+        .drop(*helpers)
     )
 
 
 def repair_shifted_rows(df: DataFrame, days: str, chassis: str, lost: Sequence[str]) -> DataFrame:
     """Rows whose columns slid by one: the days column holds a chassis number, the ``lost`` ones nothing usable."""
-    shifted = clean.looks_like_chassis(F.col(days))
     existing = F.col(chassis) if chassis in df.columns else F.lit(None).cast("string")
-    return df.withColumns(
-        {chassis: F.when(shifted, clean.text(F.col(days))).otherwise(existing)}
-        | {c: F.when(~shifted, F.col(c)) for c in (days, *lost) if c in df.columns}
+    marked = df.withColumn("_days", clean.text(F.col(days))).withColumn(
+        "_shifted", clean.looks_like_chassis(F.col("_days"))
     )
+    shifted = F.col("_shifted")
+    return marked.withColumns(
+        {chassis: F.when(shifted, F.col("_days")).otherwise(existing)}
+        | {c: F.when(~shifted, F.col(c)) for c in (days, *lost) if c in df.columns}
+    ).drop("_days", "_shifted")
 
 
 def coalesce_duplicate_columns(df: DataFrame, base: str) -> DataFrame:
@@ -92,9 +107,11 @@ def coalesce_duplicate_columns(df: DataFrame, base: str) -> DataFrame:
     copies = [c for c in df.columns if c == base or c.startswith(base + "_")]
     if len(copies) <= 1:
         return df
-    first = F.coalesce(*[F.when(~F.lower(clean.text(F.col(c))).isin("nan", "none"), clean.text(F.col(c))) for c in copies])
     kept = base if base in copies else copies[0]
-    return df.withColumn(kept, first).drop(*[c for c in copies if c != kept])
+    trimmed = df.withColumns({c: clean.text(F.col(c)) for c in copies})
+    return trimmed.withColumn(kept, F.coalesce(*[clean.stated(F.col(c)) for c in copies])).drop(
+        *[c for c in copies if c != kept]
+    )
 
 
 def drop_unnamed_columns(df: DataFrame) -> DataFrame:

@@ -16,14 +16,6 @@ from dealerlake.sources.sink import Target, append_bronze, counted, next_id, obs
 
 Rule = Callable[[Column], Column]
 
-_BRANCH_TEXT = {
-    "COD_CONCESSIONARIA": ("Cod_Concessionaria", clean.text),
-    "COD_FILIAL": ("Cod_Filial", clean.text),
-    "NOME_CONCESSIONARIA": ("Nome_da_Concessionaria", clean.text),
-    "NOME_FILIAL": ("Nome_da_Filial", clean.text),
-    "MARCA_FILIAL": ("Marca_da_Filial", clean.text),
-}
-
 
 def _margin(c: Column) -> Column:
     return clean.locale_number(c, S.MARGIN)
@@ -41,104 +33,112 @@ def _region(c: Column) -> Column:
     return clean.one_of(c, clean.REGIONS)
 
 
-def _person(c: Column) -> Column:
-    return clean.fix_mojibake(clean.text(c))
+def _as_is(c: Column) -> Column:
+    return c
 
 
-# Bronze column -> (export column, rule). Bronze columns not named stay null.
+_BRANCH_TEXT = {
+    "COD_CONCESSIONARIA": ("Cod_Concessionaria", _as_is),
+    "COD_FILIAL": ("Cod_Filial", _as_is),
+    "NOME_CONCESSIONARIA": ("Nome_da_Concessionaria", _as_is),
+    "NOME_FILIAL": ("Nome_da_Filial", _as_is),
+    "MARCA_FILIAL": ("Marca_da_Filial", _as_is),
+}
+
+# Bronze column -> (export column, rule on its trimmed text). Bronze columns not named stay null.
 MAPPINGS: dict[str, dict[str, tuple[str, Rule]]] = {
     S.ESTOQUE_PECAS: {
         **_BRANCH_TEXT,
         "VALOR_PECA_ESTOQUE": ("Valor_da_Peca_em_Estoque", clean.strict_number),
         "QTDE_PECA_ESTOQUE": ("Quantidade_da_Peca_em_Estoque", clean.strict_number),
-        "DESCRICAO_PECA": ("Descricao_da_Peca", clean.text),
-        "CATEGORIA_PECA": ("Categoria_da_Peca", clean.text),
+        "DESCRICAO_PECA": ("Descricao_da_Peca", _as_is),
+        "CATEGORIA_PECA": ("Categoria_da_Peca", _as_is),
         "DT_ULTIMA_VENDA_PECA": ("Data_de_Ultima_Venda_da_Peca", clean.iso_date),
         "DT_ULTIMA_ENTRADA_PECA": ("Data_da_Ultima_Entrada_no_Estoque_da_Peca", clean.iso_date),
         "PECA_OBSOLETA_FLAG": ("Peca_Esta_Obsoleta", clean.flag),
-        "MARCA_PECA": ("Nome_da_Marca_da_Peca", clean.text),
-        "CODIGO_PECA_ESTOQUE": ("Codigo_da_Peca_no_Estoque", clean.text),
+        "MARCA_PECA": ("Nome_da_Marca_da_Peca", _as_is),
+        "CODIGO_PECA_ESTOQUE": ("Codigo_da_Peca_no_Estoque", _as_is),
     },
     S.ESTOQUE_VEICULOS: {
         # Both codes are derived from the names before the mapping.
         **_BRANCH_TEXT,
-        "COD_CONCESSIONARIA": ("COD_CONCESSIONARIA", clean.text),
-        "COD_FILIAL": ("COD_FILIAL", clean.text),
+        "COD_CONCESSIONARIA": ("COD_CONCESSIONARIA", _as_is),
+        "COD_FILIAL": ("COD_FILIAL", _as_is),
         "CUSTO_VEICULO": ("Custo_do_Veiculo", clean.locale_number),
-        "MARCA_VEICULO": ("Marca_do_Veiculo", clean.text),
-        "MODELO_VEICULO": ("Modelo_do_Veiculo", clean.text),
-        "COR_VEICULO": ("Cor_do_Veiculo", clean.text),
-        "VEICULO_NOVO_SEMINOVO": ("Veiculo_Novo_ou_Semi_Novo", clean.text),
-        "TIPO_COMBUSTIVEL": ("Tipo_do_Combustivel", clean.text),
+        "MARCA_VEICULO": ("Marca_do_Veiculo", _as_is),
+        "MODELO_VEICULO": ("Modelo_do_Veiculo", _as_is),
+        "COR_VEICULO": ("Cor_do_Veiculo", _as_is),
+        "VEICULO_NOVO_SEMINOVO": ("Veiculo_Novo_ou_Semi_Novo", _as_is),
+        "TIPO_COMBUSTIVEL": ("Tipo_do_Combustivel", _as_is),
         "ANO_MODELO": ("Ano_Modelo_do_Veiculo", _year),
         "ANO_FABRICACAO": ("Ano_Fabricacao_do_Veiculo", _year),
-        "CHASSI_VEICULO": ("Chassi_do_Veiculo", clean.text),
+        "CHASSI_VEICULO": ("Chassi_do_Veiculo", _as_is),
         "TEMPO_TOTAL_ESTOQUE_DIAS": ("Tempo_Total_no_Estoque", clean.age_days),
         "KM_ATUAL": ("Kilometragem_Atual_do_Veiculo", clean.integer),
-        "PLACA_VEICULO": ("Placa_do_Veiculo", clean.text),
+        "PLACA_VEICULO": ("Placa_do_Veiculo", _as_is),
         "DT_ENTRADA_ESTOQUE": ("Data_de_Entrada_do_Veiculo_no_Estoque", clean.br_date),
     },
     S.HIST_SERVICOS: {
-        "COD_CONCESSIONARIA": ("Cod_Concessionaria", clean.text),
-        "COD_FILIAL": ("Cod_Filial", clean.text),
-        "NOME_CONCESSIONARIA": ("Nome_Da_Concessionaria", clean.text),
-        "NOME_FILIAL": ("Nome_Da_Filial", clean.text),
+        "COD_CONCESSIONARIA": ("Cod_Concessionaria", _as_is),
+        "COD_FILIAL": ("Cod_Filial", _as_is),
+        "NOME_CONCESSIONARIA": ("Nome_Da_Concessionaria", _as_is),
+        "NOME_FILIAL": ("Nome_Da_Filial", _as_is),
         "DT_REALIZACAO_SERVICO": ("Data_De_Realizacao_Do_Servico", clean.iso_date),
         "QTDE_SERVICOS": ("Quantidade_De_Servicos_Realizados", clean.strict_integer),
         "VALOR_TOTAL_SERVICO": ("Valor_Total_Do_Servico_Realizado", clean.strict_number),
         "LUCRO_SERVICO": ("Lucro_Do_Servico", clean.strict_number),
-        "DESCRICAO_SERVICO": ("Descricao_Do_Servico_Feito", clean.text),
-        "SECAO_SERVICO": ("Secao_Que_O_Servico_Foi_Feito", clean.text),
-        "DEPARTAMENTO_SERVICO": ("Departamento_Que_Realizou_O_Servico", clean.text),
-        "CATEGORIA_SERVICO": ("Categoria_Do_Servico", clean.text),
-        "NOME_VENDEDOR_SERVICO": ("Nome_Do_Vendedor_Que_Vendeu_O_Servico", clean.text),
-        "NOME_MECANICO": ("Nome_Do_Mecanico_Que_Fez_O_Servico", clean.text),
-        "NOME_CLIENTE": ("Nome_Do_Cliente_Que_Fez_O_Servico", clean.text),
+        "DESCRICAO_SERVICO": ("Descricao_Do_Servico_Feito", _as_is),
+        "SECAO_SERVICO": ("Secao_Que_O_Servico_Foi_Feito", _as_is),
+        "DEPARTAMENTO_SERVICO": ("Departamento_Que_Realizou_O_Servico", _as_is),
+        "CATEGORIA_SERVICO": ("Categoria_Do_Servico", _as_is),
+        "NOME_VENDEDOR_SERVICO": ("Nome_Do_Vendedor_Que_Vendeu_O_Servico", _as_is),
+        "NOME_MECANICO": ("Nome_Do_Mecanico_Que_Fez_O_Servico", _as_is),
+        "NOME_CLIENTE": ("Nome_Do_Cliente_Que_Fez_O_Servico", _as_is),
     },
     S.HIST_VENDAS_PECAS: {
         **_BRANCH_TEXT,
         "DT_VENDA": ("Data_da_Venda", clean.iso_date),
         "QTDE_VENDIDA": ("Quantidade_Vendida", clean.locale_number),
-        "TIPO_TRANSACAO": ("Tipo_de_Transacao", clean.text),
+        "TIPO_TRANSACAO": ("Tipo_de_Transacao", _as_is),
         "VALOR_VENDA": ("Valor_da_Venda", clean.locale_number),
         "CUSTO_PECA": ("Custo_da_Peca", clean.locale_number),
         "LUCRO_VENDA": ("Lucro_da_Venda", clean.locale_number),
         "MARGEM_VENDA": ("Margem_da_Venda", _margin),
-        "DESCRICAO_PECA": ("Descricao_da_Peca", clean.text),
-        "CATEGORIA_PECA": ("Categoria_da_Peca", clean.text),
-        "DEPARTAMENTO_VENDA": ("Departamento_da_Venda", clean.text),
-        "TIPO_VENDA_PECA": ("Tipo_de_Venda_da_Peca", clean.text),
-        "NOME_VENDEDOR": ("Nome_do_Vendedor_que_Realizou_a_Venda", _person),
-        "NOME_COMPRADOR": ("Nome_do_Comprador_da_Peca", _person),
-        "CIDADE_VENDA": ("Cidade_da_Venda", clean.text),
+        "DESCRICAO_PECA": ("Descricao_da_Peca", _as_is),
+        "CATEGORIA_PECA": ("Categoria_da_Peca", _as_is),
+        "DEPARTAMENTO_VENDA": ("Departamento_da_Venda", _as_is),
+        "TIPO_VENDA_PECA": ("Tipo_de_Venda_da_Peca", _as_is),
+        "NOME_VENDEDOR": ("Nome_do_Vendedor_que_Realizou_a_Venda", clean.fix_mojibake),
+        "NOME_COMPRADOR": ("Nome_do_Comprador_da_Peca", clean.fix_mojibake),
+        "CIDADE_VENDA": ("Cidade_da_Venda", _as_is),
         "ESTADO_VENDA": ("Estado_Brasileiro_da_Venda", _state),
-        "MACROREGIAO_VENDA": ("Macroregiao_Geografica_da_Venda", clean.text),
+        "MACROREGIAO_VENDA": ("Macroregiao_Geografica_da_Venda", _as_is),
     },
     S.HIST_VENDAS_VEICULOS: {
         **_BRANCH_TEXT,
-        "COD_FILIAL": ("COD_FILIAL", clean.text),
+        "COD_FILIAL": ("COD_FILIAL", _as_is),
         "DT_VENDA": ("Data_da_Venda", clean.br_date),
         "QTDE_VENDIDA": ("Quantidade_Vendida", clean.integer),
-        "TIPO_TRANSACAO": ("Tipo_de_Transacao", clean.text),
+        "TIPO_TRANSACAO": ("Tipo_de_Transacao", _as_is),
         "VALOR_VENDA": ("Valor_da_Venda", clean.locale_number),
         "CUSTO_VEICULO": ("Custo_do_Veiculo", clean.locale_number),
         "LUCRO_VENDA": ("Lucro_da_Venda", clean.locale_number),
         "MARGEM_VENDA": ("Margem_da_Venda", _margin),
-        "MARCA_VEICULO": ("Marca_do_Veiculo", clean.text),
-        "MODELO_VEICULO": ("Modelo_do_Veiculo", clean.text),
-        "FAMILIA_VEICULO": ("Familia_do_Veiculo", clean.text),
-        "CATEGORIA_VEICULO": ("Categoria_do_Veiculo", clean.text),
-        "COR_VEICULO": ("Cor_do_Veiculo", clean.text),
-        "VEICULO_NOVO_SEMINOVO": ("Veiculo_Novo_ou_Semi_Novo", clean.text),
-        "TIPO_COMBUSTIVEL": ("Tipo_do_Combustivel", clean.text),
+        "MARCA_VEICULO": ("Marca_do_Veiculo", _as_is),
+        "MODELO_VEICULO": ("Modelo_do_Veiculo", _as_is),
+        "FAMILIA_VEICULO": ("Familia_do_Veiculo", _as_is),
+        "CATEGORIA_VEICULO": ("Categoria_do_Veiculo", _as_is),
+        "COR_VEICULO": ("Cor_do_Veiculo", _as_is),
+        "VEICULO_NOVO_SEMINOVO": ("Veiculo_Novo_ou_Semi_Novo", _as_is),
+        "TIPO_COMBUSTIVEL": ("Tipo_do_Combustivel", _as_is),
         "ANO_MODELO": ("Ano_Modelo_do_Veiculo", _year),
         "ANO_FABRICACAO": ("Ano_Fabricacao_do_Veiculo", _year),
-        "CHASSI_VEICULO": ("Chassi_do_Veiculo", clean.text),
+        "CHASSI_VEICULO": ("Chassi_do_Veiculo", _as_is),
         "DIAS_EM_ESTOQUE": ("Dias_que_o_Carro_Ficou_no_Estoque", clean.integer),
-        "TIPO_VENDA_VEICULO": ("Tipo_de_Venda_do_Veiculo", clean.text),
-        "NOME_VENDEDOR": ("Nome_do_Vendedor_que_Realizou_a_Venda", _person),
-        "NOME_COMPRADOR": ("Nome_do_Comprador_do_Veiculo", _person),
-        "CIDADE_VENDA": ("Cidade_da_Venda", clean.text),
+        "TIPO_VENDA_VEICULO": ("Tipo_de_Venda_do_Veiculo", _as_is),
+        "NOME_VENDEDOR": ("Nome_do_Vendedor_que_Realizou_a_Venda", clean.fix_mojibake),
+        "NOME_COMPRADOR": ("Nome_do_Comprador_do_Veiculo", clean.fix_mojibake),
+        "CIDADE_VENDA": ("Cidade_da_Venda", _as_is),
         "ESTADO_VENDA": ("Estado_Brasileiro_da_Venda", _state),
         "MACROREGIAO_VENDA": ("Macroregiao_Geografica_da_Venda", _region),
     },
@@ -187,7 +187,8 @@ def restructured(table: str, df: DataFrame) -> DataFrame:
     if table == S.HIST_VENDAS_VEICULOS:
         df = cleaning.drop_unnamed_columns(df)
         df = _with_columns(df, "Cod_Concessionaria", "Cod_Filial", "Nome_da_Filial", "Dias_que_o_Carro_Ficou_no_Estoque")
-        derived = clean.branch_code(F.col("Nome_da_Filial"), clean.text(F.col("Cod_Concessionaria")))
+        df = cleaning.clean_strings(df, "Cod_Concessionaria", "Nome_da_Filial")
+        derived = clean.branch_code(F.col("Nome_da_Filial"), F.col("Cod_Concessionaria"))
         df = df.withColumn("COD_FILIAL", F.coalesce(derived, F.col("Cod_Filial")))
         return cleaning.repair_shifted_rows(df, "Dias_que_o_Carro_Ficou_no_Estoque", "Chassi_do_Veiculo", SHIFTED_AWAY)
     return df
@@ -195,13 +196,14 @@ def restructured(table: str, df: DataFrame) -> DataFrame:
 
 def bronze_projection(table: str, df: DataFrame, *keep: str) -> DataFrame:
     """Typed bronze columns of a restructured export, plus the columns in ``keep``."""
-    mapping = MAPPINGS[table]
+    mapping = {name: pair for name, pair in MAPPINGS[table].items() if pair[0] in df.columns}
+    trimmed = df.select(*keep, *[clean.text(F.col(c)).alias(c) for c in dict.fromkeys(c for c, _ in mapping.values())])
     columns = []
     for field in S.SCHEMAS[table].fields[1:]:
         source, rule = mapping.get(field.name, (None, None))
-        value = rule(F.col(source)) if source in df.columns else F.lit(None)
+        value = F.lit(None) if source is None else rule(F.col(source))
         columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*keep, *columns)
+    return trimmed.select(*keep, *columns)
 
 
 def transform(table: str, df: DataFrame, *keep: str) -> DataFrame:

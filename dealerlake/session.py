@@ -15,6 +15,7 @@ def local_session(cpus: int | str = "*", app: str = "dealerlake", **conf: str) -
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DEALERLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +83,8 @@ def _stored(spark: SparkSession, table: str, target: Target) -> DataFrame | None
         return spark.read.format("jdbc").options(dbtable=table, **target.jdbc).load()
     if target.database is not None:
         return spark.table(f"{target.database}.{table}")
-    try:
-        return spark.read.schema(TABLES[table].schema).parquet(f"{target.path.rstrip('/')}/{table}")
-    except AnalysisException:
+    folder = f"{target.path.rstrip('/')}/{table}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
+    return spark.read.schema(TABLES[table].schema).parquet(folder)

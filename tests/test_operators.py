@@ -15,7 +15,8 @@ from tests.frames import D0, day, rows
 
 def column(spark, values, expression, dtype="string"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
-    return [r[0] for r in df.orderBy("i").select(expression(F.col("v"))).collect()]
+    trimmed = df.withColumn("t", clean.text(F.col("v")))
+    return [r[0] for r in trimmed.orderBy("i").select(expression(F.col("t"))).collect()]
 
 
 def test_dates(spark):
@@ -63,8 +64,10 @@ def test_mojibake(spark):
 
 def test_strings_and_tokens(spark):
     assert column(spark, [" a ", "\t", "", None], clean.text) == ["a", None, None, None]
-    assert column(spark, ["NA", " NA", "null", "x"], clean.null_token) == [None, " NA", None, "x"]
-    assert column(spark, [None, "nan", " None", "0.5"], clean.zero_if_missing) == ["0", "0", "0", "0.5"]
+    df = spark.createDataFrame([("NA",), (" NA",), ("null",), ("x",)], "v string")
+    assert rows(cleaning.null_tokens(df)) == [(None,), (" NA",), (None,), ("x",)]
+    df = spark.createDataFrame([(None,), ("nan",), (" None",), (" 0.5",)], "v string")
+    assert rows(cleaning.default_zero(df, "v")) == [("0",), ("0",), ("0",), (" 0.5",)]
 
 
 def test_dedupe_keeps_the_first_of_each(spark):
