@@ -392,13 +392,17 @@ forecast AS (
   CROSS JOIN (SELECT CAST(unnest(range(1, {HORIZON + 1})) AS INTEGER) AS t) h
 )"""
 BOOTSTRAP = f"""{FITTED},
-draws AS (
-  SELECT e.serie, h.t, greatest(0.0::DOUBLE, e.yhat + r.r) AS d
+picks AS (
+  SELECT e.serie, e.yhat, h.t, 1 +
+    CAST('0x' || substr(md5(concat_ws('|', '{SEED}', e.serie, CAST(m.sim AS VARCHAR), CAST(h.t AS VARCHAR))), 1, 8) AS BIGINT) % e.n
+      AS place
   FROM ends e
   CROSS JOIN (SELECT CAST(unnest(range(1, {HORIZON + 1})) AS INTEGER) AS t) h
   CROSS JOIN (SELECT CAST(unnest(range(1, {N_SIM + 1})) AS INTEGER) AS sim) m
-  JOIN resid r ON r.serie = e.serie AND r.place = 1 +
-    CAST('0x' || substr(md5(concat_ws('|', '{SEED}', e.serie, CAST(m.sim AS VARCHAR), CAST(h.t AS VARCHAR))), 1, 8) AS BIGINT) % e.n
+),
+draws AS (
+  SELECT k.serie, k.t, greatest(0.0::DOUBLE, k.yhat + r.r) AS d
+  FROM picks k JOIN resid r ON r.serie = k.serie AND r.place = k.place
 ),
 sorted AS (SELECT serie, t, count(*) AS n, list(d ORDER BY d) AS v FROM draws GROUP BY serie, t),
 forecast AS (

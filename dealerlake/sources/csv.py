@@ -73,8 +73,13 @@ def detect_dialects(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     """
     lines = _lines(spark, [paths] if isinstance(paths, str) else paths)
     header = F.min_by(F.when(F.col(SPLIT) == 0, F.col("value")), F.when(F.col(SPLIT) == 0, F.col(SEQ)))
-    files = lines.groupBy(F.col(FILE).alias("path")).agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), header.alias("header")
+    # A set of the two possible answers, as it lets the aggregate hash; with plain columns and a
+    # text among them it would sort all lines first.
+    valid = F.collect_set(F.is_valid_utf8("value"))
+    files = (
+        lines.groupBy(F.col(FILE).alias("path"))
+        .agg(valid.alias("valid"), header.alias("header"))
+        .withColumn("utf8", ~F.array_contains("valid", False))
     )
     return files.filter(F.col("header").isNotNull()).select(
         "path",
