@@ -1,0 +1,131 @@
+"""Registered queries over CSV files that Spark first writes from the star tables.
+
+The files go to the shared folder, a new one for each run.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.ingest import EXPORTS, RECORD_KEY, _input, _plain, projection_name, projection_rows_sql
+from dealerlake import schemas as S
+from dealerlake.plans.ingest import ORDER, run_job
+from dealerlake.session import shared_folder
+from dealerlake.sources.bronze import Bronze
+from dealerlake.sources.csv import FILE, detect_dialects, read_dirty_csv
+from dealerlake.sources.sink import Target
+from dealerlake.sources.star import star_table
+
+# ---------------------------------------------------------------- files with odd records
+
+# Files of a thousand orders each; odd ones in Latin-1, every other pair separated by commas.
+# One record in eight each: too short, too long, blank, quoted, missing values.
+_ROWS = f"""
+SELECT cast(floor(l_orderkey / 1000) as bigint) AS file, l_partkey % 8 AS kind, ord,
+  cast(l_partkey as string) AS k, cast(cast(l_quantity as bigint) as string) AS q
+FROM (SELECT *, {RECORD_KEY} AS ord FROM {{lineitem}}) t"""
+_LINES = f'''
+SELECT file, kind, ord, case kind
+    when 0 then k || ';' || q
+    when 1 then k || ';' || q || ';a;b;c'
+    when 2 then ''
+    when 3 then k || ';"' || q || '.5,6;7";"diz ""oi""";x'
+    when 4 then k || ';NA;;null'
+    else k || ';' || q || ';JOSÉ;x y' end AS line
+FROM ({_ROWS}) r'''
+_HEADER = "Cod ; Valor  da Venda;Nome;Nome"
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/dealerlake/{uuid.uuid4().hex}"
+
+
+def _write_odd_files(spark: SparkSession, folder: str) -> str:
+    lines = spark.sql(_LINES, lineitem=star_table(spark, folder, "lineitem")).select("file", "ord", "line")
+    bom = F.when(F.col("file") % 3 == 0, F.lit("﻿")).otherwise(F.lit(""))
+    bom = F.when(F.col("file") % 2 == 0, bom).otherwise(F.lit(""))
+    headers = lines.select("file").distinct().select("file", F.lit("").alias("ord"), F.concat(bom, F.lit(_HEADER)).alias("line"))
+    swapped = F.when(F.col("file") % 4 >= 2, F.translate("line", ";,", ",;")).otherwise(F.col("line"))
+    latin = F.encode(swapped, "ISO-8859-1").cast("string")
+    out = _folder(spark)
+    (
+        lines.union(headers)
+        .select("file", "ord", F.when(F.col("file") % 2 == 1, latin).otherwise(swapped).alias("line"))
+        .repartition("file")
+        .sortWithinPartitions("file", "ord")
+        .select("file", "line")
+        .write.partitionBy("file")
+        .text(out)
+    )
+    return out
+
+
+def _file_number(path: str):
+    return F.regexp_extract(path, r"/file=(\d+)/", 1).cast("bigint")
+
+
+def _dialects(spark: SparkSession, folder: str) -> DataFrame:
+    found = detect_dialects(spark, _write_odd_files(spark, folder))
+    return found.select(_file_number("path").alias("file"), "encoding", "sep")
+
+
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    records, _, _ = read_dirty_csv(
+        spark, _write_odd_files(spark, folder), expected=["Cod", "Valor_da_Venda", "Nome", "Nome_1"]
+    )
+    return records.select(_file_number(FILE).alias("file"), "Cod", "Valor_da_Venda", "Nome", "Nome_1")
+
+
+def _rejects(spark: SparkSession, folder: str) -> DataFrame:
+    _, rejects, _ = read_dirty_csv(spark, _write_odd_files(spark, folder))
+    return rejects.select(_file_number("path").alias("file"), "line_number", "n_fields", "raw_row")
+
+
+_SWAP = "CASE WHEN file % 4 >= 2 THEN translate({0}, ';,', ',;') ELSE {0} END"
+_ODD_ROWS = "WITH r AS (" + _plain(_ROWS) + ")"
+_ODD_SQL = {
+    "csv_dialects": f"""{_ODD_ROWS} SELECT file, CASE WHEN file % 2 = 1 AND max(kind) >= 5 THEN 'latin-1' ELSE 'utf-8-sig' END AS encoding,
+        CASE WHEN file % 4 >= 2 THEN ',' ELSE ';' END AS sep FROM r GROUP BY file""",
+    "csv_records": f"""{_ODD_ROWS} SELECT file, k AS Cod,
+        CASE kind WHEN 4 THEN NULL WHEN 3 THEN {_SWAP.format("(q || '.5,6;7')")} ELSE q END AS Valor_da_Venda,
+        CASE kind WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 3 THEN 'diz "oi"' ELSE 'JOSÉ' END AS Nome,
+        CASE kind WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 3 THEN 'x' ELSE 'x y' END AS Nome_1
+      FROM r WHERE kind NOT IN (1, 2)""",
+    "csv_rejects": f"""{_ODD_ROWS} SELECT file, line_number, CASE kind WHEN 0 THEN 2 WHEN 1 THEN 5 ELSE 0 END AS n_fields,
+        CASE kind WHEN 0 THEN k || '|' || q WHEN 1 THEN k || '|' || q || '|a|b|c' ELSE '' END AS raw_row
+      FROM (SELECT *, 1 + row_number() OVER (PARTITION BY file ORDER BY ord) AS line_number FROM r) WHERE kind <= 2""",
+}
+
+# ---------------------------------------------------------------- load jobs, from files to table
+
+
+def _load(table: str):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        export = _input(spark, folder, EXPORTS[table])
+        order = ORDER if ORDER in export.columns else "l_orderkey"
+        out = _folder(spark)
+        export.orderBy(order).drop(ORDER).write.csv(f"{out}/export", header=True, sep=";", emptyValue="")
+        run_job(spark, table, f"{out}/export", Target(path=f"{out}/bronze"))
+        columns = S.SCHEMAS[table].fieldNames()[1:]
+        return Bronze.from_path(spark, f"{out}/bronze").table(table, columns)
+
+    return run
+
+
+def _load_sql(table: str) -> str:
+    spec = S.TABLES[table]
+    kept = [f"{c} IS NOT NULL" for c in spec.required]
+    kept += [f"({c} IS NULL OR length({c}) <= {n})" for c, n in spec.max_lengths.items()]
+    return f"SELECT * FROM ({projection_rows_sql(table)}) WHERE {' AND '.join(kept)}"
+
+
+def file_queries() -> dict:
+    loads = {projection_name(t).replace("bronze_projection", "load"): _load(t) for t in EXPORTS}
+    return {"csv_dialects": _dialects, "csv_records": _records, "csv_rejects": _rejects} | loads
+
+
+def file_sql() -> dict[str, str]:
+    return _ODD_SQL | {projection_name(t).replace("bronze_projection", "load"): _load_sql(t) for t in EXPORTS}

@@ -15,6 +15,12 @@ from dealerlake.sources.star import star_table
 # ---------------------------------------------------------------- dirtied inputs, read by both engines
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+# Unique per record, in an order both engines sort alike.
+RECORD_KEY = (
+    "lpad(cast(l_orderkey as string), 12, '0') || '-' || cast(l_linenumber as string) || '-' || "
+    "lpad(cast(l_partkey as string), 12, '0') || '-' || lpad(cast(l_suppkey as string), 12, '0') || '-' || "
+    "cast(cast(l_quantity as bigint) as string) || '-' || cast(cast(l_shipdate as date) as string)"
+)
 _PRICE = "cast(cast(l_extendedprice as decimal(18,2)) as string)"
 _DAY = "cast(cast(l_shipdate as date) as string)"
 _ISO = f"case when l_partkey % 7 = 0 then 'nan' when l_partkey % 7 = 1 then ' ' || {_DAY} || ' ' when l_partkey % 7 = 2 then {_DAY} || ' 10:00' when l_partkey % 7 = 3 then '1998-2-5' when l_partkey % 7 = 4 then '1998-02-30' else {_DAY} end"
@@ -73,9 +79,7 @@ DIRTY = {
         chassi="case when l_partkey % 5 = 0 then 'C' || cast(l_partkey as string) else null end",
     ),
 }
-_COPY = f"""SELECT {KEY}, cast(l_quantity as bigint) AS l_quantity, nullif(l_linenumber, 3) AS line,
-  lpad(cast(l_orderkey as string), 12, '0') || '-' || cast(l_linenumber as string) || '-' || lpad(cast(l_partkey as string), 12, '0')
-  || '-' || lpad(cast(l_suppkey as string), 12, '0') || '-' || cast(cast(l_quantity as bigint) as string) || '-' || {_DAY} || """
+_COPY = f"SELECT {KEY}, cast(l_quantity as bigint) AS l_quantity, nullif(l_linenumber, 3) AS line, {RECORD_KEY} || "
 DIRTY["dedupe_keep_first"] = (
     _COPY + "'-1' AS ord FROM {lineitem} UNION ALL " + _COPY + "'-2' AS ord FROM {lineitem} WHERE l_linenumber = 1"
 )
@@ -145,8 +149,7 @@ EXPORTS = {
         Codigo_da_Peca_no_Estoque="'00' || cast(l_partkey as string)",
     ),
     S.ESTOQUE_VEICULOS: (
-        "SELECT lpad(cast(l_orderkey as string), 12, '0') || '-' || cast(l_linenumber as string) || '-' || lpad(cast(l_partkey as string), 12, '0') "
-        f"|| '-' || lpad(cast(l_suppkey as string), 12, '0') || '-' || cast(cast(l_quantity as bigint) as string) || '-' || {_DAY} AS {ORDER}, "
+        f"SELECT {RECORD_KEY} AS {ORDER}, "
         + ", ".join(
             f"{sql} AS {name}"
             for name, sql in {
@@ -420,7 +423,7 @@ PROJECTIONS = {
 _SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE"}
 
 
-def _projection_sql(table: str) -> str:
+def projection_rows_sql(table: str) -> str:
     columns = []
     for field in S.SCHEMAS[table].fields[1:]:
         dtype = _SQL_TYPES.get(field.dataType.simpleString(), "DOUBLE")
@@ -443,4 +446,4 @@ def _plain(sql: str) -> str:
 
 def ingest_sql() -> dict[str, str]:
     repairs = {name: f"WITH dirty AS ({_plain(DIRTY[name])}) {sql}" for name, sql in REPAIRS.items()}
-    return repairs | {projection_name(t): _projection_sql(t) for t in EXPORTS}
+    return repairs | {projection_name(t): projection_rows_sql(t) for t in EXPORTS}

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -129,7 +130,8 @@ def _dialect_groups(dialects: DataFrame) -> list[Dialect]:
         F.when(F.col("sep") == ";", _header_fields(";")).otherwise(_header_fields(",")).alias("fields"),
     )
     for row in parsed.orderBy("path").collect():
-        groups.setdefault((row.encoding, row.sep, tuple(row.fields)), []).append(row.path)
+        # Positions carry file paths as URLs.
+        groups.setdefault((row.encoding, row.sep, tuple(row.fields)), []).append(unquote(row.path))
     return [Dialect(e, s, h, tuple(paths)) for (e, s, h), paths in groups.items()]
 
 

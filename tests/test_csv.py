@@ -49,7 +49,7 @@ def test_dialects_of_many_files(spark, tmp_path):
 
 
 def test_mixed_dialects_read_as_one_table(spark, tmp_path):
-    write(tmp_path / "b.csv", "nome; valor\nJOSÉ;1\n", "latin-1")
+    write(tmp_path / "b é+1%20 x.csv", "nome; valor\nJOSÉ;1\n", "latin-1")
     write(tmp_path / "c.csv", "nome, valor\nJOSÉ,2\n", "utf-8-sig")
     records, _, _ = read_dirty_csv(spark, str(tmp_path))
     assert sorted(rows(records, "nome", "valor")) == [("JOSÉ", "1"), ("JOSÉ", "2")]
