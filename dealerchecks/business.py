@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import params as P
+from dealerchecks import params as P
 from dealerlake.operators import series
 from dealerlake.plans import branch, customers, daily, integrated, kpi, reports, stock
 from dealerlake.functions.amounts import ratio

@@ -5,15 +5,13 @@ The files go to the shared folder, a new one for each run.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.ingest import EXPORTS, RECORD_KEY, _input, _plain, projection_name, projection_rows_sql
+from dealerchecks.ingest import EXPORTS, RECORD_KEY, _input, _plain, projection_name, projection_rows_sql
 from dealerlake import schemas as S
 from dealerlake.plans.ingest import ORDER, run_job
-from dealerlake.session import shared_folder
+from dealerlake.session import new_folder
 from dealerlake.sources.bronze import Bronze
 from dealerlake.sources.csv import FILE, detect_dialects, read_dirty_csv
 from dealerlake.sources.sink import Target
@@ -39,10 +37,6 @@ FROM ({_ROWS}) r'''
 _HEADER = "Cod ; Valor  da Venda;Nome;Nome"
 
 
-def _folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/dealerlake/{uuid.uuid4().hex}"
-
-
 def _write_odd_files(spark: SparkSession, folder: str) -> str:
     lines = spark.sql(_LINES, lineitem=star_table(spark, folder, "lineitem")).select("file", "ord", "line")
     bom = F.when(F.col("file") % 3 == 0, F.lit("﻿")).otherwise(F.lit(""))
@@ -50,7 +44,7 @@ def _write_odd_files(spark: SparkSession, folder: str) -> str:
     headers = lines.select("file").distinct().select("file", F.lit("").alias("ord"), F.concat(bom, F.lit(_HEADER)).alias("line"))
     swapped = F.when(F.col("file") % 4 >= 2, F.translate("line", ";,", ",;")).otherwise(F.col("line"))
     latin = F.encode(swapped, "ISO-8859-1").cast("string")
-    out = _folder(spark)
+    out = new_folder(spark)
     (
         lines.union(headers)
         .select("file", "ord", F.when(F.col("file") % 2 == 1, latin).otherwise(swapped).alias("line"))
@@ -106,7 +100,7 @@ def _load(table: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         export = _input(spark, folder, EXPORTS[table])
         order = ORDER if ORDER in export.columns else "l_orderkey"
-        out = _folder(spark)
+        out = new_folder(spark)
         export.orderBy(order).drop(ORDER).write.csv(f"{out}/export", header=True, sep=";", emptyValue="")
         run_job(spark, table, f"{out}/export", Target(path=f"{out}/bronze"))
         columns = S.SCHEMAS[table].fieldNames()[1:]

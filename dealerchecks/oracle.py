@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.params import AS_OF, BRANCH_A, BRANCH_B, DT_FIM, DT_INI, HORIZON, MA_WINDOW, N_SIM, SEED, WINDOW_DAYS
+from dealerchecks.params import AS_OF, BRANCH_A, BRANCH_B, DT_FIM, DT_INI, HORIZON, MA_WINDOW, N_SIM, SEED, WINDOW_DAYS
 
 # The five bronze tables over the star schema.
 TABLES = f"""

@@ -68,13 +68,13 @@ def stated(value: Column) -> Column:
 
 def iso_date(value: Column) -> Column:
     """``2025-01-31``, one-digit month and day accepted."""
-    return F.when(value.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), value.try_cast("date"))
+    return F.when(value.rlike("^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), value.try_cast("date"))
 
 
 def br_date(value: Column) -> Column:
     """``31/01/2025``, one-digit day and month accepted."""
     parts = [F.split_part(value, F.lit("/"), F.lit(i)) for i in (3, 2, 1)]
-    return F.when(value.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.concat_ws("-", *parts).try_cast("date"))
+    return F.when(value.rlike("^[0-9]{1,2}/[0-9]{1,2}/(?!0000)[0-9]{4}$"), F.concat_ws("-", *parts).try_cast("date"))
 
 
 def locale_number(value: Column, dtype=MONEY) -> Column:
@@ -86,7 +86,9 @@ def locale_number(value: Column, dtype=MONEY) -> Column:
 
 def strict_number(value: Column, dtype=MONEY) -> Column:
     """``1234.56`` as an exact number; a comma makes it invalid."""
-    return F.when(value.rlike(_NUMBER), value.try_cast(dtype))
+    # A number far below the last decimal place is too long for the exact cast.
+    tiny = value.try_cast("double").try_cast(dtype)
+    return F.when(value.rlike(_NUMBER), F.coalesce(value.try_cast(dtype), tiny))
 
 
 def integer(value: Column, dtype: str = "bigint") -> Column:

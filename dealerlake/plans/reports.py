@@ -66,19 +66,15 @@ def top_turnover(turnover: DataFrame, top_n: int = 20) -> DataFrame:
 
 def stock_days_now_vs_history(history: DataFrame, kpis: DataFrame) -> DataFrame:
     """Monthly mean days in stock of sold vehicles beside the current mean, in long form."""
+    now = kpis.select(F.lit(None).cast("date").alias("MES"), or_zero(F.col("ESTOQUE_VEIC_DIAS_MEDIO_ATUAL")).alias("now"))
+    rows = history.select("MES", F.col("DIAS_MEDIO_VENDA").alias("then")).unionByName(now, allowMissingColumns=True)
+    # One row per month of the period plus the current one, so this window is small.
+    everywhere = Window.partitionBy(F.lit(1))
+    both = rows.withColumn("now", F.max("now").over(everywhere)).filter(F.col("MES").isNotNull())
     # The series names.
-    now = kpis.select(or_zero(F.col("ESTOQUE_VEIC_DIAS_MEDIO_ATUAL")).alias("now"))
-    # ``kpis`` is one row, so pairing it with every month keeps the row count.
-    both = history.join(F.broadcast(now.limit(1)))
+    names = (F.lit("Histórico (vendidos)"), F.lit("Atual (estoque)"))
     return both.select(
-        "MES",
-        F.stack(
-            F.lit(2),
-            F.lit("Histórico (vendidos)"),
-            F.col("DIAS_MEDIO_VENDA"),
-            F.lit("Atual (estoque)"),
-            F.col("now"),
-        ).alias("SERIE", "DIAS"),
+        "MES", F.stack(F.lit(2), names[0], F.col("then"), names[1], F.col("now")).alias("SERIE", "DIAS")
     )
 
 

@@ -47,6 +47,20 @@ def written(df: DataFrame) -> DataFrame:
     For small results that a query uses several times, and for rows whose placement must not change
     between uses. Losing executors loses nothing of it.
     """
-    path = f"{shared_folder(df.sparkSession)}/dealerlake/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/dealerlake/{uuid.uuid4().hex}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Removes the intermediate tables in the shared folder, of this and other runs.
+
+    Only for when no query built on them will run again.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/dealerlake")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,7 @@
+import math
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pytest
@@ -35,6 +37,53 @@ def test_numbers(spark):
     assert column(spark, ["3.7", "3,7"], clean.strict_integer) == [3, None]
 
 
+def python_date(text, pattern):
+    try:
+        return datetime.strptime(text.strip(), pattern).date()
+    except ValueError:
+        return None
+
+
+def python_number(text):
+    try:
+        number = float(text)
+    except ValueError:
+        return None
+    return number if math.isfinite(number) else None
+
+
+def python_locale(text):
+    text = text.strip()
+    return text.replace(".", "").replace(",", ".") if "," in text and "." in text else text.replace(",", ".")
+
+
+def test_rules_on_random_text(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("0123456789.,-+eE") for _ in range(rng.randrange(9))) for _ in range(4000)]
+    texts = [rng.choice(["", "", " ", "\t"]) + t + rng.choice(["", "", " "]) for t in texts]
+    dates = [
+        f"{rng.choice(['', ' '])}{rng.randrange(3000):0{rng.choice([1, 4])}d}-{rng.randrange(15)}-{rng.randrange(34):02d}{rng.choice(['', '', ' ', 'x'])}"
+        for _ in range(2000)
+    ]
+    assert column(spark, dates, clean.iso_date) == [python_date(t, "%Y-%m-%d") for t in dates]
+    turned = ["/".join(reversed(t.strip().split("-"))) for t in dates]
+    assert column(spark, turned, clean.br_date) == [python_date(t, "%d/%m/%Y") for t in turned]
+
+    def money(number_text):
+        if python_number(number_text) is None:
+            return None
+        exact = Decimal(number_text.strip()).quantize(Decimal("0.01"), ROUND_HALF_UP) if abs(python_number(number_text)) < 1e16 else None
+        return exact
+
+    def whole(number_text):
+        number = python_number(number_text)
+        return None if number is None or abs(number) >= 2**63 else int(number)
+
+    assert column(spark, texts, clean.locale_number) == [money(python_locale(t)) for t in texts]
+    assert column(spark, texts, clean.strict_number) == [money(t) for t in texts]
+    assert column(spark, texts, clean.integer) == [whole(t.replace(",", ".")) for t in texts]
+
+
 def test_flags_ages_and_lists(spark):
     assert column(spark, ["True", "1", "Y", "não", "0", "x", ""], clean.flag) == ["SIM"] * 3 + ["NAO"] * 2 + [None] * 2
     ages = ["MENOS DE 1 MES", "1 a 3 meses", "2 A 3 ANOS", "45", "MAIS DE 3 ANOS", None, "DE 9 A 12 MESES"]

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from checks.compare import connect, difference
+from dealerchecks.compare import connect, difference
 from dealerlake import schemas as S
 from dealerlake.plans import branch, customers, daily, integrated, kpi, reports, stock
 from tests.frames import D0, bronze, day, rows
@@ -30,8 +30,8 @@ def test_every_registered_query_equals_its_sql(spark, entry):
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
 def test_figures_agree_across_queries(spark):
-    from checks import params as P
-    from checks.business import bronze as star
+    from dealerchecks import params as P
+    from dealerchecks.business import bronze as star
 
     b, period = star(spark, SMALL), (P.DT_INI, P.DT_FIM)
     kpis = kpi.kpis_period(b, *period).first()
