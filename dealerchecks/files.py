@@ -63,7 +63,7 @@ def _file_number(path: str):
 
 def _dialects(spark: SparkSession, folder: str) -> DataFrame:
     found = detect_dialects(spark, _write_odd_files(spark, folder))
-    return found.select(_file_number("path").alias("file"), "encoding", "sep")
+    return found.select(_file_number("path").alias("file"), "encoding", "sep", F.array_join("repeated", ",").alias("repeated"))
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +82,7 @@ _SWAP = "CASE WHEN file % 4 >= 2 THEN translate({0}, ';,', ',;') ELSE {0} END"
 _ODD_ROWS = "WITH r AS (" + _plain(_ROWS) + ")"
 _ODD_SQL = {
     "csv_dialects": f"""{_ODD_ROWS} SELECT file, CASE WHEN file % 2 = 1 AND max(kind) >= 5 THEN 'latin-1' ELSE 'utf-8-sig' END AS encoding,
-        CASE WHEN file % 4 >= 2 THEN ',' ELSE ';' END AS sep FROM r GROUP BY file""",
+        CASE WHEN file % 4 >= 2 THEN ',' ELSE ';' END AS sep, 'Nome' AS repeated FROM r GROUP BY file""",
     "csv_records": f"""{_ODD_ROWS} SELECT file, k AS Cod,
         CASE kind WHEN 4 THEN NULL WHEN 3 THEN {_SWAP.format("(q || '.5,6;7')")} ELSE q END AS Valor_da_Venda,
         CASE kind WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 3 THEN 'diz "oi"' ELSE 'JOSÉ' END AS Nome,

@@ -6,10 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def zero() -> Column:
-    return F.lit(0).cast("decimal(18,4)")
-
-
 def or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
 
@@ -136,28 +137,35 @@ def forecast_ma_bootstrap(
     """
     fitted = _fitted(df, ma_window, keys)
     # A series brings one residual per day of history.
+    residuals = F.array_sort(F.collect_list(F.struct("place", "residual")))
     per_series = fitted.groupBy(*keys).agg(
         F.max("last_day").alias("last_day"),
         F.max("enough").alias("enough"),
         F.max("YHAT").alias("YHAT"),
         F.max("n").alias("n"),
-        F.array_sort(F.collect_list(F.struct("place", "residual"))).alias("residuals"),
+        F.transform(residuals, lambda r: r["residual"]).alias("residuals"),
     )
     text = [F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]]
-    draw_id = F.md5(F.concat_ws("|", *text, F.col("sim").cast("string"), F.col("T").cast("string")))
-    index = F.conv(F.substring(draw_id, 1, 8), 16, 10).cast("bigint") % F.col("n")
-    draws = (
-        _over_horizon(per_series, horizon)
-        .withColumn("sim", F.explode(F.sequence(F.lit(1), F.lit(n_sim))))
-        .withColumn("draw", _draw(F.col("YHAT"), F.element_at("residuals", (index + 1).cast("int"))["residual"]))
-    )
-    per_step = draws.groupBy(*keys, "T").agg(
-        F.max("last_day").alias("last_day"),
-        F.max("enough").alias("enough"),
-        F.max("YHAT").alias("YHAT"),
-        F.percentile("draw", list(BOUNDS.values())).alias("bounds"),
-    )
-    return per_step.select(*keys, "T", _step_day(), "YHAT", *_bound_columns(per_step, F.col("bounds")).values())
+
+    def drawn(sim: Column) -> Column:
+        draw_id = F.md5(F.concat_ws("|", *text, sim.cast("string"), F.col("T").cast("string")))
+        index = F.conv(F.substring(draw_id, 1, 8), 16, 10).cast("bigint") % F.col("n")
+        return _draw(F.col("YHAT"), F.element_at("residuals", (index + 1).cast("int")))
+
+    # The draws of a step live in one array of fixed length, so nothing is exploded or shuffled for them.
+    draws = F.sort_array(F.transform(F.sequence(F.lit(1), F.lit(n_sim)), drawn))
+    per_step = _over_horizon(per_series.filter(F.col("last_day").isNotNull()), horizon).withColumn("draws", draws)
+    bounds = F.array(*[_sorted_percentile(F.col("draws"), n_sim, p) for p in BOUNDS.values()])
+    return per_step.select(*keys, "T", _step_day(), "YHAT", *_bound_columns(per_step, bounds).values())
+
+
+def _sorted_percentile(values: Column, size: int, p: float) -> Column:
+    """Percentile of a sorted array, linear between its two neighbours."""
+    position = (size - 1) * p
+    below, above = math.floor(position), math.ceil(position)
+    lo, hi = F.element_at(values, below + 1), F.element_at(values, above + 1)
+    between = F.lit(above - position) * lo + F.lit(position - below) * hi
+    return F.when(lo == hi, lo).otherwise(between)
 
 
 def forecast_frame(history: DataFrame, forecast: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -39,7 +39,7 @@ def stock_as_facts(b: Bronze, name: str, value: str, origin: str, keys: list[str
     return b.table(name, [*keys, value, *extra.values()]).select(
         F.lit(origin).alias("ORIGEM"),
         *keys,
-        or_zero(F.col(value)).cast("decimal(18,4)").alias("RECEITA"),
+        or_zero(F.col(value).cast(b.amount)).alias("RECEITA"),
         *[F.col(source).alias(target) for target, source in extra.items()],
     )
 

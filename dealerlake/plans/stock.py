@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
-from dealerlake.functions.amounts import mean, or_zero, ratio, zero
-from dealerlake.plans.kpi import STOCK_PARTS, STOCK_VEHICLES, stock_as_facts, sum_where
+from dealerlake.functions.amounts import mean, or_zero, ratio, sum_where
+from dealerlake.plans.kpi import STOCK_PARTS, STOCK_VEHICLES, stock_as_facts
 from dealerlake.sources.bronze import Bronze
 
 # Fixed value: stock that lasts longer than this many days is no risk.
@@ -67,25 +67,17 @@ def part_turnover_by_category(b: Bronze, dt_ini: date, dt_fim: date) -> DataFram
 
     The missing category is listed but matches nothing, so its figures are 0 and its ratio null.
     """
-    sales = b.table(S.HIST_VENDAS_PECAS, ["CATEGORIA_PECA", "VALOR_VENDA"], (dt_ini, dt_fim)).select(
-        "CATEGORIA_PECA",
-        or_zero(F.col("VALOR_VENDA")).cast("decimal(18,4)").alias("sold"),
-        zero().alias("held"),
-    )
-    stock = b.table(S.ESTOQUE_PECAS, ["CATEGORIA_PECA", "VALOR_PECA_ESTOQUE"]).select(
-        "CATEGORIA_PECA",
-        zero().alias("sold"),
-        or_zero(F.col("VALOR_PECA_ESTOQUE")).cast("decimal(18,4)").alias("held"),
-    )
+    sales = b.table(S.HIST_VENDAS_PECAS, ["CATEGORIA_PECA", "VALOR_VENDA"], (dt_ini, dt_fim))
+    stock = b.table(S.ESTOQUE_PECAS, ["CATEGORIA_PECA", "VALOR_PECA_ESTOQUE"])
     named = F.col("CATEGORIA_PECA").isNotNull()
     return (
-        sales.unionByName(stock)
+        sales.unionByName(stock, allowMissingColumns=True)
         .groupBy("CATEGORIA_PECA")
-        .agg(F.sum("sold").alias("sold"), F.sum("held").alias("held"))
+        .agg(F.sum("VALOR_VENDA").alias("sold"), F.sum("VALOR_PECA_ESTOQUE").alias("held"))
         .select(
             "CATEGORIA_PECA",
-            F.when(named, F.col("sold")).otherwise(F.lit(0)).alias("RECEITA_PERIODO"),
-            F.when(named, F.col("held")).otherwise(F.lit(0)).alias("VALOR_ESTOQUE"),
+            or_zero(F.when(named, F.col("sold"))).alias("RECEITA_PERIODO"),
+            or_zero(F.when(named, F.col("held"))).alias("VALOR_ESTOQUE"),
         )
         .withColumn("GIRO_PROXY", ratio(F.col("RECEITA_PERIODO"), F.col("VALOR_ESTOQUE")))
         .orderBy(F.desc_nulls_last("GIRO_PROXY"), F.asc_nulls_last("CATEGORIA_PECA"))
@@ -106,18 +98,14 @@ def stock_days_monthly(b: Bronze, dt_ini: date, dt_fim: date) -> DataFrame:
 def stockout_risk(b: Bronze, as_of: date, window_days: int = 30, top_n: int = 30) -> DataFrame:
     """Parts in stock and selling whose stock covers at most 30 days of the recent daily sales."""
     part = ["CATEGORIA_PECA", "DESCRICAO_PECA"]
-    sales = b.table(
-        S.HIST_VENDAS_PECAS, [*part, "QTDE_VENDIDA"], (as_of - timedelta(days=window_days), None)
-    ).select(*part, zero().alias("held"), or_zero(F.col("QTDE_VENDIDA")).cast("decimal(18,4)").alias("sold"))
-    stock = b.table(S.ESTOQUE_PECAS, [*part, "QTDE_PECA_ESTOQUE"]).select(
-        *part, or_zero(F.col("QTDE_PECA_ESTOQUE")).cast("decimal(18,4)").alias("held"), zero().alias("sold")
-    )
+    sales = b.table(S.HIST_VENDAS_PECAS, [*part, "QTDE_VENDIDA"], (as_of - timedelta(days=window_days), None))
+    stock = b.table(S.ESTOQUE_PECAS, [*part, "QTDE_PECA_ESTOQUE"])
     per_day = F.col("VENDAS_ND").cast("double") / F.lit(float(window_days))
     return (
-        sales.unionByName(stock)
+        sales.unionByName(stock, allowMissingColumns=True)
         .filter(F.col(part[0]).isNotNull() & F.col(part[1]).isNotNull())
         .groupBy(*part)
-        .agg(F.sum("held").alias("ESTOQUE_ATUAL"), F.sum("sold").alias("VENDAS_ND"))
+        .agg(F.sum("QTDE_PECA_ESTOQUE").alias("ESTOQUE_ATUAL"), F.sum("QTDE_VENDIDA").alias("VENDAS_ND"))
         .filter((F.col("ESTOQUE_ATUAL") > 0) & (F.col("VENDAS_ND") > 0))
         .withColumn("CONSUMO_MEDIO_DIA", per_day)
         .withColumn("DIAS_COBERTURA", ratio(F.col("ESTOQUE_ATUAL"), F.col("CONSUMO_MEDIO_DIA")))

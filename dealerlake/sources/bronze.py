@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
+from dealerlake.functions.amounts import or_zero
 
 Period = tuple[date | None, date | None]
 
@@ -64,8 +65,6 @@ LINES: dict[str, Line] = {
     ),
 }
 
-AMOUNTS = ("QTD", "RECEITA", "LUCRO")
-
 
 def between(column, period: Period | None):
     """Inclusive date range as a condition; either end may be open."""
@@ -81,6 +80,9 @@ def between(column, period: Period | None):
 class Bronze:
     """The five tables of one store. Every scan names its columns and period, so both reach the files."""
 
+    # Type of quantities and money in the unified fact.
+    amount = S.MONEY.simpleString()
+
     def __init__(self, open_table: Callable[[str], DataFrame]):
         self._open = open_table
 
@@ -148,13 +150,12 @@ class Bronze:
             parts.append(
                 df.select(
                     F.lit(origin).alias("ORIGEM"),
-                    *[_unified(source[c], c).alias(c) for c in columns],
+                    *[self._unified(source[c], c).alias(c) for c in columns],
                 )
             )
         return reduce(DataFrame.unionByName, parts)
 
-
-def _unified(source: str, name: str):
-    if name not in AMOUNTS:
+    def _unified(self, source: str, name: str) -> Column:
+        if name in ("QTD", "RECEITA", "LUCRO"):
+            return or_zero(F.col(source).cast(self.amount))
         return F.col(source)
-    return F.coalesce(F.col(source).cast("decimal(18,4)"), F.lit(0).cast("decimal(18,4)"))

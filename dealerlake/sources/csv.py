@@ -67,13 +67,14 @@ def _n_fields(line: Column, sep: str) -> Column:
 
 
 def detect_dialects(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row (path, encoding, sep, header) per file, from one scan of the lines.
+    """One row (path, encoding, sep, header fields, repeated names) per file, from one scan of the lines.
 
     A file is UTF-8 when all of its bytes are, else Latin-1. The delimiter is the one of ``,`` and
     ``;`` that occurs more often in the header line; a tie gives ``,``.
     """
     lines = _lines(spark, [paths] if isinstance(paths, str) else paths)
-    header = F.min_by(F.when(F.col(SPLIT) == 0, F.col("value")), F.when(F.col(SPLIT) == 0, F.col(SEQ)))
+    candidate = (F.col(SPLIT) == 0) & (F.col("value") != "")
+    header = F.min_by(F.when(candidate, F.col("value")), F.when(candidate, F.col(SEQ)))
     # A set of the two possible answers, as it lets the aggregate hash; with plain columns and a
     # text among them it would sort all lines first.
     valid = F.collect_set(F.is_valid_utf8("value"))
@@ -82,11 +83,16 @@ def detect_dialects(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
         .agg(valid.alias("valid"), header.alias("header"))
         .withColumn("utf8", ~F.array_contains("valid", False))
     )
-    return files.filter(F.col("header").isNotNull()).select(
+    dialects = files.filter(F.col("header").isNotNull()).select(
         "path",
         F.when(F.col("utf8"), UTF8).otherwise(LATIN1).alias("encoding"),
-        F.when(_count("header", ";") > _count("header", ","), ";").otherwise(",").alias("sep"),
-        F.when(F.col("utf8"), F.col("header")).otherwise(_decoded(F.col("header"), LATIN1)).alias("header"),
+        F.when(F.col("utf8"), F.col("header")).otherwise(_decoded(F.col("header"), LATIN1)).alias("line"),
+    )
+    sep = F.when(_count("line", ";") > _count("line", ","), ";").otherwise(",")
+    return (
+        dialects.withColumn("sep", sep)
+        .withColumn("header", F.when(F.col("sep") == ";", _header(";")).otherwise(_header(",")))
+        .select("path", "encoding", "sep", "header", _repeated(F.col("header")).alias("repeated"))
     )
 
 
@@ -94,16 +100,22 @@ def _count(column: str, mark: str) -> Column:
     return F.length(column) - F.length(F.replace(F.col(column), F.lit(mark), F.lit("")))
 
 
+def _header(sep: str) -> Column:
+    line = F.replace(F.col("line"), F.lit(BOM), F.lit(""))
+    return F.transform(_fields(line, sep), _unquoted)
+
+
+def _repeated(fields: Column) -> Column:
+    """Normalized names that occur more than once in a header."""
+    names = F.transform(fields, lambda f: F.regexp_replace(F.replace(F.trim(f), F.lit(" "), F.lit("_")), "_{2,}", "_"))
+    return F.array_distinct(F.filter(names, lambda n: F.size(F.filter(names, lambda m: m == n)) > 1))
+
+
 def normalized_name(name: str) -> str:
     """Header name without byte-order mark and outer blanks, inner blanks as single underscores."""
     return re.sub(r"_{2,}", "_", name.replace(BOM, "").strip().replace(" ", "_"))
 
 
-def duplicate_columns(names: Sequence[str]) -> list[str]:
-    """Names that occur more than once, in order of appearance."""
-    return [n for n in dict.fromkeys(names) if list(names).count(n) > 1]
-
-
 def column_names(header: Sequence[str], normalize: bool = True) -> list[str]:
     """Unique column names of a header: empty ones become ``unnamed``, repeats get ``_1``, ``_2``, ..."""
     names: list[str] = []
@@ -123,22 +135,12 @@ def column_names(header: Sequence[str], normalize: bool = True) -> list[str]:
 def _dialect_groups(dialects: DataFrame) -> list[Dialect]:
     """Files grouped by dialect. One small row per file comes to the driver, as in a file listing."""
     groups: dict[tuple, list[str]] = {}
-    parsed = dialects.select(
-        "path",
-        "encoding",
-        "sep",
-        F.when(F.col("sep") == ";", _header_fields(";")).otherwise(_header_fields(",")).alias("fields"),
-    )
-    for row in parsed.orderBy("path").collect():
+    for row in dialects.orderBy("path").collect():
         # Positions carry file paths as URLs.
-        groups.setdefault((row.encoding, row.sep, tuple(row.fields)), []).append(unquote(row.path))
+        groups.setdefault((row.encoding, row.sep, tuple(row.header)), []).append(unquote(row.path))
     return [Dialect(e, s, h, tuple(paths)) for (e, s, h), paths in groups.items()]
 
 
-def _header_fields(sep: str) -> Column:
-    return F.transform(_fields(F.ltrim(F.replace(F.col("header"), F.lit(BOM), F.lit(""))), sep), _unquoted)
-
-
 def _scan(spark: SparkSession, dialect: Dialect, names: list[str], multi_line: bool) -> DataFrame:
     """Records of one dialect, all text; records longer than the header are left out."""
     positional = [f"c{i}" for i in range(len(names))]

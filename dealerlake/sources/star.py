@@ -84,6 +84,9 @@ _DIMENSIONS = {
 class StarBronze(Bronze):
     """Bronze tables derived from the star tables in ``folder``."""
 
+    # Discounted prices have four decimals.
+    amount = "decimal(18,4)"
+
     def __init__(self, spark: SparkSession, folder: str, as_of: date):
         self._spark, self._folder, self._as_of = spark, folder, as_of
 

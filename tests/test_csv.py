@@ -11,7 +11,6 @@ from dealerlake.sources.csv import (
     POSITION,
     column_names,
     detect_dialects,
-    duplicate_columns,
     normalized_name,
     read_dirty_csv,
 )
@@ -30,7 +29,6 @@ def rows(df, *columns):
 def test_header_names():
     assert normalized_name("﻿ Nome  da Filial ") == "Nome_da_Filial"
     assert column_names(["a", "b", "A", "", "a"]) == ["a", "b", "A_1", "unnamed", "a_2"]
-    assert duplicate_columns(["a", "b", "a", "a", "b"]) == ["a", "b"]
 
 
 def test_dialects_of_many_files(spark, tmp_path):
@@ -48,6 +46,12 @@ def test_dialects_of_many_files(spark, tmp_path):
     }
 
 
+def test_repeated_header_names(spark, tmp_path):
+    write(tmp_path / "a.csv", 'a b;c;"a  b";c;d\n', "utf-8-sig")
+    found = detect_dialects(spark, str(tmp_path)).first()
+    assert (found.header, found.repeated) == (["a b", "c", "a  b", "c", "d"], ["a_b", "c"])
+
+
 def test_mixed_dialects_read_as_one_table(spark, tmp_path):
     write(tmp_path / "b é+1%20 x.csv", "nome; valor\nJOSÉ;1\n", "latin-1")
     write(tmp_path / "c.csv", "nome, valor\nJOSÉ,2\n", "utf-8-sig")
