@@ -141,11 +141,11 @@ def _dialect_groups(dialects: DataFrame) -> list[Dialect]:
     return [Dialect(e, s, h, tuple(paths)) for (e, s, h), paths in groups.items()]
 
 
-def _scan(spark: SparkSession, dialect: Dialect, names: list[str], multi_line: bool) -> DataFrame:
-    """Records of one dialect, all text; records longer than the header are left out."""
-    positional = [f"c{i}" for i in range(len(names))]
+def _parsed(spark: SparkSession, dialect: Dialect, multi_line: bool) -> DataFrame:
+    """Records of one dialect, all text under positional names; the reader keeps the raw text of odd ones."""
+    positional = _positional(dialect)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*positional, _RAW)])
-    df = (
+    return (
         spark.read.schema(schema)
         .options(
             header=True,
@@ -156,7 +156,7 @@ def _scan(spark: SparkSession, dialect: Dialect, names: list[str], multi_line: b
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=_RAW,
             multiLine=multi_line,
-            maxColumns=max(20480, len(names)),
+            maxColumns=max(20480, len(positional)),
         )
         .csv(list(dialect.paths))
         .select(
@@ -165,14 +165,21 @@ def _scan(spark: SparkSession, dialect: Dialect, names: list[str], multi_line: b
             F.col("_metadata.file_path").alias(FILE),
             F.col("_metadata.file_block_start").alias(SPLIT),
         )
+        # Always true: the reader refuses a query that needs no data column beside the raw text.
+        .filter(F.coalesce(F.col(positional[0]), F.lit("")) >= "")
     )
+
+
+def _positional(dialect: Dialect) -> list[str]:
+    return [f"c{i}" for i in range(len(dialect.header))]
+
+
+def _scan(spark: SparkSession, dialect: Dialect, names: list[str], multi_line: bool) -> DataFrame:
+    """Records of one dialect under their names; records longer than the header are left out."""
     # The reader marks short and long records alike; only the long ones go.
     fits = F.col(_RAW).isNull() | (_n_fields(F.col(_RAW), dialect.sep) <= len(names))
-    # Always true: the reader refuses a query that needs no data column beside the mark.
-    parsed = F.coalesce(F.col(positional[0]), F.lit("")) >= ""
-    return df.filter(fits & parsed).select(
-        *[null_token(F.col(c)).alias(name) for c, name in zip(positional, names)], FILE, SPLIT
-    )
+    columns = [null_token(F.col(c)).alias(name) for c, name in zip(_positional(dialect), names)]
+    return _parsed(spark, dialect, multi_line).filter(fits).select(*columns, FILE, SPLIT)
 
 
 def read_dirty_csv(
@@ -201,30 +208,47 @@ def read_dirty_csv(
         if missing:
             raise ValueError(f"expected columns missing in {group.paths[0]}: {missing}; present: {names}")
         scans.append(_scan(spark, group, names, multi_line))
-        audits.append(_audit(spark, group))
+        audits.append(_audit_records(spark, group) if multi_line else _audit_lines(spark, group))
     records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     # Numbered over the union: each scan alone would start at 0 again.
     records = records.withColumn(SEQ, F.monotonically_increasing_id())
     return records, reduce(DataFrame.unionByName, audits), dialects
 
 
-def _audit(spark: SparkSession, dialect: Dialect) -> DataFrame:
-    """Records whose field count is not the header's: (path, line_number, n_fields, raw_row)."""
+def _audit_lines(spark: SparkSession, dialect: Dialect) -> DataFrame:
+    """Lines whose field count is not the header's: (path, line_number, n_fields, raw_row)."""
     raw = _lines(spark, dialect.paths)
     # Where each split starts: its first row in scan order and the lines before it in its file.
-    # One row per split, so joining it to the few odd records is small.
+    # One row per split, so joining it to the few odd lines is small.
     splits = raw.groupBy(FILE, SPLIT).agg(F.min(SEQ).alias("first"), F.count("*").alias("size"))
     before = F.sum("size").over(Window.partitionBy(FILE).orderBy(SPLIT)) - F.col("size")
     splits = splits.select(FILE, SPLIT, "first", before.alias("before"))
-    line = _decoded(F.col("value"), dialect.encoding)
-    odd = (
-        raw.withColumn("n_fields", _n_fields(line, dialect.sep))
-        .filter(F.col("n_fields") != len(dialect.header))
-        .withColumn("raw_row", F.array_join(F.transform(_fields(line, dialect.sep), _unquoted), "|"))
-    )
+    odd = _odd(raw, _decoded(F.col("value"), dialect.encoding), dialect)
     return (
         odd.join(splits, [FILE, SPLIT])
         .withColumn("line_number", F.col("before") + F.col(SEQ) - F.col("first") + 1)
         .filter("line_number > 1")
         .select(F.col(FILE).alias("path"), "line_number", "n_fields", "raw_row")
     )
+
+
+def _audit_records(spark: SparkSession, dialect: Dialect) -> DataFrame:
+    """As :func:`_audit_lines` for files whose records may span lines: numbers count records, blank ones aside."""
+    records = _parsed(spark, dialect, multi_line=True).withColumn(SEQ, F.monotonically_increasing_id())
+    starts = records.groupBy(FILE).agg(F.min(SEQ).alias("first"))
+    odd = _odd(records.filter(F.col(_RAW).isNotNull()), F.col(_RAW), dialect)
+    return (
+        odd.join(starts, FILE)
+        .withColumn("line_number", F.col(SEQ) - F.col("first") + 2)
+        .select(F.col(FILE).alias("path"), "line_number", "n_fields", "raw_row")
+    )
+
+
+def _odd(df: DataFrame, record: Column, dialect: Dialect) -> DataFrame:
+    """Rows whose record does not have the header's number of fields, with that number and the fields."""
+    fields = F.array_join(F.transform(_fields(record, dialect.sep), _unquoted), "|")
+    return (
+        df.withColumn("n_fields", _n_fields(record, dialect.sep))
+        .filter(F.col("n_fields") != len(dialect.header))
+        .withColumn("raw_row", fields)
+    )

@@ -25,14 +25,15 @@ def append_bronze(df: DataFrame, table: str, target: Target) -> int:
 
     Dated tables are laid out by month, with rows sorted by branch and day inside each file so that
     a branch or day filter skips row groups. Rebalancing by month keeps a file per month from
-    becoming a file per task, and splits a month that holds most of the rows.
+    becoming a file per task, and splits a month that holds most of the rows. A database makes its
+    own row keys.
     """
     spec = TABLES[table]
     seen, counts = Observation(), {"n": F.count(F.lit(1))}
     plain = df.select(*spec.schema.fieldNames())
     rows = observed(plain, seen, counts)
     if target.jdbc:
-        rows.write.format("jdbc").options(dbtable=table, batchsize=1000, **target.jdbc).mode("append").save()
+        rows.drop(spec.id).write.format("jdbc").options(dbtable=table, batchsize=1000, **target.jdbc).mode("append").save()
         return counted(seen, plain, counts)["n"]
     order = ["COD_CONCESSIONARIA", "COD_FILIAL"]
     if spec.date:
@@ -79,8 +80,6 @@ def stored_from(spark: SparkSession, table: str, target: Target, first_id: int)
 
 def _stored(spark: SparkSession, table: str, target: Target) -> DataFrame | None:
     """The table as it stands, None when its folder does not exist yet."""
-    if target.jdbc:
-        return spark.read.format("jdbc").options(dbtable=table, **target.jdbc).load()
     if target.database is not None:
         return spark.table(f"{target.database}.{table}")
     folder = f"{target.path.rstrip('/')}/{table}"

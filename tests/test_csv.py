@@ -97,9 +97,10 @@ def test_quoted_separator_is_not_a_field(spark, tmp_path):
 
 
 def test_quoted_line_breaks(spark, tmp_path):
-    path = write(tmp_path / "m.csv", 'a,b\n"1\n2",3\n')
-    records, _, _ = read_dirty_csv(spark, path, multi_line=True)
-    assert rows(records, "a", "b") == [("1\n2", "3")]
+    path = write(tmp_path / "m.csv", 'a,b\n"1\n2",3\n4\n"x\ny",6,7\n8,9\n')
+    records, rejects, _ = read_dirty_csv(spark, path, multi_line=True)
+    assert rows(records.orderBy(*POSITION), "a", "b") == [("1\n2", "3"), ("4", None), ("8", "9")]
+    assert sorted(rows(rejects, "line_number", "n_fields", "raw_row")) == [(3, 1, "4"), (4, 3, "x\ny|6|7")]
 
 
 def test_missing_expected_column(spark, tmp_path):
