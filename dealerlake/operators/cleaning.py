@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,9 +134,11 @@ def dedupe_keep_first(df: DataFrame, order: str, subset: Sequence[str] = ()) ->
 
 def contract_reason(required: Sequence[str], max_lengths: dict[str, int] | None = None) -> Column:
     """Which required columns are missing and which texts are too long, null when none is."""
-    broken = [F.when(F.col(c).isNull(), F.lit(f"missing: {c}")) for c in required]
-    broken += [F.when(F.length(c) > n, F.lit(f"longer than {n}: {c}")) for c, n in (max_lengths or {}).items()]
-    return F.nullif(F.concat_ws(", ", *broken), F.lit(""))
+    rules = {f"missing: {c}": F.col(c).isNull() for c in required}
+    rules |= {f"longer than {n}: {c}": F.coalesce(F.length(c) > n, F.lit(False)) for c, n in (max_lengths or {}).items()}
+    broken = reduce(Column.__or__, rules.values())
+    # The text is put together only for rows that need one.
+    return F.when(broken, F.concat_ws(", ", *[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
 
 
 def contract_valid(df: DataFrame, required: Sequence[str], max_lengths: dict[str, int] | None = None) -> DataFrame:

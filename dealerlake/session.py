@@ -20,6 +20,8 @@ def local_session(cpus: int | str = "*", app: str = "dealerlake", **conf: str) -
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # The virtual machine never compiles a method beyond this size; wide loads would run interpreted.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
