@@ -7,16 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealerlake.llm.mixing import mix
 from dealerlake.llm.near_duplicates import near_duplicates
+from dealerlake.llm.packing import pack
 from dealerlake.llm.store import read
+from dealerlake.llm.token_counts import token_counts
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def one_two_three(names: list[str | None]) -> dict[str | None, float]:
+    """Sources in order weigh 1, 2, 3, 1, 2, 3, ..."""
+    return {name: float(1 + i % 3) for i, name in enumerate(names)}
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", F.array(F.col("source").cast("string")).alias("sources"))
+    mixed, sizes, goal = mix(docs, weights=one_two_three)
+    per_source = spark.createDataFrame([([s], sizes[s], float(goal[s])) for s in sizes], "sources array<string>, source_size long, target double")
+    return mixed.join(per_source, "sources").select(
+        "doc_id", "size", "source_size", "target", "taken", F.col("sources")[0].alias("source"), "copies"
+    )
 
 
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"), percent=85, size=3)
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(read(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(read(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_near_duplicates,)}
+    return {f.__name__: f for f in (op4_mixing, op8_near_duplicates, op9_packing, op10_token_counts)}
 
 
 def llm_sql() -> dict[str, str]:
