@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealerlake.llm.fingerprints import fingerprints
 from dealerlake.llm.mixing import mix
 from dealerlake.llm.near_duplicates import near_duplicates
 from dealerlake.llm.packing import pack
+from dealerlake.llm.quality_model import quality
+from dealerlake.llm.quality_rules import quality_rules
 from dealerlake.llm.store import read
 from dealerlake.llm.token_counts import token_counts
 
@@ -25,6 +28,10 @@ def one_two_three(names: list[str | None]) -> dict[str | None, float]:
     return {name: float(1 + i % 3) for i, name in enumerate(names)}
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", F.array(F.col("source").cast("string")).alias("sources"))
     mixed, sizes, goal = mix(docs, weights=one_two_three)
@@ -34,6 +41,14 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(read(spark, folder, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"), percent=85, size=3)
 
@@ -48,7 +63,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_mixing, op8_near_duplicates, op9_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op4_mixing, op6_fingerprints, op7_quality_rules, op8_near_duplicates, op9_packing, op10_token_counts)}
 
 
 def llm_sql() -> dict[str, str]:

@@ -13,8 +13,8 @@ import pyarrow as pa
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
 SLICE_BYTES = 4 << 20
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
@@ -66,9 +66,12 @@ def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and end of every word; no word crosses from one text into the next."""
-    solid = ~_BLANK[data]
+def bounds(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word; no word crosses from one text into the next.
+
+    ``blank`` says of each byte whether it stands between words.
+    """
+    solid = ~blank[data]
     if not solid.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     before = np.empty_like(solid)
