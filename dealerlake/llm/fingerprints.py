@@ -21,6 +21,10 @@ _VALUE_BITS = 34
 _LAST_PLACE = (1 << _PLACE_BITS) - 1
 
 
+def _some(x: Column) -> Column:
+    return x.isNotNull()
+
+
 def with_sketches(df: DataFrame, **texts: str) -> DataFrame:
     """``df`` plus, for each ``name=column``, ``name``: the column's fingerprint as an array of numbers.
 
@@ -48,8 +52,11 @@ def with_sketches(df: DataFrame, **texts: str) -> DataFrame:
         return F.sort_array(F.when(F.size(n) >= K, pairs).otherwise(F.transform(n, lambda x, i: packed(F.xxhash64(x), i))))
 
     out = step(out, {n: kmers(n) for n in names})
-    begins = {f"{n}_begins": F.filter(F.transform(n, lambda x, j, n=n: F.when(shift(x) != F.coalesce(shift(F.get(n, j - 1)), F.lit(-1)), j)), lambda j: j.isNotNull()) for n in names}
-    out = step(out, {n: F.col(n) for n in names} | begins)
+
+    def begins(n: str) -> Column:
+        return F.filter(F.transform(n, lambda x, j: F.when(shift(x) != F.coalesce(shift(F.get(n, j - 1)), F.lit(-1)), j)), _some)
+
+    out = step(out, {n: F.col(n) for n in names} | {f"{n}_begins": begins(n) for n in names})
 
     def occurrence(n: str) -> Column:
         sizes = F.transform(f"{n}_begins", lambda b, i: F.coalesce(F.get(f"{n}_begins", i + 1), F.size(n)) - b)
@@ -58,14 +65,19 @@ def with_sketches(df: DataFrame, **texts: str) -> DataFrame:
     out = step(out, {n: F.col(n) for n in names} | {f"{n}_before": occurrence(n) for n in names})
 
     def ranked(n: str) -> Column:
-        key = lambda x, j: F.shiftleft(
-            F.xxhash64(shift(x), F.get(f"{n}_before", j)).bitwiseAND(F.lit((1 << (_TUPLE_BITS + _RANK_BITS)) - 1)), _PLACE_BITS
-        ).bitwiseOR(x.bitwiseAND(F.lit(_LAST_PLACE)))
-        return F.sort_array(F.transform(n, key))
+        def key(x, before):
+            hashed = F.xxhash64(shift(x), before).bitwiseAND(F.lit((1 << (_TUPLE_BITS + _RANK_BITS)) - 1))
+            return F.shiftleft(hashed, _PLACE_BITS).bitwiseOR(x.bitwiseAND(F.lit(_LAST_PLACE)))
+
+        # Both arrays as arguments: one that is named inside the function only would be computed again for each element.
+        return F.sort_array(F.zip_with(n, f"{n}_before", key))
 
     out = step(out, {n: ranked(n) for n in names})
     # The first two of each part.
-    out = step(out, {n: F.filter(n, lambda x, j, n=n: (j < 2) | (part(x) != part(F.get(n, j - 2)))) for n in names})
+    def smallest(n: str) -> Column:
+        return F.filter(n, lambda x, j: (j < 2) | (part(x) != part(F.get(n, j - 2))))
+
+    out = step(out, {n: smallest(n) for n in names})
 
     def tuples(n: str) -> Column:
         def value(x, j):
@@ -76,7 +88,7 @@ def with_sketches(df: DataFrame, **texts: str) -> DataFrame:
             number = F.shiftleft(part(x), _VALUE_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << _VALUE_BITS) - 1)))
             return F.when((j == 0) | (part(x) != part(F.get(n, j - 1))), number)
 
-        return F.filter(F.transform(n, value), lambda v: v.isNotNull())
+        return F.filter(F.transform(n, value), _some)
 
     return step(out, {n: tuples(n) for n in names})
 

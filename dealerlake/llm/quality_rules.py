@@ -39,7 +39,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED) -> li
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted).withColumn("trusted", F.lit(1))
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id", "left")
     grams = _grams(marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), word_array(F.col("text")).alias("w")))
-    found = grams.select("trusted", F.explode("grams").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
+    # The outer kind, as the other lets Spark test the array first, and so compute it once more for each element.
+    found = grams.select("trusted", F.explode_outer("grams").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
     found = {r["bucket"]: (r["raw"], r["target"]) for r in found.collect()}
     raw, target = (np.array([found.get(b, (0, 0))[i] for b in range(BUCKETS)], float) for i in (0, 1))
     if not target.any():
