@@ -199,3 +199,15 @@ def mix(docs: DataFrame, weights=None, total: float = 1.0, repeats: int = REPEAT
         .union(sized.where("size = 0").select("doc_id", "sources", "size", F.lit(0).cast("long"), F.lit(0).cast("long")))
     )
     return result.withColumn("taken", F.col("copies") * F.col("size") + F.col("cut")), sizes, goal
+
+
+def mixed_rows(docs: DataFrame, weights=None, total: float = 1.0, repeats: int = REPEATS, seed: int = 0) -> DataFrame:
+    """Each row of ``docs`` (doc_id, text, source, ...) as often as ``mix`` takes the whole document, all columns as they are.
+
+    Cuts are left out. Rows that repeat an id are each taken as often as the one taken most.
+    """
+    chosen, _, _ = mix(docs.select("doc_id", "text", F.array(F.col("source").cast("string")).alias("sources")), weights, total, repeats, seed)
+    copies = chosen.groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("copies")).where("copies > 0")
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("mixed.copies")))
+    joined = docs.alias("docs").join(copies.alias("mixed"), F.col("docs.doc_id").cast("long").eqNullSafe(F.col("mixed.mixed_id")))
+    return joined.select("docs.*", times.alias("__time")).drop("__time")

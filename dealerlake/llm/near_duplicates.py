@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -16,18 +17,26 @@ from dealerlake.llm.store import saved
 #: Positions of a signature, and bits kept of each.
 POSITIONS = 64
 BITS = 16
-#: Chunks a signature is cut into, and differing positions allowed in a chunk. By the pigeonhole
-#: principle two signatures that differ in fewer than CHUNKS * (ERRORS + 1) = 24 positions agree in
-#: one chunk but for at most ERRORS positions. Sets with a similarity of 0.85 differ in 9.6 positions
-#: on average, and in 24 or more once in 100,000 pairs.
-CHUNKS = 12
+#: Differing positions allowed in a chunk, and the odds of missing a pair right at the threshold. By the
+#: pigeonhole principle two signatures that differ in fewer than chunks * (ERRORS + 1) positions agree in one
+#: chunk but for at most ERRORS positions; ``chunks`` gives the number of chunks that these odds take.
 ERRORS = 1
+ODDS = 2e-5
 #: Members of one bucket that are compared in one block; larger buckets become several blocks.
 BLOCK = 512
 
 _MULTIPLY = W.mix(np.arange(1, POSITIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = W.mix(np.arange(1001, POSITIONS + 1001, dtype=np.uint64))
-_EDGES = [POSITIONS * i // CHUNKS for i in range(CHUNKS + 1)]
+
+
+def chunks(percent: int) -> int:
+    """Chunks a signature is cut into: 12 for a similarity of 85 percent, 14 for 80."""
+    differ = 1 - percent / 100
+    tail = lambda least: sum(comb(POSITIONS, i) * differ**i * (1 - differ) ** (POSITIONS - i) for i in range(least, POSITIONS + 1))
+    count = 1
+    while count < POSITIONS // (ERRORS + 1) and tail(count * (ERRORS + 1)) > ODDS:
+        count += 1
+    return count
 
 
 def _signatures(shingle: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -85,29 +94,31 @@ def _profiles(size: int):
     return run
 
 
-def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of every chunk with each choice of ERRORS positions left out.
+def _chunk_keys(count: int):
+    """Keys of each of ``count`` chunks with every choice of ERRORS positions left out (written out for one)."""
+    edges = [POSITIONS * i // count for i in range(count + 1)]
 
-    ``turned`` is the node under a mask that the key gives, so that the smallest one of a bucket is
-    another node in each bucket; ``_turn`` undoes it.
-    """
-    for batch in batches:
-        rows = np.array([np.frombuffer(x, np.uint16) for x in batch.column("signature").to_pylist()], np.uint64).reshape(-1, POSITIONS)
-        node = batch.column("node").to_numpy(zero_copy_only=False)
-        keys = []
-        with np.errstate(over="ignore"):
-            for a, b in zip(_EDGES[:-1], _EDGES[1:]):
-                for out in range(a, b):
-                    key = np.full(len(rows), out, np.uint64)
-                    for position in range(a, b):
-                        if position != out:
-                            key = W.mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, position])
-                    keys.append(key)
-        key = np.concatenate(keys).view(np.int64)
-        yield pa.record_batch([pa.array(key), pa.array(np.tile(node, len(keys)))], names=["key", "node"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array([np.frombuffer(x, np.uint16) for x in batch.column("signature").to_pylist()], np.uint64).reshape(-1, POSITIONS)
+            node = batch.column("node").to_numpy(zero_copy_only=False)
+            keys = []
+            with np.errstate(over="ignore"):
+                for a, b in zip(edges[:-1], edges[1:]):
+                    for out in range(a, b):
+                        key = np.full(len(rows), out, np.uint64)
+                        for position in range(a, b):
+                            if position != out:
+                                key = W.mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, position])
+                        keys.append(key)
+            key = np.concatenate(keys).view(np.int64)
+            yield pa.record_batch([pa.array(key), pa.array(np.tile(node, len(keys)))], names=["key", "node"])
+
+    return run
 
 
 def _turn(node: str, key: str):
+    """The node under a mask that the key gives, so that the smallest one is another node in each bucket; undoes itself."""
     return F.col(node).bitwiseXOR(F.xxhash64(key))
 
 
@@ -262,7 +273,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     linkable = profiles.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = saved(linkable.groupBy("key1", "key2").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")))
 
-    keys = classes.select("node", "signature").mapInArrow(_chunk_keys, "key long, node long")
+    keys = classes.select("node", "signature").mapInArrow(_chunk_keys(chunks(percent)), "key long, node long")
     turned = keys.withColumn("turned", _turn("node", "key"))
     shared = turned.groupBy("key").agg(F.min("turned").alias("first"), F.max("turned").alias("last"), F.count("*").alias("members"))
     shared = shared.where(F.col("first") != F.col("last")).drop("last")
@@ -305,3 +316,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     return linked.union(alone).select(
         "doc_id", "n_shingles", F.col("label").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("label"), F.lit(True)).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns as they are. Of rows that repeat an id one stays."""
+    kept = near_duplicates(docs, percent, size).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    stay = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return stay.union(docs.where("doc_id IS NULL"))

@@ -203,3 +203,18 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
     model = learn(docs.where(fold != 1), labels.where(remainder(F.col("doc_id"), 3) != 1), "quality", sample)
     scored = docs.select("doc_id", (fold == 1).alias("held_out"), "text").mapInArrow(_scores(model), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def _good(model: AdditiveModel):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.score(text_features(batch.column("text"))) >= 0.5))
+
+    return run
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` predicts to be good, all columns as they are."""
+    taught = docs.where(remainder(F.col("doc_id").cast("long"), 3) != 1).select("doc_id", "text")
+    model = learn(taught, labels.where(remainder(F.col("doc_id").cast("long"), 3) != 1), "quality", sample)
+    return docs.mapInArrow(_good(model), docs.schema)

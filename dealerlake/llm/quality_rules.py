@@ -49,24 +49,15 @@ def log_ratios(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED) -> li
     return ratios.round(4).tolist()
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, ratio.
-
-    ``base_failed``: fewer than 50 words, or more than half of the words in three-word windows that occur
-    twice or more in the text. ``ratio`` is the mean of ``log_ratios`` over the text's n-grams: below 0
-    the text is more like the rest of the corpus than like the target. ``kept`` needs both: the rules
-    are passed and ``ratio`` is at least ``threshold``. Every document is judged by the same fixed number; nothing is drawn.
-
-    Null texts have no words. A text without n-grams has ratio 0. Without trusted documents all ratios are
-    0. Rows that repeat an id are judged each. An empty table gives an empty one.
-    """
+def _judged(docs: DataFrame, labels: DataFrame, trusted: int, threshold: float) -> DataFrame:
+    """The columns of ``quality_rules`` for rows (key, text); ``key`` is carried along."""
     # One constant of BUCKETS numbers; Spark folds it before it reads any row.
-    ratios = F.split(F.lit(",".join(map(str, log_ratios(docs, labels, trusted)))), ",").cast("array<double>")
+    ratios = F.split(F.lit(",".join(map(str, log_ratios(docs.select("key.doc_id", "text"), labels, trusted)))), ",").cast("array<double>")
     text = F.coalesce("text", F.lit(""))
-    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("w", word_array(F.col("text")))
+    split = docs.select("key", text.alias("text")).withColumn("w", word_array(F.col("text")))
     lines = F.filter(F.split("text", "\n"), has_word)
     counted = split.withColumn("lines", lines).select(
-        "doc_id",
+        "key",
         "w",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
@@ -79,7 +70,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, th
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     total = F.aggregate("grams", F.lit(0.0), lambda a, b: a + F.get(ratios, b))
     scored = hashed.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "key", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(0.0).alias("ratio"),
         F.when(repeats, F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("s"),
     )
@@ -93,7 +84,30 @@ def quality_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, th
         placed.withColumn("n_repeat_words", repeated)
         .withColumn("base_failed", failed)
         .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+            "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             (~F.col("base_failed") & (F.col("ratio") >= threshold)).alias("kept"), "ratio",
         )
     )
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, ratio.
+
+    ``base_failed``: fewer than 50 words, or more than half of the words in three-word windows that occur
+    twice or more in the text. ``ratio`` is the mean of ``log_ratios`` over the text's n-grams: below 0
+    the text is more like the rest of the corpus than like the target. ``kept`` needs both: the rules
+    are passed and ``ratio`` is at least ``threshold``. Every document is judged by the same fixed number; nothing is drawn.
+
+    Null texts have no words. A text without n-grams has ratio 0. Without trusted documents all ratios are
+    0. Rows that repeat an id are judged each. An empty table gives an empty one.
+    """
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    judged = _judged(docs.select(F.struct(doc_id).alias("key"), "text"), labels, trusted, threshold)
+    return judged.select("key.doc_id", *judged.columns[1:])
+
+
+def keep_by_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, all columns as they are."""
+    judged = _judged(docs.select(F.struct(*docs.columns).alias("key"), "text"), labels, trusted, threshold)
+    # Not a filter on ``kept``: Spark would move it below the steps and compute them again for each word.
+    return judged.select(F.explode_outer(F.when(F.col("kept"), F.array("key"))).alias("row")).where("row IS NOT NULL").select("row.*")

@@ -15,6 +15,8 @@ from dealerlake.llm.quality_model import quality
 from dealerlake.llm.quality_rules import quality_rules
 from dealerlake.llm.store import read
 from dealerlake.llm.token_counts import token_counts
+from dealerlake.llm.toxicity import toxicity
+from dealerlake.llm.url_rules import judge_urls
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,6 +34,23 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(read(spark, folder, "pages"), spark.createDataFrame(RULES, "host string, path string, verdict string"))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", F.array(F.col("source").cast("string")).alias("sources"))
     mixed, sizes, goal = mix(docs, weights=one_two_three)
@@ -54,7 +73,10 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = pack(read(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return piece_digests(pack(read(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json")))
+
+
+def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
 
 
@@ -63,9 +85,28 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_mixing, op6_fingerprints, op7_quality_rules, op8_near_duplicates, op9_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op2_url_rules, op3_toxicity, op4_mixing, op6_fingerprints, op7_quality_rules, op8_near_duplicates, op9_packing, op10_token_counts)}
 
 
 def llm_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+    return {
+        "op2_url_rules": f"""
+            WITH rules(h, p, v) AS (VALUES {rules}),
+            parts AS (
+                SELECT page_id,
+                    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+                FROM pages
+            ),
+            fits AS (
+                SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS verdict
+                FROM parts, rules
+                WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+                GROUP BY page_id
+            )
+            SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+            FROM parts LEFT JOIN fits USING (page_id)
+        """
+    }
