@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake.llm.fingerprints import fingerprints
+from dealerlake.llm.katz import language_model
 from dealerlake.llm.mixing import mix
 from dealerlake.llm.near_duplicates import near_duplicates
 from dealerlake.llm.packing import pack
@@ -60,6 +61,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model(read(spark, folder, "documents"))
+
+
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(read(spark, folder, "documents"))
 
@@ -85,7 +90,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_url_rules, op3_toxicity, op4_mixing, op6_fingerprints, op7_quality_rules, op8_near_duplicates, op9_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op2_url_rules, op3_toxicity, op4_mixing, op5_language_model, op6_fingerprints, op7_quality_rules, op8_near_duplicates, op9_packing, op10_token_counts)}
 
 
 def llm_sql() -> dict[str, str]:
