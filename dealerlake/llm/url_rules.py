@@ -152,7 +152,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     count = pages.count()
     wanted = max(count // ROWS_PER_RANGE, int(spark.conf.get("spark.sql.shuffle.partitions")))
     borders: list[tuple[bytes, int]] = []
-    if wanted > 1:
+    if wanted > 1 and count:
         share = min(1.0, wanted * KEYS_PER_RANGE / count)
         drawn = urls.where(F.pmod(F.xxhash64("page_id", "path", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("key", "salt")
         keys = sorted((r["key"].encode(), r["salt"]) for r in drawn.limit(4 * wanted * KEYS_PER_RANGE).collect())
