@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from dealerchecks import params as P
 from dealerlake.operators import series
 from dealerlake.plans import branch, customers, daily, integrated, kpi, reports, stock
 from dealerlake.functions.amounts import ratio
+from dealerlake.session import written
 from dealerlake.sources.bronze import Bronze
 from dealerlake.sources.star import StarBronze, star_table
 from dealerlake.sqlgate import safe_sql
@@ -26,18 +25,24 @@ def bronze(spark: SparkSession, folder: str) -> Bronze:
 
 def _three_series(b: Bronze) -> DataFrame:
     """The daily series of all three lines under one key."""
-    sides = [
-        daily.series_vehicles_units(b, *_PERIOD).withColumn("SERIE", F.lit("VEICULO")),
-        daily.series_parts_revenue(b, *_PERIOD).withColumn("SERIE", F.lit("PECA")),
-        daily.series_services_revenue(b, *_PERIOD).withColumn("SERIE", F.lit("SERVICO")),
-    ]
-    return reduce(DataFrame.unionByName, sides)
+    return daily.series_all_lines(b, *_PERIOD).withColumnRenamed("ORIGEM", "SERIE")
 
 
 def _dense(b: Bronze) -> DataFrame:
     return series.densify_daily(_three_series(b), *_PERIOD, keys=["SERIE"])
 
 
+def _frame(b: Bronze) -> DataFrame:
+    """History and forecast of one table, which has a row per day and series and is written once."""
+    dense = written(_dense(b))
+    return series.forecast_frame(dense, series.forecast_ma(dense, P.HORIZON, P.MA_WINDOW, keys=["SERIE"]), keys=["SERIE"])
+
+
+def _deltas(b: Bronze) -> DataFrame:
+    days = daily.last_days(b, P.AS_OF)
+    return reports.daily_deltas(*[f(b, P.AS_OF, days) for f in (daily.daily_vehicles, daily.daily_parts, daily.daily_services)])
+
+
 def _dense_by_branch(b: Bronze) -> DataFrame:
     return series.densify_daily(
         daily.series_parts_revenue(b, *_PERIOD, keys=_BRANCH_KEYS), *_PERIOD, keys=_BRANCH_KEYS
@@ -49,11 +54,11 @@ def _forecast(b: Bronze) -> DataFrame:
 
 
 def _risk(b: Bronze) -> DataFrame:
-    return stock.stockout_risk(b, P.AS_OF, P.WINDOW_DAYS)
+    return stock.stockout_risk(b, P.AS_OF, P.WINDOW_DAYS, top_n=None)
 
 
 def _integrated(b: Bronze) -> DataFrame:
-    return integrated.integrated_margin(b, *_PERIOD, window_days=P.WINDOW_DAYS)
+    return integrated.integrated_margin(b, *_PERIOD, window_days=P.WINDOW_DAYS, limit=None)
 
 
 def _models(b: Bronze) -> DataFrame:
@@ -61,7 +66,8 @@ def _models(b: Bronze) -> DataFrame:
 
 
 def _performance(b: Bronze) -> DataFrame:
-    return branch.branch_performance(b, *_PERIOD)
+    """All branches, for totals and for rankings by something else than the ROI."""
+    return branch.branch_performance(b, *_PERIOD, top_n=None)
 
 
 def _scores(b: Bronze) -> DataFrame:
@@ -89,6 +95,11 @@ def _gated(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _own_limit(spark: SparkSession, folder: str) -> DataFrame:
+    star_table(spark, folder, "customer").createOrReplaceTempView("customer")
+    return safe_sql(spark, "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 1000")
+
+
 BUSINESS = {
     "kpis_period": lambda b: kpi.kpis_period(b, *_PERIOD),
     "revenue_monthly": lambda b: kpi.revenue_monthly(b, *_PERIOD),
@@ -106,14 +117,14 @@ BUSINESS = {
     "series_vehicles_units": lambda b: daily.series_vehicles_units(b, *_PERIOD),
     "series_parts_revenue": lambda b: daily.series_parts_revenue(b, *_PERIOD),
     "series_services_revenue": lambda b: daily.series_services_revenue(b, *_PERIOD),
-    "branch_performance": _performance,
+    "branch_performance": lambda b: branch.branch_performance(b, *_PERIOD),
     "branch_performance_collapsed": lambda b: branch.branch_performance(b, *_PERIOD, collapse_names=True),
-    "stockout_risk": _risk,
+    "stockout_risk": lambda b: stock.stockout_risk(b, P.AS_OF, P.WINDOW_DAYS),
     "obsolete_parts": stock.obsolete_parts,
     "services_kpis": lambda b: kpi.services_kpis(b, *_PERIOD),
     "services_by_department": lambda b: kpi.services_by_department(b, *_PERIOD),
     "services_by_category": lambda b: kpi.services_by_category(b, *_PERIOD),
-    "integrated_margin": _integrated,
+    "integrated_margin": lambda b: integrated.integrated_margin(b, *_PERIOD, window_days=P.WINDOW_DAYS),
     "model_ranking": _models,
     "cashflow_proxy": lambda b: kpi.cashflow_proxy(b, *_PERIOD),
     "customer_funnel": lambda b: customers.customer_funnel(b, P.DT_INI, P.DT_FIM.replace(year=P.DT_FIM.year + 1, month=1, day=1)),
@@ -141,7 +152,7 @@ BUSINESS = {
     "forecast_ma_bootstrap": lambda b: series.forecast_ma_bootstrap(
         _dense(b), P.HORIZON, P.MA_WINDOW, keys=["SERIE"], n_sim=P.N_SIM, seed=P.SEED
     ),
-    "forecast_frame": lambda b: series.forecast_frame(_dense(b), _forecast(b), keys=["SERIE"]),
+    "forecast_frame": _frame,
     "forecast_intervals": lambda b: series.forecast_intervals(_forecast(b), P.HORIZON, keys=["SERIE"]),
     "restock_recommendation": lambda b: reports.restock_recommendation(_risk(b)),
     "margin_uplift": lambda b: reports.margin_uplift(_integrated(b)),
@@ -155,9 +166,7 @@ BUSINESS = {
     "rfm_scores": _scores,
     "rfm_segments": lambda b: customers.rfm_segments(_scores(b)),
     "rfm_segment_summary": lambda b: customers.rfm_segment_summary(customers.rfm_segments(_scores(b))),
-    "daily_deltas": lambda b: reports.daily_deltas(
-        daily.daily_vehicles(b, P.AS_OF), daily.daily_parts(b, P.AS_OF), daily.daily_services(b, P.AS_OF)
-    ),
+    "daily_deltas": _deltas,
     "format_report": _vendor_report,
 }
 
@@ -166,4 +175,7 @@ def business_queries() -> dict:
     def over_star(build):
         return lambda spark, folder: build(bronze(spark, folder))
 
-    return {name: over_star(build) for name, build in BUSINESS.items()} | {"safe_sql": _gated}
+    return {name: over_star(build) for name, build in BUSINESS.items()} | {
+        "safe_sql": _gated,
+        "safe_sql_own_limit": _own_limit,
+    }

@@ -233,13 +233,12 @@ perf AS (
   LEFT JOIN s_b s ON s.COD_CONCESSIONARIA = b.COD_CONCESSIONARIA AND s.COD_FILIAL = b.COD_FILIAL
   LEFT JOIN ev_b ev_s ON ev_s.COD_CONCESSIONARIA = b.COD_CONCESSIONARIA AND ev_s.COD_FILIAL = b.COD_FILIAL
   LEFT JOIN ep_b ep_s ON ep_s.COD_CONCESSIONARIA = b.COD_CONCESSIONARIA AND ep_s.COD_FILIAL = b.COD_FILIAL
-  ORDER BY ROI_ESTOQUE DESC NULLS LAST, LUCRO_TOTAL DESC, {BRANCH_TIES}
-  LIMIT 50
 )"""
+BEST_ROI = f"ORDER BY ROI_ESTOQUE DESC NULLS LAST, LUCRO_TOTAL DESC, {BRANCH_TIES} LIMIT 50"
 
 RISK = f"""
 part_sales AS (SELECT DESCRICAO_PECA, CATEGORIA_PECA, sum(QTDE_VENDIDA) AS q FROM pec
-  WHERE DT_VENDA >= DATE '{AS_OF}' - {WINDOW_DAYS} GROUP BY 1, 2),
+  WHERE DT_VENDA BETWEEN DATE '{AS_OF}' - {WINDOW_DAYS} AND DATE '{AS_OF}' GROUP BY 1, 2),
 part_stock AS (SELECT DESCRICAO_PECA, CATEGORIA_PECA, sum(QTDE_PECA_ESTOQUE) AS q FROM ep GROUP BY 1, 2),
 risk AS (
   SELECT s.CATEGORIA_PECA, s.DESCRICAO_PECA, {_d('s.q')} AS ESTOQUE_ATUAL, {_d('v.q')} AS VENDAS_ND,
@@ -247,8 +246,6 @@ risk AS (
     {_d('s.q')} / ({_d('v.q')} / {WINDOW_DAYS}.0::DOUBLE) AS DIAS_COBERTURA
   FROM part_stock s JOIN part_sales v ON v.DESCRICAO_PECA = s.DESCRICAO_PECA AND v.CATEGORIA_PECA = s.CATEGORIA_PECA
   WHERE s.q > 0 AND v.q > 0 AND {_d('s.q')} / ({_d('v.q')} / {WINDOW_DAYS}.0::DOUBLE) <= 30
-  ORDER BY DIAS_COBERTURA, s.CATEGORIA_PECA, s.DESCRICAO_PECA
-  LIMIT 30
 )"""
 
 # Per sale the after-sales of the same buyer and dealer inside the window, by plain range joins.
@@ -280,8 +277,9 @@ newest AS (
     {_d('rv')} AS RECEITA_VEICULO, {_d('lv')} AS LUCRO_VEICULO, {_ratio('lv', 'rv')} AS MARGEM_VEICULO,
     {_d('rs')} AS RECEITA_SERVICOS, {_d('ls')} AS LUCRO_SERVICOS, {_ratio('ls', 'rs')} AS MARGEM_SERVICOS,
     {_d('rp')} AS RECEITA_PECAS, {_d('lp')} AS LUCRO_PECAS, {_ratio('lp', 'rp')} AS MARGEM_PECAS,
-    {_d('li')} AS LUCRO_INTEGRADO, {_d('ri')} AS RECEITA_INTEGRADA, {_ratio('li', 'ri')} AS MARGEM_INTEGRADA, ri, li
-  FROM integ ORDER BY DT_VENDA DESC, ID_VENDA_VEICULO LIMIT 200
+    {_d('li')} AS LUCRO_INTEGRADO, {_d('ri')} AS RECEITA_INTEGRADA, {_ratio('li', 'ri')} AS MARGEM_INTEGRADA, ri, li,
+    ID_VENDA_VEICULO AS id
+  FROM integ
 )"""
 MODELS = f"""
 models AS (
@@ -438,6 +436,7 @@ def _series_sql(table: str, day: str, value: str) -> str:
 DAILY_PARTS = f"""{_d('q0')} AS QTD_HOJE, {_d('r0')} AS RECEITA_HOJE, {_ratio('l0', 'r0')} AS MARGEM_HOJE,
     qm AS QTD_MEDIA_30D, rm AS RECEITA_MEDIA_30D, mm AS MARGEM_MEDIA_30D"""
 
+# The metrics compared, their labels, and whether they are shares.
 BENCH = [
     ("ROI (lucro/estoque)", "ROI_ESTOQUE", True),
     ("Lucro total", "LUCRO_TOTAL", False),
@@ -511,9 +510,9 @@ def business_sql() -> dict[str, str]:
         "series_vehicles_units": _q(select=_series_sql("veic", "DT_VENDA", "QTDE_VENDIDA")),
         "series_parts_revenue": _q(select=_series_sql("pec", "DT_VENDA", "VALOR_VENDA")),
         "series_services_revenue": _q(select=_series_sql("srv", "DT_REALIZACAO_SERVICO", "VALOR_TOTAL_SERVICO")),
-        "branch_performance": _q(PERFORMANCE, select=perf_columns),
-        "branch_performance_collapsed": _q(PERFORMANCE, select=perf_columns),
-        "stockout_risk": _q(RISK, select="SELECT * FROM risk"),
+        "branch_performance": _q(PERFORMANCE, select=f"{perf_columns} {BEST_ROI}"),
+        "branch_performance_collapsed": _q(PERFORMANCE, select=f"{perf_columns} {BEST_ROI}"),
+        "stockout_risk": _q(RISK, select="SELECT * FROM risk ORDER BY DIAS_COBERTURA, CATEGORIA_PECA, DESCRICAO_PECA LIMIT 30"),
         "obsolete_parts": _q(
             select=f"""SELECT CATEGORIA_PECA, DESCRICAO_PECA, CODIGO_PECA_ESTOQUE,
               {_doubles(['QTDE_PECA_ESTOQUE', 'VALOR_PECA_ESTOQUE'])}, PECA_OBSOLETA_FLAG, TEMPO_OBSOLETA_DIAS,
@@ -532,7 +531,9 @@ def business_sql() -> dict[str, str]:
         ),
         "services_by_department": _q(select=_services_by("DEPARTAMENTO_SERVICO", "RECEITA")),
         "services_by_category": _q(select=_services_by("CATEGORIA_SERVICO", "LUCRO")),
-        "integrated_margin": _q(INTEGRATED, NEWEST, select="SELECT * EXCLUDE (ri, li) FROM newest"),
+        "integrated_margin": _q(
+            INTEGRATED, NEWEST, select="SELECT * EXCLUDE (ri, li, id) FROM newest ORDER BY DT_VENDA DESC, id LIMIT 200"
+        ),
         "model_ranking": _q(INTEGRATED, MODELS, select="SELECT * FROM models"),
         "cashflow_proxy": _q(
             select=f"""SELECT 'Capital imobilizado (estoque)' AS TIPO, 'Veículos (custo)' AS ITEM,
@@ -614,7 +615,7 @@ def business_sql() -> dict[str, str]:
         ),
         "branch_table": _q(
             PERFORMANCE,
-            select="SELECT NOME_FILIAL, RECEITA_TOTAL, LUCRO_TOTAL, CAPITAL_ESTOQUE, ROI_ESTOQUE FROM perf",
+            select=f"SELECT NOME_FILIAL, RECEITA_TOTAL, LUCRO_TOTAL, CAPITAL_ESTOQUE, ROI_ESTOQUE FROM perf {BEST_ROI}",
         ),
         "last_12_months": _q(PNL, select=f"SELECT MES, {_doubles(PNL_AMOUNTS)} FROM pnl ORDER BY MES DESC LIMIT 12"),
         "yoy_by_month": _q(
@@ -695,6 +696,7 @@ def business_sql() -> dict[str, str]:
               'R$ ' || {_text('l')} AS LUCRO,
               coalesce({_text('(' + _ratio('l', 'r') + ') * 100')} || '%', '-') AS MARGEM FROM v""",
         ),
+        "safe_sql_own_limit": "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 1000",
         "safe_sql": """SELECT n_name AS NOME_FILIAL, count(*) AS FORNECEDORES
             FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY n_name""",
     }

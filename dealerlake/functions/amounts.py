@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,3 +26,8 @@ def sum_where(condition: Column, value: Column) -> Column:
 
 def sum0_where(condition: Column, value: Column) -> Column:
     return or_zero(sum_where(condition, value))
+
+
+def first_rows(ordered: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows, or all with None."""
+    return ordered if n is None else ordered.limit(n)

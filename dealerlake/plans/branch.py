@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
-from dealerlake.functions.amounts import or_zero, ratio, sum0_where
+from dealerlake.functions.amounts import first_rows, or_zero, ratio, sum0_where
 from dealerlake.plans.kpi import STOCK_PARTS, STOCK_VEHICLES, stock_as_facts
 from dealerlake.session import written
 from dealerlake.sources.bronze import PECA, SERVICO, VEICULO, Bronze
@@ -21,14 +21,15 @@ def branch_performance(
     dt_ini: date,
     dt_fim: date,
     cod_concessionaria: str | None = None,
-    top_n: int = 50,
+    top_n: int | None = 50,
     collapse_names: bool = False,
 ) -> DataFrame:
     """Quantity, revenue, profit and margin per branch and line, both stocks, capital and ROI.
 
     Branches come from any of the five tables. By default a branch whose name is spelled in several
     ways gives one row per spelling and combination of the lines' spellings (figures are grouped by
-    code and name but matched by code); ``collapse_names`` gives one row per code instead.
+    code and name but matched by code); ``collapse_names`` gives one row per code instead. The ``top_n`` with
+    the highest ROI, or all with None: totals and other rankings need all.
     """
     by_name = _line_totals(b, dt_ini, dt_fim, cod_concessionaria)
     wide = _one_row_per_code(by_name) if collapse_names else _one_row_per_spelling(by_name)
@@ -45,7 +46,7 @@ def branch_performance(
             ratio(F.col(f"{k}_LUCRO"), F.col(f"{k}_RECEITA")).alias(f"{k}_MARGEM"),
         )
     ]
-    return (
+    ranked = (
         wide.select(
             *CODE,
             "NOME_FILIAL",
@@ -62,8 +63,8 @@ def branch_performance(
             F.desc_nulls_last("LUCRO_TOTAL"),
             *[F.asc_nulls_last(c) for c in (*CODE, "NOME_FILIAL")],
         )
-        .limit(top_n)
     )
+    return first_rows(ranked, top_n)
 
 
 def _line_totals(b: Bronze, dt_ini: date, dt_fim: date, cod_concessionaria: str | None) -> DataFrame:

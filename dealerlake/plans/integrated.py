@@ -74,9 +74,12 @@ def integrated_margin(
     window_days: int = 30,
     cod_concessionaria: str | None = None,
     cod_filial: str | None = None,
-    limit: int = 200,
+    limit: int | None = 200,
 ) -> DataFrame:
-    """Margins of the newest vehicle sales: the vehicle, services and parts in the window, all together."""
+    """Margins of vehicle sales: the vehicle, services and parts in the window, all together.
+
+    The ``limit`` newest sales, or all of the period with None: totals need all.
+    """
     columns = [
         "ID_VENDA_VEICULO",
         "COD_CONCESSIONARIA",
@@ -88,12 +91,14 @@ def integrated_margin(
         "MODELO_VEICULO",
     ]
     newest = [F.desc_nulls_last("DT_VENDA"), F.asc("ID_VENDA_VEICULO")]
-    # Order and limit depend on the sale alone, so they come before the window sums. The few sales
-    # left are used three times below; writing them keeps that to one scan.
-    sales = _vehicle_sales(b, columns, dt_ini, dt_fim, cod_concessionaria, cod_filial).orderBy(*newest).limit(limit)
-    sales = written(sales)
+    # Order and limit depend on the sale alone, so they come before the window sums. The sales left
+    # are used four times below; writing them keeps that to one scan. Their days bound the scan of the rest.
+    sales = _vehicle_sales(b, columns, dt_ini, dt_fim, cod_concessionaria, cod_filial)
+    sales = written(sales if limit is None else sales.orderBy(*newest).limit(limit))
+    days = sales.agg(F.min("DT_VENDA"), F.max("DT_VENDA")).first()
+    since, until = (days[0] or dt_ini, days[1] or dt_ini)
     after = (
-        _facts(b, (SERVICO, PECA), dt_ini, dt_fim, window_days, cod_concessionaria)
+        _facts(b, (SERVICO, PECA), since, until, window_days, cod_concessionaria)
         .select(*_BUYER, "DT_VENDA", F.lit(False).alias("is_anchor"), *_AFTER)
         .join(sales.select(*_BUYER).distinct(), _BUYER, "left_semi")
     )
@@ -134,8 +139,12 @@ def model_ranking(
 ) -> DataFrame:
     """Models by integrated margin, among those whose vehicle revenue reaches ``min_revenue``."""
     model = ["MARCA_VEICULO", "MODELO_VEICULO"]
-    sales = _vehicle_sales(
-        b, [*_BUYER, "DT_VENDA", *model], dt_ini, dt_fim, cod_concessionaria, cod_filial
+    # One row per buyer, day and model, so that a generic buyer's sales don't meet the sums one by one.
+    amounts = ["RECEITA_VEICULO", "LUCRO_VEICULO"]
+    sales = (
+        _vehicle_sales(b, [*_BUYER, "DT_VENDA", *model], dt_ini, dt_fim, cod_concessionaria, cod_filial)
+        .groupBy(*_BUYER, "DT_VENDA", *model)
+        .agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in amounts])
     )
     filters = branch_keys(None, cod_filial)
     facts = _facts(b, (VEICULO, SERVICO, PECA), dt_ini, dt_fim, window_days, cod_concessionaria, filters)
@@ -143,11 +152,22 @@ def model_ranking(
     if cod_filial is not None:
         is_sale = is_sale & (F.col("COD_FILIAL") == cod_filial)
     after = forward_sums(facts.withColumn("is_anchor", is_sale), _BUYER, "DT_VENDA", _AFTER, window_days)
-    sums = ["RECEITA_VEICULO", "RECEITA_SERVICOS", "RECEITA_PECAS", "RECEITA_INTEGRADA", "LUCRO_INTEGRADO"]
+    # After-sales count for each of the sales.
+    each = after.select(*_BUYER, "DT_VENDA", *_AFTER)
+    joined = sales.join(each, [*_BUYER, "DT_VENDA"], "left").withColumns(
+        {c: or_zero(F.col(c)) * F.col("n").cast("decimal(18,0)") for c in _AFTER}
+    )
+    sums = [*amounts, *_AFTER]
+    integrated = {
+        "RECEITA_INTEGRADA": F.col("RECEITA_VEICULO") + F.col("RECEITA_SERVICOS") + F.col("RECEITA_PECAS"),
+        "LUCRO_INTEGRADO": F.col("LUCRO_VEICULO") + F.col("LUCRO_SERVICOS") + F.col("LUCRO_PECAS"),
+    }
+    shown = ["QTD_VENDAS", "RECEITA_VEICULO", "RECEITA_SERVICOS", "RECEITA_PECAS", *integrated]
     return (
-        _with_after_sales(sales, after)
-        .groupBy(*model)
-        .agg(F.count("*").alias("QTD_VENDAS"), *[F.sum(c).alias(c) for c in sums])
+        joined.groupBy(*model)
+        .agg(F.sum("n").alias("QTD_VENDAS"), *[F.sum(c).alias(c) for c in sums])
+        .withColumns(integrated)
+        .select(*model, *shown)
         .filter(F.col("RECEITA_VEICULO") >= F.lit(min_revenue))
         .withColumn("MARGEM_INTEGRADA", ratio(F.col("LUCRO_INTEGRADO"), F.col("RECEITA_INTEGRADA")))
         .orderBy(

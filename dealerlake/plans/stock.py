@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
-from dealerlake.functions.amounts import mean, or_zero, ratio, sum_where
+from dealerlake.functions.amounts import first_rows, mean, or_zero, ratio, sum_where
 from dealerlake.plans.kpi import STOCK_PARTS, STOCK_VEHICLES, stock_as_facts
 from dealerlake.sources.bronze import Bronze
 
@@ -95,13 +95,16 @@ def stock_days_monthly(b: Bronze, dt_ini: date, dt_fim: date) -> DataFrame:
     )
 
 
-def stockout_risk(b: Bronze, as_of: date, window_days: int = 30, top_n: int = 30) -> DataFrame:
-    """Parts in stock and selling whose stock covers at most 30 days of the recent daily sales."""
+def stockout_risk(b: Bronze, as_of: date, window_days: int = 30, top_n: int | None = 30) -> DataFrame:
+    """Parts in stock and selling whose stock covers at most 30 days of the daily sales of the window up to ``as_of``.
+
+    The ``top_n`` with the shortest cover, or all with None.
+    """
     part = ["CATEGORIA_PECA", "DESCRICAO_PECA"]
-    sales = b.table(S.HIST_VENDAS_PECAS, [*part, "QTDE_VENDIDA"], (as_of - timedelta(days=window_days), None))
+    sales = b.table(S.HIST_VENDAS_PECAS, [*part, "QTDE_VENDIDA"], (as_of - timedelta(days=window_days), as_of))
     stock = b.table(S.ESTOQUE_PECAS, [*part, "QTDE_PECA_ESTOQUE"])
     per_day = F.col("VENDAS_ND").cast("double") / F.lit(float(window_days))
-    return (
+    at_risk = (
         sales.unionByName(stock, allowMissingColumns=True)
         .filter(F.col(part[0]).isNotNull() & F.col(part[1]).isNotNull())
         .groupBy(*part)
@@ -111,8 +114,8 @@ def stockout_risk(b: Bronze, as_of: date, window_days: int = 30, top_n: int = 30
         .withColumn("DIAS_COBERTURA", ratio(F.col("ESTOQUE_ATUAL"), F.col("CONSUMO_MEDIO_DIA")))
         .filter(F.col("DIAS_COBERTURA") <= COVER_LIMIT_DAYS)
         .orderBy(F.asc_nulls_last("DIAS_COBERTURA"), *part)
-        .limit(top_n)
     )
+    return first_rows(at_risk, top_n)
 
 
 def obsolete_parts(b: Bronze, top_n: int = 50) -> DataFrame:

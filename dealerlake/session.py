@@ -46,6 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the shared folder, so that later uses read it back.
 
+    This runs ``df``: a query that calls it does part of its work while it is being built.
+
     For small results that a query uses several times, and for rows whose placement must not change
     between uses. Losing executors loses nothing of it.
     """
@@ -56,13 +58,18 @@ def written(df: DataFrame) -> DataFrame:
 
 def new_folder(spark: SparkSession) -> str:
     """A path of its own in the shared folder."""
-    return f"{shared_folder(spark)}/dealerlake/{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/dealerlake/{spark.sparkContext.applicationId}"
 
 
 def drop_written(spark: SparkSession) -> None:
-    """Removes the intermediate tables in the shared folder, of this and other runs.
+    """Removes this application's intermediate tables in the shared folder; those of others stay.
 
     Only for when no query built on them will run again.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/dealerlake")
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Statement words the gate refuses anywhere in the text.
 WRITE_WORDS = ("insert", "update", "delete", "merge", "drop", "alter", "truncate", "create", "grant", "revoke")
 # Ways a Spark SELECT could run code.
-CODE_WORDS = ("reflect", "try_reflect", "java_method", "transform")
+CODE_WORDS = ("reflect", "try_reflect", "java_method")
+# The script clause: ``transform(...) using 'program'``, which the function of that name has not.
+SCRIPT = re.compile(r"\btransform\b.*\busing\b", flags=re.DOTALL)
 
 
 def cleaned(sql: str | None) -> str:
@@ -24,11 +26,20 @@ def is_read_only(sql: str) -> bool:
     """True for a single SELECT that names none of the refused words."""
     text = sql.strip().lower()
     words = set(re.findall(r"\w+", text))
-    return text.startswith("select") and not words.intersection(WRITE_WORDS) and not words.intersection(CODE_WORDS)
+    refused = words.intersection(WRITE_WORDS) or words.intersection(CODE_WORDS) or SCRIPT.search(text)
+    return text.startswith("select") and not refused
+
+
+def has_own_limit(sql: str) -> bool:
+    """True when the statement itself, not a subquery of it, ends in a row limit."""
+    outer = re.sub(r"'(?:[^'\\]|\\.|'')*'", "''", sql)
+    while (inner := re.sub(r"\([^()]*\)", " ", outer)) != outer:
+        outer = inner
+    return re.search(r"\blimit\s+(\d+|:\w+)(\s+offset\s+(\d+|:\w+))?\s*$", outer, flags=re.IGNORECASE) is not None
 
 
 def safe_sql(spark: SparkSession, sql: str, limit: int = 200, args: dict[str, Any] | None = None) -> DataFrame:
-    """At most ``limit`` rows of a read-only query; anything else raises ValueError.
+    """A read-only query, cut to ``limit`` rows unless it sets a limit of its own; anything else raises ValueError.
 
     Named binds go in ``args`` (``:name`` in the text). Direct file paths in FROM are refused too.
     """
@@ -39,6 +50,7 @@ def safe_sql(spark: SparkSession, sql: str, limit: int = 200, args: dict[str, An
     before = spark.conf.get(name)
     spark.conf.set(name, "false")
     try:
-        return spark.sql(text, args=args).limit(limit)
+        found = spark.sql(text, args=args)
+        return found if has_own_limit(text) else found.limit(limit)
     finally:
         spark.conf.set(name, before)

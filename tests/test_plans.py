@@ -23,7 +23,7 @@ def plan(df):
 def test_no_python_no_products_in_any_registered_query(spark):
     import __spark_entry__
 
-    for name, build in __spark_entry__.queries().items():
+    for name, build in __spark_entry__.own_queries().items():
         text = plan(build(spark, SMALL))
         for forbidden in ("Python", "Pandas", "CartesianProduct", "NestedLoop"):
             assert forbidden not in text, (name, forbidden)
@@ -54,6 +54,28 @@ def test_one_pass_aggregates(spark):
     assert plan(kpi.kpis_period(b, D0, day(1))).count("Exchange") == 1
 
 
+@needs_data
+def test_series_of_all_lines_scan_once(spark):
+    from dealerchecks.business import BUSINESS
+    from dealerchecks.business import bronze as star
+
+    for name in ("densify_daily", "forecast_ma"):
+        assert plan(BUSINESS[name](star(spark, SMALL))).count("lineitem.parquet") == 1, name
+    # These two write the days they use first.
+    for name in ("forecast_frame", "daily_deltas"):
+        assert "lineitem.parquet" not in plan(BUSINESS[name](star(spark, SMALL))), name
+
+
+@needs_data
+def test_integrated_margin_scans_the_days_of_its_sales(spark):
+    from dealerchecks import params as P
+    from dealerchecks.business import bronze as star
+    from dealerlake.plans import integrated
+
+    text = plan(integrated.integrated_margin(star(spark, SMALL), P.DT_INI, P.DT_FIM, limit=5))
+    assert "l_shipdate,1995" not in text.replace(" ", "") and "l_shipdate,2001" in text.replace(" ", "")
+
+
 def test_dialects_hash_lines_instead_of_sorting_them(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a;b\n1;2\n")
     text = plan(detect_dialects(spark, str(tmp_path)))

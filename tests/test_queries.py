@@ -126,7 +126,7 @@ def test_missing_category_matches_nothing(spark):
     assert rows(reports.top_turnover(turnover), "CATEGORIA_PECA") == [("X",)]
 
 
-def test_stockout_counts_sales_after_the_day_too(spark):
+def test_stockout_counts_the_window_up_to_the_day(spark):
     part = {"DESCRICAO_PECA": "p", "CATEGORIA_PECA": "c"}
     b = bronze(
         spark,
@@ -134,9 +134,10 @@ def test_stockout_counts_sales_after_the_day_too(spark):
         ep=[part | {"QTDE_PECA_ESTOQUE": 10}, {"QTDE_PECA_ESTOQUE": 1}],
     )
     risk = stock.stockout_risk(b, day(30))
-    assert rows(risk, "VENDAS_ND", "CONSUMO_MEDIO_DIA", "DIAS_COBERTURA") == [(Decimal(30), 1.0, 10.0)]
-    assert rows(reports.restock_recommendation(risk), "RECOMENDACAO") == [("Aumentar",)]
-    assert stock.stockout_risk(b, day(32)).count() == 1 and stock.stockout_risk(b, day(130)).count() == 0
+    assert rows(risk, "VENDAS_ND", "CONSUMO_MEDIO_DIA", "DIAS_COBERTURA") == [(Decimal(15), 0.5, 20.0)]
+    assert rows(reports.restock_recommendation(risk), "RECOMENDACAO") == [("Manter",)]
+    assert stock.stockout_risk(b, day(32)).count() == 0 and stock.stockout_risk(b, day(130)).count() == 0
+    assert stock.stockout_risk(b, day(100), top_n=None).count() == 1
 
 
 def test_obsolete_parts(spark):

@@ -9,9 +9,11 @@ def test_written_tables_lie_in_the_shared_folder(spark):
     df = written(spark.range(3).selectExpr("id", "'x' AS v"))
     folder = shared_folder(spark).removeprefix("file:")
     assert folder == spark.conf.get("spark.checkpoint.dir")
-    assert df.count() == 3 and os.listdir(f"{folder}/dealerlake")
+    own = f"{folder}/dealerlake/{spark.sparkContext.applicationId}"
+    assert df.count() == 3 and os.listdir(own)
+    os.makedirs(f"{folder}/dealerlake/another")
     drop_written(spark)
-    assert not os.path.exists(f"{folder}/dealerlake")
+    assert not os.path.exists(own) and os.path.exists(f"{folder}/dealerlake/another")
 
 
 def test_a_cluster_must_name_the_folder():

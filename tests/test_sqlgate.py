@@ -21,6 +21,10 @@ def test_allowed(spark):
     assert safe_sql(spark, "SELECT updated FROM (SELECT 1 AS updated)").count() == 1
     assert safe_sql(spark, "select id from range(10) where id >= :lo", args={"lo": 8}).count() == 2
     assert safe_sql(spark, "select id from range(500)").count() == 200
+    assert safe_sql(spark, "select id from range(500) order by id LIMIT 300").count() == 300
+    assert safe_sql(spark, "select id from (select id from range(500) limit 400)").count() == 200
+    assert safe_sql(spark, "select id, 'x limit 400' as x from range(500)").count() == 200
+    assert safe_sql(spark, "select transform(array(1, 2), x -> x + 1) as t").first().t == [2, 3]
 
 
 def test_files_are_not_readable(spark, tmp_path):
