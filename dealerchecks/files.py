@@ -19,10 +19,11 @@ from dealerlake.sources.star import star_table
 
 # ---------------------------------------------------------------- files with odd records
 
-# Files of a thousand orders each; odd ones in Latin-1, every other pair separated by commas.
-# One record in eight each: too short, too long, blank, quoted, missing values.
+# Sixteen files whatever the scale; odd ones in Latin-1, every other pair separated by commas.
+# One record in eight each: too short, too long, blank, quoted with a line break, missing values. A
+# few are 21,000 fields long. The last record of each third file opens a quote that nothing closes.
 _ROWS = f"""
-SELECT cast(floor(l_orderkey / 1000) as bigint) AS file, l_partkey % 8 AS kind, ord,
+SELECT l_orderkey % 16 AS file, case when l_partkey % 8 = 1 and l_linenumber = 1 and l_orderkey % 997 = 0 then 9 else l_partkey % 8 end AS kind, ord,
   cast(l_partkey as string) AS k, cast(cast(l_quantity as bigint) as string) AS q
 FROM (SELECT *, {RECORD_KEY} AS ord FROM {{lineitem}}) t"""
 _LINES = f'''
@@ -30,7 +31,8 @@ SELECT file, kind, ord, case kind
     when 0 then k || ';' || q
     when 1 then k || ';' || q || ';a;b;c'
     when 2 then ''
-    when 3 then k || ';"' || q || '.5,6;7";"diz ""oi""";x'
+    when 3 then k || ';"' || q || '.5,6;7";"diz ""oi""\\n\\n";x'
+    when 9 then k || repeat(';', 20999)
     when 4 then k || ';NA;;null'
     else k || ';' || q || ';JOSÉ;x y' end AS line
 FROM ({_ROWS}) r'''
@@ -39,6 +41,8 @@ _HEADER = "Cod ; Valor  da Venda;Nome;Nome"
 
 def _write_odd_files(spark: SparkSession, folder: str) -> str:
     lines = spark.sql(_LINES, lineitem=star_table(spark, folder, "lineitem")).select("file", "ord", "line")
+    last = lines.groupBy("file").agg(F.lit("~").alias("ord"), F.lit('k;"never closed;').alias("line")).filter("file % 3 = 0")
+    lines = lines.union(last)
     bom = F.when(F.col("file") % 3 == 0, F.lit("﻿")).otherwise(F.lit(""))
     bom = F.when(F.col("file") % 2 == 0, bom).otherwise(F.lit(""))
     headers = lines.select("file").distinct().select("file", F.lit("").alias("ord"), F.concat(bom, F.lit(_HEADER)).alias("line"))
@@ -85,12 +89,14 @@ _ODD_SQL = {
         CASE WHEN file % 4 >= 2 THEN ',' ELSE ';' END AS sep, 'Nome' AS repeated FROM r GROUP BY file""",
     "csv_records": f"""{_ODD_ROWS} SELECT file, k AS Cod,
         CASE kind WHEN 4 THEN NULL WHEN 3 THEN {_SWAP.format("(q || '.5,6;7')")} ELSE q END AS Valor_da_Venda,
-        CASE kind WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 3 THEN 'diz "oi"' ELSE 'JOSÉ' END AS Nome,
+        CASE kind WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 3 THEN 'diz "oi"' || chr(10) || chr(10) ELSE 'JOSÉ' END AS Nome,
         CASE kind WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 3 THEN 'x' ELSE 'x y' END AS Nome_1
-      FROM r WHERE kind NOT IN (1, 2)""",
-    "csv_rejects": f"""{_ODD_ROWS} SELECT file, line_number, CASE kind WHEN 0 THEN 2 WHEN 1 THEN 5 ELSE 0 END AS n_fields,
-        CASE kind WHEN 0 THEN k || '|' || q WHEN 1 THEN k || '|' || q || '|a|b|c' ELSE '' END AS raw_row
-      FROM (SELECT *, 1 + row_number() OVER (PARTITION BY file ORDER BY ord) AS line_number FROM r) WHERE kind <= 2""",
+      FROM r WHERE kind NOT IN (1, 2, 9)
+      UNION ALL SELECT DISTINCT file, 'k', {_SWAP.format("'never closed;'")}, NULL, NULL FROM r WHERE file % 3 = 0""",
+    "csv_rejects": f"""{_ODD_ROWS} SELECT file, line_number, CASE kind WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2 THEN 0 ELSE 21000 END AS n_fields,
+        CASE kind WHEN 0 THEN k || '|' || q WHEN 1 THEN k || '|' || q || '|a|b|c' WHEN 2 THEN '' ELSE k || repeat('|', 20999) END AS raw_row
+      FROM (SELECT *, 1 + row_number() OVER (PARTITION BY file ORDER BY ord) AS line_number FROM r) WHERE kind <= 2 OR kind = 9
+      UNION ALL SELECT file, count(*) + 2, 2, 'k|' || {_SWAP.format("'never closed;'")} FROM r WHERE file % 3 = 0 GROUP BY file""",
 }
 
 # ---------------------------------------------------------------- load jobs, from files to table
@@ -109,6 +115,19 @@ def _load(table: str):
     return run
 
 
+def _row_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys after loading an export in two parts of several files each, the first of them twice."""
+    export = _input(spark, folder, EXPORTS[S.HIST_SERVICOS])
+    out = new_folder(spark)
+    target = Target(path=f"{out}/bronze")
+    halves = [F.pmod(F.xxhash64(*export.columns), F.lit(2)) == i for i in (0, 1)]
+    for i, half in enumerate(halves):
+        export.filter(half).repartition(3).write.csv(f"{out}/export{i}", header=True, sep=";", emptyValue="")
+    for i in (0, 1, 0):
+        run_job(spark, S.HIST_SERVICOS, f"{out}/export{i}", target)
+    return Bronze.from_path(spark, f"{out}/bronze").table(S.HIST_SERVICOS, ["ID_SERVICO"])
+
+
 def _load_sql(table: str) -> str:
     spec = S.TABLES[table]
     kept = [f"{c} IS NOT NULL" for c in spec.required]
@@ -118,8 +137,9 @@ def _load_sql(table: str) -> str:
 
 def file_queries() -> dict:
     loads = {projection_name(t).replace("bronze_projection", "load"): _load(t) for t in EXPORTS}
-    return {"csv_dialects": _dialects, "csv_records": _records, "csv_rejects": _rejects} | loads
+    return {"csv_dialects": _dialects, "csv_records": _records, "csv_rejects": _rejects, "load_row_keys": _row_keys} | loads
 
 
 def file_sql() -> dict[str, str]:
-    return _ODD_SQL | {projection_name(t).replace("bronze_projection", "load"): _load_sql(t) for t in EXPORTS}
+    keys = f"SELECT row_number() OVER () - 1 AS ID_SERVICO FROM ({_load_sql(S.HIST_SERVICOS)})"
+    return _ODD_SQL | {"load_row_keys": keys} | {projection_name(t).replace("bronze_projection", "load"): _load_sql(t) for t in EXPORTS}

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
 from dealerlake.functions import clean
 from dealerlake.operators import cleaning
-from dealerlake.sources.csv import POSITION, SEQ, read_dirty_csv
-from dealerlake.sources.sink import Target, append_bronze, counted, next_id, observed, stored_from
+from dealerlake.session import new_folder, written
+from dealerlake.sources.csv import POSITION, read_dirty_csv
+from dealerlake.sources.sink import Target, append_bronze, loads, next_id, record_load, stored, with_dense_keys
 
 Rule = Callable[[Column], Column]
 
@@ -213,11 +214,7 @@ def transform(table: str, df: DataFrame, *keep: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class JobReport:
-    """Record counts of a load: scanned, left after duplicates, refused by the contract, written.
-
-    ``written`` is counted in the table (not over JDBC). The others are observed while writing; a
-    record whose task had to run again may show twice in them.
-    """
+    """Record counts of a load: parsed, left after duplicates, refused by the contract, written. All are counted in written tables."""
 
     read: int
     deduped: int
@@ -225,6 +222,20 @@ class JobReport:
     written: int
 
 
+def _unique_first(rows: DataFrame, key: str, stored: DataFrame | None) -> DataFrame:
+    """``rows`` in which a repeated ``key`` gets a REASON: all but the first valid one of the load, and those in ``stored``.
+
+    A missing key is never a repeat, and such rows take no part in the joins.
+    """
+    present = F.col(key).isNotNull() & F.col("REASON").isNull()
+    first = rows.filter(present).groupBy(key).agg(F.min(ORDER).alias("_first"))
+    taken = first if stored is None else first.join(stored.select(F.col(key).alias("_taken")).distinct(), F.col(key) == F.col("_taken"), "left")
+    repeated = F.col(ORDER) != F.col("_first")
+    repeated = repeated if stored is None else repeated | F.col("_taken").isNotNull()
+    judged = rows.filter(present).join(taken, key).withColumn("REASON", F.when(repeated, F.lit(f"repeats: {key}")))
+    return judged.select(*rows.columns).unionByName(rows.filter(~present))
+
+
 def run_job(
     spark: SparkSession,
     table: str,
@@ -232,42 +243,39 @@ def run_job(
     target: Target,
     *,
     rejects_path: str | None = None,
-    multi_line: bool = False,
 ) -> JobReport:
     """Loads CSV files into a bronze table.
 
-    Row keys continue after the table's highest one: each record's place in the scan is added to it,
-    fixed by the files and their splits, so a retried task gives its records the same keys. Run one
-    load per table at a time. With ``rejects_path`` the odd records and the rows refused by the
-    contract are written under it.
+    The files are scanned twice, for their dialects and for their records; typed rows are written to the shared
+    folder, and from there to the table, in which they get the next unused keys without gaps. Files that have been
+    loaded before (same path, size and time) are left out, so a load can be run again; a table's unique column admits each
+    value once. The record of loads is written last: a load that fails between the two leaves rows without a
+    record. Run one load per table at a time. With ``rejects_path`` the odd records and the rows refused by the contract
+    are written under it.
     """
     spec = S.TABLES[table]
-    records, odd, _ = read_dirty_csv(spark, paths, multi_line=multi_line)
-    base = 0 if target.jdbc else next_id(spark, table, target)
-    reason = cleaning.contract_reason(spec.required, spec.max_lengths)
-    read, kept = Observation(), Observation()
-    read_counts = {"read": F.count(F.lit(1))}
-    kept_counts = {"deduped": F.count(F.lit(1)), "rejected": F.count_if(F.col("REASON").isNotNull())}
+    done = loads(spark, table, target)
+    records, odd, files = read_dirty_csv(spark, paths, staged=True, loaded=done)
+    if not records.columns[: -len(POSITION)]:
+        return JobReport(0, 0, 0, 0)
+    read = records.count()
     positioned = records.withColumn(ORDER, F.struct(*POSITION)).drop(*POSITION)
-
-    def typed(df: DataFrame) -> DataFrame:
-        return (
-            transform(table, df, ORDER)
-            .withColumns({spec.id: F.col(ORDER)[SEQ] + F.lit(base), "REASON": reason})
-            .drop(ORDER)
-        )
-
-    rows = observed(typed(observed(positioned, read, read_counts)), kept, kept_counts)
-    appended = append_bronze(rows.filter(F.col("REASON").isNull()), table, target)
-    report = JobReport(
-        **counted(read, positioned, read_counts),
-        **counted(kept, typed(positioned), kept_counts),
-        written=appended if target.jdbc else stored_from(spark, table, target, base),
-    )
+    rows = transform(table, positioned, ORDER).withColumn("REASON", cleaning.contract_reason(spec.required, spec.max_lengths))
+    if spec.unique is not None:
+        rows = _unique_first(written(rows), spec.unique, stored(spark, table, target))
+    staged = new_folder(spark)
+    rows.drop(ORDER).withColumn("refused", F.col("REASON").isNotNull()).write.partitionBy("refused").parquet(staged)
+    plain = rows.drop(ORDER).schema
+    whole = spark.read.schema(plain.add("refused", "boolean")).parquet(staged)
+    sizes = {r["refused"]: r["count"] for r in whole.groupBy("refused").count().collect()}
+    kept, rejected = sizes.get(False, 0), sizes.get(True, 0)
+    first = 0 if target.jdbc else next_id(spark, table, target)
+    if kept:
+        append_bronze(with_dense_keys(whole.filter(~F.col("refused")), spec.id, first), table, target)
     if rejects_path is not None:
-        folder = rejects_path.rstrip("/")
-        odd.write.mode("append").parquet(f"{folder}/{table}/records")
-        if report.rejected:
-            refused = typed(positioned).filter(F.col("REASON").isNotNull())
-            refused.write.mode("append").parquet(f"{folder}/{table}/contract")
-    return report
+        folder = f"{rejects_path.rstrip('/')}/{table}"
+        odd.write.mode("append").parquet(f"{folder}/records")
+        if rejected:
+            whole.filter("refused").drop("refused").write.mode("append").parquet(f"{folder}/contract")
+    record_load(files, table, target, first + kept)
+    return JobReport(read, kept + rejected, rejected, kept)

@@ -1,18 +1,16 @@
-"""Dirty CSV exports: dialect detection over many files, tolerant scan, audit of odd records."""
+"""Dirty CSV exports: dialects of many files, tolerant scan, audit of odd records."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealerlake.functions.clean import null_token
+from dealerlake.session import written
 
 UTF8, LATIN1 = "utf-8-sig", "latin-1"
 BOM = "\ufeff"
@@ -20,17 +18,6 @@ BOM = "\ufeff"
 # Columns of the scan that say where a record stands: file, byte offset of the split, order in it.
 FILE, SPLIT, SEQ = "_file", "_split", "_seq"
 POSITION = (FILE, SPLIT, SEQ)
-_RAW = "_raw"
-
-
-@dataclass(frozen=True)
-class Dialect:
-    """Encoding, delimiter and header shared by a group of files."""
-
-    encoding: str
-    sep: str
-    header: tuple[str, ...]
-    paths: tuple[str, ...]
 
 
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -40,69 +27,100 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(SPLIT),
         F.monotonically_increasing_id().alias(SEQ),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
-def _decoded(line: Column, encoding: str) -> Column:
-    if encoding == LATIN1:
-        return F.decode(line.cast("binary"), "ISO-8859-1")
-    return line
+def _decoded(line: Column, encoding: Column) -> Column:
+    return F.when(encoding == LATIN1, F.decode(line.cast("binary"), "ISO-8859-1")).otherwise(line)
 
 
-def _fields(line: Column, sep: str) -> Column:
-    """Raw fields of a record; a quote opens a quoted field only at its start."""
-    quoted = r'"[^"]*+(?:""[^"]*+)*+"'
-    return F.regexp_extract_all(
-        F.concat(F.lit(sep), line), F.lit(f"{sep}((?:{quoted})?+[^{sep}]*+)"), F.lit(1)
-    )
+# A quoted field ends at its closing quote, or with the text when it has none.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+
+
+def _fields_by(record: Column, sep: str) -> Column:
+    pattern = f'{sep}((?:{_QUOTED}(?:"|\\z))?+[^{sep}]*+)'
+    return F.regexp_extract_all(F.concat(F.lit(sep), record), F.lit(pattern), F.lit(1))
+
+
+def _fields(record: Column, sep: Column) -> Column:
+    """Raw fields of a record, however many; a quote opens a quoted field only at its start."""
+    return F.when(sep == ";", _fields_by(record, ";")).otherwise(_fields_by(record, ","))
 
 
 def _unquoted(field: Column) -> Column:
-    inner = F.regexp_replace(field, r'(?s)^"((?:[^"]|"")*+)"', "$1")
+    inner = F.regexp_replace(field, f'(?s)^"({_QUOTED[1:]})(?:"|\\z)', "$1")
     return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
 
 
-def _n_fields(line: Column, sep: str) -> Column:
-    return F.when(line == "", 0).otherwise(F.size(_fields(line, sep)))
-
+def _left_open(line: Column, sep: str) -> Column:
+    """Whether the line ends inside quotes, when it begins outside them."""
+    last = F.element_at(_fields_by(line, sep), -1)
+    closed = last.rlike(f'^{_QUOTED}"')
+    return F.when(F.contains(line, F.lit('"')), last.startswith('"') & ~closed).otherwise(False)
 
-def detect_dialects(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row (path, encoding, sep, header fields, repeated names) per file, from one scan of the lines.
 
-    A file is UTF-8 when all of its bytes are, else Latin-1. The delimiter is the one of ``,`` and
-    ``;`` that occurs more often in the header line; a tie gives ``,``.
-    """
-    lines = _lines(spark, [paths] if isinstance(paths, str) else paths)
+def _splits(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One row per split of a file, from one scan of the lines: what decides the file's dialect and its line numbers."""
+    lines = _lines(spark, paths)
     candidate = (F.col(SPLIT) == 0) & (F.col("value") != "")
     header = F.min_by(F.when(candidate, F.col("value")), F.when(candidate, F.col(SEQ)))
     # A set of the two possible answers, as it lets the aggregate hash; with plain columns and a
     # text among them it would sort all lines first.
     valid = F.collect_set(F.is_valid_utf8("value"))
-    files = (
-        lines.groupBy(F.col(FILE).alias("path"))
-        .agg(valid.alias("valid"), header.alias("header"))
-        .withColumn("utf8", ~F.array_contains("valid", False))
+    return lines.groupBy(FILE, SPLIT).agg(
+        valid.alias("valid"),
+        header.alias("header"),
+        F.min(F.when(candidate, F.col(SEQ))).alias("header_seq"),
+        F.min(SEQ).alias("first"),
+        F.count("*").alias("size"),
+        F.max("bytes").alias("bytes"),
+        F.max("modified").alias("modified"),
+        F.collect_set(_left_open(F.col("value"), ";")).alias("open_semicolon"),
+        F.collect_set(_left_open(F.col("value"), ",")).alias("open_comma"),
     )
-    dialects = files.filter(F.col("header").isNotNull()).select(
-        "path",
-        F.when(F.col("utf8"), UTF8).otherwise(LATIN1).alias("encoding"),
-        F.when(F.col("utf8"), F.col("header")).otherwise(_decoded(F.col("header"), LATIN1)).alias("line"),
+
+
+def _dialects(splits: DataFrame) -> DataFrame:
+    """One row per file: path, encoding, sep, header fields, repeated names, where the header stands, whether records span lines."""
+    files = splits.groupBy(F.col(FILE).alias("path")).agg(
+        F.flatten(F.collect_set("valid")).alias("valid"),
+        F.max("header").alias("header"),
+        F.max("header_seq").alias("header_seq"),
+        F.max("bytes").alias("bytes"),
+        F.max("modified").alias("modified"),
+        F.flatten(F.collect_set("open_semicolon")).alias("open_semicolon"),
+        F.flatten(F.collect_set("open_comma")).alias("open_comma"),
     )
+    encoding = F.when(F.array_contains("valid", False), LATIN1).otherwise(UTF8)
+    dialects = files.filter(F.col("header").isNotNull()).withColumn("encoding", encoding)
+    dialects = dialects.withColumn("line", F.replace(_decoded(F.col("header"), F.col("encoding")), F.lit(BOM), F.lit("")))
     sep = F.when(_count("line", ";") > _count("line", ","), ";").otherwise(",")
+    opens = F.when(F.col("sep") == ";", F.array_contains("open_semicolon", True)).otherwise(F.array_contains("open_comma", True))
     return (
         dialects.withColumn("sep", sep)
-        .withColumn("header", F.when(F.col("sep") == ";", _header(";")).otherwise(_header(",")))
-        .select("path", "encoding", "sep", "header", _repeated(F.col("header")).alias("repeated"))
+        .withColumn("header", F.transform(_fields(F.col("line"), F.col("sep")), _unquoted))
+        .select(
+            "path", "encoding", "sep", "header", _repeated(F.col("header")).alias("repeated"),
+            "header_seq", opens.alias("spans"), "bytes", "modified",
+        )
     )
 
 
-def _count(column: str, mark: str) -> Column:
-    return F.length(column) - F.length(F.replace(F.col(column), F.lit(mark), F.lit("")))
+def detect_dialects(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """One row (path, encoding, sep, header fields, repeated names) per file, from one scan of the lines.
+
+    A file is UTF-8 when all of its bytes are, else Latin-1. The delimiter is the one of ``,`` and
+    ``;`` that occurs more often in the header line; a tie gives ``,``.
+    """
+    found = _dialects(_splits(spark, [paths] if isinstance(paths, str) else paths))
+    return found.select("path", "encoding", "sep", "header", "repeated")
 
 
-def _header(sep: str) -> Column:
-    line = F.replace(F.col("line"), F.lit(BOM), F.lit(""))
-    return F.transform(_fields(line, sep), _unquoted)
+def _count(column: str, mark: str) -> Column:
+    return F.length(column) - F.length(F.replace(F.col(column), F.lit(mark), F.lit("")))
 
 
 def _repeated(fields: Column) -> Column:
@@ -132,54 +150,79 @@ def column_names(header: Sequence[str], normalize: bool = True) -> list[str]:
     return names
 
 
-def _dialect_groups(dialects: DataFrame) -> list[Dialect]:
-    """Files grouped by dialect. One small row per file comes to the driver, as in a file listing."""
-    groups: dict[tuple, list[str]] = {}
-    for row in dialects.orderBy("path").collect():
-        # Positions carry file paths as URLs.
-        groups.setdefault((row.encoding, row.sep, tuple(row.header)), []).append(unquote(row.path))
-    return [Dialect(e, s, h, tuple(paths)) for (e, s, h), paths in groups.items()]
-
-
-def _parsed(spark: SparkSession, dialect: Dialect, multi_line: bool) -> DataFrame:
-    """Records of one dialect, all text under positional names; the reader keeps the raw text of odd ones."""
-    positional = _positional(dialect)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*positional, _RAW)])
-    return (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            sep=dialect.sep,
-            quote='"',
-            escape='"',
-            encoding="ISO-8859-1" if dialect.encoding == LATIN1 else "UTF-8",
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_RAW,
-            multiLine=multi_line,
-            maxColumns=max(20480, len(positional)),
-        )
-        .csv(list(dialect.paths))
-        .select(
-            *positional,
-            _RAW,
-            F.col("_metadata.file_path").alias(FILE),
-            F.col("_metadata.file_block_start").alias(SPLIT),
-        )
-        # Always true: the reader refuses a query that needs no data column beside the raw text.
-        .filter(F.coalesce(F.col(positional[0]), F.lit("")) >= "")
+def _layouts(dialects: DataFrame, expected: Sequence[str], normalize: bool) -> tuple[list[str], DataFrame]:
+    """All column names, and per distinct header the place of each in it. Only distinct headers come to the driver."""
+    rows = dialects.groupBy("header").agg(F.min("path").alias("path")).orderBy("path").collect()
+    columns: dict[str, None] = {}
+    named = []
+    for row in rows:
+        names = column_names(row.header, normalize)
+        missing = [c for c in expected if c not in names]
+        if missing:
+            raise ValueError(f"expected columns missing in {row.path}: {missing}; present: {names}")
+        columns |= dict.fromkeys(names)
+        named.append((list(row.header), names))
+    places = [(header, len(header), [names.index(c) if c in names else None for c in columns]) for header, names in named]
+    schema = T.StructType(
+        [
+            T.StructField("header", T.ArrayType(T.StringType())),
+            T.StructField("width", T.IntegerType()),
+            T.StructField("places", T.ArrayType(T.IntegerType())),
+        ]
     )
+    return list(columns), dialects.sparkSession.createDataFrame(places, schema)
 
 
-def _positional(dialect: Dialect) -> list[str]:
-    return [f"c{i}" for i in range(len(dialect.header))]
+def _joined_records(lines: DataFrame) -> DataFrame:
+    """Records of files in which quotes span lines: (file, split, seq of the first line, number of the record, text).
 
+    A line maps "outside quotes" and "inside quotes" to either. Where both lead to the same, what went before
+    is forgotten; else the state is kept or turned. So the state before each line is a running
+    count of turns since the last such line. A file is one partition of this window, a record one group.
+    """
+    sep, text = F.col("sep"), F.col("text")
+
+    def ends_open(line: Column) -> Column:
+        return F.when(sep == ";", _left_open(line, ";")).otherwise(_left_open(line, ",")).cast("int")
+
+    along = Window.partitionBy(FILE).orderBy(SEQ)
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    marked = lines.withColumns({"outside": ends_open(text), "inside": ends_open(F.concat(F.lit('"'), text))})
+    turns = F.sum(F.when((F.col("outside") == 1) & (F.col("inside") == 0), 1).otherwise(0)).over(so_far)
+    marked = marked.withColumn("turns", turns)
+    fixed = F.when(F.col("outside") == F.col("inside"), F.struct("outside", "turns"))
+    marked = marked.withColumn("fixed", F.last(fixed, ignorenulls=True).over(so_far))
+    after = (F.coalesce(F.col("fixed.outside"), F.lit(0)) + F.col("turns") - F.coalesce(F.col("fixed.turns"), F.lit(0))) % 2
+    begins = F.coalesce(F.lag("after").over(along), F.lit(0)) == 0
+    marked = marked.withColumn("after", after).withColumn("begins", begins)
+    marked = marked.withColumn("line_number", F.sum(F.col("begins").cast("long")).over(so_far))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(SEQ, "text"))), lambda r: r["text"]), "\n")
+    return marked.groupBy(FILE, "line_number").agg(
+        F.min(SPLIT).alias(SPLIT), F.min(SEQ).alias(SEQ), whole.alias("text"), *[F.first(c).alias(c) for c in ("sep", "header_seq", "width", "places")]
+    )
 
-def _scan(spark: SparkSession, dialect: Dialect, names: list[str], multi_line: bool) -> DataFrame:
-    """Records of one dialect under their names; records longer than the header are left out."""
-    # The reader marks short and long records alike; only the long ones go.
-    fits = F.col(_RAW).isNull() | (_n_fields(F.col(_RAW), dialect.sep) <= len(names))
-    columns = [null_token(F.col(c)).alias(name) for c, name in zip(_positional(dialect), names)]
-    return _parsed(spark, dialect, multi_line).filter(fits).select(*columns, FILE, SPLIT)
+
+def _scan(spark: SparkSession, paths: Sequence[str], splits: DataFrame, files: DataFrame) -> DataFrame:
+    """Every record after its header: position, line_number, raw fields, the header's width and the columns' places in it."""
+    about = ["encoding", "sep", "header_seq", "spans", "width", "places"]
+    lines = (
+        _lines(spark, paths)
+        .join(files.select(F.col("path").alias(FILE), *about), FILE)
+        .withColumn("text", _decoded(F.col("value"), F.col("encoding")))
+        .drop("value", "encoding", "bytes", "modified")
+    )
+    before = F.sum("size").over(Window.partitionBy(FILE).orderBy(SPLIT)) - F.col("size")
+    starts = splits.select(FILE, SPLIT, "first", before.alias("before"))
+    plain = (
+        lines.filter(~F.col("spans"))
+        .join(starts, [FILE, SPLIT])
+        .withColumn("line_number", F.col("before") + F.col(SEQ) - F.col("first") + 1)
+    )
+    columns = [*POSITION, "line_number", "text", "sep", "header_seq", "width", "places"]
+    records = plain.select(*columns).unionByName(_joined_records(lines.filter("spans")).select(*columns))
+    fields = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(_fields(F.col("text"), F.col("sep")))
+    parsed = records.filter(F.col(SEQ) > F.col("header_seq")).select(*POSITION, "line_number", fields.alias("fields"), "width", "places")
+    return parsed.withColumn("n_fields", F.size("fields"))
 
 
 def read_dirty_csv(
@@ -188,67 +231,40 @@ def read_dirty_csv(
     *,
     expected: Sequence[str] | None = None,
     normalize: bool = True,
-    multi_line: bool = False,
+    staged: bool = False,
+    loaded: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(records, rejects, dialects) of CSV files whose encoding, delimiter and header may differ.
 
     Records are all text, with missing-value texts as null and their position in ``POSITION``. Short
-    records are padded with nulls, long ones and blank lines left out. Rejects lists every record
-    whose field count differs from the header, short ones included. Set ``multi_line`` only for files
-    with line breaks inside quotes; such a file is read by one task.
+    records are padded with nulls, long ones and blank lines left out, however long. Rejects lists
+    every record whose field count differs from the header, short ones included, by the fields that
+    the records have too. Line breaks inside quotes belong to their field; the files that have such are
+    found by the first scan, and their line_number counts records. A quote that is never closed reaches to the
+    end of its file.
+
+    The first scan runs here and decides dialects and line numbers; the second parses. Nothing per file
+    comes to the driver: files meet their dialect in a join, which Spark broadcasts while it is small.
+    ``staged`` writes the parsed records, so that records and rejects together scan the files once. Files in
+    ``loaded`` (path, bytes, modified) are left out.
     """
-    dialects = detect_dialects(spark, paths)
-    groups = _dialect_groups(dialects)
-    if not groups:
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    splits = written(_splits(spark, paths))
+    dialects = written(_dialects(splits))
+    if loaded is not None:
+        dialects = dialects.join(loaded, ["path", "bytes", "modified"], "left_anti")
+    columns, layouts = _layouts(dialects, expected or (), normalize)
+    if not columns and loaded is None:
         raise FileNotFoundError(f"no CSV records under {paths}")
-    scans, audits = [], []
-    for group in groups:
-        names = column_names(group.header, normalize)
-        missing = [c for c in expected or () if c not in names]
-        if missing:
-            raise ValueError(f"expected columns missing in {group.paths[0]}: {missing}; present: {names}")
-        scans.append(_scan(spark, group, names, multi_line))
-        audits.append(_audit_records(spark, group) if multi_line else _audit_lines(spark, group))
-    records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    # Numbered over the union: each scan alone would start at 0 again.
-    records = records.withColumn(SEQ, F.monotonically_increasing_id())
-    return records, reduce(DataFrame.unionByName, audits), dialects
-
-
-def _audit_lines(spark: SparkSession, dialect: Dialect) -> DataFrame:
-    """Lines whose field count is not the header's: (path, line_number, n_fields, raw_row)."""
-    raw = _lines(spark, dialect.paths)
-    # Where each split starts: its first row in scan order and the lines before it in its file.
-    # One row per split, so joining it to the few odd lines is small.
-    splits = raw.groupBy(FILE, SPLIT).agg(F.min(SEQ).alias("first"), F.count("*").alias("size"))
-    before = F.sum("size").over(Window.partitionBy(FILE).orderBy(SPLIT)) - F.col("size")
-    splits = splits.select(FILE, SPLIT, "first", before.alias("before"))
-    odd = _odd(raw, _decoded(F.col("value"), dialect.encoding), dialect)
-    return (
-        odd.join(splits, [FILE, SPLIT])
-        .withColumn("line_number", F.col("before") + F.col(SEQ) - F.col("first") + 1)
-        .filter("line_number > 1")
-        .select(F.col(FILE).alias("path"), "line_number", "n_fields", "raw_row")
-    )
-
-
-def _audit_records(spark: SparkSession, dialect: Dialect) -> DataFrame:
-    """As :func:`_audit_lines` for files whose records may span lines: numbers count records, blank ones aside."""
-    records = _parsed(spark, dialect, multi_line=True).withColumn(SEQ, F.monotonically_increasing_id())
-    starts = records.groupBy(FILE).agg(F.min(SEQ).alias("first"))
-    odd = _odd(records.filter(F.col(_RAW).isNotNull()), F.col(_RAW), dialect)
-    return (
-        odd.join(starts, FILE)
-        .withColumn("line_number", F.col(SEQ) - F.col("first") + 2)
-        .select(F.col(FILE).alias("path"), "line_number", "n_fields", "raw_row")
-    )
-
-
-def _odd(df: DataFrame, record: Column, dialect: Dialect) -> DataFrame:
-    """Rows whose record does not have the header's number of fields, with that number and the fields."""
-    fields = F.array_join(F.transform(_fields(record, dialect.sep), _unquoted), "|")
-    return (
-        df.withColumn("n_fields", _n_fields(record, dialect.sep))
-        .filter(F.col("n_fields") != len(dialect.header))
-        .withColumn("raw_row", fields)
+    scan = _scan(spark, paths, splits, dialects.join(layouts, "header"))
+    scan = written(scan) if staged else scan
+    n_fields = F.col("n_fields")
+    values = [null_token(_unquoted(F.get("fields", F.get("places", F.lit(i))))).alias(c) for i, c in enumerate(columns)]
+    records = scan.filter((n_fields > 0) & (n_fields <= F.col("width"))).select(*values, *POSITION)
+    rejects = scan.filter(n_fields != F.col("width")).select(
+        F.col(FILE).alias("path"),
+        "line_number",
+        n_fields,
+        F.array_join(F.transform("fields", _unquoted), "|").alias("raw_row"),
     )
+    return records, rejects, dialects.select("path", "encoding", "sep", "header", "repeated", "bytes", "modified")

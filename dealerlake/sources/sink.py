@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealerlake.schemas import MONTH_PARTITION, TABLES
+from dealerlake.session import written
 
 
 @dataclass(frozen=True)
@@ -20,21 +20,24 @@ class Target:
     jdbc: dict[str, str] = field(default_factory=dict)
 
 
-def append_bronze(df: DataFrame, table: str, target: Target) -> int:
-    """Appends rows to a table and returns how many.
+#: Connections a database sink opens at most, unless its options say otherwise.
+JDBC_CONNECTIONS = "8"
+
+
+def append_bronze(df: DataFrame, table: str, target: Target) -> None:
+    """Appends rows to a table.
 
     Dated tables are laid out by month, with rows sorted by branch and day inside each file so that
     a branch or day filter skips row groups. Rebalancing by month keeps a file per month from
     becoming a file per task, and splits a month that holds most of the rows. A database makes its
-    own row keys.
+    own row keys, and takes a bounded number of connections; there a task that runs again inserts its rows again, unless
+    the table has a unique key.
     """
     spec = TABLES[table]
-    seen, counts = Observation(), {"n": F.count(F.lit(1))}
-    plain = df.select(*spec.schema.fieldNames())
-    rows = observed(plain, seen, counts)
+    rows = df.select(*spec.schema.fieldNames())
     if target.jdbc:
-        rows.drop(spec.id).write.format("jdbc").options(dbtable=table, batchsize=1000, **target.jdbc).mode("append").save()
-        return counted(seen, plain, counts)["n"]
+        rows.drop(spec.id).write.format("jdbc").options(**jdbc_options(table, target)).mode("append").save()
+        return
     order = ["COD_CONCESSIONARIA", "COD_FILIAL"]
     if spec.date:
         rows = rows.withColumn(MONTH_PARTITION, F.year(spec.date) * 100 + F.month(spec.date))
@@ -47,43 +50,73 @@ def append_bronze(df: DataFrame, table: str, target: Target) -> int:
         if spec.date:
             writer = writer.partitionBy(MONTH_PARTITION)
         writer.save(f"{target.path.rstrip('/')}/{table}")
-    return counted(seen, plain, counts)["n"]
 
 
-def observed(df: DataFrame, observation: Observation, counts: dict[str, Column]) -> DataFrame:
-    """``df`` whose next action also computes ``counts``."""
-    return df.observe(observation, *[c.alias(name) for name, c in counts.items()])
+def jdbc_options(table: str, target: Target) -> dict[str, str]:
+    return {"dbtable": table, "batchsize": "1000", "numPartitions": JDBC_CONNECTIONS} | target.jdbc
 
 
-def counted(observation: Observation, df: DataFrame, counts: dict[str, Column]) -> dict[str, int]:
-    """What the action observed. When it ended in no rows Spark may have dropped the observation
-    with the rest of the plan; then the counts are taken from ``df``.
-    """
-    try:
-        return observation.get
-    except Py4JJavaError:
-        return df.agg(*[c.alias(name) for name, c in counts.items()]).first().asDict()
+#: What has been loaded: the files, and the row keys that each load left unused.
+LOADS = "path string, bytes long, modified timestamp, next_id long"
 
 
-def next_id(spark: SparkSession, table: str, target: Target) -> int:
-    """First unused row key of a table."""
-    rows = _stored(spark, table, target)
-    key = TABLES[table].id
-    return 0 if rows is None else rows.agg(F.coalesce(F.max(key) + 1, F.lit(0))).first()[0]
+def loads(spark: SparkSession, table: str, target: Target) -> DataFrame | None:
+    """The record of loads of a table, one row per file; None for databases and before the first load."""
+    if target.jdbc:
+        return None
+    if target.database is not None:
+        name = f"{target.database}.{table}_LOADS"
+        return spark.table(name) if spark.catalog.tableExists(name) else None
+    folder = f"{target.path.rstrip('/')}/_loads/{table}"
+    return spark.read.schema(LOADS).parquet(folder) if _exists(spark, folder) else None
+
+
+def record_load(files: DataFrame, table: str, target: Target, next_id: int) -> None:
+    """Adds files (path, bytes, modified) to the record of loads, after their rows are in the table."""
+    if target.jdbc:
+        return
+    rows = files.select("path", "bytes", "modified", F.lit(next_id).cast("long").alias("next_id"))
+    if target.database is not None:
+        rows.write.mode("append").saveAsTable(f"{target.database}.{table}_LOADS")
+    else:
+        rows.write.mode("append").parquet(f"{target.path.rstrip('/')}/_loads/{table}")
 
 
-def stored_from(spark: SparkSession, table: str, target: Target, first_id: int) -> int:
-    """Rows of a table whose key is at least ``first_id``; older files are skipped by their key range."""
-    rows = _stored(spark, table, target)
-    return 0 if rows is None else rows.filter(F.col(TABLES[table].id) >= first_id).count()
+def next_id(spark: SparkSession, table: str, target: Target) -> int:
+    """First unused row key of a table, from the record of loads; the table itself is read only if it has rows but no record."""
+    known = loads(spark, table, target)
+    rows, key = (stored(spark, table, target), TABLES[table].id) if known is None else (known, None)
+    if rows is None:
+        return 0
+    last = F.max("next_id") if key is None else F.max(key) + 1
+    return rows.agg(F.coalesce(last, F.lit(0))).first()[0]
 
 
-def _stored(spark: SparkSession, table: str, target: Target) -> DataFrame | None:
-    """The table as it stands, None when its folder does not exist yet."""
+def stored(spark: SparkSession, table: str, target: Target) -> DataFrame | None:
+    """The table as it stands, None when its folder does not exist yet, or for a database."""
+    if target.jdbc:
+        return None
     if target.database is not None:
         return spark.table(f"{target.database}.{table}")
     folder = f"{target.path.rstrip('/')}/{table}"
+    return spark.read.schema(TABLES[table].schema).parquet(folder) if _exists(spark, folder) else None
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.schema(TABLES[table].schema).parquet(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def with_dense_keys(rows: DataFrame, key: str, first: int) -> DataFrame:
+    """Rows read from written files, numbered without gaps from ``first``: a row's place in its file plus the files before.
+
+    The files stay as they are, so a row gets the same key however often it is computed.
+    """
+    name, place = F.col("_metadata.file_name").alias("_name"), F.col("_metadata.row_index").alias("_place")
+    placed = rows.select("*", name, place)
+    sizes = placed.groupBy("_name").agg(F.count("*").alias("n"))
+    # One row per file of this load.
+    ahead = F.coalesce(F.sum("n").over(Window.orderBy("_name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = written(sizes.select("_name", ahead.alias("_ahead")))
+    numbered = placed.join(starts, "_name").withColumn(key, F.lit(first) + F.col("_ahead") + F.col("_place"))
+    return numbered.drop("_name", "_place", "_ahead")

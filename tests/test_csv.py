@@ -98,11 +98,44 @@ def test_quoted_separator_is_not_a_field(spark, tmp_path):
 
 def test_quoted_line_breaks(spark, tmp_path):
     path = write(tmp_path / "m.csv", 'a,b\n"1\n2",3\n4\n"x\ny",6,7\n8,9\n')
-    records, rejects, _ = read_dirty_csv(spark, path, multi_line=True)
+    records, rejects, _ = read_dirty_csv(spark, path)
     assert rows(records.orderBy(*POSITION), "a", "b") == [("1\n2", "3"), ("4", None), ("8", "9")]
     assert sorted(rows(rejects, "line_number", "n_fields", "raw_row")) == [(3, 1, "4"), (4, 3, "x\ny|6|7")]
 
 
+def test_line_breaks_and_escapes_inside_quotes(spark, tmp_path):
+    body = 'a;b;c\n1;"x\n""y"";\n\nz";3\n"";"";q\n2;"open" tail;4\n5;6"7;"8\n9"\n'
+    write(tmp_path / "one.csv", body)
+    write(tmp_path / "two.csv", "a;b;c\n1;2;3\n")
+    records, rejects, _ = read_dirty_csv(spark, str(tmp_path))
+    assert sorted(rows(records, "a", "b", "c"), key=str) == [
+        ("1", '2', "3"), ("1", 'x\n"y";\n\nz', "3"), ("2", "open tail", "4"), ("5", '6"7', "8\n9"), (None, None, "q"),
+    ]
+    assert rejects.count() == 0
+
+
+def test_an_unclosed_quote_reaches_to_the_end_and_is_listed(spark, tmp_path):
+    path = write(tmp_path / "u.csv", 'a;b\n1;2\n"x;3\n4;5\n')
+    records, rejects, _ = read_dirty_csv(spark, path)
+    assert sorted(rows(records, "a", "b")) == [("1", "2"), ("x;3\n4;5", None)]
+    assert rows(rejects, "line_number", "n_fields", "raw_row") == [(3, 1, "x;3\n4;5")]
+
+
+def test_a_record_of_very_many_fields_is_left_out_and_listed(spark, tmp_path):
+    path = write(tmp_path / "w.csv", "a;b\n1;2\n" + ";".join("x" * 21_000) + "\n3;4\n")
+    records, rejects, _ = read_dirty_csv(spark, path)
+    assert rows(records.orderBy("a"), "a", "b") == [("1", "2"), ("3", "4")]
+    assert rows(rejects, "line_number", "n_fields") == [(3, 21_000)]
+
+
+def test_records_and_rejects_share_one_scan(spark, tmp_path):
+    path = write(tmp_path / "s.csv", "a;b\n1;2\n3\n")
+    records, rejects, _ = read_dirty_csv(spark, path, staged=True)
+    for df in (records, rejects):
+        assert "FileScan text" not in df._jdf.queryExecution().executedPlan().toString()
+    assert records.count() == 2 and rejects.count() == 1
+
+
 def test_missing_expected_column(spark, tmp_path):
     path = write(tmp_path / "e.csv", "a,b\n1,2\n")
     with pytest.raises(ValueError, match=r"\['c'\].*present.*\['a', 'b'\]"):
@@ -125,8 +158,11 @@ def test_vehicle_sales_job(spark, tmp_path):
     target = Target(path=str(tmp_path / "bronze"))
     report = run_job(spark, S.HIST_VENDAS_VEICULOS, path, target, rejects_path=str(tmp_path / "rejects"))
     assert (report.read, report.deduped, report.rejected, report.written) == (5, 5, 2, 3)
+    # The same file again is known; a copy of it is another file.
     again = run_job(spark, S.HIST_VENDAS_VEICULOS, path, target)
-    assert again.written == 3
+    assert (again.read, again.written) == (0, 0)
+    copy = run_job(spark, S.HIST_VENDAS_VEICULOS, write(tmp_path / "v2.csv", VEHICLE_SALES), target)
+    assert copy.written == 3
     b = Bronze.from_path(spark, str(tmp_path / "bronze"))
     columns = [
         "COD_FILIAL",
@@ -141,7 +177,7 @@ def test_vehicle_sales_job(spark, tmp_path):
         "MACROREGIAO_VENDA",
     ]
     stored = b.table(S.HIST_VENDAS_VEICULOS, ["ID_VENDA_VEICULO", *columns])
-    assert stored.count() == stored.select("ID_VENDA_VEICULO").distinct().count() == 6
+    assert sorted(r.ID_VENDA_VEICULO for r in stored.collect()) == [0, 1, 2, 3, 4, 5]
     assert sorted(set(rows(stored, *columns)), key=str) == [
         ("0-1-2", date(2025, 2, 1), 1, Decimal("1234.56"), None, 35, "DIRETA", "JOSÉ", "SP", "SUDESTE"),
         ("5-1-0", date(2025, 1, 31), 1, Decimal("178139.58"), "9BWZZZ377VT004251", None, None, None, None, None),
@@ -178,6 +214,23 @@ def test_vehicle_stock_job(spark, tmp_path):
     ]
 
 
+def test_a_chassis_enters_the_stock_once(spark, tmp_path):
+    header = "Nome da Concessionaria;Nome da Filial;Marca do Veiculo;Custo do Veiculo;Chassi do Veiculo;Data de Entrada do Veiculo no Estoque\n"
+    row = "CCM;CCM AUTOS 1;{};1;{};02/01/2025\n"
+    target, rejects = Target(path=str(tmp_path / "bronze")), str(tmp_path / "rejects")
+    one = write(tmp_path / "1.csv", header + "".join(row.format(*r) for r in (("A", "X1"), ("B", "X1"), ("C", ""), ("D", ""), ("E", "X2"))))
+    report = run_job(spark, S.ESTOQUE_VEICULOS, one, target, rejects_path=rejects)
+    assert (report.read, report.rejected, report.written) == (5, 1, 4)
+    two = write(tmp_path / "2.csv", header + "".join(row.format(*r) for r in (("F", "X2"), ("G", "X3"))))
+    report = run_job(spark, S.ESTOQUE_VEICULOS, two, target, rejects_path=rejects)
+    assert (report.read, report.rejected, report.written) == (2, 1, 1)
+    stored = Bronze.from_path(spark, str(tmp_path / "bronze")).table(S.ESTOQUE_VEICULOS, ["ID_ESTOQUE_VEICULO", "CHASSI_VEICULO"])
+    assert sorted(r[0] for r in stored.collect()) == [0, 1, 2, 3, 4]
+    assert sorted(r[1] for r in stored.filter("CHASSI_VEICULO IS NOT NULL").collect()) == ["X1", "X2", "X3"]
+    refused = spark.read.parquet(f"{rejects}/{S.ESTOQUE_VEICULOS}/contract")
+    assert [r.REASON for r in refused.collect()] == ["repeats: CHASSI_VEICULO"] * 2
+
+
 PART_SALES = "Cod_Concessionaria,Cod_Filial,Data_da_Venda,Valor_da_Venda,Margem_da_Venda\n1,1-1,2025-01-05,10.5,\n1,1-1,2025-01-06,1,0.25\n"
 SERVICES = "Cod_Concessionaria,Cod_Filial,Data_De_Realizacao_Do_Servico,Quantidade_De_Servicos_Realizados\n1,1-1,2025-1-5,3.7\n,1-1,2025-1-5,3\n"
 PART_STOCK = "Cod_Concessionaria,Cod_Filial,Peca_Esta_Obsoleta,Valor_da_Peca_em_Estoque\n007,1-1,True,1.5\n7,1-1,x,\"1,5\"\n"

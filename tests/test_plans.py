@@ -79,7 +79,7 @@ def test_integrated_margin_scans_the_days_of_its_sales(spark):
 def test_dialects_hash_lines_instead_of_sorting_them(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a;b\n1;2\n")
     text = plan(detect_dialects(spark, str(tmp_path)))
-    assert "ObjectHashAggregate" in text and "Sort" not in text
+    assert "ObjectHashAggregate" in text and "SortAggregate" not in text
 
 
 def test_copies_collapse_before_the_shuffle(spark):
