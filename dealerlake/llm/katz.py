@@ -22,7 +22,7 @@ FREQUENT_PAIRS = 65_536
 #: Counts above this are not discounted.
 TOP = 5
 #: Tokens a task gathers before it deals them out, and tokens per bucket.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 PER_BUCKET = 8_000_000
 
 
