@@ -38,9 +38,28 @@ _AGE = "case l_partkey % 10 " + " ".join(f"when {i} then '{a}'" for i, a in enum
 _STATE = "case c_nationkey % 4 when 0 then ' sp ' when 1 then 'XX' when 2 then 'rj' else null end"
 _DAYS = "case when l_orderkey % 11 = 0 then '9BW' || lpad(cast(l_orderkey as string), 14, '0') when l_orderkey % 11 = 1 then '' else cast(l_partkey % 400 as string) end"
 # UTF-8 bytes of an accented letter read as Latin-1, a damaged one that cannot be read back, a sound one.
-_NAMES = {"JOSÃ\u0089": "JOSÉ", "ANDRÃ‰": "ANDRÃ‰", "ANDRÉ": "ANDRÉ"}
-_NAME = "case l_suppkey % 4 " + " ".join(f"when {i} then '{n} ' || cast(l_suppkey as string)" for i, n in enumerate(_NAMES)) + " else 'MARIA' end"
-_TOKEN = "case l_partkey % 23 " + " ".join(f"when {i} then '{t}'" for i, t in enumerate(clean.NULL_TOKENS)) + " when 21 then ' NA' else 'ok' end"
+# As read wrongly, and as it should read; the second cannot be read back, the third needs nothing.
+_NAMES = {
+    "JOSÃ\u0089": "JOSÉ",
+    "ANDRÃ‰": "ANDRÃ‰",
+    "ANDRÉ": "ANDRÉ",
+    "CONCEIÃ\u0087Ã\u0083O": "CONCEIÇÃO",
+    "MÃ¼ller": "Müller",
+}
+_NAME = "case l_suppkey % 7 " + " ".join(f"when {i} then '{n} ' || cast(l_suppkey as string)" for i, n in enumerate(_NAMES)) + " else 'MARIA' end"
+# Spelled out here once more, so that a wrong list in the library shows.
+_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+_AGES = {"MENOS DE 1 MES": 15, "1 A 3 MESES": 60, "3 A 6 MESES": 135, "6 A 9 MESES": 225, "9 A 12 MESES": 315, "1 A 2 ANOS": 540, "2 A 3 ANOS": 900}
+_CODES = {"CCM AUTOS 1": "0-1-1", "CCM AUTOS 2": "0-1-2", "CCM AUTOS 3": "0-1-3"}
+_STATES = (
+    "AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA",
+    "PB", "PE", "PI", "PR", "RJ", "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO",
+)
+_REGIONS = ("NORTE", "NORDESTE", "CENTRO-OESTE", "SUDESTE", "SUL")
+_TOKEN = "case l_partkey % 23 " + " ".join(f"when {i} then '{t}'" for i, t in enumerate(_TOKENS)) + " when 21 then ' NA' else 'ok' end"
 _BRANCH = "case when l_suppkey % 11 = 0 then null when l_suppkey % 11 = 1 then 'Outra ' else ' ccm autos ' || cast(l_suppkey % 5 as string) end"
 _DEALER_NAME = "case l_partkey % 4 when 0 then ' ccm' when 1 then ' ' else 'Grupo ' || cast(l_partkey % 3 as string) end"
 _DEALER = "case when l_suppkey % 13 = 0 then ' ' else cast(l_suppkey % 7 as string) end"
@@ -84,7 +103,7 @@ DIRTY["dedupe_keep_first"] = (
     _COPY + "'-1' AS ord FROM {lineitem} UNION ALL " + _COPY + "'-2' AS ord FROM {lineitem} WHERE l_linenumber = 1"
 )
 _CONTRACT = _dirty(
-    COD_CONCESSIONARIA="case when l_suppkey % 13 = 0 then null else cast(l_suppkey % 7 as string) end",
+    COD_CONCESSIONARIA="case when l_suppkey % 13 = 0 then null else cast(l_suppkey % 17 as string) end",
     DT_VENDA="case when l_partkey % 17 = 0 then null else cast(l_shipdate as date) end",
 )
 DIRTY["contract_valid"] = DIRTY["contract_rejects"] = _CONTRACT
@@ -196,8 +215,8 @@ _JOBS = {
     "coalesce_duplicate_columns": lambda df: cleaning.coalesce_duplicate_columns(df, "entrada"),
     "repair_shifted_rows": lambda df: cleaning.repair_shifted_rows(df, "dias", "chassi", ["tipo", "vendedor"]),
     "dedupe_keep_first": lambda df: cleaning.dedupe_keep_first(df, "ord", ["l_orderkey", "line", "absent"]),
-    "contract_valid": lambda df: cleaning.contract_valid(df, ["COD_CONCESSIONARIA", "DT_VENDA"]),
-    "contract_rejects": lambda df: cleaning.contract_rejects(df, ["COD_CONCESSIONARIA", "DT_VENDA"]),
+    "contract_valid": lambda df: cleaning.contract_valid(df, ["COD_CONCESSIONARIA", "DT_VENDA"], {"COD_CONCESSIONARIA": 1}),
+    "contract_rejects": lambda df: cleaning.contract_rejects(df, ["COD_CONCESSIONARIA", "DT_VENDA"], {"COD_CONCESSIONARIA": 1}),
     "unique_violations": lambda df: cleaning.unique_violations(df, "chassi"),
 }
 
@@ -274,7 +293,7 @@ def _yes_no(x: str) -> str:
 
 
 def _age(x: str) -> str:
-    cases = " ".join(f"WHEN contains(upper({x}), '{label}') THEN {days}" for label, days in clean.AGE_DAYS)
+    cases = " ".join(f"WHEN contains(upper({x}), '{label}') THEN {days}" for label, days in _AGES.items())
     return f"CAST(CASE {cases} ELSE {_int(x)} END AS BIGINT)"
 
 
@@ -284,7 +303,7 @@ def _dealer(x: str) -> str:
 
 def _branch(x: str, dealer: str) -> str:
     v = _text(x)
-    named = " ".join(f"WHEN upper({v}) = '{name}' THEN '{code}'" for name, code in clean.BRANCH_CODES.items())
+    named = " ".join(f"WHEN upper({v}) = '{name}' THEN '{code}'" for name, code in _CODES.items())
     return f"CASE WHEN {v} IS NULL THEN NULL {named} WHEN ({dealer}) IS NOT NULL THEN ({dealer}) || '-1-0' ELSE {v} END"
 
 
@@ -294,20 +313,20 @@ def _member(x: str, allowed) -> str:
 
 
 def _repaired(x: str) -> str:
-    # Only the first of the dirtied names can be read back.
-    broken, sound = next(iter(_NAMES.items()))
-    return f"replace({x}, '{broken}', '{sound}')"
+    for broken, sound in _NAMES.items():
+        x = f"replace({x}, '{broken}', '{sound}')"
+    return x
 
 
 def _raw(expression: str) -> str:
     return f"SELECT {KEY}, {expression} AS raw FROM dirty"
 
 
-_NULLS = ", ".join(f"'{t}'" for t in clean.NULL_TOKENS)
+_NULLS = ", ".join(f"'{t}'" for t in _TOKENS)
 _SHIFTED = "coalesce(regexp_full_match(trim(dias), '[A-Z0-9]{10,20}'), false)"
 _STATED = "CASE WHEN lower(trim({0})) IN ('nan', 'none', '') THEN NULL ELSE trim({0}) END"
 _FIRST = "coalesce(" + ", ".join(_STATED.format(c) for c in ("entrada", "entrada_1", "entrada_2")) + ")"
-_MISSING = "concat_ws(', ', CASE WHEN COD_CONCESSIONARIA IS NULL THEN 'missing: COD_CONCESSIONARIA' END, CASE WHEN DT_VENDA IS NULL THEN 'missing: DT_VENDA' END)"
+_MISSING = "concat_ws(', ', CASE WHEN COD_CONCESSIONARIA IS NULL THEN 'missing: COD_CONCESSIONARIA' END, CASE WHEN DT_VENDA IS NULL THEN 'missing: DT_VENDA' END, CASE WHEN length(COD_CONCESSIONARIA) > 1 THEN 'longer than 1: COD_CONCESSIONARIA' END)"
 
 REPAIRS = {
     "null_tokens": _raw(f"CASE WHEN raw IN ({_NULLS}) THEN NULL ELSE raw END"),
@@ -321,7 +340,7 @@ REPAIRS = {
     "normalize_flags": _raw(_yes_no("raw")),
     "bucket_to_days": _raw(_age("raw")),
     "default_zero": _raw("CASE WHEN raw IS NULL OR lower(trim(raw)) IN ('', 'nan', 'none') THEN '0' ELSE raw END"),
-    "whitelist_values": f"SELECT c_custkey, {_member('raw', clean.STATES)} AS raw FROM dirty",
+    "whitelist_values": f"SELECT c_custkey, {_member('raw', _STATES)} AS raw FROM dirty",
     "fix_mojibake": _raw(_repaired("raw")),
     "derive_branch_codes": f"SELECT *, {_dealer('dealer')} AS COD_CONCESSIONARIA, {_branch('branch', _dealer('dealer'))} AS COD_FILIAL FROM dirty",
     "coalesce_duplicate_columns": f"SELECT {KEY}, {_FIRST} AS entrada FROM dirty",
@@ -329,8 +348,9 @@ REPAIRS = {
         CASE WHEN NOT {_SHIFTED} THEN vendedor END AS vendedor, CASE WHEN {_SHIFTED} THEN trim(dias) ELSE chassi END AS chassi FROM dirty""",
     "dedupe_keep_first": """SELECT * EXCLUDE (place) FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, line ORDER BY ord) AS place FROM dirty) WHERE place = 1""",
-    "contract_valid": "SELECT * FROM dirty WHERE COD_CONCESSIONARIA IS NOT NULL AND DT_VENDA IS NOT NULL",
-    "contract_rejects": f"SELECT *, {_MISSING} AS REASON FROM dirty WHERE COD_CONCESSIONARIA IS NULL OR DT_VENDA IS NULL",
+    "contract_valid": "SELECT * FROM dirty WHERE length(COD_CONCESSIONARIA) = 1 AND DT_VENDA IS NOT NULL",
+    "contract_rejects": f"""SELECT *, {_MISSING} AS REASON FROM dirty
+        WHERE COD_CONCESSIONARIA IS NULL OR length(COD_CONCESSIONARIA) > 1 OR DT_VENDA IS NULL""",
     "unique_violations": "SELECT chassi, count(*) AS OCORRENCIAS FROM dirty WHERE chassi IS NOT NULL GROUP BY chassi HAVING count(*) > 1",
 }
 
@@ -344,7 +364,7 @@ _SALE = {
     "VALOR_VENDA": _locale("Valor_da_Venda"),
     "LUCRO_VENDA": _locale("Lucro_da_Venda"),
     "NOME_VENDEDOR": _repaired(_text("Nome_do_Vendedor_que_Realizou_a_Venda")),
-    "ESTADO_VENDA": _member("Estado_Brasileiro_da_Venda", clean.STATES),
+    "ESTADO_VENDA": _member("Estado_Brasileiro_da_Venda", _STATES),
 }
 
 
@@ -370,7 +390,7 @@ PROJECTIONS = {
         "NOME_COMPRADOR": _unless_shifted(_text("Nome_do_Comprador_do_Veiculo")),
         "CIDADE_VENDA": _unless_shifted(_text("Cidade_da_Venda")),
         "ESTADO_VENDA": _unless_shifted(_SALE["ESTADO_VENDA"]),
-        "MACROREGIAO_VENDA": _unless_shifted(_member("Macroregiao_Geografica_da_Venda", clean.REGIONS)),
+        "MACROREGIAO_VENDA": _unless_shifted(_member("Macroregiao_Geografica_da_Venda", _REGIONS)),
     },
     S.HIST_VENDAS_PECAS: {
         **_COMMON,
