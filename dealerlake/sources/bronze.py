@@ -77,6 +77,20 @@ def between(column, period: Period | None):
     return condition
 
 
+def id_range_query(name: str) -> str:
+    """The lowest and highest row key of a table, as a table expression for a database."""
+    key = S.TABLES[name].id
+    return f"(SELECT min({key}) AS lo, max({key}) AS hi FROM {name}) r"
+
+
+def slice_options(name: str, partitions: int, bounds: tuple[int | None, int | None] | None) -> dict[str, str]:
+    """Reader options for parallel id slices; none for one partition or an empty table."""
+    if partitions <= 1 or bounds is None or bounds[0] is None:
+        return {}
+    lo, hi = bounds
+    return {"partitionColumn": S.TABLES[name].id, "lowerBound": str(lo), "upperBound": str(hi), "numPartitions": str(partitions)}
+
+
 class Bronze:
     """The five tables of one store. Every scan names its columns and period, so both reach the files."""
 
@@ -110,20 +124,23 @@ class Bronze:
         cls,
         spark: SparkSession,
         url: str,
-        partitions: int = 1,
+        partitions: int = 8,
         bounds: dict[str, tuple[int, int]] | None = None,
         **options: str,
     ) -> Bronze:
-        """Tables of a database; with ``bounds`` (table -> id range) each is read in parallel id slices."""
+        """Tables of a database, each read in ``partitions`` parallel id slices.
+
+        The id ranges are ``bounds`` (table -> lowest and highest id); the database is asked for those not given.
+        """
+        known = dict(bounds or {})
+
+        def reader(table: str):
+            return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
 
         def open_table(name: str) -> DataFrame:
-            reader = spark.read.format("jdbc").option("url", url).option("dbtable", name).options(**options)
-            if name in (bounds or {}) and partitions > 1:
-                lo, hi = bounds[name]
-                reader = reader.options(
-                    partitionColumn=S.TABLES[name].id, lowerBound=lo, upperBound=hi, numPartitions=partitions
-                )
-            return reader.load()
+            if partitions > 1 and name not in known:
+                known[name] = tuple(reader(id_range_query(name)).load().first())
+            return reader(name).options(**slice_options(name, partitions, known.get(name))).load()
 
         return cls(open_table)
 

@@ -86,3 +86,17 @@ def test_copies_collapse_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, "a", "x")], "ord int, k string, v string")
     text = plan(cleaning.dedupe_keep_first(df, "ord", ["k"]))
     assert "partial_min_by" in text and "Window" not in text
+
+
+def test_database_options(spark):
+    """Only the options: no database is at hand."""
+    from dealerlake.sources.bronze import id_range_query, slice_options
+    from dealerlake.sources.sink import Target, jdbc_options
+
+    assert id_range_query(S.HIST_SERVICOS) == f"(SELECT min(ID_SERVICO) AS lo, max(ID_SERVICO) AS hi FROM {S.HIST_SERVICOS}) r"
+    expected = {"partitionColumn": "ID_SERVICO", "lowerBound": "0", "upperBound": "99", "numPartitions": "4"}
+    assert slice_options(S.HIST_SERVICOS, 4, (0, 99)) == expected
+    assert slice_options(S.HIST_SERVICOS, 1, (0, 99)) == slice_options(S.HIST_SERVICOS, 4, (None, None)) == {}
+    options = jdbc_options(S.HIST_SERVICOS, Target(jdbc={"url": "jdbc:x", "numPartitions": "3"}))
+    assert options["numPartitions"] == "3" and options["dbtable"] == S.HIST_SERVICOS
+    assert int(jdbc_options(S.HIST_SERVICOS, Target(jdbc={"url": "jdbc:x"}))["numPartitions"]) > 0
