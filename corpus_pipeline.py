@@ -15,7 +15,7 @@ from dealerlake.llm.packing import pack
 from dealerlake.llm.quality_model import keep_good
 from dealerlake.llm.quality_rules import keep_by_rules
 from dealerlake.llm.queries import one_two_three, piece_digests, tokenizer_file
-from dealerlake.llm.store import read, saved
+from dealerlake.llm.store import importable, read, saved
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +44,11 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("quality_rules", quality_rules),
-    ("near_dedup", near_dedup),
-    ("mixing", mixing),
-    ("packing", packing),
+    ("quality_classifier", importable(quality_classifier)),
+    ("quality_rules", importable(quality_rules)),
+    ("near_dedup", importable(near_dedup)),
+    ("mixing", importable(mixing)),
+    ("packing", importable(packing)),
 ]
 
 #: Learned scores, signatures and token ids can't be expressed in SQL; tests/llm compares with brute force.

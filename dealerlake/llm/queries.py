@@ -14,7 +14,7 @@ from dealerlake.llm.near_duplicates import near_duplicates
 from dealerlake.llm.packing import pack
 from dealerlake.llm.quality_model import quality
 from dealerlake.llm.quality_rules import quality_rules
-from dealerlake.llm.store import read
+from dealerlake.llm.store import importable, read
 from dealerlake.llm.token_counts import token_counts
 from dealerlake.llm.toxicity import toxicity
 from dealerlake.llm.url_rules import judge_urls
@@ -90,7 +90,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_url_rules, op3_toxicity, op4_mixing, op5_language_model, op6_fingerprints, op7_quality_rules, op8_near_duplicates, op9_packing, op10_token_counts)}
+    return {f.__name__: importable(f) for f in (op1_quality, op2_url_rules, op3_toxicity, op4_mixing, op5_language_model, op6_fingerprints, op7_quality_rules, op8_near_duplicates, op9_packing, op10_token_counts)}
 
 
 def llm_sql() -> dict[str, str]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,24 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+def importable(job):
+    """``job(spark, ...)`` whose Python workers find this package where the driver has it, however the session was started.
+
+    A cluster without that path on its machines needs the package in ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+    @wraps(job)
+    def run(spark: SparkSession, *args):
+        environment = spark.sparkContext.environment
+        paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        return job(spark, *args)
+
+    return run
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
