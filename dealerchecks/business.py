@@ -122,6 +122,10 @@ BUSINESS = {
     "stockout_risk": lambda b: stock.stockout_risk(b, P.AS_OF, P.WINDOW_DAYS),
     "obsolete_parts": stock.obsolete_parts,
     "services_kpis": lambda b: kpi.services_kpis(b, *_PERIOD),
+    "services_kpis_of_dealer": lambda b: kpi.services_kpis(b, *_PERIOD, cod_concessionaria=P.DEALER),
+    "integrated_margin_of_dealer": lambda b: integrated.integrated_margin(
+        b, *_PERIOD, window_days=P.WINDOW_DAYS, cod_concessionaria=P.DEALER
+    ),
     "services_by_department": lambda b: kpi.services_by_department(b, *_PERIOD),
     "services_by_category": lambda b: kpi.services_by_category(b, *_PERIOD),
     "integrated_margin": lambda b: integrated.integrated_margin(b, *_PERIOD, window_days=P.WINDOW_DAYS),

@@ -106,6 +106,7 @@ _CONTRACT = _dirty(
     COD_CONCESSIONARIA="case when l_suppkey % 13 = 0 then null else cast(l_suppkey % 17 as string) end",
     DT_VENDA="case when l_partkey % 17 = 0 then null else cast(l_shipdate as date) end",
 )
+DIRTY["drop_unnamed_columns"] = _dirty(**{"`Unnamed: 3`": "l_partkey", "` `": "l_partkey", "raw": _NAME, "UNNAMED_1": "l_suppkey"})
 DIRTY["contract_valid"] = DIRTY["contract_rejects"] = _CONTRACT
 DIRTY["unique_violations"] = _dirty(chassi="case when l_partkey % 3 = 0 then null else 'C' || cast(l_orderkey as string) end")
 
@@ -215,6 +216,7 @@ _JOBS = {
     "coalesce_duplicate_columns": lambda df: cleaning.coalesce_duplicate_columns(df, "entrada"),
     "repair_shifted_rows": lambda df: cleaning.repair_shifted_rows(df, "dias", "chassi", ["tipo", "vendedor"]),
     "dedupe_keep_first": lambda df: cleaning.dedupe_keep_first(df, "ord", ["l_orderkey", "line", "absent"]),
+    "drop_unnamed_columns": cleaning.drop_unnamed_columns,
     "contract_valid": lambda df: cleaning.contract_valid(df, ["COD_CONCESSIONARIA", "DT_VENDA"], {"COD_CONCESSIONARIA": 1}),
     "contract_rejects": lambda df: cleaning.contract_rejects(df, ["COD_CONCESSIONARIA", "DT_VENDA"], {"COD_CONCESSIONARIA": 1}),
     "unique_violations": lambda df: cleaning.unique_violations(df, "chassi"),
@@ -348,6 +350,7 @@ REPAIRS = {
         CASE WHEN NOT {_SHIFTED} THEN vendedor END AS vendedor, CASE WHEN {_SHIFTED} THEN trim(dias) ELSE chassi END AS chassi FROM dirty""",
     "dedupe_keep_first": """SELECT * EXCLUDE (place) FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, line ORDER BY ord) AS place FROM dirty) WHERE place = 1""",
+    "drop_unnamed_columns": _raw("raw"),
     "contract_valid": "SELECT * FROM dirty WHERE length(COD_CONCESSIONARIA) = 1 AND DT_VENDA IS NOT NULL",
     "contract_rejects": f"""SELECT *, {_MISSING} AS REASON FROM dirty
         WHERE COD_CONCESSIONARIA IS NULL OR length(COD_CONCESSIONARIA) > 1 OR DT_VENDA IS NULL""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dealerchecks.params import AS_OF, BRANCH_A, BRANCH_B, DT_FIM, DT_INI, HORIZON, MA_WINDOW, N_SIM, SEED, WINDOW_DAYS
+from dealerchecks.params import AS_OF, BRANCH_A, BRANCH_B, DEALER, DT_FIM, DT_INI, HORIZON, MA_WINDOW, N_SIM, SEED, WINDOW_DAYS
 
 # The five bronze tables over the star schema.
 TABLES = f"""
@@ -529,6 +529,20 @@ def business_sql() -> dict[str, str]:
               {_d('sum(QTDE_SERVICOS)')} / count(*) AS QTDE_MEDIA_SERVICOS_POR_REGISTRO
             FROM srv WHERE DT_REALIZACAO_SERVICO {PERIOD}"""
         ),
+        "services_kpis_of_dealer": _q(
+            select=f"""SELECT count(*) AS REGISTROS, {_d('sum(QTDE_SERVICOS)')} AS QTDE_SERVICOS,
+              {_d('sum(VALOR_TOTAL_SERVICO)')} AS RECEITA_SERVICOS, {_d('sum(LUCRO_SERVICO)')} AS LUCRO_SERVICOS,
+              {_ratio('sum(LUCRO_SERVICO)', 'sum(VALOR_TOTAL_SERVICO)')} AS MARGEM_SERVICOS,
+              {_d('sum(VALOR_TOTAL_SERVICO)')} / count(*) AS TICKET_MEDIO_POR_REGISTRO,
+              {_d('sum(QTDE_SERVICOS)')} / count(*) AS QTDE_MEDIA_SERVICOS_POR_REGISTRO
+            FROM srv WHERE DT_REALIZACAO_SERVICO {PERIOD} AND COD_CONCESSIONARIA = '{DEALER}'"""
+        ),
+        "integrated_margin_of_dealer": _q(
+            INTEGRATED,
+            NEWEST,
+            select=f"""SELECT * EXCLUDE (ri, li, id) FROM newest WHERE COD_CONCESSIONARIA = '{DEALER}'
+              ORDER BY DT_VENDA DESC, id LIMIT 200""",
+        ),
         "services_by_department": _q(select=_services_by("DEPARTAMENTO_SERVICO", "RECEITA")),
         "services_by_category": _q(select=_services_by("CATEGORIA_SERVICO", "LUCRO")),
         "integrated_margin": _q(

@@ -10,6 +10,7 @@ HORIZON = 30
 MA_WINDOW = 7
 N_SIM = 1000
 SEED = 42
+DEALER = "1"
 BRANCH_A = "NATION_1"
 BRANCH_B = "NATION_2"
 PROFIT_GOAL = 500_000
