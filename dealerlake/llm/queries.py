@@ -113,5 +113,33 @@ def llm_sql() -> dict[str, str]:
             )
             SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
             FROM parts LEFT JOIN fits USING (page_id)
-        """
+        """,
+        "op8_near_duplicates": r"""
+            WITH RECURSIVE
+            split AS (
+                SELECT doc_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                FROM documents
+            ),
+            sets AS (
+                SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS s
+                FROM split
+            ),
+            each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+            links AS (
+                SELECT a.doc_id AS x, b.doc_id AS y
+                FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+                GROUP BY a.doc_id, b.doc_id, a.n, b.n
+                HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+            ),
+            ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+            reach(x, y) AS (
+                SELECT doc_id, doc_id FROM documents
+                UNION SELECT reach.x, ways.y FROM reach JOIN ways ON reach.y = ways.x
+            ),
+            smallest AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+            SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+            FROM sets JOIN smallest USING (doc_id)
+        """,
     }

@@ -2,11 +2,10 @@
 
 import hashlib
 
-import duckdb
 import numpy as np
 import pytest
 
-from dealerchecks.compare import difference
+from dealerchecks.compare import connect, difference
 from dealerlake.llm import near_duplicates as near
 from dealerlake.llm.packing import Schedule
 from dealerlake.llm.queries import llm_queries, llm_sql
@@ -75,10 +74,9 @@ def test_mixing_meets_targets(spark):
     assert (per["size"] == per.own).all() and (abs(per.taken - per.target) < 2).all() and (rows.taken <= 3 * rows["size"]).all()
 
 
-def test_url_sql(spark):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{FOLDER}/pages.parquet')")
-    assert difference(spark, con, llm_queries()["op2_url_rules"], llm_sql()["op2_url_rules"], FOLDER) is None
+@pytest.mark.parametrize("name", sorted(llm_sql()))
+def test_sql(spark, name):
+    assert difference(spark, connect(FOLDER), llm_queries()[name], llm_sql()[name], FOLDER) is None
 
 
 @pytest.mark.parametrize("seed", range(20))
