@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dealerlake.llm import words as W
 from dealerlake.llm.labelled import labelled_sample
-from dealerlake.llm.store import remainder
+from dealerlake.llm.store import remainder, saved
 
 #: Labelled documents the model is fitted on at most, and words it knows at most.
 SAMPLE = 20_000
@@ -77,55 +77,84 @@ class OrdinalModel:
         return _sigmoid(total[:, None] - self.thresholds[None])
 
 
-def _lexicon(texts: list[np.ndarray], positive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words whose rate differs between positive and other texts, and that difference in standard errors.
+def _positive(label: np.ndarray) -> np.ndarray:
+    return np.floor(label + 0.5) > 0
+
+
+def _rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of a batch have each feature, and how many of those are positive."""
+    for batch in batches:
+        positive = _positive(batch.column("label").to_numpy(zero_copy_only=False))
+        for first, word, begins in sparse_features(batch.column("text")):
+            texts = [np.unique(word[a:b]) for a, b in zip(begins[:-1], begins[1:])]
+            flat = np.concatenate(texts)
+            mark = np.repeat(positive[first : first + len(texts)], [len(t) for t in texts])
+            unique, inverse, n = np.unique(flat, return_inverse=True, return_counts=True)
+            hits = np.bincount(inverse, mark, len(unique)).astype(np.int64)
+            yield pa.record_batch([pa.array(unique.view(np.int64)), pa.array(n), pa.array(hits)], names=["word", "n", "hits"])
+
+
+def lexicon(drawn: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Features (hashes ascending) whose rate differs between positive and other texts of ``drawn`` (label, text), and by how many standard errors.
 
     The difference must exceed what the largest of so many would reach by chance, so that words seen in a few
-    texts only don't count.
+    texts only don't count. Counted in Spark; at most WORDS come to the driver.
     """
-    word = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
-    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts]) if texts else np.zeros(0, int)
-    unique, inverse, count = np.unique(word, return_inverse=True, return_counts=True)
-    hits = np.bincount(inverse, positive[text].astype(float), len(unique))
-    n, p = len(texts), positive.sum()
-    share = p / n
-    error = np.sqrt(np.maximum(count * share * (1 - share), 1e-9))
-    z = np.where(count >= LEAST, (hits - count * share) / error, 0.0)
-    order = np.lexsort((unique, -np.abs(z)))[:WORDS]
-    order = order[np.abs(z[order]) > MARGIN * np.sqrt(2 * np.log(max((count >= LEAST).sum(), 2)))]
-    return unique[order], z[order]
-
-
-def grades_of(texts: list[np.ndarray], labels: np.ndarray, levels: int) -> np.ndarray:
+    texts, positives = drawn.agg(F.count("*"), F.sum(F.floor(F.col("label") + 0.5).cast("long").cast("boolean").cast("long"))).first()
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    if not texts or positives in (None, 0, texts):
+        return none
+    rates = drawn.select("label", "text").mapInArrow(_rates, "word long, n long, hits long")
+    rates = saved(rates.groupBy("word").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).where(F.col("n") >= LEAST))
+    share = positives / texts
+    least = MARGIN * float(np.sqrt(2 * np.log(max(rates.count(), 2))))
+    z = (F.col("hits") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
+    rows = rates.withColumn("z", z).where(F.abs("z") > least).orderBy(F.desc(F.abs("z")), "word").limit(WORDS).collect()
+    if not rows:
+        return none
+    word, z = np.array([r["word"] for r in rows], np.int64).view(np.uint64), np.array([r["z"] for r in rows])
+    order = np.argsort(word)
+    return word[order], z[order]
+
+
+def _hits(known: np.ndarray):
+    """Places in ``known`` of each text's distinct features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for _, word, begins in sparse_features(batch.column("text")):
+                spot = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
+                hit = known[spot] == word if len(known) else np.zeros(len(word), bool)
+                out += [np.unique(spot[a:b][hit[a:b]]) for a, b in zip(begins[:-1], begins[1:])]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "label", "hits"])
+
+    return run
+
+
+def grades_of(texts: list[np.ndarray], z: np.ndarray, labels: np.ndarray, levels: int) -> np.ndarray:
     """Severity grades for yes/no labels: 0 for no, then 1 to ``levels`` by quantiles of how many telling words a text has.
 
-    Telling are words that labelled texts have more often than chance allows. Labels that are grades already (some
-    above 1) are rounded and kept.
+    ``texts`` has each text's places in the lexicon, of which those with a positive ``z`` are telling. Labels that are
+    grades already (some above 1) are rounded and kept.
     """
     grade = np.floor(labels + 0.5).astype(int)
     if levels <= 1 or grade.max(initial=0) > 1 or grade.min(initial=0) == grade.max(initial=0):
         return grade
-    known, z = _lexicon(texts, grade == 1)
-    telling = np.sort(known[z > 0])
-    hits = np.array([np.isin(t, telling).sum() for t in texts])
+    hits = np.array([(z[t] > 0).sum() for t in texts])
     cuts = np.quantile(hits[grade == 1], np.arange(1, levels) / levels)
     return np.where(grade == 1, 1 + np.searchsorted(cuts, hits, "left"), 0)
 
 
-def fit(texts: list[np.ndarray], grade: np.ndarray) -> OrdinalModel:
-    """Learns from the distinct word hashes of each text and its grade. One grade only gives a constant."""
+def fit(known: np.ndarray, texts: list[np.ndarray], grade: np.ndarray) -> OrdinalModel:
+    """Learns from each text's places in ``known`` and its grade. One grade only gives a constant."""
     n, top = len(texts), int(grade.max(initial=0))
     share = [((grade >= k).sum() + 0.5) / (n + 1) for k in range(1, max(top, 1) + 1)]
     thresholds = np.array([-np.log(s / (1 - s)) for s in share])
-    none = np.zeros(0, np.uint64)
     if n == 0 or grade.min() == grade.max():
-        return OrdinalModel(none, np.zeros(0), thresholds)
-    known = np.sort(_lexicon(texts, grade > 0)[0])
-    flat = np.concatenate(texts)
+        return OrdinalModel(np.zeros(0, np.uint64), np.zeros(0), thresholds)
+    word = np.concatenate(texts).astype(np.int64)
     text = np.repeat(np.arange(n), [len(t) for t in texts])
-    spot = np.minimum(np.searchsorted(known, flat), max(len(known) - 1, 0))
-    hit = known[spot] == flat if len(known) else np.zeros(len(flat), bool)
-    word, text = spot[hit], text[hit]
     weights = np.zeros(len(known))
     # Thresholds as a first one and logs of the steps, so that they stay in order.
     first, steps = thresholds[0], np.log(np.maximum(np.diff(thresholds), 1e-2))
@@ -155,19 +184,14 @@ def fit(texts: list[np.ndarray], grade: np.ndarray) -> OrdinalModel:
     return OrdinalModel(known, weights, first + np.concatenate([[0.0], np.cumsum(np.exp(steps))]))
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        held = []
-        for _, word, begins in sparse_features(batch.column("text")):
-            held += [np.unique(word[a:b]).tobytes() for a, b in zip(begins[:-1], begins[1:])]
-        yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array(held, pa.binary())], names=["doc_id", "label", "words"])
-
-
 def learn(docs: DataFrame, labels: DataFrame, label: str, sample: int, levels: int) -> OrdinalModel:
-    drawn = labelled_sample(docs, labels, label, sample).select("doc_id", "label", "text")
-    rows = sorted((r["doc_id"], bytes(r["words"]), r["label"]) for r in drawn.mapInArrow(_rows, "doc_id long, label double, words binary").collect())
-    texts = [np.frombuffer(r[1], np.uint64) for r in rows]
-    return fit(texts, grades_of(texts, np.array([r[2] for r in rows], float), levels))
+    """Fits the model on at most ``sample`` labelled documents of ``docs`` (doc_id, text)."""
+    drawn = saved(labelled_sample(docs, labels, label, sample).select("doc_id", "label", "text"))
+    known, z = lexicon(drawn)
+    rows = drawn.mapInArrow(_hits(known), "doc_id long, label double, hits array<long>").collect()
+    rows = sorted((r["doc_id"], r["label"], tuple(r["hits"])) for r in rows)
+    texts = [np.array(r[2], np.int64) for r in rows]
+    return fit(known, texts, grades_of(texts, z, np.array([r[1] for r in rows], float), levels))
 
 
 def _scores(model: OrdinalModel):
