@@ -148,7 +148,7 @@ def encode(path: str, texts: list[str]) -> list[list[int]]:
 class Cache:
     """Ids of pieces by hash, kept by a worker between batches; it starts anew beyond ``limit`` pieces."""
 
-    def __init__(self, path: str, limit: int = 3_000_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         self.path, self.limit = path, limit
         self.clear()
 
