@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -302,47 +303,70 @@ def _rare_words(unigrams):
     return run
 
 
+_ASKED = "bucket int, kind int, block long, pairs binary, counts binary, local binary, ids array<long>, sames array<long>"
+_TABLE, _PAIRS, _DOCS = range(3)
+
+
 def _asked(unigrams, frequent, buckets: int):
-    """Pairs of documents that are not in the broadcast table, dealt out by bucket: sorted pairs, each with its document and count."""
+    """Pairs of documents that are not in the broadcast table, dealt out by bucket: sorted pairs, each with its document and count.
+
+    A block is the documents of one slice of text; one more row per block names them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, _ = frequent.value
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for first, pair, text, _ in _pairs(batch, unigrams.value):
+                size = int(text[-1]) + 1
                 if len(known):
                     spot = np.minimum(np.searchsorted(known, pair), len(known) - 1)
                     open_ = known[spot] != pair
                     pair, text = pair[open_], text[open_]
                 key, times = np.unique((pair.astype(np.uint64) << np.uint64(32)) | text.astype(np.uint64), return_counts=True)
-                pair, text = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                pair, text = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype("<u4")
                 at = _bucket(pair, buckets)
                 order = np.argsort(at, kind="stable")
                 cuts = np.searchsorted(at[order], np.arange(buckets + 1))
-                rows = []
-                for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
-                    if y > x:
-                        i = order[x:y]
-                        docs, local = np.unique(text[i], return_inverse=True)
-                        docs = pa.array(first + docs.astype(np.int64))
-                        rows.append((b, pair[i].tobytes(), np.minimum(times[i], 0xFFFFFFFF).astype("<u4").tobytes(), local.astype("<u4").tobytes(), batch.column("doc_id").take(docs).to_pylist(), batch.column("same").take(docs).to_pylist()))
-                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                yield pa.record_batch([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["bucket", "pairs", "counts", "local", "ids", "sames"])
+                dealt = [(b, order[x:y]) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+                rows = [
+                    (b, _PAIRS, block, pair[i].tobytes(), np.minimum(times[i], 0xFFFFFFFF).astype("<u4").tobytes(), text[i].tobytes(), None, None) for b, i in dealt
+                ]
+                ids, sames = (batch.column(c).slice(first, size).to_pylist() for c in ("doc_id", "same"))
+                rows.append((block % buckets, _DOCS, block, None, None, None, ids, sames))
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                names = ["bucket", "kind", "block", "pairs", "counts", "local", "ids", "sames"]
+                yield pa.record_batch([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=names)
+                block += 1
 
     return run
 
 
 def _answered(unigrams, model):
-    """What pairs seen in training add to each document, against having been backed off. A bucket's table rows come first."""
+    """What pairs seen in training add to each document of a block, against having been backed off; the names of a block pass through.
+
+    A bucket's table rows come first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uni, back = unigrams.value, model.value
         log_p = _log(uni.probability())
+
+        def row(block, places, totals, ids, sames):
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            return pa.record_batch(
+                [pa.array([x], k) for x, k in zip((block, places, totals, ids, sames), kinds)], names=["block", "places", "totals", "ids", "sames"]
+            )
+
         for _, rows in _runs(batches):
             parts, known, counts = [], None, None
             for r in rows:
-                if r["local"] is None:
+                if r["kind"] == _TABLE:
                     parts.append((np.frombuffer(r["pairs"], np.uint32), np.frombuffer(r["counts"], "<u8").astype(np.int64)))
                     continue
+                if r["kind"] == _DOCS:
+                    yield row(r["block"], None, None, r["ids"], r["sames"])
+                    continue
                 if known is None:
                     known = np.concatenate([p for p, _ in parts] or [np.zeros(0, np.uint32)])
                     counts = np.concatenate([c for _, c in parts] or [np.zeros(0, np.int64)])
@@ -355,12 +379,35 @@ def _answered(unigrams, model):
                 hit = np.flatnonzero(known[spot] == pair)
                 before, kind = pair[hit] >> 16, pair[hit] & 0xFFFF
                 gain = back.log_seen(before, counts[spot[hit]]) - back.log_weight[before] - log_p[kind]
-                total = np.bincount(np.frombuffer(r["local"], "<u4")[hit], gain * times[hit], len(r["ids"]))
-                yield pa.record_batch([pa.array(r["ids"], pa.int64()), pa.array(r["sames"], pa.int64()), pa.array(total)], names=["doc_id", "same", "score"])
+                places, local = np.unique(np.frombuffer(r["local"], "<u4")[hit], return_inverse=True)
+                if len(places):
+                    totals = np.bincount(local, gain * times[hit], len(places))
+                    yield row(r["block"], places.astype("<u4").tobytes(), totals.astype("<f8").tobytes(), None, None)
 
     return run
 
 
+def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a block's answers, one row per document. Rows come sorted by block, the names first, then by places and totals."""
+    held, total = None, None
+
+    def done():
+        names = ["doc_id", "same", "score"]
+        return pa.record_batch([pa.array(held["ids"], pa.int64()), pa.array(held["sames"], pa.int64()), pa.array(total)], names=names)
+
+    for batch in batches:
+        for i in range(len(batch)):
+            r = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+            if r["ids"] is not None:
+                if held is not None:
+                    yield done()
+                held, total = r, np.zeros(len(r["ids"]))
+            else:
+                total[np.frombuffer(r["places"], "<u4")] += np.frombuffer(r["totals"], "<f8")
+    if held is not None:
+        yield done()
+
+
 def _top_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(len(batch)):
@@ -442,11 +489,14 @@ def score(docs: DataFrame, model: KatzModel, taught) -> DataFrame:
         (F.col("times") * F.log10(count + 1)).alias("base"), (F.col("times") * (F.log10(p) - F.log10(F.lit(share)))).alias("score"),
     )
 
-    asked = rows.mapInArrow(_asked(unigrams, frequent, model.buckets), "bucket int, pairs binary, counts binary, local binary, ids array<long>, sames array<long>")
-    table = model.pairs.select("bucket", "pairs", "counts", F.lit(None).cast("binary").alias("local"), F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<long>").alias("sames"))
-    met = table.union(asked).repartition(model.buckets, "bucket").withColumn("later", F.col("local").isNotNull()).sortWithinPartitions("bucket", "later").drop("later")
+    asked = rows.mapInArrow(_asked(unigrams, frequent, model.buckets), _ASKED)
+    missing = {"block": "long", "local": "binary", "ids": "array<long>", "sames": "array<long>"}
+    table = model.pairs.withColumn("kind", F.lit(_TABLE)).withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
+    met = table.select(*asked.columns).union(asked).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    found = met.mapInArrow(_answered(unigrams, back), "block long, places binary, totals binary, ids array<long>, sames array<long>")
+    by_block = found.repartition(model.buckets, "block").sortWithinPartitions("block", F.col("places").asc_nulls_first(), "totals")
     zero = F.lit(0).cast("long")
-    answers = met.mapInArrow(_answered(unigrams, back), "doc_id long, same long, score double").select(
+    answers = by_block.mapInArrow(_per_document, "doc_id long, same long, score double").select(
         "doc_id", "same", zero.alias("rows"), zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), "score"
     )
     exact = lambda c: F.sum(F.col(c).cast("decimal(38,14)")).cast("double")  # noqa: E731  the same in whatever order
