@@ -29,10 +29,15 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+#: Bytes and rows of texts that a Python worker gets at once. Spark's defaults suit short rows.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
 def importable(job):
-    """``job(spark, ...)`` whose Python workers find this package where the driver has it, however the session was started.
+    """``job(spark, ...)`` whose Python workers find this package where the driver has it, and get texts in small batches.
 
-    A cluster without that path on its machines needs the package in ``--py-files``.
+    A cluster without that path on its machines needs the package in ``--py-files``. The batch settings stay in
+    the session, as the result may be computed later.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -42,6 +47,8 @@ def importable(job):
         paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
         if root not in paths:
             environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        for key, value in BATCH.items():
+            spark.conf.set(key, value)
         return job(spark, *args)
 
     return run
