@@ -14,14 +14,23 @@ from pyspark.sql import functions as F
 from dealerlake.llm import words as W
 from dealerlake.llm.store import remainder, saved
 
-#: Words that have a number of their own in word pairs, the most frequent ones. All others share the number RARE
-#: there; what tells them apart is their own count. Pairs fit 32 bits.
-NUMBERED = 65_533
+#: Words that have a number, the most frequent ones; pairs of them fit 32 bits. Every other word has the number RARE, and
+#: pairs with such a side are counted under the words' 64-bit hashes instead.
+FAST = 65_533
 END, RARE, START = 65_533, 65_534, 65_535
+#: For a smaller, approximate model: words that keep their identity in pairs, at most FAST; all others are then one class.
+#: None: every word keeps it.
+NUMBERED: int | None = None
+#: Rows of the table of pairs: both words numbered; only the second not; only the first not; neither.
+BOTH, SECOND, FIRST, NEITHER = range(4)
+#: Rows made of it: what a pair with an unnumbered first word adds to a score, and the backoff weights of such words.
+GAIN, WEIGHT = 4, 5
 #: Pairs resolved from a broadcast table instead of a shuffle: the most frequent ones, so that no key is hot.
 FREQUENT_PAIRS = 65_536
 #: Counts above this are not discounted.
 TOP = 5
+#: Unnumbered pairs of a bucket are put together in so many parts, one after another.
+PARTS = 8
 #: Tokens a task gathers before it deals them out, and tokens per bucket.
 GATHERED = 1_000_000
 PER_BUCKET = 8_000_000
@@ -59,6 +68,7 @@ class Unigrams:
     factors: np.ndarray
     mass: float  # what counts are divided by
     unknown: float  # probability of all words not seen
+    exact: bool  # whether words without a number are told apart in pairs
 
     def classes(self, word: np.ndarray) -> np.ndarray:
         if not len(self.hash):
@@ -73,6 +83,17 @@ class Unigrams:
         p[RARE] = max(0.0, 1 - p[: END + 1].sum())
         return p
 
+    def log_probability(self) -> np.ndarray:
+        """Of each number. Words without one add their own where they meet the table of words, so RARE adds nothing unless it is a class."""
+        p = _log(self.probability())
+        if self.exact:
+            p[RARE] = 0.0
+        return p
+
+    def seen(self, count: np.ndarray) -> np.ndarray:
+        """Probability of words that occur so often."""
+        return discounted(count, self.factors) / self.mass
+
 
 def _uni_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     word, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -130,31 +151,112 @@ def _bucket(pair: np.ndarray, buckets: int) -> np.ndarray:
     return (W.mix(pair.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _unnumbered(pair: np.ndarray, unigrams: Unigrams) -> np.ndarray:
+    """Which pairs are counted under hashes."""
+    if not unigrams.exact:
+        return np.zeros(len(pair), bool)
+    return ((pair >> 16) == RARE) | ((pair & 0xFFFF) == RARE)
+
+
+def _sides(pair: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both words of the pairs at some places: the number, or else the hash. An end has hash 0, so a text's first token follows 0."""
+    prior = np.append(np.zeros(1, np.uint64), word[:-1])[at]
+    before, kind = (pair[at] >> 16).astype(np.uint64), (pair[at] & 0xFFFF).astype(np.uint64)
+    return np.where(before == RARE, prior, before), np.where(kind == RARE, word[at], kind)
+
+
+def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return W.mix(W.mix(a) * np.uint64(0x9E3779B97F4A7C15) + b)
+
+
+def _word_bucket(word: np.ndarray, buckets: int) -> np.ndarray:
+    return (W.mix(word) % np.uint64(buckets)).astype(np.int64)
+
+
+def _summed(a: np.ndarray, b: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, in the order of its hash."""
+    _, index, inverse = np.unique(_pair_hash(a, b), return_index=True, return_inverse=True)
+    return a[index], b[index], np.bincount(inverse, count, len(index)).astype(np.int64)
+
+
+def _by_bucket(at: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    order = np.argsort(at, kind="stable")
+    cuts = np.searchsorted(at[order], np.arange(buckets + 1))
+    return [(b, order[x:y]) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+
+
+def _by_part(word: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    return _by_bucket(((W.mix(word) >> np.uint64(40)) % np.uint64(PARTS)).astype(np.int64), PARTS)
+
+
+_ROWS = "bucket int, kind int, pairs binary, others binary, counts binary, ends binary"
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of the table. ``pairs`` are numbered pairs, or the first unnumbered word of each; ``others`` the other word, ``ends``
+    how often an unnumbered second word occurs."""
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    return pa.record_batch([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["bucket", "kind", "pairs", "others", "counts", "ends"])
+
+
+def _packed(bucket: int, a: np.ndarray, b: np.ndarray, count: np.ndarray, width: str, ends: np.ndarray | None = None) -> list[tuple]:
+    """Rows of pairs with an unnumbered side, by kind."""
+    numbered = np.uint64(START + 1)
+    kind = np.where(a < numbered, SECOND, np.where(b < numbered, FIRST, NEITHER))
+    rows = []
+    for k, one, other, size in ((SECOND, b, a, "<u2"), (FIRST, a, b, "<u2"), (NEITHER, a, b, "<u8")):
+        i = np.flatnonzero(kind == k)
+        if len(i):
+            last = None if ends is None or k == FIRST else ends[i].astype("<u8").tobytes()
+            rows.append((bucket, k, one[i].tobytes(), other[i].astype(size).tobytes(), count[i].astype(width).tobytes(), last))
+    return rows
+
+
+def _unpacked(r: dict, width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    one = np.frombuffer(r["pairs"], np.uint64)
+    other = np.frombuffer(r["others"], "<u8" if r["kind"] == NEITHER else "<u2").astype(np.uint64)
+    count = np.frombuffer(r["counts"], width).astype(np.int64)
+    return (other, one, count) if r["kind"] == SECOND else (one, other, count)
+
+
 def _pair_counts(unigrams, buckets: int):
+    """Pairs by bucket; those with an unnumbered second word by that word, so that a bucket knows how often it occurs, others by the first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        none = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        pair, count = none
+        apart, held = [], 0
 
-        def dealt():
-            at = _bucket(pair, buckets)
-            order = np.argsort(at, kind="stable")
-            cuts = np.searchsorted(at[order], np.arange(buckets + 1))
-            rows = [(b, order[x:y]) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
-            return pa.record_batch(
-                [pa.array([b for b, _ in rows], pa.int32()), pa.array([pair[i].tobytes() for _, i in rows], pa.binary()), pa.array([count[i].astype("<u4").tobytes() for _, i in rows], pa.binary())],
-                names=["bucket", "pairs", "counts"],
-            )
+        def numbered():
+            return [
+                (n, BOTH, pair[i].tobytes(), None, count[i].astype("<u4").tobytes(), None) for n, i in _by_bucket(_bucket(pair, buckets), buckets)
+            ]
+
+        def hashed():
+            a, b = (np.concatenate([np.zeros(0, np.uint64), *side]) for side in (zip(*apart) if apart else ((), ())))
+            a, b, times = _summed(a, b, np.ones(len(a), np.int64))
+            at = _word_bucket(np.where(b <= START, a, b), buckets)
+            return [row for n, i in _by_bucket(at, buckets) for row in _packed(n, a[i], b[i], times[i], "<u4")]
 
         for batch in batches:
             taught = np.array(batch.column("taught").to_pylist(), bool)
-            for first, found, text, _ in _pairs(batch, unigrams.value):
-                new, times = np.unique(found[taught[first + text]], return_counts=True)
-                every = np.concatenate([pair, new])
-                pair, inverse = np.unique(every, return_inverse=True)
-                count = np.bincount(inverse, np.concatenate([count, times]), len(pair)).astype(np.int64)
+            for first, found, text, word in _pairs(batch, unigrams.value):
+                own, far = taught[first + text], _unnumbered(found, unigrams.value)
+                new, often = np.unique(found[own & ~far], return_counts=True)
+                pair, inverse = np.unique(np.concatenate([pair, new]), return_inverse=True)
+                count = np.bincount(inverse, np.concatenate([count, often]), len(pair)).astype(np.int64)
+                apart.append(_sides(found, word, np.flatnonzero(own & far)))
+                held += len(apart[-1][0])
                 if len(pair) > GATHERED:
-                    yield dealt()
-                    pair, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        yield dealt()
+                    yield _rows(numbered())
+                    pair, count = none
+                if held > GATHERED:
+                    yield _rows(hashed())
+                    apart, held = [], 0
+        yield _rows(numbered())
+        pair, count = none
+        yield _rows(hashed())
 
     return run
 
@@ -167,54 +269,131 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[dic
     return groupby(rows, key=lambda r: r["bucket"])
 
 
-def _table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket's pairs in order, with their counts in the whole corpus."""
-    for bucket, rows in _runs(batches):
-        pair, count, held, size = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
+def _table(buckets: int):
+    """A bucket's pairs in order, with their counts in the whole corpus. Pairs of two unnumbered words are dealt on by the first one."""
 
-        def merged():
-            every = np.concatenate([pair, *[p for p, _ in held]])
-            out, inverse = np.unique(every, return_inverse=True)
-            return out, np.bincount(inverse, np.concatenate([count, *[c for _, c in held]]), len(out)).astype(np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _runs(batches):
+            pair, count, held, size = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
+            apart = [[] for _ in range(PARTS)]
+
+            def merged():
+                every = np.concatenate([pair, *[p for p, _ in held]])
+                out, inverse = np.unique(every, return_inverse=True)
+                return out, np.bincount(inverse, np.concatenate([count, *[c for _, c in held]]), len(out)).astype(np.int64)
 
-        for r in rows:
-            held.append((np.frombuffer(r["pairs"], np.uint32), np.frombuffer(r["counts"], "<u4").astype(np.int64)))
-            size += len(held[-1][0])
-            if size > GATHERED:
+            def numbered():
                 pair, count = merged()
-                held, size = [], 0
-        pair, count = merged()
-        for part in np.array_split(np.arange(len(pair)), max(1, len(pair) >> 20)):
-            yield pa.record_batch(
-                [pa.array([bucket], pa.int32()), pa.array([pair[part].tobytes()], pa.binary()), pa.array([count[part].astype("<u8").tobytes()], pa.binary())],
-                names=["bucket", "pairs", "counts"],
-            )
+                for part in np.array_split(np.arange(len(pair)), max(1, len(pair) >> 20)):
+                    yield _rows([(bucket, BOTH, pair[part].tobytes(), None, count[part].astype("<u8").tobytes(), None)])
+
+            for r in rows:
+                if r["kind"] == BOTH:
+                    held.append((np.frombuffer(r["pairs"], np.uint32), np.frombuffer(r["counts"], "<u4").astype(np.int64)))
+                    size += len(held[-1][0])
+                    if size > GATHERED:
+                        pair, count = merged()
+                        held, size = [], 0
+                    continue
+                if held or len(pair):  # they come first
+                    yield from numbered()
+                    pair, count, held, size = pair[:0].copy(), count[:0].copy(), [], 0
+                a, b, times = _unpacked(r, "<u4")
+                for n, i in _by_part(np.where(b > START, b, a)):
+                    apart[n].append((a[i], b[i], times[i].astype(np.uint32)))
+            if held or len(pair):
+                yield from numbered()
+            for n in range(PARTS):
+                if not apart[n]:
+                    continue
+                a, b, times = _summed(*(np.concatenate(c) for c in zip(*apart[n])))
+                apart[n] = []
+                # Every occurrence of a word follows something, so its pairs add up to its count.
+                _, inverse = np.unique(b, return_inverse=True)
+                ends = np.bincount(inverse, times).astype(np.int64)[inverse]
+                to = np.where((a > START) & (b > START), _word_bucket(a, buckets), bucket)
+                for at, i in _by_bucket(to, buckets):
+                    yield _rows(_packed(at, a[i], b[i], times[i], "<u8", ends[i]))
+
+    return run
 
 
-def _contexts(probability: np.ndarray):
-    """Per context in each row of the table: how many pairs occur 1 to TOP times, the tokens of others, and the seen words' probability.
+def _contexts(unigrams: Unigrams):
+    """Per numbered context in each row of the table: how many pairs occur 1 to TOP times, the tokens of others, and the seen words' probability.
 
-    Context -1 has the counts of counts, and its last column those of TOP + 1.
+    Context -1 has the counts of counts of all pairs, and its last column those of TOP + 1.
     """
+    probability = unigrams.probability()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(len(batch)):
-                pair = np.frombuffer(batch.column("pairs")[i].as_py(), np.uint32)
-                count = np.frombuffer(batch.column("counts")[i].as_py(), "<u8").astype(np.int64)
-                context, inverse = np.unique(pair >> 16, return_inverse=True)
-                n = len(context)
-                columns = [np.bincount(inverse, count == r, n) for r in range(1, TOP + 1)]
-                columns += [np.bincount(inverse, np.where(count > TOP, count, 0), n), np.bincount(inverse, probability[pair & 0xFFFF], n)]
-                columns = [np.append(c, (count == r + 1).sum() if r <= TOP else 0) for r, c in enumerate(columns)]
+            for r in batch.to_pylist():
+                count = np.frombuffer(r["counts"], "<u8").astype(np.int64)
+                if r["kind"] == BOTH:
+                    pair = np.frombuffer(r["pairs"], np.uint32)
+                    before, p = pair >> 16, probability[pair & 0xFFFF]
+                elif r["kind"] == SECOND:
+                    before, p = np.frombuffer(r["others"], "<u2"), unigrams.seen(np.frombuffer(r["ends"], "<u8").astype(np.int64))
+                else:
+                    before, p = np.zeros(0, np.uint32), np.zeros(0)
+                context, inverse = np.unique(before, return_inverse=True)
+                n, own = len(context), count[: len(before)]
+                columns = [np.bincount(inverse, own == k, n) for k in range(1, TOP + 1)]
+                columns += [np.bincount(inverse, np.where(own > TOP, own, 0), n), np.bincount(inverse, p, n)]
+                columns = [np.append(c, (count == k + 1).sum() if k <= TOP else 0) for k, c in enumerate(columns)]
                 yield pa.record_batch(
                     [pa.array(np.append(context.astype(np.int64), -1)), *[pa.array(c.astype(float)) for c in columns]],
-                    names=["context", *[f"n{r}" for r in range(1, TOP + 1)], "more", "seen"],
+                    names=["context", *[f"n{k}" for k in range(1, TOP + 1)], "more", "seen"],
                 )
 
     return run
 
 
+def _gains(unigrams, factors: np.ndarray):
+    """Of pairs whose first word has no number: what each adds to a score against being backed off, and the words' backoff weights.
+
+    The weights are those of ``backoff``; all pairs of a first word are in one bucket.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uni = unigrams.value
+        probability = uni.probability()
+        for bucket, rows in _runs(batches):
+            parts = [[] for _ in range(PARTS)]
+            for r in rows:
+                a, b, count = _unpacked(r, "<u8")
+                p = probability[b.astype(np.int64)] if r["kind"] == FIRST else uni.seen(np.frombuffer(r["ends"], "<u8").astype(np.int64))
+                pair = _pair_hash(a, b)
+                for n, i in _by_part(a):
+                    parts[n].append((pair[i], a[i], count[i], p[i]))
+            for n in range(PARTS):
+                if not parts[n]:
+                    continue
+                pair, a, count, p = (np.concatenate(c) for c in zip(*parts[n]))
+                parts[n] = []
+                order = np.argsort(pair)
+                pair, a, count, p = pair[order], a[order], count[order], p[order]
+                word, inverse = np.unique(a, return_inverse=True)
+                total, cut = np.bincount(inverse, count), discounted(count, factors)
+                left, unseen = total - np.bincount(inverse, cut), 1 - np.bincount(inverse, p)
+                plain = unseen <= 1e-12
+                full = ~plain & (left <= 1e-9)
+                mass = total + full
+                weight = np.ones(len(word))
+                weight[~plain] = (np.where(full, 1.0, left) / mass)[~plain] / unseen[~plain]
+                log_weight = np.log10(weight)
+                gain = np.log10(np.where(plain[inverse], count, cut) / mass[inverse]) - log_weight[inverse] - _log(p)
+                yield _rows([(bucket, k, x.tobytes(), None, y.astype("<f8").tobytes(), None) for k, x, y in ((GAIN, pair, gain), (WEIGHT, word, log_weight))])
+
+    return run
+
+
+def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for word, weight in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
+            yield pa.record_batch([pa.array(np.frombuffer(word, np.int64)), pa.array(np.frombuffer(weight, "<f8"))], names=["word", "weight"])
+
+
 @dataclass
 class Backoff:
     """Per context: what its counts are divided by, whether they are discounted, and the log of its backoff weight."""
@@ -260,7 +439,7 @@ def _doc_sums(unigrams, model, frequent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uni, back, (known, counts) = unigrams.value, model.value, frequent.value
-        log_p, log_count = _log(uni.probability()), np.log10(uni.count + 1.0)
+        log_p, log_count = uni.log_probability(), np.log10(uni.count + 1.0)
         log_count[RARE] = 0.0
         for batch in batches:
             n = len(batch)
@@ -304,12 +483,15 @@ def _rare_words(unigrams):
 
 
 _ASKED = "bucket int, kind int, block long, pairs binary, counts binary, local binary, ids array<long>, sames array<long>"
-_TABLE, _PAIRS, _DOCS = range(3)
+#: Kinds of rows that come after those of the table.
+_PAIRS, _HASHED, _DOCS = range(10, 13)
 
 
 def _asked(unigrams, frequent, buckets: int):
     """Pairs of documents that are not in the broadcast table, dealt out by bucket: sorted pairs, each with its document and count.
 
+    Pairs with an unnumbered side go as hashes, once per token, to the bucket of their first unnumbered word.
+
     A block is the documents of one slice of text; one more row per block names them.
     """
 
@@ -317,20 +499,24 @@ def _asked(unigrams, frequent, buckets: int):
         known, _ = frequent.value
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for first, pair, text, _ in _pairs(batch, unigrams.value):
+            for first, pair, text, word in _pairs(batch, unigrams.value):
                 size = int(text[-1]) + 1
+                apart = _unnumbered(pair, unigrams.value)
+                places = np.flatnonzero(apart)
+                a, b = _sides(pair, word, places)
+                hashed, near = _pair_hash(a, b), text[places].astype("<u4")
+                dealt = _by_bucket(_word_bucket(np.where(a > START, a, b), buckets), buckets)
+                rows = [(n, _HASHED, block, hashed[i].tobytes(), None, near[i].tobytes(), None, None) for n, i in dealt]
+                pair, text = pair[~apart], text[~apart]
                 if len(known):
                     spot = np.minimum(np.searchsorted(known, pair), len(known) - 1)
                     open_ = known[spot] != pair
                     pair, text = pair[open_], text[open_]
                 key, times = np.unique((pair.astype(np.uint64) << np.uint64(32)) | text.astype(np.uint64), return_counts=True)
                 pair, text = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype("<u4")
-                at = _bucket(pair, buckets)
-                order = np.argsort(at, kind="stable")
-                cuts = np.searchsorted(at[order], np.arange(buckets + 1))
-                dealt = [(b, order[x:y]) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
-                rows = [
-                    (b, _PAIRS, block, pair[i].tobytes(), np.minimum(times[i], 0xFFFFFFFF).astype("<u4").tobytes(), text[i].tobytes(), None, None) for b, i in dealt
+                rows += [
+                    (n, _PAIRS, block, pair[i].tobytes(), np.minimum(times[i], 0xFFFFFFFF).astype("<u4").tobytes(), text[i].tobytes(), None, None)
+                    for n, i in _by_bucket(_bucket(pair, buckets), buckets)
                 ]
                 ids, sames = (batch.column(c).slice(first, size).to_pylist() for c in ("doc_id", "same"))
                 rows.append((block % buckets, _DOCS, block, None, None, None, ids, sames))
@@ -350,7 +536,7 @@ def _answered(unigrams, model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uni, back = unigrams.value, model.value
-        log_p = _log(uni.probability())
+        log_p = uni.log_probability()
 
         def row(block, places, totals, ids, sames):
             kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
@@ -358,30 +544,48 @@ def _answered(unigrams, model):
                 [pa.array([x], k) for x, k in zip((block, places, totals, ids, sames), kinds)], names=["block", "places", "totals", "ids", "sames"]
             )
 
+        def ordered(parts, kind):
+            known = np.concatenate([p for p, _ in parts] or [np.zeros(0, kind)])
+            value = np.concatenate([v for _, v in parts] or [np.zeros(0)])
+            parts.clear()
+            order = np.argsort(known)
+            return known[order], value[order]
+
         for _, rows in _runs(batches):
-            parts, known, counts = [], None, None
+            parts, hashed, tables = [], [], None
             for r in rows:
-                if r["kind"] == _TABLE:
+                if r["kind"] == BOTH:
                     parts.append((np.frombuffer(r["pairs"], np.uint32), np.frombuffer(r["counts"], "<u8").astype(np.int64)))
                     continue
+                if r["kind"] == SECOND:
+                    before, b, count = _unpacked(r, "<u8")
+                    p = uni.seen(np.frombuffer(r["ends"], "<u8").astype(np.int64))
+                    at = before.astype(np.int64)
+                    hashed.append((_pair_hash(before, b), back.log_seen(at, count) - back.log_weight[at] - _log(p)))
+                    continue
+                if r["kind"] == GAIN:
+                    hashed.append((np.frombuffer(r["pairs"], np.uint64), np.frombuffer(r["counts"], "<f8")))
+                    continue
                 if r["kind"] == _DOCS:
                     yield row(r["block"], None, None, r["ids"], r["sames"])
                     continue
-                if known is None:
-                    known = np.concatenate([p for p, _ in parts] or [np.zeros(0, np.uint32)])
-                    counts = np.concatenate([c for _, c in parts] or [np.zeros(0, np.int64)])
-                    order = np.argsort(known)
-                    known, counts, parts = known[order], counts[order], []
+                if tables is None:
+                    tables = {_PAIRS: ordered(parts, np.uint32), _HASHED: ordered(hashed, np.uint64)}
+                known, value = tables[r["kind"]]
                 if not len(known):
                     continue
-                pair, times = np.frombuffer(r["pairs"], np.uint32), np.frombuffer(r["counts"], "<u4")
+                pair = np.frombuffer(r["pairs"], known.dtype)
                 spot = np.minimum(np.searchsorted(known, pair), len(known) - 1)
                 hit = np.flatnonzero(known[spot] == pair)
-                before, kind = pair[hit] >> 16, pair[hit] & 0xFFFF
-                gain = back.log_seen(before, counts[spot[hit]]) - back.log_weight[before] - log_p[kind]
+                if r["kind"] == _PAIRS:
+                    before, kind = pair[hit] >> 16, pair[hit] & 0xFFFF
+                    gain = back.log_seen(before, value[spot[hit]]) - back.log_weight[before] - log_p[kind]
+                    gain = gain * np.frombuffer(r["counts"], "<u4")[hit]
+                else:
+                    gain = value[spot[hit]]
                 places, local = np.unique(np.frombuffer(r["local"], "<u4")[hit], return_inverse=True)
                 if len(places):
-                    totals = np.bincount(local, gain * times[hit], len(places))
+                    totals = np.bincount(local, gain, len(places))
                     yield row(r["block"], places.astype("<u4").tobytes(), totals.astype("<f8").tobytes(), None, None)
 
     return run
@@ -420,10 +624,11 @@ def _top_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class KatzModel:
-    """The tables: ``words`` (word hash, count), ``pairs`` (bucket, sorted pairs, counts), and what is broadcast of them."""
+    """The tables: ``words`` (word hash, count, backoff weight), ``pairs`` (see ``_rows``), ``gains``, and what is broadcast of them."""
 
     words: DataFrame
     pairs: DataFrame
+    gains: DataFrame
     unigrams: Unigrams
     backoff: Backoff
     frequent: tuple[np.ndarray, np.ndarray]
@@ -446,7 +651,7 @@ def train(docs: DataFrame, taught) -> KatzModel:
     sums = words.agg(F.sum("count"), F.count("*"), *[F.sum((F.col("count") == r).cast("long")) for r in range(1, TOP + 2)]).first()
     tokens, distinct = (sums[0] or 0) + n_docs, sums[1] + (n_docs > 0)
     of_counts = [(sums[1 + r] or 0) + (n_docs == r) for r in range(1, TOP + 2)]
-    top = words.orderBy(F.desc("count"), "word").limit(NUMBERED).toPandas()
+    top = words.orderBy(F.desc("count"), "word").limit(FAST if NUMBERED is None else min(NUMBERED, FAST)).toPandas()
     hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     count = np.zeros(START + 1, np.int64)
     count[: len(top)] = top["count"].to_numpy(np.int64)
@@ -456,18 +661,22 @@ def train(docs: DataFrame, taught) -> KatzModel:
     left = sum((1 - factors[r]) * r * of_counts[r - 1] for r in range(1, TOP + 1))
     mass = float(tokens) if left > 1e-9 else tokens + 1.0
     order = np.argsort(hashes)
-    unigrams = Unigrams(hashes[order], order.astype(np.int64), count, tokens, distinct, factors, mass, (left if left > 1e-9 else 1.0) / mass)
+    unigrams = Unigrams(hashes[order], order.astype(np.int64), count, tokens, distinct, factors, mass, (left if left > 1e-9 else 1.0) / mass, NUMBERED is None)
     sent = spark.sparkContext.broadcast(unigrams)
     buckets = max(1, -(-all_tokens // PER_BUCKET))
-    dealt = rows.select("taught", "text").mapInArrow(_pair_counts(sent, buckets), "bucket int, pairs binary, counts binary")
-    pairs = saved(dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_table, "bucket int, pairs binary, counts binary"))
+    dealt = rows.select("taught", "text").mapInArrow(_pair_counts(sent, buckets), _ROWS)
+    pairs = saved(dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_table(buckets), _ROWS))
     columns = [*[f"n{r}" for r in range(1, TOP + 1)], "more", "seen"]
-    contexts = pairs.mapInArrow(_contexts(unigrams.probability()), "context long, " + ", ".join(f"{c} double" for c in columns))
+    contexts = pairs.mapInArrow(_contexts(unigrams), "context long, " + ", ".join(f"{c} double" for c in columns))
     # Sums in a fixed order, so that reruns agree.
     summed = contexts.groupBy("context").agg(*[F.sum(F.col(c).cast("decimal(38,18)")).cast("double").alias(c) for c in columns])
-    top_pairs = pairs.mapInArrow(_top_pairs, "pair long, count long").orderBy(F.desc("count"), "pair").limit(FREQUENT_PAIRS).toPandas().sort_values("pair")
+    top_pairs = pairs.where(F.col("kind") == BOTH).mapInArrow(_top_pairs, "pair long, count long").orderBy(F.desc("count"), "pair").limit(FREQUENT_PAIRS).toPandas().sort_values("pair")
     frequent = top_pairs["pair"].to_numpy(np.int64).astype(np.uint32), top_pairs["count"].to_numpy(np.int64)
-    return KatzModel(words, pairs, unigrams, backoff(summed.collect(), unigrams), frequent, buckets)
+    back = backoff(summed.collect(), unigrams)
+    unnumbered = pairs.where(F.col("kind").isin(FIRST, NEITHER)).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    gains = saved(unnumbered.mapInArrow(_gains(sent, back.factors), _ROWS))
+    weights = gains.where(F.col("kind") == WEIGHT).select("pairs", "counts").mapInArrow(_weights, "word long, weight double")
+    return KatzModel(words.join(weights, "word", "left"), pairs, gains, unigrams, back, frequent, buckets)
 
 
 def score(docs: DataFrame, model: KatzModel, taught) -> DataFrame:
@@ -482,17 +691,19 @@ def score(docs: DataFrame, model: KatzModel, taught) -> DataFrame:
     count = F.coalesce("count", F.lit(0))
     held = F.when(count > TOP, count.cast("double")).otherwise(F.element_at(F.array(*[F.lit(float(f * r)) for r, f in enumerate(uni.factors)]), (count + 1).cast("int")))
     p = F.when(count > 0, held / uni.mass).otherwise(uni.unknown)
-    share = float(uni.probability()[RARE])
+    # Without its own number a word adds its probability, and its backoff weight as the word before the next token.
+    share, weight = float(uni.log_probability()[RARE]), F.coalesce("weight", F.lit(0.0))
     words = rare.join(model.words, "word", "left").select(
         "doc_id", "same", F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("n_tokens"),
         F.when(count > 0, F.col("times")).otherwise(0).alias("n_known"),
-        (F.col("times") * F.log10(count + 1)).alias("base"), (F.col("times") * (F.log10(p) - F.log10(F.lit(share)))).alias("score"),
+        (F.col("times") * F.log10(count + 1)).alias("base"), (F.col("times") * (F.log10(p) - F.lit(share) + weight)).alias("score"),
     )
 
     asked = rows.mapInArrow(_asked(unigrams, frequent, model.buckets), _ASKED)
     missing = {"block": "long", "local": "binary", "ids": "array<long>", "sames": "array<long>"}
-    table = model.pairs.withColumn("kind", F.lit(_TABLE)).withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
-    met = table.select(*asked.columns).union(asked).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    known = model.pairs.where(F.col("kind").isin(BOTH, SECOND)).union(model.gains.where(F.col("kind") == GAIN))
+    table = known.withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
+    met = table.unionByName(asked, allowMissingColumns=True).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "kind")
     found = met.mapInArrow(_answered(unigrams, back), "block long, places binary, totals binary, ids array<long>, sames array<long>")
     by_block = found.repartition(model.buckets, "block").sortWithinPartitions("block", F.col("places").asc_nulls_first(), "totals")
     zero = F.lit(0).cast("long")
@@ -525,14 +736,13 @@ def language_model(docs: DataFrame, divisor: int = 7, left_out: int = 2) -> Data
       add up to 1 exactly.
     * P(word) = discounted count / tokens. What discounts leave over is shared by words never seen, as one.
 
-    In pairs the NUMBERED most frequent words have a number each and the others one together; there P(rare word | word
-    before) = P(any rare word | word before) * P(rare word) / P(any rare word), which adds up as well. Counts are of
-    all training documents, whole texts.
+    Every word and every pair has its own count, over all training documents, whole texts.
 
-    Words are counted under a 64-bit hash, summed in each task first. Numbered words, backoff weights and the most frequent
-    pairs are of fixed size and broadcast, so neither common words nor common pairs are shuffled.
-    Rare words meet the table of counts in a join. Other pairs are dealt to buckets, whose number grows with the
-    corpus, and meet the stored table of pairs there; sums per document come back.
+    Words are counted under a 64-bit hash, summed in each task first. The FAST most frequent words have numbers; those, their
+    backoff weights and the most frequent pairs are of fixed size and broadcast, so neither common words nor common pairs
+    are shuffled. Other words meet the table of counts and backoff weights in a join. Other pairs are dealt to buckets, whose
+    number grows with the corpus, and meet the stored table of pairs there, two numbered words under their numbers, the rest
+    under a 64-bit hash; sums per document come back.
 
     Null texts are empty, one token. Without training documents all scores are 0. Rows that repeat an id and text count
     each in training and are each scored. An empty table gives an empty one.

@@ -39,3 +39,16 @@ def test_edge_rows(spark):
     assert len({(r.score, r.base_score) for r in out if r.doc_id == 1}) == 1
     assert all(math.isfinite(r.score) and r.score <= 0 for r in out)
     assert katz.language_model(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("fast", [0, 40])
+def test_every_pair_keeps_its_own_count(spark, monkeypatch, fast):
+    monkeypatch.setattr(katz, "FAST", fast)
+    monkeypatch.setattr(katz, "PER_BUCKET", 20_000)
+    monkeypatch.setattr(katz, "FREQUENT_PAIRS", 50)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    # With room for all words, the plain version has no class but for words never seen.
+    model = brute.Katz([t for i, t in texts.items() if brute.fold(i, 7) != 2], 10**9)
+    for r in katz.language_model(docs).collect():
+        assert math.isclose(r.score, model.score(texts[r.doc_id]), rel_tol=1e-9, abs_tol=1e-7)
