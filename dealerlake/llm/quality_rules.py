@@ -13,8 +13,6 @@ BUCKETS = 16_384
 #: Characters at the end of a word that stand for it in n-grams. Endings are few, so they are known
 #: even where most words are new.
 ENDING = 3
-#: Labelled documents that make up the trusted target at most.
-TRUSTED = 20_000
 #: A document stays if its mean log ratio, in nats per n-gram, is no lower than this.
 THRESHOLD = -0.5
 
@@ -29,15 +27,15 @@ def _grams(docs: DataFrame) -> DataFrame:
     return endings.withColumn("grams", F.concat(single, pair)).drop("endings")
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED) -> list[float]:
+def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """Per bucket the log of its share in the trusted target over its share in the raw corpus, to four digits.
 
-    Shares are counts plus one. The raw corpus is all of ``docs`` (doc_id, text); the target are those with
-    ``labels.quality`` = 1, ``trusted`` of them at most, drawn by a hash of the id.
+    Shares are counts plus one. The raw corpus is all of ``docs`` (doc_id, text); the target are all those with
+    ``labels.quality`` = 1.
     """
-    ids = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted).withColumn("trusted", F.lit(1))
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id", "left")
+    ids = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("trusted", F.lit(1))
+    # Trusted ids grow with the corpus, so the join is by shuffle at every size.
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.hint("merge"), "doc_id", "left")
     grams = _grams(marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), word_array(F.col("text")).alias("w")))
     # The outer kind, as the other lets Spark test the array first, and so compute it once more for each element.
     found = grams.select("trusted", F.explode_outer("grams").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
@@ -49,10 +47,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED) -> li
     return ratios.round(4).tolist()
 
 
-def _judged(docs: DataFrame, labels: DataFrame, trusted: int, threshold: float) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """The columns of ``quality_rules`` for rows (key, text); ``key`` is carried along."""
     # One constant of BUCKETS numbers; Spark folds it before it reads any row.
-    ratios = F.split(F.lit(",".join(map(str, log_ratios(docs.select("key.doc_id", "text"), labels, trusted)))), ",").cast("array<double>")
+    ratios = F.split(F.lit(",".join(map(str, log_ratios(docs.select("key.doc_id", "text"), labels)))), ",").cast("array<double>")
     text = F.coalesce("text", F.lit(""))
     split = docs.select("key", text.alias("text")).withColumn("w", word_array(F.col("text")))
     lines = F.filter(F.split("text", "\n"), has_word)
@@ -90,7 +88,7 @@ def _judged(docs: DataFrame, labels: DataFrame, trusted: int, threshold: float)
     )
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, threshold: float = THRESHOLD) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, ratio.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in three-word windows that occur
@@ -102,12 +100,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, th
     0. Rows that repeat an id are judged each. An empty table gives an empty one.
     """
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
-    judged = _judged(docs.select(F.struct(doc_id).alias("key"), "text"), labels, trusted, threshold)
+    judged = _judged(docs.select(F.struct(doc_id).alias("key"), "text"), labels, threshold)
     return judged.select("key.doc_id", *judged.columns[1:])
 
 
-def keep_by_rules(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, threshold: float = THRESHOLD) -> DataFrame:
+def keep_by_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, all columns as they are."""
-    judged = _judged(docs.select(F.struct(*docs.columns).alias("key"), "text"), labels, trusted, threshold)
+    judged = _judged(docs.select(F.struct(*docs.columns).alias("key"), "text"), labels, threshold)
     # Not a filter on ``kept``: Spark would move it below the steps and compute them again for each word.
     return judged.select(F.explode_outer(F.when(F.col("kept"), F.array("key"))).alias("row")).where("row IS NOT NULL").select("row.*")

@@ -11,7 +11,7 @@ from dealerlake.llm.mixing import mix, mixed_rows
 from dealerlake.llm.near_duplicates import keep_one, near_duplicates
 from dealerlake.llm.packing import pack, sequences
 from dealerlake.llm.quality_model import keep_good, quality
-from dealerlake.llm.quality_rules import keep_by_rules, quality_rules
+from dealerlake.llm.quality_rules import keep_by_rules, log_ratios, quality_rules
 from dealerlake.llm.token_counts import token_counts
 from dealerlake.llm.toxicity import toxicity
 from dealerlake.llm.url_rules import judge_urls
@@ -77,6 +77,12 @@ def test_quality_rules(docs, labels):
     assert keep_by_rules(docs, labels).columns == docs.columns
 
 
+def test_all_trusted_documents_are_counted(spark):
+    many = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("same words here").alias("text"), F.lit(1).alias("quality"))
+    # Target and corpus are the same texts.
+    assert set(log_ratios(many.select("doc_id", "text"), many.select("doc_id", "quality"))) == {0.0}
+
+
 def test_near_duplicates(docs):
     out = near_duplicates(docs, 85, 3)
     assert ids(out) == ALL
