@@ -114,7 +114,8 @@ def shingles(word: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarra
         n = len(word)
         run = mix(word + np.uint64(size))
         for step in range(1, size):
-            run[: n - step] = mix(run[: n - step] * _BASE + word[step:])
+            left = max(n - step, 0)
+            run[:left] = mix(run[:left] * _BASE + word[step:])
         own = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
         total = np.concatenate([[0], np.cumsum(own)])
         place = np.arange(total[-1]) - np.repeat(total[:-1], own) + np.repeat(begins[:-1], own)
