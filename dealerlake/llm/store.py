@@ -58,13 +58,13 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def saved(df: DataFrame, by: str | None = None) -> DataFrame:
+def saved(df: DataFrame, by: str | None = None, path: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back; lineage ends there, so a lost executor costs no more than its tasks.
 
-    ``by`` lays the files out in a folder per value of that column.
+    ``by`` lays the files out in a folder per value of that column. ``path`` names the folder; it is a new one otherwise.
     """
     spark = df.sparkSession
-    path = new_folder(spark)
+    path = path or new_folder(spark)
     writer = df.write.partitionBy(by) if by else df.write
     with setting(spark, _CLEANUP, "true"):
         writer.parquet(path)
