@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +19,21 @@ from dealerlake.llm.store import remainder, saved
 #: pairs with such a side are counted under the words' 64-bit hashes instead.
 FAST = 65_533
 END, RARE, START = 65_533, 65_534, 65_535
-#: For a smaller, approximate model: words that keep their identity in pairs, at most FAST; all others are then one class.
-#: None: every word keeps it.
-NUMBERED: int | None = None
-#: Rows of the table of pairs: both words numbered; only the second not; only the first not; neither.
-BOTH, SECOND, FIRST, NEITHER = range(4)
-#: Rows made of it: what a pair with an unnumbered first word adds to a score, and the backoff weights of such words.
-GAIN, WEIGHT = 4, 5
+#: Rows of the table of pairs: both words numbered; only the second not; only the first not; neither; and how often unnumbered words occur.
+BOTH, SECOND, FIRST, NEITHER, COUNT = range(5)
+#: Rows made of it, by the first word: pairs with an unnumbered first word, and the backoff weights of such words.
+AFTER, WEIGHT = 5, 6
+#: The documents of a block, and what they ask of the table: numbered pairs, and unnumbered words with the tokens on either side.
+_DOCS, _PAIRS, _WORDS = range(10, 13)
 #: Pairs resolved from a broadcast table instead of a shuffle: the most frequent ones, so that no key is hot.
-FREQUENT_PAIRS = 65_536
+FREQUENT_PAIRS = 262_144
 #: Counts above this are not discounted.
 TOP = 5
-#: Unnumbered pairs of a bucket are put together in so many parts, one after another.
-PARTS = 8
-#: Tokens a task gathers before it deals them out, and tokens per bucket.
+#: Tokens a task gathers before it deals them out, tokens per bucket, pairs in a row of the table, and buckets' tasks at most.
 GATHERED = 1_000_000
-PER_BUCKET = 8_000_000
+PER_BUCKET = 1_500_000
+PER_ROW = 65_536
+TASKS = 20_000
 
 
 def discounts(counts_of_counts: list[int]) -> np.ndarray:
@@ -68,7 +68,6 @@ class Unigrams:
     factors: np.ndarray
     mass: float  # what counts are divided by
     unknown: float  # probability of all words not seen
-    exact: bool  # whether words without a number are told apart in pairs
 
     def classes(self, word: np.ndarray) -> np.ndarray:
         if not len(self.hash):
@@ -77,17 +76,14 @@ class Unigrams:
         return np.where(self.hash[spot] == word, self.number[spot], RARE)
 
     def probability(self) -> np.ndarray:
-        """Of each numbered word, of the end, and of all others together."""
+        """Of each numbered word and of the end. The number RARE has none: such words have their own."""
         p = np.zeros(START)
         p[: END + 1] = discounted(self.count[: END + 1], self.factors) / self.mass
-        p[RARE] = max(0.0, 1 - p[: END + 1].sum())
         return p
 
     def log_probability(self) -> np.ndarray:
-        """Of each number. Words without one add their own where they meet the table of words, so RARE adds nothing unless it is a class."""
         p = _log(self.probability())
-        if self.exact:
-            p[RARE] = 0.0
+        p[RARE] = 0.0
         return p
 
     def seen(self, count: np.ndarray) -> np.ndarray:
@@ -151,10 +147,8 @@ def _bucket(pair: np.ndarray, buckets: int) -> np.ndarray:
     return (W.mix(pair.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _unnumbered(pair: np.ndarray, unigrams: Unigrams) -> np.ndarray:
+def _unnumbered(pair: np.ndarray) -> np.ndarray:
     """Which pairs are counted under hashes."""
-    if not unigrams.exact:
-        return np.zeros(len(pair), bool)
     return ((pair >> 16) == RARE) | ((pair & 0xFFFF) == RARE)
 
 
@@ -186,212 +180,235 @@ def _by_bucket(at: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
     return [(b, order[x:y]) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
 
 
-def _by_part(word: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    return _by_bucket(((W.mix(word) >> np.uint64(40)) % np.uint64(PARTS)).astype(np.int64), PARTS)
+_ROWS = "bucket int, kind int, a binary, b binary, c binary, d binary"
+_KINDS = {"bucket": pa.int32(), "kind": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary()}
 
 
-_ROWS = "bucket int, kind int, pairs binary, others binary, counts binary, ends binary"
+def _batches(rows: Iterator[tuple], kinds: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of some megabytes."""
+    held, size = [], 0
 
+    def batch():
+        return pa.record_batch([pa.array([r[i] for r in held], kind) for i, kind in enumerate(kinds.values())], names=list(kinds))
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    """Rows of the table. ``pairs`` are numbered pairs, or the first unnumbered word of each; ``others`` the other word, ``ends``
-    how often an unnumbered second word occurs."""
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-    return pa.record_batch([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["bucket", "kind", "pairs", "others", "counts", "ends"])
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size > 1 << 22 or len(held) == 5000:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
-def _packed(bucket: int, a: np.ndarray, b: np.ndarray, count: np.ndarray, width: str, ends: np.ndarray | None = None) -> list[tuple]:
-    """Rows of pairs with an unnumbered side, by kind."""
+#: Marks columns of mostly small numbers.
+_SMALL = "small"
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers, after a byte that says how many bytes each takes."""
+    width = next(w for w in (1, 2, 4, 8) if not len(values) or values.max() < 1 << min(8 * w, 63))
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _widened(cell) -> np.ndarray:
+    width = np.frombuffer(cell, np.uint8, 1)[0]
+    return np.frombuffer(cell, f"<u{width}", offset=1).astype(np.int64)
+
+
+def _packed(bucket: int, kind: int, *columns: tuple[np.ndarray, str] | None) -> Iterator[tuple]:
+    """Rows of the table: some columns' values, at most PER_ROW of them in a row."""
+    n = next(len(c[0]) for c in columns if c)
+    for at in range(0, n, PER_ROW):
+        cells = []
+        for c in columns:
+            part = c and c[0][at : at + PER_ROW]
+            cells.append(c and (_narrow(part) if c[1] == _SMALL else part.astype(c[1]).tobytes()))
+        yield bucket, kind, *cells, *([None] * (4 - len(cells)))
+
+
+def _hashed_rows(bucket: int, a: np.ndarray, b: np.ndarray, count: np.ndarray, ends: np.ndarray | None = None) -> Iterator[tuple]:
+    """Rows of pairs with an unnumbered side, by kind: the first unnumbered word of each pair, the other word, how often the pair occurs, and
+    how often an unnumbered second word does."""
     numbered = np.uint64(START + 1)
     kind = np.where(a < numbered, SECOND, np.where(b < numbered, FIRST, NEITHER))
-    rows = []
     for k, one, other, size in ((SECOND, b, a, "<u2"), (FIRST, a, b, "<u2"), (NEITHER, a, b, "<u8")):
         i = np.flatnonzero(kind == k)
         if len(i):
-            last = None if ends is None or k == FIRST else ends[i].astype("<u8").tobytes()
-            rows.append((bucket, k, one[i].tobytes(), other[i].astype(size).tobytes(), count[i].astype(width).tobytes(), last))
-    return rows
+            last = None if ends is None or k == FIRST else (ends[i], _SMALL)
+            yield from _packed(bucket, k, (one[i], "<u8"), (other[i], size), (count[i], _SMALL), last)
 
 
-def _unpacked(r: dict, width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    one = np.frombuffer(r["pairs"], np.uint64)
-    other = np.frombuffer(r["others"], "<u8" if r["kind"] == NEITHER else "<u2").astype(np.uint64)
-    count = np.frombuffer(r["counts"], width).astype(np.int64)
+def _unpacked(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    one = np.frombuffer(r["a"], np.uint64)
+    other = np.frombuffer(r["b"], "<u8" if r["kind"] == NEITHER else "<u2").astype(np.uint64)
+    count = _widened(r["c"])
     return (other, one, count) if r["kind"] == SECOND else (one, other, count)
 
 
 def _pair_counts(unigrams, buckets: int):
     """Pairs by bucket; those with an unnumbered second word by that word, so that a bucket knows how often it occurs, others by the first."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         none = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         pair, count = none
         apart, held = [], 0
 
         def numbered():
-            return [
-                (n, BOTH, pair[i].tobytes(), None, count[i].astype("<u4").tobytes(), None) for n, i in _by_bucket(_bucket(pair, buckets), buckets)
-            ]
+            for n, i in _by_bucket(_bucket(pair, buckets), buckets):
+                yield from _packed(n, BOTH, (pair[i], "<u4"), None, (count[i], _SMALL))
 
         def hashed():
             a, b = (np.concatenate([np.zeros(0, np.uint64), *side]) for side in (zip(*apart) if apart else ((), ())))
             a, b, times = _summed(a, b, np.ones(len(a), np.int64))
-            at = _word_bucket(np.where(b <= START, a, b), buckets)
-            return [row for n, i in _by_bucket(at, buckets) for row in _packed(n, a[i], b[i], times[i], "<u4")]
+            for n, i in _by_bucket(_word_bucket(np.where(b <= START, a, b), buckets), buckets):
+                yield from _hashed_rows(n, a[i], b[i], times[i])
 
         for batch in batches:
             taught = np.array(batch.column("taught").to_pylist(), bool)
             for first, found, text, word in _pairs(batch, unigrams.value):
-                own, far = taught[first + text], _unnumbered(found, unigrams.value)
+                own, far = taught[first + text], _unnumbered(found)
                 new, often = np.unique(found[own & ~far], return_counts=True)
                 pair, inverse = np.unique(np.concatenate([pair, new]), return_inverse=True)
                 count = np.bincount(inverse, np.concatenate([count, often]), len(pair)).astype(np.int64)
                 apart.append(_sides(found, word, np.flatnonzero(own & far)))
                 held += len(apart[-1][0])
                 if len(pair) > GATHERED:
-                    yield _rows(numbered())
+                    yield from numbered()
                     pair, count = none
                 if held > GATHERED:
-                    yield _rows(hashed())
+                    yield from hashed()
                     apart, held = [], 0
-        yield _rows(numbered())
+        yield from numbered()
         pair, count = none
-        yield _rows(hashed())
+        yield from hashed()
 
-    return run
+    return lambda batches: _batches(run(batches), _KINDS)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows; their binaries are looked at where they lie."""
+    for batch in batches:
+        columns = {}
+        for n in batch.schema.names:
+            column = batch.column(n)
+            if column.type in (pa.binary(), pa.large_binary()):
+                columns[n] = [x.as_buffer() for x in column]
+            else:
+                columns[n] = column.to_pylist()
+        for row in zip(*columns.values()):
+            yield dict(zip(columns, row))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[dict]]]:
     """Rows that come sorted by bucket, one bucket after another."""
-    from itertools import groupby
-
-    rows = ({n: batch.column(n)[i].as_py() for n in batch.schema.names} for batch in batches for i in range(len(batch)))
-    return groupby(rows, key=lambda r: r["bucket"])
+    return groupby(_read(batches), key=lambda r: r["bucket"])
 
 
 def _table(buckets: int):
     """A bucket's pairs in order, with their counts in the whole corpus. Pairs of two unnumbered words are dealt on by the first one."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for bucket, rows in _runs(batches):
-            pair, count, held, size = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
-            apart = [[] for _ in range(PARTS)]
-
-            def merged():
-                every = np.concatenate([pair, *[p for p, _ in held]])
-                out, inverse = np.unique(every, return_inverse=True)
-                return out, np.bincount(inverse, np.concatenate([count, *[c for _, c in held]]), len(out)).astype(np.int64)
-
-            def numbered():
-                pair, count = merged()
-                for part in np.array_split(np.arange(len(pair)), max(1, len(pair) >> 20)):
-                    yield _rows([(bucket, BOTH, pair[part].tobytes(), None, count[part].astype("<u8").tobytes(), None)])
-
+            numbered, apart = [], []
             for r in rows:
                 if r["kind"] == BOTH:
-                    held.append((np.frombuffer(r["pairs"], np.uint32), np.frombuffer(r["counts"], "<u4").astype(np.int64)))
-                    size += len(held[-1][0])
-                    if size > GATHERED:
-                        pair, count = merged()
-                        held, size = [], 0
-                    continue
-                if held or len(pair):  # they come first
-                    yield from numbered()
-                    pair, count, held, size = pair[:0].copy(), count[:0].copy(), [], 0
-                a, b, times = _unpacked(r, "<u4")
-                for n, i in _by_part(np.where(b > START, b, a)):
-                    apart[n].append((a[i], b[i], times[i].astype(np.uint32)))
-            if held or len(pair):
-                yield from numbered()
-            for n in range(PARTS):
-                if not apart[n]:
-                    continue
-                a, b, times = _summed(*(np.concatenate(c) for c in zip(*apart[n])))
-                apart[n] = []
+                    numbered.append((np.frombuffer(r["a"], np.uint32).copy(), _widened(r["c"]).astype(np.uint32)))
+                else:
+                    a, b, times = _unpacked(r)
+                    apart.append((a.copy(), b.copy(), times.astype(np.uint32)))
+            if numbered:
+                pair, inverse = np.unique(np.concatenate([p for p, _ in numbered]), return_inverse=True)
+                count = np.bincount(inverse, np.concatenate([c for _, c in numbered]), len(pair)).astype(np.int64)
+                numbered.clear()
+                yield from _packed(bucket, BOTH, (pair, "<u4"), None, (count, _SMALL))
+                del pair, inverse, count
+            if apart:
+                a, b, times = _summed(*(np.concatenate(c) for c in zip(*apart)))
+                apart.clear()
                 # Every occurrence of a word follows something, so its pairs add up to its count.
-                _, inverse = np.unique(b, return_inverse=True)
-                ends = np.bincount(inverse, times).astype(np.int64)[inverse]
+                word, inverse = np.unique(b, return_inverse=True)
+                often = np.bincount(inverse, times).astype(np.int64)
+                far = word > START
+                if far.any():
+                    yield from _packed(bucket, COUNT, (word[far], "<u8"), None, (often[far], _SMALL))
+                ends = often[inverse]
                 to = np.where((a > START) & (b > START), _word_bucket(a, buckets), bucket)
                 for at, i in _by_bucket(to, buckets):
-                    yield _rows(_packed(at, a[i], b[i], times[i], "<u8", ends[i]))
+                    yield from _hashed_rows(at, a[i], b[i], times[i], ends[i])
+
+    return lambda batches: _batches(run(batches), _KINDS)
 
-    return run
+
+_COLUMNS = [*[f"n{r}" for r in range(1, TOP + 1)], "more", "seen"]
 
 
 def _contexts(unigrams: Unigrams):
-    """Per numbered context in each row of the table: how many pairs occur 1 to TOP times, the tokens of others, and the seen words' probability.
+    """Per numbered context in a task's rows of the table: how many pairs occur 1 to TOP times, the tokens of others, and the seen words' probability.
 
-    Context -1 has the counts of counts of all pairs, and its last column those of TOP + 1.
+    Context -1 has the counts of counts of all pairs, with those of TOP + 1 under "more".
     """
     probability = unigrams.probability()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                count = np.frombuffer(r["counts"], "<u8").astype(np.int64)
-                if r["kind"] == BOTH:
-                    pair = np.frombuffer(r["pairs"], np.uint32)
-                    before, p = pair >> 16, probability[pair & 0xFFFF]
-                elif r["kind"] == SECOND:
-                    before, p = np.frombuffer(r["others"], "<u2"), unigrams.seen(np.frombuffer(r["ends"], "<u8").astype(np.int64))
-                else:
-                    before, p = np.zeros(0, np.uint32), np.zeros(0)
-                context, inverse = np.unique(before, return_inverse=True)
-                n, own = len(context), count[: len(before)]
-                columns = [np.bincount(inverse, own == k, n) for k in range(1, TOP + 1)]
-                columns += [np.bincount(inverse, np.where(own > TOP, own, 0), n), np.bincount(inverse, p, n)]
-                columns = [np.append(c, (count == k + 1).sum() if k <= TOP else 0) for k, c in enumerate(columns)]
-                yield pa.record_batch(
-                    [pa.array(np.append(context.astype(np.int64), -1)), *[pa.array(c.astype(float)) for c in columns]],
-                    names=["context", *[f"n{k}" for k in range(1, TOP + 1)], "more", "seen"],
-                )
+        held = np.zeros((TOP + 2, START + 1))
+        every = np.zeros(TOP + 2)
+        for r in _read(batches):
+            count = _widened(r["c"])
+            every += np.bincount(np.minimum(count, TOP + 2), minlength=TOP + 3)[1:]
+            if r["kind"] == BOTH:
+                pair = np.frombuffer(r["a"], np.uint32)
+                before, p = pair >> 16, probability[pair & 0xFFFF]
+            elif r["kind"] == SECOND:
+                before, p = np.frombuffer(r["b"], "<u2"), unigrams.seen(_widened(r["d"]))
+            else:
+                continue
+            context, inverse = np.unique(before, return_inverse=True)
+            n = len(context)
+            for k in range(1, TOP + 1):
+                held[k - 1, context] += np.bincount(inverse, count == k, n)
+            held[TOP, context] += np.bincount(inverse, np.where(count > TOP, count, 0), n)
+            held[TOP + 1, context] += np.bincount(inverse, p, n)
+        context = np.flatnonzero(held.any(0))
+        columns = np.column_stack([held[:, context], np.append(every[: TOP + 1], 0.0)])
+        yield pa.record_batch([pa.array(np.append(context, -1)), *[pa.array(c) for c in columns]], names=["context", *_COLUMNS])
 
     return run
 
 
-def _gains(unigrams, factors: np.ndarray):
-    """Of pairs whose first word has no number: what each adds to a score against being backed off, and the words' backoff weights.
+def _weights(unigrams, factors: np.ndarray):
+    """Pairs whose first word has no number (hash, count, how often an unnumbered second word occurs), and the backoff weights of such
+    words, with what their counts are divided by and whether those are left whole.
 
     The weights are those of ``backoff``; all pairs of a first word are in one bucket.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         uni = unigrams.value
         probability = uni.probability()
         for bucket, rows in _runs(batches):
-            parts = [[] for _ in range(PARTS)]
+            parts = []
             for r in rows:
-                a, b, count = _unpacked(r, "<u8")
-                p = probability[b.astype(np.int64)] if r["kind"] == FIRST else uni.seen(np.frombuffer(r["ends"], "<u8").astype(np.int64))
-                pair = _pair_hash(a, b)
-                for n, i in _by_part(a):
-                    parts[n].append((pair[i], a[i], count[i], p[i]))
-            for n in range(PARTS):
-                if not parts[n]:
-                    continue
-                pair, a, count, p = (np.concatenate(c) for c in zip(*parts[n]))
-                parts[n] = []
-                order = np.argsort(pair)
-                pair, a, count, p = pair[order], a[order], count[order], p[order]
-                word, inverse = np.unique(a, return_inverse=True)
-                total, cut = np.bincount(inverse, count), discounted(count, factors)
-                left, unseen = total - np.bincount(inverse, cut), 1 - np.bincount(inverse, p)
-                plain = unseen <= 1e-12
-                full = ~plain & (left <= 1e-9)
-                mass = total + full
-                weight = np.ones(len(word))
-                weight[~plain] = (np.where(full, 1.0, left) / mass)[~plain] / unseen[~plain]
-                log_weight = np.log10(weight)
-                gain = np.log10(np.where(plain[inverse], count, cut) / mass[inverse]) - log_weight[inverse] - _log(p)
-                yield _rows([(bucket, k, x.tobytes(), None, y.astype("<f8").tobytes(), None) for k, x, y in ((GAIN, pair, gain), (WEIGHT, word, log_weight))])
-
-    return run
-
-
-def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for word, weight in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
-            yield pa.record_batch([pa.array(np.frombuffer(word, np.int64)), pa.array(np.frombuffer(weight, "<f8"))], names=["word", "weight"])
+                a, b, count = _unpacked(r)
+                ends = np.zeros(len(a), np.int64) if r["kind"] == FIRST else _widened(r["d"])
+                p = probability[b.astype(np.int64)] if r["kind"] == FIRST else uni.seen(ends)
+                parts.append((_pair_hash(a, b), a.copy(), count, ends, p))
+            pair, a, count, ends, p = (np.concatenate(c) for c in zip(*parts))
+            parts.clear()
+            order = np.argsort(pair)  # an order for sums that does not depend on that of rows
+            pair, a, count, ends, p = pair[order], a[order], count[order], ends[order], p[order]
+            word, inverse = np.unique(a, return_inverse=True)
+            total, cut = np.bincount(inverse, count), discounted(count, factors)
+            left, unseen = total - np.bincount(inverse, cut), 1 - np.bincount(inverse, p)
+            plain = unseen <= 1e-12
+            full = ~plain & (left <= 1e-9)
+            mass = total + full
+            weight = np.ones(len(word))
+            weight[~plain] = (np.where(full, 1.0, left) / mass)[~plain] / unseen[~plain]
+            yield from _packed(bucket, AFTER, (pair, "<u8"), None, (count, _SMALL), (ends, _SMALL))
+            yield from _packed(bucket, WEIGHT, (word, "<u8"), None, (np.log10(weight), "<f8"), (2 * mass.astype(np.int64) + plain, _SMALL))
+
+    return lambda batches: _batches(run(batches), _KINDS)
 
 
 @dataclass
@@ -434,201 +451,195 @@ def _log(p: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(p, 1e-300))
 
 
-def _doc_sums(unigrams, model, frequent):
-    """A row per document with what its numbered words, backed-off pairs and frequent pairs add up to."""
+_ASK = _KINDS | {"block": pa.int64(), "ids": pa.list_(pa.int64())}
+_ASKED = _ROWS + ", block long, ids array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _asked(unigrams, model, frequent, buckets: int):
+    """What documents ask of the table, dealt out by bucket; and per block of documents what is known without it.
+
+    A block is the documents of one slice of text. Numbered pairs that are not in the broadcast table are asked once per document, with
+    their count. Unnumbered words go to their bucket with the numbers of the tokens on either side, or the hash of a second word without
+    one, and so ask of both pairs, too; a pair of two unnumbered words is asked by the first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         uni, back, (known, counts) = unigrams.value, model.value, frequent.value
         log_p, log_count = uni.log_probability(), np.log10(uni.count + 1.0)
         log_count[RARE] = 0.0
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            n = len(batch)
-            tokens, seen, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-            for first, pair, text, _ in _pairs(batch, uni):
-                text = text + first
+            ids = batch.column("doc_id").to_pylist()
+            for first, pair, text, word in _pairs(batch, uni):
+                n = int(text[-1]) + 1
                 before, kind = pair >> 16, pair & 0xFFFF
+                # All pairs as if backed off; those that were seen are made good where their counts are known.
                 value = back.log_weight[before] + log_p[kind]
+                open_ = np.ones(len(pair), bool)
                 if len(known):
                     spot = np.minimum(np.searchsorted(known, pair), len(known) - 1)
                     hit = np.flatnonzero(known[spot] == pair)
                     value[hit] = back.log_seen(before[hit], counts[spot[hit]])
-                tokens += np.bincount(text, minlength=n)
-                seen += np.bincount(text, (kind != RARE) & (uni.count[kind] > 0), n).astype(np.int64)
-                base += np.bincount(text, log_count[kind], n)
-                score += np.bincount(text, value, n)
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("same"), pa.array(np.ones(n, np.int64)), pa.array(tokens), pa.array(seen), pa.array(base), pa.array(score)],
-                names=["doc_id", "same", "rows", "n_tokens", "n_known", "base", "score"],
-            )
-
-    return run
-
-
-def _rare_words(unigrams):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, pair, text, word in _pairs(batch, unigrams.value):
-                rare = np.flatnonzero((pair & 0xFFFF) == RARE)
-                order = rare[np.lexsort((word[rare], text[rare]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (word[order][1:] != word[order][:-1]) | (text[order][1:] != text[order][:-1])
-                at = np.flatnonzero(new)
-                row = pa.array(first + text[order[at]])
-                yield pa.record_batch(
-                    [batch.column("doc_id").take(row), batch.column("same").take(row), pa.array(word[order[at]].view(np.int64)), pa.array(np.diff(np.append(at, len(order))))],
-                    names=["doc_id", "same", "word", "times"],
-                )
-
-    return run
-
-
-_ASKED = "bucket int, kind int, block long, pairs binary, counts binary, local binary, ids array<long>, sames array<long>"
-#: Kinds of rows that come after those of the table.
-_PAIRS, _HASHED, _DOCS = range(10, 13)
-
+                    open_[hit] = False
+                seen = (kind != RARE) & (uni.count[kind] > 0)
+                sums = np.bincount(text, minlength=n), np.bincount(text, seen, n), np.bincount(text, log_count[kind], n), np.bincount(text, value, n)
+                cells = [s.astype(t).tobytes() for s, t in zip(sums, ("<i8", "<i8", "<f8", "<f8"))]
+                yield block % buckets, _DOCS, *cells, block, ids[first : first + n]
+
+                places = np.flatnonzero(kind == RARE)
+                # An end follows every word, so there is a next token.
+                own, near, prior, after = word[places], text[places], before[places], kind[places + 1]
+                for bucket, i in _by_bucket(_word_bucket(own, buckets), buckets):
+                    sides = np.concatenate([prior[i], after[i]]).astype("<u2").tobytes()
+                    further = word[places[i] + 1][after[i] == RARE].tobytes()
+                    yield bucket, _WORDS, own[i].tobytes(), sides, further, _narrow(near[i]), block, None
+                open_ &= ~_unnumbered(pair)
+                key, times = np.unique((pair[open_].astype(np.uint64) << np.uint64(32)) | text[open_].astype(np.uint64), return_counts=True)
+                asked, near = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                for bucket, i in _by_bucket(_bucket(asked, buckets), buckets):
+                    yield bucket, _PAIRS, asked[i].tobytes(), None, _narrow(times[i]), _narrow(near[i]), block, None
+                block += 1
 
-def _asked(unigrams, frequent, buckets: int):
-    """Pairs of documents that are not in the broadcast table, dealt out by bucket: sorted pairs, each with its document and count.
+    return lambda batches: _batches(run(batches), _ASK)
 
-    Pairs with an unnumbered side go as hashes, once per token, to the bucket of their first unnumbered word.
 
-    A block is the documents of one slice of text; one more row per block names them.
-    """
+_ANSWER = {"block": pa.int64(), "bucket": pa.int32(), "docs": pa.bool_(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary(), "ids": pa.list_(pa.int64())}
+_ANSWERED = "block long, bucket int, docs boolean, a binary, b binary, c binary, d binary, ids array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, _ = frequent.value
-        block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for first, pair, text, word in _pairs(batch, unigrams.value):
-                size = int(text[-1]) + 1
-                apart = _unnumbered(pair, unigrams.value)
-                places = np.flatnonzero(apart)
-                a, b = _sides(pair, word, places)
-                hashed, near = _pair_hash(a, b), text[places].astype("<u4")
-                dealt = _by_bucket(_word_bucket(np.where(a > START, a, b), buckets), buckets)
-                rows = [(n, _HASHED, block, hashed[i].tobytes(), None, near[i].tobytes(), None, None) for n, i in dealt]
-                pair, text = pair[~apart], text[~apart]
-                if len(known):
-                    spot = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-                    open_ = known[spot] != pair
-                    pair, text = pair[open_], text[open_]
-                key, times = np.unique((pair.astype(np.uint64) << np.uint64(32)) | text.astype(np.uint64), return_counts=True)
-                pair, text = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype("<u4")
-                rows += [
-                    (n, _PAIRS, block, pair[i].tobytes(), np.minimum(times[i], 0xFFFFFFFF).astype("<u4").tobytes(), text[i].tobytes(), None, None)
-                    for n, i in _by_bucket(_bucket(pair, buckets), buckets)
-                ]
-                ids, sames = (batch.column(c).slice(first, size).to_pylist() for c in ("doc_id", "same"))
-                rows.append((block % buckets, _DOCS, block, None, None, None, ids, sames))
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                names = ["bucket", "kind", "block", "pairs", "counts", "local", "ids", "sames"]
-                yield pa.record_batch([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=names)
-                block += 1
 
-    return run
+def _found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the asked are known, and where."""
+    if not len(known):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    spot = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    hit = np.flatnonzero(known[spot] == asked)
+    return hit, spot[hit]
 
 
 def _answered(unigrams, model):
-    """What pairs seen in training add to each document of a block, against having been backed off; the names of a block pass through.
+    """What a bucket's pairs and words add to each document of a block: score, base score and known tokens. Rows of documents pass through.
 
-    A bucket's table rows come first.
+    A bucket's rows come in order: first the table, then block by block the documents and what they ask.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         uni, back = unigrams.value, model.value
-        log_p = uni.log_probability()
-
-        def row(block, places, totals, ids, sames):
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            return pa.record_batch(
-                [pa.array([x], k) for x, k in zip((block, places, totals, ids, sames), kinds)], names=["block", "places", "totals", "ids", "sames"]
-            )
+        probability, log_p = uni.probability(), uni.log_probability()
 
-        def ordered(parts, kind):
-            known = np.concatenate([p for p, _ in parts] or [np.zeros(0, kind)])
-            value = np.concatenate([v for _, v in parts] or [np.zeros(0)])
-            parts.clear()
-            order = np.argsort(known)
-            return known[order], value[order]
-
-        for _, rows in _runs(batches):
-            parts, hashed, tables = [], [], None
+        def table(rows):
+            """The table rows by kind, each in the order of its first column."""
+            parts = {kind: [] for kind in (BOTH, SECOND, COUNT, AFTER, WEIGHT)}
             for r in rows:
-                if r["kind"] == BOTH:
-                    parts.append((np.frombuffer(r["pairs"], np.uint32), np.frombuffer(r["counts"], "<u8").astype(np.int64)))
-                    continue
-                if r["kind"] == SECOND:
-                    before, b, count = _unpacked(r, "<u8")
-                    p = uni.seen(np.frombuffer(r["ends"], "<u8").astype(np.int64))
+                kind = r["kind"]
+                if kind == BOTH:
+                    found = np.frombuffer(r["a"], np.uint32).copy(), _widened(r["c"])
+                elif kind == SECOND:
+                    before, b, count = _unpacked(r)
                     at = before.astype(np.int64)
-                    hashed.append((_pair_hash(before, b), back.log_seen(at, count) - back.log_weight[at] - _log(p)))
-                    continue
-                if r["kind"] == GAIN:
-                    hashed.append((np.frombuffer(r["pairs"], np.uint64), np.frombuffer(r["counts"], "<f8")))
-                    continue
-                if r["kind"] == _DOCS:
-                    yield row(r["block"], None, None, r["ids"], r["sames"])
-                    continue
-                if tables is None:
-                    tables = {_PAIRS: ordered(parts, np.uint32), _HASHED: ordered(hashed, np.uint64)}
-                known, value = tables[r["kind"]]
-                if not len(known):
-                    continue
-                pair = np.frombuffer(r["pairs"], known.dtype)
-                spot = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-                hit = np.flatnonzero(known[spot] == pair)
-                if r["kind"] == _PAIRS:
-                    before, kind = pair[hit] >> 16, pair[hit] & 0xFFFF
-                    gain = back.log_seen(before, value[spot[hit]]) - back.log_weight[before] - log_p[kind]
-                    gain = gain * np.frombuffer(r["counts"], "<u4")[hit]
+                    found = _pair_hash(before, b), back.log_seen(at, count) - back.log_weight[at] - _log(uni.seen(_widened(r["d"])))
+                elif kind == COUNT:
+                    found = np.frombuffer(r["a"], np.uint64).copy(), _widened(r["c"])
+                elif kind == AFTER:
+                    found = np.frombuffer(r["a"], np.uint64).copy(), _widened(r["c"]), _widened(r["d"])
                 else:
-                    gain = value[spot[hit]]
-                places, local = np.unique(np.frombuffer(r["local"], "<u4")[hit], return_inverse=True)
-                if len(places):
-                    totals = np.bincount(local, gain, len(places))
-                    yield row(r["block"], places.astype("<u4").tobytes(), totals.astype("<f8").tobytes(), None, None)
+                    found = np.frombuffer(r["a"], np.uint64).copy(), np.frombuffer(r["c"], "<f8").copy(), _widened(r["d"])
+                parts[kind].append(found)
+            out = {}
+            for kind, found in parts.items():
+                columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.uint32 if kind == BOTH else np.uint64)] + [np.zeros(0)] * 2
+                found.clear()
+                order = np.argsort(columns[0])
+                out[kind] = [c[order] for c in columns]
+            return out
+
+        def pairs(r, known):
+            pair = np.frombuffer(r["a"], np.uint32)
+            hit, spot = _found(known[BOTH][0], pair)
+            before, after = pair[hit] >> 16, pair[hit] & 0xFFFF
+            gain = back.log_seen(before, known[BOTH][1][spot].astype(np.int64)) - back.log_weight[before] - log_p[after]
+            return _widened(r["d"])[hit], gain * _widened(r["c"])[hit], np.zeros(len(hit)), np.zeros(len(hit))
+
+        def words(r, known):
+            word = np.frombuffer(r["a"], np.uint64)
+            n = len(word)
+            prior, after = np.frombuffer(r["b"], "<u2").astype(np.uint64).reshape(2, n)
+            count, weight, mass = np.zeros(n, np.int64), np.zeros(n), np.ones(n, np.int64)
+            hit, spot = _found(known[COUNT][0], word)
+            count[hit] = known[COUNT][1][spot]
+            hit, spot = _found(known[WEIGHT][0], word)
+            weight[hit], mass[hit] = known[WEIGHT][1][spot], known[WEIGHT][2][spot]
+            value = np.log10(np.where(count > 0, uni.seen(count), uni.unknown)) + weight
+            # The pair that ends here, after a numbered word.
+            at = np.flatnonzero(prior != RARE)
+            hit, spot = _found(known[SECOND][0], _pair_hash(prior[at], word[at]))
+            value[at[hit]] += known[SECOND][1][spot]
+            # The pair that begins here.
+            second = after.copy()
+            second[after == RARE] = np.frombuffer(r["c"], np.uint64)
+            hit, spot = _found(known[AFTER][0], _pair_hash(word, second))
+            often, ends = (c[spot].astype(np.int64) for c in known[AFTER][1:])
+            p = np.where(after[hit] == RARE, uni.seen(ends), probability[np.minimum(after[hit], END).astype(np.int64)])
+            held = np.where(mass[hit] & 1, often, discounted(often, back.factors))
+            value[hit] += np.log10(held / (mass[hit] >> 1)) - weight[hit] - _log(p)
+            return _widened(r["d"]), value, np.log10(count + 1.0), count > 0
 
-    return run
+        for bucket, rows in _runs(batches):
+            by_block = groupby(rows, key=lambda r: r["block"])
+            known = None
+            for block, rows in by_block:
+                if block is None:
+                    known = table(rows)
+                    continue
+                known = known or table(())
+                found = []
+                for r in rows:
+                    if r["kind"] == _DOCS:
+                        yield block, bucket, True, *(bytes(r[c]) for c in "abcd"), r["ids"]
+                    else:
+                        found.append((pairs if r["kind"] == _PAIRS else words)(r, known))
+                if found:
+                    text, *values = (np.concatenate(c) for c in zip(*found))
+                    places, local = np.unique(text, return_inverse=True)
+                    if len(places):
+                        score, base, seen = (np.bincount(local, v, len(places)) for v in values)
+                        yield block, bucket, False, _narrow(places), score.tobytes(), base.tobytes(), _narrow(seen.astype(np.int64)), None
+
+    return lambda batches: _batches(run(batches), _ANSWER)
 
 
 def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of a block's answers, one row per document. Rows come sorted by block, the names first, then by places and totals."""
-    held, total = None, None
-
-    def done():
-        names = ["doc_id", "same", "score"]
-        return pa.record_batch([pa.array(held["ids"], pa.int64()), pa.array(held["sames"], pa.int64()), pa.array(total)], names=names)
-
-    for batch in batches:
-        for i in range(len(batch)):
-            r = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
-            if r["ids"] is not None:
-                if held is not None:
-                    yield done()
-                held, total = r, np.zeros(len(r["ids"]))
-            else:
-                total[np.frombuffer(r["places"], "<u4")] += np.frombuffer(r["totals"], "<f8")
-    if held is not None:
-        yield done()
+    """A row per document of each block. Rows come sorted by block, the documents first, then by bucket, so that sums always agree."""
+    names = ["doc_id", "n_tokens", "n_known", "base", "score"]
+    for _, rows in groupby(_read(batches), key=lambda r: r["block"]):
+        held = next(rows)
+        tokens, known, base, score = (np.frombuffer(held[c], t).copy() for c, t in zip("abcd", ("<i8", "<i8", "<f8", "<f8")))
+        for r in rows:
+            at = _widened(r["a"])
+            score[at] += np.frombuffer(r["b"], "<f8")
+            base[at] += np.frombuffer(r["c"], "<f8")
+            known[at] += _widened(r["d"])
+        yield pa.record_batch([pa.array(held["ids"], pa.int64()), *map(pa.array, (tokens, known, base, score))], names=names)
 
 
 def _top_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(len(batch)):
-            pair = np.frombuffer(batch.column("pairs")[i].as_py(), np.uint32)
-            count = np.frombuffer(batch.column("counts")[i].as_py(), "<u8").astype(np.int64)
-            often = np.argsort(-count, kind="stable")[:FREQUENT_PAIRS]
-            often = often[count[often] > 1]
-            yield pa.record_batch([pa.array(pair[often].astype(np.int64)), pa.array(count[often])], names=["pair", "count"])
+    """A task's most frequent numbered pairs."""
+    pair, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    for r in _read(batches):
+        pair = np.concatenate([pair, np.frombuffer(r["a"], np.uint32)])
+        count = np.concatenate([count, _widened(r["c"])])
+        often = np.lexsort((pair, -count))[:FREQUENT_PAIRS]
+        often = often[count[often] > 1]
+        pair, count = pair[often], count[often]
+    yield pa.record_batch([pa.array(pair.astype(np.int64)), pa.array(count)], names=["pair", "count"])
 
 
 @dataclass
 class KatzModel:
-    """The tables: ``words`` (word hash, count, backoff weight), ``pairs`` (see ``_rows``), ``gains``, and what is broadcast of them."""
+    """The stored tables: ``words`` (word hash, count), ``pairs`` (see ``_hashed_rows``) and ``weights``, by bucket; and what is broadcast of them."""
 
     words: DataFrame
     pairs: DataFrame
-    gains: DataFrame
+    weights: DataFrame
     unigrams: Unigrams
     backoff: Backoff
     frequent: tuple[np.ndarray, np.ndarray]
@@ -636,22 +647,26 @@ class KatzModel:
 
 
 def _prepared(docs: DataFrame, taught) -> DataFrame:
-    doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(doc_id.alias("doc_id"), F.xxhash64(text).alias("same"), taught.alias("taught"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), taught.alias("taught"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+def _dealt(rows: DataFrame, buckets: int, *order: str) -> DataFrame:
+    """Rows of a bucket together and in order. A task has one bucket, or several one after another."""
+    return rows.repartition(min(buckets, TASKS), "bucket").sortWithinPartitions("bucket", *order)
 
 
 def train(docs: DataFrame, taught) -> KatzModel:
     """Counts words and pairs of the rows of ``docs`` (doc_id, text) for which the column ``taught`` is true."""
     spark = docs.sparkSession
-    rows = _prepared(docs, taught)
-    counted = saved(rows.select("taught", "text").mapInArrow(_uni_counts, "word long, count long, total int").groupBy("word", "total").agg(F.sum("count").alias("count")))
+    rows = _prepared(docs, taught).select("taught", "text")
+    counted = saved(rows.mapInArrow(_uni_counts, "word long, count long, total int").groupBy("word", "total").agg(F.sum("count").alias("count")))
     totals = {r["total"]: r["count"] for r in counted.where("total > 0").collect()}
     n_docs, all_tokens = totals.get(1, 0), totals.get(2, 0)
     words = counted.where("total = 0").select("word", "count")
     sums = words.agg(F.sum("count"), F.count("*"), *[F.sum((F.col("count") == r).cast("long")) for r in range(1, TOP + 2)]).first()
     tokens, distinct = (sums[0] or 0) + n_docs, sums[1] + (n_docs > 0)
     of_counts = [(sums[1 + r] or 0) + (n_docs == r) for r in range(1, TOP + 2)]
-    top = words.orderBy(F.desc("count"), "word").limit(FAST if NUMBERED is None else min(NUMBERED, FAST)).toPandas()
+    top = words.orderBy(F.desc("count"), "word").limit(FAST).toPandas()
     hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     count = np.zeros(START + 1, np.int64)
     count[: len(top)] = top["count"].to_numpy(np.int64)
@@ -661,22 +676,19 @@ def train(docs: DataFrame, taught) -> KatzModel:
     left = sum((1 - factors[r]) * r * of_counts[r - 1] for r in range(1, TOP + 1))
     mass = float(tokens) if left > 1e-9 else tokens + 1.0
     order = np.argsort(hashes)
-    unigrams = Unigrams(hashes[order], order.astype(np.int64), count, tokens, distinct, factors, mass, (left if left > 1e-9 else 1.0) / mass, NUMBERED is None)
+    unigrams = Unigrams(hashes[order], order.astype(np.int64), count, tokens, distinct, factors, mass, (left if left > 1e-9 else 1.0) / mass)
     sent = spark.sparkContext.broadcast(unigrams)
     buckets = max(1, -(-all_tokens // PER_BUCKET))
-    dealt = rows.select("taught", "text").mapInArrow(_pair_counts(sent, buckets), _ROWS)
-    pairs = saved(dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_table(buckets), _ROWS))
-    columns = [*[f"n{r}" for r in range(1, TOP + 1)], "more", "seen"]
-    contexts = pairs.mapInArrow(_contexts(unigrams), "context long, " + ", ".join(f"{c} double" for c in columns))
+    pairs = saved(_dealt(rows.mapInArrow(_pair_counts(sent, buckets), _ROWS), buckets, "kind").mapInArrow(_table(buckets), _ROWS))
+    contexts = pairs.where(F.col("kind") != COUNT).mapInArrow(_contexts(unigrams), "context long, " + ", ".join(f"{c} double" for c in _COLUMNS))
     # Sums in a fixed order, so that reruns agree.
-    summed = contexts.groupBy("context").agg(*[F.sum(F.col(c).cast("decimal(38,18)")).cast("double").alias(c) for c in columns])
-    top_pairs = pairs.where(F.col("kind") == BOTH).mapInArrow(_top_pairs, "pair long, count long").orderBy(F.desc("count"), "pair").limit(FREQUENT_PAIRS).toPandas().sort_values("pair")
+    summed = contexts.groupBy("context").agg(*[F.sum(F.col(c).cast("decimal(38,18)")).cast("double").alias(c) for c in _COLUMNS])
+    top_pairs = pairs.where(F.col("kind") == BOTH).mapInArrow(_top_pairs, "pair long, count long").orderBy(F.desc("count"), "pair").limit(FREQUENT_PAIRS)
+    top_pairs = top_pairs.toPandas().sort_values("pair")
     frequent = top_pairs["pair"].to_numpy(np.int64).astype(np.uint32), top_pairs["count"].to_numpy(np.int64)
     back = backoff(summed.collect(), unigrams)
-    unnumbered = pairs.where(F.col("kind").isin(FIRST, NEITHER)).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    gains = saved(unnumbered.mapInArrow(_gains(sent, back.factors), _ROWS))
-    weights = gains.where(F.col("kind") == WEIGHT).select("pairs", "counts").mapInArrow(_weights, "word long, weight double")
-    return KatzModel(words.join(weights, "word", "left"), pairs, gains, unigrams, back, frequent, buckets)
+    weights = saved(_dealt(pairs.where(F.col("kind").isin(FIRST, NEITHER)), buckets).mapInArrow(_weights(sent, back.factors), _ROWS))
+    return KatzModel(words, pairs, weights, unigrams, back, frequent, buckets)
 
 
 def score(docs: DataFrame, model: KatzModel, taught) -> DataFrame:
@@ -684,43 +696,16 @@ def score(docs: DataFrame, model: KatzModel, taught) -> DataFrame:
     context = docs.sparkSession.sparkContext
     uni = model.unigrams
     unigrams, back, frequent = (context.broadcast(x) for x in (uni, model.backoff, model.frequent))
-    rows = _prepared(docs, taught)
-    own = rows.mapInArrow(_doc_sums(unigrams, back, frequent), "doc_id long, same long, rows long, n_tokens long, n_known long, base double, score double")
-
-    rare = rows.mapInArrow(_rare_words(unigrams), "doc_id long, same long, word long, times long")
-    count = F.coalesce("count", F.lit(0))
-    held = F.when(count > TOP, count.cast("double")).otherwise(F.element_at(F.array(*[F.lit(float(f * r)) for r, f in enumerate(uni.factors)]), (count + 1).cast("int")))
-    p = F.when(count > 0, held / uni.mass).otherwise(uni.unknown)
-    # Without its own number a word adds its probability, and its backoff weight as the word before the next token.
-    share, weight = float(uni.log_probability()[RARE]), F.coalesce("weight", F.lit(0.0))
-    words = rare.join(model.words, "word", "left").select(
-        "doc_id", "same", F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("n_tokens"),
-        F.when(count > 0, F.col("times")).otherwise(0).alias("n_known"),
-        (F.col("times") * F.log10(count + 1)).alias("base"), (F.col("times") * (F.log10(p) - F.lit(share) + weight)).alias("score"),
-    )
-
-    asked = rows.mapInArrow(_asked(unigrams, frequent, model.buckets), _ASKED)
-    missing = {"block": "long", "local": "binary", "ids": "array<long>", "sames": "array<long>"}
-    known = model.pairs.where(F.col("kind").isin(BOTH, SECOND)).union(model.gains.where(F.col("kind") == GAIN))
-    table = known.withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
-    met = table.unionByName(asked, allowMissingColumns=True).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    found = met.mapInArrow(_answered(unigrams, back), "block long, places binary, totals binary, ids array<long>, sames array<long>")
-    by_block = found.repartition(model.buckets, "block").sortWithinPartitions("block", F.col("places").asc_nulls_first(), "totals")
-    zero = F.lit(0).cast("long")
-    answers = by_block.mapInArrow(_per_document, "doc_id long, same long, score double").select(
-        "doc_id", "same", zero.alias("rows"), zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), "score"
-    )
-    exact = lambda c: F.sum(F.col(c).cast("decimal(38,14)")).cast("double")  # noqa: E731  the same in whatever order
-    total = own.union(words).union(answers).groupBy("doc_id", "same").agg(
-        F.sum("rows").alias("rows"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), exact("base").alias("base"), exact("score").alias("score")
-    )
-    each = lambda c: F.col(c) / F.col("rows")
-    n_tokens = each("n_tokens").cast("long")
-    seen = uni.tokens > 0
-    return total.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select(
-        "doc_id", n_tokens.alias("n_tokens"), each("n_known").cast("long").alias("n_known"), F.lit(uni.tokens).cast("long").alias("train_tokens"),
-        (each("base") - n_tokens * float(np.log10(uni.tokens + uni.distinct + 1))).alias("base_score"),
-        (each("score") if seen else F.lit(0.0)).alias("score"),
+    asked = _prepared(docs, taught).mapInArrow(_asked(unigrams, back, frequent, model.buckets), _ASKED)
+    known = model.pairs.where(F.col("kind").isin(BOTH, SECOND, COUNT)).union(model.weights)
+    table = known.withColumns({"block": F.lit(None).cast("long"), "ids": F.lit(None).cast("array<long>")})
+    answers = _dealt(table.unionByName(asked), model.buckets, "block", "kind").mapInArrow(_answered(unigrams, back), _ANSWERED)
+    by_block = answers.repartition(min(model.buckets, TASKS), "block").sortWithinPartitions("block", ~F.col("docs"), "bucket")
+    total = by_block.mapInArrow(_per_document, "doc_id long, n_tokens long, n_known long, base double, score double")
+    return total.select(
+        "doc_id", "n_tokens", "n_known", F.lit(uni.tokens).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * float(np.log10(uni.tokens + uni.distinct + 1))).alias("base_score"),
+        (F.col("score") if uni.tokens > 0 else F.lit(0.0)).alias("score"),
     )
 
 
@@ -740,11 +725,11 @@ def language_model(docs: DataFrame, divisor: int = 7, left_out: int = 2) -> Data
 
     Words are counted under a 64-bit hash, summed in each task first. The FAST most frequent words have numbers; those, their
     backoff weights and the most frequent pairs are of fixed size and broadcast, so neither common words nor common pairs
-    are shuffled. Other words meet the table of counts and backoff weights in a join. Other pairs are dealt to buckets, whose
-    number grows with the corpus, and meet the stored table of pairs there, two numbered words under their numbers, the rest
-    under a 64-bit hash; sums per document come back.
+    are shuffled. Everything else is dealt to buckets of a bounded number of tokens, whose number grows with the corpus: pairs under their numbers or a
+    64-bit hash, with their counts, and the counts and backoff weights of unnumbered words. There they meet what blocks of documents
+    ask, and sums per document come back. A task holds one bucket at a time.
 
-    Null texts are empty, one token. Without training documents all scores are 0. Rows that repeat an id and text count
+    Null texts are empty, one token. Without training documents all scores are 0. Rows that repeat an id count
     each in training and are each scored. An empty table gives an empty one.
     """
     fold = remainder(F.col("doc_id").cast("long"), divisor)

@@ -8,11 +8,8 @@ from collections import Counter, defaultdict
 from itertools import combinations
 from math import log10
 
-import numpy as np
-import pyarrow as pa
-
-from dealerlake.llm import words as W
-from dealerlake.llm.katz import TOP, discounts
+#: Counts above this are not discounted.
+TOP = 5
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -56,65 +53,58 @@ def repeated_words(w):
     return len({p for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for p in (i, i + 1, i + 2)})
 
 
-def word_hash(word):
-    _, data, offsets = next(W.slices(pa.array([word])))
-    return int(W.words(data, offsets)[0][0].view(np.int64))
+def good_turing(of):
+    """Katz's discount factor of each count from 1 to TOP, from how many items occur how often; half a count less where it is undefined."""
+    half = {r: (r - 0.5) / r for r in range(1, TOP + 1)}
+    if not all(of.get(r) for r in range(1, TOP + 2)):
+        return half
+    a = (TOP + 1) * of[TOP + 1] / of[1]
+    if a >= 1:
+        return half
+    d = {r: ((r + 1) * of[r + 1] / of[r] / r - a) / (1 - a) for r in range(1, TOP + 1)}
+    return d if all(0 < x < 1 for x in d.values()) else half
 
 
 class Katz:
-    """The model of ``katz.language_model`` from dictionaries; ``numbered`` words have a class of their own."""
+    """The model of ``katz.language_model`` from dictionaries."""
 
-    def __init__(self, texts, numbered):
+    def __init__(self, texts):
         count = Counter(w for t in texts for w in words(t))
-        top = sorted(count, key=lambda w: (-count[w], word_hash(w)))[:numbered]
-        self.known, self.count = set(top), count
+        self.count = count
         count["</s>"] = len(texts)
         self.total, self.distinct = sum(count.values()), len(count)
-        of = Counter(count.values())
-        self.d = discounts([of[r] for r in range(1, TOP + 2)])
+        self.d = good_turing(Counter(count.values()))
         left = self.total - sum(self.cut(c, self.d) for c in count.values())
         self.mass = self.total if left > 1e-9 else self.total + 1
         self.unknown = (left if left > 1e-9 else 1) / self.mass
-        self.rare = 1 - sum(self.word(w) for w in [*top, "</s>"])
-        pairs = Counter()
+        self.after = defaultdict(Counter)
         for t in texts:
-            kinds = ["<s>", *map(self.kind, words(t)), "</s>"]
-            pairs.update(zip(kinds, kinds[1:]))
-        self.pairs, self.after = pairs, defaultdict(dict)
-        for (a, b), c in pairs.items():
-            self.after[a][b] = c
-        of = Counter(pairs.values())
-        self.d2 = discounts([of[r] for r in range(1, TOP + 2)])
+            w = ["<s>", *words(t), "</s>"]
+            for a, b in zip(w, w[1:]):
+                self.after[a][b] += 1
+        self.d2 = good_turing(Counter(c for follow in self.after.values() for c in follow.values()))
 
     @staticmethod
     def cut(c, d):
         return c if c > TOP else c * d[c]
 
-    def kind(self, w):
-        return w if w in self.known or w == "</s>" else "<rare>"
-
     def word(self, w):
         return self.cut(self.count[w], self.d) / self.mass if self.count.get(w) else self.unknown
 
-    def single(self, kind):
-        return self.rare if kind == "<rare>" else self.word(kind)
-
-    def next(self, before, kind):
+    def next(self, before, word):
         follow = self.after.get(before)
         if not follow:
-            return self.single(kind)
+            return self.word(word)
         total, held = sum(follow.values()), sum(self.cut(c, self.d2) for c in follow.values())
-        unseen = 1 - sum(self.single(k) for k in follow)
+        unseen = 1 - sum(self.word(w) for w in follow)
         if unseen <= 1e-12:
-            return follow.get(kind, 0) / total
+            return follow.get(word, 0) / total
         mass, spare = (total, total - held) if total - held > 1e-9 else (total + 1, 1)
-        return self.cut(follow[kind], self.d2) / mass if kind in follow else spare / mass / unseen * self.single(kind)
+        return self.cut(follow[word], self.d2) / mass if word in follow else spare / mass / unseen * self.word(word)
 
     def score(self, text):
-        w = [*words(text), "</s>"]
-        kinds = ["<s>", *map(self.kind, w)]
-        total = sum(log10(self.next(a, b)) for a, b in zip(kinds, kinds[1:]))
-        return total + sum(log10(self.word(x) / self.rare) for x in w if self.kind(x) == "<rare>")
+        w = ["<s>", *words(text), "</s>"]
+        return sum(log10(self.next(a, b)) for a, b in zip(w, w[1:]))
 
     def base(self, text):
         return sum(log10((self.count[w] + 1) / (self.total + self.distinct + 1)) for w in [*words(text), "</s>"])
