@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from dealerlake import schemas as S
 from dealerlake.functions import clean
 from dealerlake.operators import cleaning
-from dealerlake.session import new_folder, written
-from dealerlake.sources.csv import POSITION, read_dirty_csv
-from dealerlake.sources.sink import Target, append_bronze, loads, next_id, record_load, stored, with_dense_keys
+from dealerlake.session import written
+from dealerlake.sources.csv import FILE, NAME, PLACE, REFUSED, ROW, SPLIT, Load, load_files, numbered, row_numbered
+from dealerlake.sources.manifest import Log
+from dealerlake.sources.sink import Target, append_bronze, loaded_files, log_of, next_id, stored_keys
 
 Rule = Callable[[Column], Column]
 
@@ -169,6 +170,9 @@ SHIFTED_AWAY = (
 
 ORDER = "_order"
 
+#: Tables in which a row depends on others: repeats are dropped.
+DEPENDENT = (S.ESTOQUE_VEICULOS,)
+
 
 def _with_columns(df: DataFrame, *names: str) -> DataFrame:
     """``df`` with the named columns, null where it lacked them."""
@@ -236,6 +240,29 @@ def _unique_first(rows: DataFrame, key: str, stored: DataFrame | None) -> DataFr
     return judged.select(*rows.columns).unionByName(rows.filter(~present))
 
 
+def _judged(table: str, rows: DataFrame) -> DataFrame:
+    spec = S.TABLES[table]
+    return rows.withColumn("REASON", cleaning.contract_reason(spec.required, spec.max_lengths))
+
+
+def _by_rows(table: str) -> Callable[[DataFrame, tuple[str, ...]], DataFrame]:
+    """Records to typed rows one by one, with the reason why one is refused."""
+    return lambda records, kept: _judged(table, transform(table, records, *kept))
+
+
+def _across_rows(load: Load, table: str, target: Target, log: Log | None) -> tuple[DataFrame, DataFrame, int, int]:
+    """Of a table whose rows depend on each other, the (rows, refused rows, number of rows, number refused), each written: repeats are
+    left out, and a unique value is admitted once."""
+    spec, spark = S.TABLES[table], load.rows.sparkSession
+    records = load.rows.withColumn(ORDER, F.struct(FILE, SPLIT, PLACE)).drop(FILE, SPLIT, NAME, PLACE)
+    rows = written(_judged(table, transform(table, records, ORDER)))
+    if spec.unique is not None:
+        keys = rows.where(F.col("REASON").isNull() & F.col(spec.unique).isNotNull()).select(spec.unique)
+        rows = written(_unique_first(rows, spec.unique, stored_keys(keys, table, target, log)))
+    sizes = {r["refused"]: r["count"] for r in rows.groupBy(F.col("REASON").isNotNull().alias("refused")).count().collect()}
+    return rows.where("REASON IS NULL"), rows.where("REASON IS NOT NULL"), sizes.get(False, 0), sizes.get(True, 0)
+
+
 def run_job(
     spark: SparkSession,
     table: str,
@@ -246,36 +273,30 @@ def run_job(
 ) -> JobReport:
     """Loads CSV files into a bronze table.
 
-    The files are scanned twice, for their dialects and for their records; typed rows are written to the shared
+    The lines are scanned once; see ``load_files``. Typed rows are written to the shared
     folder, and from there to the table, in which they get the next unused keys without gaps. Files that have been
     loaded before (same path, size and time) are left out, so a load can be run again; a table's unique column admits each
-    value once. The record of loads is written last: a load that fails between the two leaves rows without a
-    record. Run one load per table at a time. With ``rejects_path`` the odd records and the rows refused by the contract
-    are written under it.
+    value once. In a folder, rows, files and keys count at once when the load is published, and of two loads at a time one fails; see ``append_bronze``.
+    With ``rejects_path`` the odd records and the rows refused by the contract are written under it.
     """
     spec = S.TABLES[table]
-    done = loads(spark, table, target)
-    records, odd, files = read_dirty_csv(spark, paths, staged=True, loaded=done)
-    if not records.columns[: -len(POSITION)]:
+    log = log_of(spark, table, target)
+    alone = table not in DEPENDENT
+    load = load_files(spark, paths, _by_rows(table) if alone else lambda records, kept: records, loaded_files(spark, table, target, log))
+    if load is None:
         return JobReport(0, 0, 0, 0)
-    read = records.count()
-    positioned = records.withColumn(ORDER, F.struct(*POSITION)).drop(*POSITION)
-    rows = transform(table, positioned, ORDER).withColumn("REASON", cleaning.contract_reason(spec.required, spec.max_lengths))
-    if spec.unique is not None:
-        rows = _unique_first(written(rows), spec.unique, stored(spark, table, target))
-    staged = new_folder(spark)
-    rows.drop(ORDER).withColumn("refused", F.col("REASON").isNotNull()).write.partitionBy("refused").parquet(staged)
-    plain = rows.drop(ORDER).schema
-    whole = spark.read.schema(plain.add("refused", "boolean")).parquet(staged)
-    sizes = {r["refused"]: r["count"] for r in whole.groupBy("refused").count().collect()}
-    kept, rejected = sizes.get(False, 0), sizes.get(True, 0)
-    first = 0 if target.jdbc else next_id(spark, table, target)
-    if kept:
-        append_bronze(with_dense_keys(whole.filter(~F.col("refused")), spec.id, first), table, target)
+    first = next_id(spark, table, target, log)
+    read = load.sizes.get(ROW, 0) + load.sizes.get(REFUSED, 0)
+    if alone:
+        kept, rejected = load.sizes.get(ROW, 0), load.sizes.get(REFUSED, 0)
+        rows, refused = numbered(load, spec.id, first), load.refused
+    else:
+        rows, refused, kept, rejected = _across_rows(load, table, target, log)
+        rows = row_numbered(rows, spec.id, first)
+    append_bronze(rows, table, target, count=kept, files=load.files, next_id=first + kept, log=log)
     if rejects_path is not None:
         folder = f"{rejects_path.rstrip('/')}/{table}"
-        odd.write.mode("append").parquet(f"{folder}/records")
+        load.rejects.write.mode("append").parquet(f"{folder}/records")
         if rejected:
-            whole.filter("refused").drop("refused").write.mode("append").parquet(f"{folder}/contract")
-    record_load(files, table, target, first + kept)
+            refused.select(*spec.schema.fieldNames()[1:], "REASON").write.mode("append").parquet(f"{folder}/contract")
     return JobReport(read, kept + rejected, rejected, kept)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +44,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting that holds inside the block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the shared folder, so that later uses read it back.
 

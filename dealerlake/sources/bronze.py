@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
 from dealerlake.functions.amounts import or_zero
+from dealerlake.sources.manifest import Log
 
 Period = tuple[date | None, date | None]
 
@@ -106,12 +107,14 @@ class Bronze:
 
     @classmethod
     def from_path(cls, spark: SparkSession, root: str) -> Bronze:
-        """Parquet folders named after the tables under ``root``, as the append sink writes them."""
+        """Folders named after the tables under ``root``, as the append sink writes them: the loads that its log knows. Plain Parquet folders
+        without a log are read as they are."""
 
         def open_table(name: str) -> DataFrame:
             table = S.TABLES[name]
             schema = table.schema.add(S.MONTH_PARTITION, "integer") if table.date else table.schema
-            return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
+            log = Log.of(spark, root, name)
+            return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}") if log is None else log.rows(spark, schema)
 
         return cls(open_table)
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import ExitStack
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealerlake.functions.clean import null_token
-from dealerlake.session import written
+from dealerlake.session import setting, written
 
 UTF8, LATIN1 = "utf-8-sig", "latin-1"
 BOM = "\ufeff"
@@ -38,6 +41,7 @@ def _decoded(line: Column, encoding: Column) -> Column:
 
 # A quoted field ends at its closing quote, or with the text when it has none.
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+_CLOSED = f'(?s)^"({_QUOTED[1:]})(?:"|\\z)'
 
 
 def _fields_by(record: Column, sep: str) -> Column:
@@ -50,9 +54,17 @@ def _fields(record: Column, sep: Column) -> Column:
     return F.when(sep == ";", _fields_by(record, ";")).otherwise(_fields_by(record, ","))
 
 
+def _parsed(text: Column, sep: Column) -> Column:
+    """Raw fields of a record, none of a blank one. Lines without quotes, most of them, are only split."""
+    plain = F.when(sep == ";", F.split(text, ";")).otherwise(F.split(text, ","))
+    fields = F.when(F.contains(text, F.lit('"')), _fields(text, sep)).otherwise(plain)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(fields)
+
+
 def _unquoted(field: Column) -> Column:
-    inner = F.regexp_replace(field, f'(?s)^"({_QUOTED[1:]})(?:"|\\z)', "$1")
-    return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+    """A field without its quotes; doubled ones inside them are one, what follows the closing one is left as it is."""
+    inner = F.replace(F.regexp_extract(field, _CLOSED, 1), F.lit('""'), F.lit('"'))
+    return F.when(field.startswith('"'), F.concat(inner, F.regexp_replace(field, _CLOSED, ""))).otherwise(field)
 
 
 def _left_open(line: Column, sep: str) -> Column:
@@ -173,32 +185,72 @@ def _layouts(dialects: DataFrame, expected: Sequence[str], normalize: bool) -> t
     return list(columns), dialects.sparkSession.createDataFrame(places, schema)
 
 
+#: Characters of a record that spans lines; a longer one is not loaded but listed, by its beginning.
+MAX_RECORD = 1 << 24
+LISTED = 1 << 16
+
+
+def _states(rows: DataFrame, group: Sequence[str], order: str, entry: Column) -> DataFrame:
+    """``rows`` (outside, inside: the state after a row that is met outside or inside quotes) gain ``before`` and ``after``, the states on either side.
+
+    Rows of a ``group`` come by ``order``, the first in state ``entry``; 1 is inside quotes. A row either leads to one state whatever went before, or
+    keeps the state, or turns it. So a state is the number of turns since the last row of the first kind, or since the entry.
+    """
+    along = Window.partitionBy(*group).orderBy(order)
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    turn = F.when((F.col("outside") == 1) & (F.col("inside") == 0), 1).otherwise(0)
+    counted = rows.withColumn("_turns", F.sum(turn).over(so_far))
+    fixed = F.when(F.col("outside") == F.col("inside"), F.struct("outside", "_turns"))
+    counted = counted.withColumn("_fixed", F.last(fixed, ignorenulls=True).over(so_far))
+    since = F.col("_turns") - F.coalesce(F.col("_fixed._turns"), F.lit(0))
+    placed = counted.withColumn("after", (F.coalesce(F.col("_fixed.outside"), entry) + since) % 2).drop("_turns", "_fixed")
+    return placed.withColumn("before", F.coalesce(F.lag("after").over(along), entry))
+
+
 def _joined_records(lines: DataFrame) -> DataFrame:
-    """Records of files in which quotes span lines: (file, split, seq of the first line, number of the record, text).
+    """Records of files in which quotes span lines: (file, split, seq of the first line, number of the record, text, whether it is too long).
 
-    A line maps "outside quotes" and "inside quotes" to either. Where both lead to the same, what went before
-    is forgotten; else the state is kept or turned. So the state before each line is a running
-    count of turns since the last such line. A file is one partition of this window, a record one group.
+    Each split of a file is walked for itself: first to learn in which state it would be left, had it been entered outside or inside
+    quotes; these pairs, one row per split, are walked file by file and give every split the state it is entered in, and the number of
+    records before it. Then records are put together within each split, and across its borders only what is open there. Texts of a record beyond
+    MAX_RECORD are left behind, where it is too long.
     """
     sep, text = F.col("sep"), F.col("text")
 
     def ends_open(line: Column) -> Column:
         return F.when(sep == ";", _left_open(line, ";")).otherwise(_left_open(line, ",")).cast("int")
 
-    along = Window.partitionBy(FILE).orderBy(SEQ)
-    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
-    marked = lines.withColumns({"outside": ends_open(text), "inside": ends_open(F.concat(F.lit('"'), text))})
-    turns = F.sum(F.when((F.col("outside") == 1) & (F.col("inside") == 0), 1).otherwise(0)).over(so_far)
-    marked = marked.withColumn("turns", turns)
-    fixed = F.when(F.col("outside") == F.col("inside"), F.struct("outside", "turns"))
-    marked = marked.withColumn("fixed", F.last(fixed, ignorenulls=True).over(so_far))
-    after = (F.coalesce(F.col("fixed.outside"), F.lit(0)) + F.col("turns") - F.coalesce(F.col("fixed.turns"), F.lit(0))) % 2
-    begins = F.coalesce(F.lag("after").over(along), F.lit(0)) == 0
-    marked = marked.withColumn("after", after).withColumn("begins", begins)
-    marked = marked.withColumn("line_number", F.sum(F.col("begins").cast("long")).over(so_far))
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(SEQ, "text"))), lambda r: r["text"]), "\n")
-    return marked.groupBy(FILE, "line_number").agg(
-        F.min(SPLIT).alias(SPLIT), F.min(SEQ).alias(SEQ), whole.alias("text"), *[F.first(c).alias(c) for c in ("sep", "header_seq", "width", "places")]
+    # What a line does inside quotes is what it does outside after a quote. Without any quote it keeps the state.
+    quoted = F.contains(text, F.lit('"'))
+    inside = F.when(quoted, ends_open(F.concat(F.lit('"'), text))).otherwise(1)
+    marked = written(lines.withColumns({"outside": F.when(quoted, ends_open(text)).otherwise(0), "inside": inside}))
+    split = [FILE, SPLIT]
+    small = marked.select(*split, SEQ, "outside", "inside")
+    ways = None
+    for name, entry in (("outside", 0), ("inside", 1)):
+        walked = _states(small, split, SEQ, F.lit(entry)).groupBy(*split)
+        left = walked.agg(F.max_by("after", SEQ).alias(name), F.sum((F.col("before") == 0).cast("long")).alias(f"begun_{name}"))
+        ways = left if ways is None else ways.join(left, split)
+    entered = _states(ways, [FILE], SPLIT, F.lit(0))
+    begun = F.when(F.col("before") == 0, F.col("begun_outside")).otherwise(F.col("begun_inside"))
+    ahead = F.sum(begun).over(Window.partitionBy(FILE).orderBy(SPLIT)) - begun
+    entered = written(entered.select(*split, F.col("before").alias("entry"), ahead.alias("ahead")))
+
+    walked = _states(marked.join(entered, split), split, SEQ, F.col("entry"))
+    so_far = Window.partitionBy(*split).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    size = F.col("size")
+    walked = walked.withColumn("size", F.length("text") + 1).withColumn("upto", F.sum("size").over(so_far)).withColumn("number", F.sum((F.col("before") == 0).cast("long")).over(so_far))
+    start = F.last(F.when(F.col("before") == 0, F.col("upto") - size), ignorenulls=True).over(so_far)
+    near = walked.withColumn("from", F.coalesce(start, F.lit(0))).withColumn("line_number", F.col("ahead") + F.col("number"))
+    near = near.withColumn("text", F.when(F.col("upto") - F.col("from") <= MAX_RECORD, F.col("text")))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct(SEQ, "text")))), lambda r: r["text"]), "\n")
+    about = ["sep", "header_seq", "width", "places"]
+    parts = near.groupBy(FILE, "line_number", SPLIT).agg(F.min(SEQ).alias(SEQ), F.sum("size").alias("size"), joined.alias("text"), *[F.first(c).alias(c) for c in about])
+    upto = F.sum("size").over(Window.partitionBy(FILE, "line_number").orderBy(SPLIT))
+    parts = parts.withColumn("upto", upto).withColumn("text", F.when((F.col("upto") <= MAX_RECORD) | (F.col("upto") == F.col("size")), F.col("text")))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct(SPLIT, "text")))), lambda r: r["text"]), "\n")
+    return parts.groupBy(FILE, "line_number").agg(
+        F.min(SPLIT).alias(SPLIT), F.min(SEQ).alias(SEQ), whole.alias("text"), (F.sum("size") > MAX_RECORD).alias("long"), *[F.first(c).alias(c) for c in about]
     )
 
 
@@ -219,10 +271,13 @@ def _scan(spark: SparkSession, paths: Sequence[str], splits: DataFrame, files: D
         .withColumn("line_number", F.col("before") + F.col(SEQ) - F.col("first") + 1)
     )
     columns = [*POSITION, "line_number", "text", "sep", "header_seq", "width", "places"]
-    records = plain.select(*columns).unionByName(_joined_records(lines.filter("spans")).select(*columns))
-    fields = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(_fields(F.col("text"), F.col("sep")))
-    parsed = records.filter(F.col(SEQ) > F.col("header_seq")).select(*POSITION, "line_number", fields.alias("fields"), "width", "places")
-    return parsed.withColumn("n_fields", F.size("fields"))
+    records = plain.select(*columns, F.lit(False).alias("long"))
+    if files.filter("spans").head(1):
+        records = records.unionByName(_joined_records(lines.filter("spans")).select(*columns, "long"))
+    fields = F.when(F.col("long"), F.array(F.substring("text", 1, LISTED))).otherwise(_parsed(F.col("text"), F.col("sep")))
+    parsed = records.filter((F.col(SEQ) > F.col("header_seq")) | (F.col(SPLIT) > 0))
+    parsed = parsed.select(*POSITION, "line_number", fields.alias("fields"), "width", "places", "long")
+    return parsed.withColumn("n_fields", F.when(F.col("long"), -1).otherwise(F.size("fields"))).drop("long")
 
 
 def read_dirty_csv(
@@ -241,7 +296,7 @@ def read_dirty_csv(
     every record whose field count differs from the header, short ones included, by the fields that
     the records have too. Line breaks inside quotes belong to their field; the files that have such are
     found by the first scan, and their line_number counts records. A quote that is never closed reaches to the
-    end of its file.
+    end of its file; a record of more than MAX_RECORD characters is listed with -1 fields and its first LISTED characters.
 
     The first scan runs here and decides dialects and line numbers; the second parses. Nothing per file
     comes to the driver: files meet their dialect in a join, which Spark broadcasts while it is small.
@@ -268,3 +323,182 @@ def read_dirty_csv(
         F.array_join(F.transform("fields", _unquoted), "|").alias("raw_row"),
     )
     return records, rejects, dialects.select("path", "encoding", "sep", "header", "repeated", "bytes", "modified")
+
+
+# ---------------------------------------------------------------- loads: one scan of the lines
+
+#: What becomes of a line: the header or a line equal to it, a row, a row that is refused, or no row at all.
+FATE, HEAD, ROW, REFUSED, NONE = "_fate", "head", "row", "refused", "none"
+#: Kept of every line, beside its position: fields it should not have or lack, their number, and its record number where the scan knows it.
+ODD, N_FIELDS, LINE = "_odd", "_n_fields", "_line"
+#: Lines a task reads of a file to find its header; blank ones before it included.
+_HEADER_LINES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64", "spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of a task's file that is not blank. What comes after is not asked for, and so not read."""
+    for batch in batches:
+        for i, line in enumerate(batch.column("line")):
+            if len(line.as_buffer()):
+                yield batch.slice(i, 1)
+                return
+
+
+def file_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One row (path, bytes, modified, line) per file that is not empty, written: its first line that is not blank, as bytes. Each file is opened
+    by a task of its own, which reads no further."""
+    with ExitStack() as settings:
+        for key, value in _HEADER_LINES.items():
+            settings.enter_context(setting(spark, key, value))
+        lines = _lines(spark, paths).select(F.col(FILE).alias("path"), "bytes", "modified", F.col("value").cast("binary").alias("line"))
+        return written(lines.mapInArrow(_first_lines, "path string, bytes long, modified timestamp, line binary"))
+
+
+def _with_headers(heads: DataFrame) -> DataFrame:
+    """``file_heads`` with separator and header fields; a header is read in its own encoding."""
+    raw = F.col("line").cast("string")
+    text = F.when(F.is_valid_utf8(raw), raw).otherwise(F.decode("line", "ISO-8859-1"))
+    read = heads.withColumn("text", F.replace(text, F.lit(BOM), F.lit("")))
+    read = read.withColumn("sep", F.when(_count("text", ";") > _count("text", ","), ";").otherwise(","))
+    return read.withColumn("header", F.transform(_fields(F.col("text"), F.col("sep")), _unquoted)).drop("text")
+
+
+@dataclass(frozen=True)
+class Load:
+    """The records of CSV files, parsed and shaped in one scan of their lines, in a table of their own.
+
+    ``rows`` and ``refused`` have the columns that the shape gave, ``rejects`` those of ``read_dirty_csv``, ``files`` (path, bytes, modified).
+    ``sizes`` has the number of rows and refused rows; ``rows`` come with ``NAME`` and ``PLACE``, see ``numbered``.
+    """
+
+    rows: DataFrame
+    refused: DataFrame
+    rejects: DataFrame
+    files: DataFrame
+    groups: DataFrame
+    sizes: dict[str, int]
+
+
+#: A row's written file and its place there.
+NAME, PLACE = "_name", "_place"
+
+
+def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[[DataFrame, tuple[str, ...]], DataFrame], loaded: DataFrame | None = None) -> Load | None:
+    """Parses the files that are not in ``loaded`` (path, bytes, modified), None if there are none; see ``Load``.
+
+    ``shape(records, kept)`` makes rows of the records' text columns; it keeps the columns named in ``kept`` and the order of rows, and may add a
+    REASON why a row is refused.
+
+    Header and separator are known from the first line of each file. The lines are then scanned once, on two assumptions: that a line that is not
+    UTF-8 belongs to a Latin-1 file and any other to a UTF-8 one, and that no record spans lines. The scan also notes
+    which lines speak against it: files that hold both lines that are no UTF-8 and others beyond ASCII, or a line that ends within quotes. Only those files
+    are read again, by ``read_dirty_csv``'s way. What was parsed is written once, sorted by fate and position.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    heads = file_heads(spark, paths)
+    if loaded is not None:
+        heads = heads.join(loaded, ["path", "bytes", "modified"], "left_anti")
+    heads = written(_with_headers(heads))
+    columns, layouts = _layouts(heads, (), True)
+    if not columns:
+        return None
+    files = heads.join(layouts, "header").select(F.col("path").alias(FILE), F.col("line").alias("head"), "sep", "width", "places")
+    line = F.col("value")
+    valid = F.is_valid_utf8(line)
+    lines = _lines(spark, paths).join(files, FILE).withColumn("text", F.when(valid, line).otherwise(F.decode(line.cast("binary"), "ISO-8859-1")))
+    quoted = F.contains("text", F.lit('"'))
+    open_ = F.when(F.col("sep") == ";", _left_open(F.col("text"), ";")).otherwise(_left_open(F.col("text"), ","))
+    parsed = lines.select(
+        *POSITION,
+        F.lit(None).cast("long").alias(LINE),
+        _parsed(F.col("text"), F.col("sep")).alias("fields"),
+        "width",
+        "places",
+        ((F.col(SPLIT) == 0) & (line.cast("binary") == F.col("head"))).alias("_first"),
+        (~valid).alias("_latin"),
+        (valid & (F.length(line) != F.octet_length(line))).alias("_wide"),
+        (quoted & open_).alias("_open"),
+    ).withColumn("n_fields", F.size("fields"))
+    whole, groups = _shaped(parsed, columns, shape)
+
+    doubtful = groups.groupBy(FILE).agg(*[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")]).where("_open OR (_latin AND _wide)").select(FILE)
+    again = [r[0] for r in doubtful.limit(1).collect()]
+    if again:
+        doubtful = written(doubtful)
+        wrong = doubtful.select(F.col(FILE).alias("path"))
+        splits = written(_splits(spark, paths).join(doubtful, FILE, "left_semi"))
+        dialects = written(_dialects(splits).join(wrong, "path", "left_semi"))
+        scan = _scan(spark, paths, splits, dialects.join(layouts, "header"))
+        flags = [F.lit(False).alias(c) for c in ("_first", "_latin", "_wide", "_open")]
+        more, more_groups = _shaped(scan.select(*POSITION, F.col("line_number").alias(LINE), "fields", "width", "places", *flags, "n_fields"), columns, shape)
+        whole = whole.join(doubtful, FILE, "left_anti").unionByName(more)
+        groups = groups.join(doubtful, FILE, "left_anti").unionByName(more_groups)
+    groups = written(groups)
+
+    # The first line that equals the header is the header; others are rows like any.
+    header = groups.where((F.col(FATE) == HEAD) & (F.col(SPLIT) == 0)).groupBy(FILE).agg(F.min("seq").alias("header_seq"))
+    kept = groups.join(header, FILE, "left").withColumn("heads", ((F.col(FATE) == HEAD) & (F.col("seq") == F.col("header_seq"))).cast("long"))
+    fate = F.when(F.col(FATE) != HEAD, F.col(FATE)).otherwise(F.when(F.col("refused"), REFUSED).otherwise(ROW))
+    kept = kept.select(NAME, FATE, FILE, SPLIT, fate.alias("becomes"), (F.col("n") - F.col("heads")).alias("n"), (F.col("place") + F.col("heads")).alias("first_place"))
+    sizes = {r["becomes"]: r["n"] for r in kept.groupBy("becomes").agg(F.sum("n").alias("n")).collect()}
+    starts = F.sum("n").over(Window.partitionBy(FILE).orderBy(SPLIT)) - F.col("n")
+    lines_before = groups.groupBy(FILE, SPLIT).agg(F.sum("n").alias("n"), F.min("seq").alias("first_seq")).select(FILE, SPLIT, "first_seq", starts.alias("lines_before"))
+
+    def of(becomes: str) -> DataFrame:
+        mine = kept.where((F.col("becomes") == becomes) & (F.col("n") > 0)).select(NAME, FATE, FILE, SPLIT, "first_place")
+        return whole.join(mine, [NAME, FATE, FILE, SPLIT]).where(F.col(PLACE) >= F.col("first_place"))
+
+    odd = whole.where(F.col(ODD).isNotNull()).join(header, FILE, "left").where("header_seq IS NULL OR _split > 0 OR _seq > header_seq")
+    odd = odd.join(lines_before, [FILE, SPLIT])
+    number = F.coalesce(F.col(LINE), F.col("lines_before") + F.col(SEQ) - F.col("first_seq") + 1)
+    rejects = odd.select(F.col(FILE).alias("path"), number.alias("line_number"), F.col(N_FIELDS).alias("n_fields"), F.array_join(F.transform(ODD, _unquoted), "|").alias("raw_row"))
+    internal = [FATE, *POSITION, LINE, ODD, N_FIELDS, "first_place"]
+    rows, refused = (of(f).drop(*[c for c in internal if c not in POSITION]) for f in (ROW, REFUSED))
+    return Load(rows.drop(SEQ), refused.drop(*POSITION, NAME, PLACE), rejects, heads.select("path", "bytes", "modified"), kept.where(F.col("becomes") == ROW), sizes)
+
+
+def _shaped(parsed: DataFrame, columns: list[str], shape) -> tuple[DataFrame, DataFrame]:
+    """Parsed lines as shaped rows in a written table, with the place of each there; and what is to be known of each run of lines of one fate and split."""
+    n_fields, width = F.col("n_fields"), F.col("width")
+    kept = (*POSITION, LINE, ODD, N_FIELDS, FATE, "_first", "_latin", "_wide", "_open")
+    values = [null_token(_unquoted(F.get("fields", F.get("places", F.lit(i))))).alias(c) for i, c in enumerate(columns)]
+    no_row = (n_fields <= 0) | (n_fields > width)
+    flags = [
+        F.when(n_fields != width, F.col("fields")).alias(ODD),
+        n_fields.alias(N_FIELDS),
+        F.when(no_row, NONE).when(F.col("_first"), HEAD).otherwise(ROW).alias(FATE),
+    ]
+    rows = shape(parsed.select(*values, *POSITION, LINE, *flags, "_first", "_latin", "_wide", "_open"), kept)
+    reason = F.col("REASON").isNotNull() if "REASON" in rows.columns else F.lit(False)
+    rows = rows.withColumn("_refused", reason).withColumn(FATE, F.when((F.col(FATE) == ROW) & F.col("_refused"), REFUSED).otherwise(F.col(FATE)))
+    table = written(rows.sortWithinPartitions(FATE, *POSITION))
+    placed = table.select("*", F.col("_metadata.file_name").alias(NAME), F.col("_metadata.row_index").alias(PLACE))
+    groups = placed.groupBy(NAME, FATE, FILE, SPLIT).agg(
+        F.count("*").alias("n"), F.min(PLACE).alias("place"), F.min(SEQ).alias("seq"), F.max("_refused").alias("refused"), *[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")]
+    )
+    return placed.drop("_first", "_latin", "_wide", "_open", "_refused"), written(groups)
+
+
+def numbered(load: Load, key: str, first: int) -> DataFrame:
+    """The rows of a load with keys that count up from ``first`` without gaps: a row's place in its run of lines, plus the runs before.
+
+    The table they lie in stays as it is, so a row gets the same key however often it is computed.
+    """
+    # One row per written file and split.
+    ahead = F.coalesce(F.sum("n").over(Window.orderBy(FILE, SPLIT, NAME, FATE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = written(load.groups.select(NAME, FILE, SPLIT, F.col("first_place"), "n", ahead.alias("_ahead")).where("n > 0"))
+    at = (F.col(PLACE) >= F.col("first_place")) & (F.col(PLACE) < F.col("first_place") + F.col("n"))
+    placed = load.rows.join(starts, [NAME, FILE, SPLIT]).where(at)
+    return placed.withColumn(key, F.lit(first) + F.col("_ahead") + F.col(PLACE) - F.col("first_place"))
+
+
+def row_numbered(rows: DataFrame, key: str, first: int) -> DataFrame:
+    """Rows of written files, all that a filter leaves, numbered without gaps from ``first`` in the order of files and places."""
+    placed = rows.select("*", F.col("_metadata.file_name").alias(NAME), F.col("_metadata.row_index").alias(PLACE))
+    along = Window.partitionBy(NAME).orderBy(PLACE)
+    counted = placed.withColumn("_at", F.row_number().over(along) - 1)
+    sizes = placed.groupBy(NAME).agg(F.count("*").alias("n"))
+    # One row per written file.
+    ahead = F.coalesce(F.sum("n").over(Window.orderBy(NAME).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = written(sizes.select(NAME, ahead.alias("_ahead")))
+    return counted.join(starts, NAME).withColumn(key, F.lit(first) + F.col("_ahead") + F.col("_at")).drop(NAME, PLACE, "_ahead", "_at")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake.schemas import MONTH_PARTITION, TABLES
-from dealerlake.session import written
+from dealerlake.sources.manifest import BUCKET, FILES, LOAD, Log, bucket_of, names, new_load, publish
 
 
 @dataclass(frozen=True)
@@ -24,72 +24,109 @@ class Target:
 JDBC_CONNECTIONS = "8"
 
 
-def append_bronze(df: DataFrame, table: str, target: Target) -> None:
-    """Appends rows to a table.
+#: Hash buckets of a table's unique column. A load reads only the buckets that its keys fall into.
+KEY_BUCKETS = 256
+#: Lets a reader skip row groups without the values it looks for.
+_BLOOM = {"parquet.bloom.filter.enabled#{}": "true", "parquet.bloom.filter.expected.ndv#{}": "200000", "parquet.bloom.filter.max.bytes": "262144"}
+
+
+def _laid_out(rows: DataFrame, table: str) -> DataFrame:
+    """Rows in the order of the table's files.
 
     Dated tables are laid out by month, with rows sorted by branch and day inside each file so that
     a branch or day filter skips row groups. Rebalancing by month keeps a file per month from
-    becoming a file per task, and splits a month that holds most of the rows. A database makes its
+    becoming a file per task, and splits a month that holds most of the rows.
+    """
+    spec = TABLES[table]
+    order = ["COD_CONCESSIONARIA", "COD_FILIAL"]
+    if spec.date:
+        rows = rows.withColumn(MONTH_PARTITION, F.year(spec.date) * 100 + F.month(spec.date)).hint("rebalance", MONTH_PARTITION)
+        order = [MONTH_PARTITION, *order, spec.date]
+    return rows.sortWithinPartitions(*order)
+
+
+def append_bronze(
+    df: DataFrame, table: str, target: Target, *, count: int | None = None, files: DataFrame | None = None, next_id: int | None = None, log: Log | None = None
+) -> None:
+    """Appends rows to a table; see ``_laid_out``.
+
+    In a folder the rows, the files they came from and the table's unique keys count at once, when the load's entry is published, and not at all if
+    it dies before; see ``manifest``. ``log`` is the log that the load started from, ``count`` the number of rows, ``next_id`` the
+    first key that is left unused.
+
+    In a catalog the record of loads is written last. A database makes its
     own row keys, and takes a bounded number of connections; there a task that runs again inserts its rows again, unless
     the table has a unique key.
     """
-    spec = TABLES[table]
+    spec, spark = TABLES[table], df.sparkSession
     rows = df.select(*spec.schema.fieldNames())
     if target.jdbc:
         rows.drop(spec.id).write.format("jdbc").options(**jdbc_options(table, target)).mode("append").save()
         return
-    order = ["COD_CONCESSIONARIA", "COD_FILIAL"]
-    if spec.date:
-        rows = rows.withColumn(MONTH_PARTITION, F.year(spec.date) * 100 + F.month(spec.date))
-        rows = rows.hint("rebalance", MONTH_PARTITION)
-        order = [MONTH_PARTITION, *order, spec.date]
-    writer = rows.sortWithinPartitions(*order).write.mode("append").format("parquet")
+    count = rows.count() if count is None else count
     if target.database is not None:
-        writer.insertInto(f"{target.database}.{table}")
-    else:
-        if spec.date:
-            writer = writer.partitionBy(MONTH_PARTITION)
-        writer.save(f"{target.path.rstrip('/')}/{table}")
+        if count:
+            _laid_out(rows, table).write.mode("append").format("parquet").insertInto(f"{target.database}.{table}")
+        if files is not None:
+            record = files.select("path", "bytes", "modified", F.lit(next_id or 0).cast("long").alias("next_id"))
+            record.write.mode("append").saveAsTable(f"{target.database}.{table}_LOADS")
+        return
+    root, load = target.path.rstrip("/"), new_load()
+    log = log or Log.of(spark, root, table)
+    if log is None and any(not n.startswith((".", "_", f"{LOAD}=")) for n in names(spark, f"{root}/{table}")):
+        raise ValueError(f"{root}/{table} holds rows that no load wrote")
+    buckets: list[int] = []
+    if count:
+        writer = _laid_out(rows, table).write
+        (writer.partitionBy(MONTH_PARTITION) if spec.date else writer).parquet(f"{root}/{table}/{LOAD}={load}")
+        if spec.unique is not None:
+            buckets = _write_keys(spark, root, table, load)
+    log = log or Log(root, table, ())
+    folder = f"{root}/_loads/{table}/files/{LOAD}={load}"
+    (spark.createDataFrame([], FILES) if files is None else files.select("path", "bytes", "modified")).write.parquet(folder)
+    publish(spark, root, table, load, log.version + 1, log.next_id if next_id is None else next_id, count, buckets)
+
+
+def _write_keys(spark: SparkSession, root: str, table: str, load: str) -> list[int]:
+    """Adds the unique keys of a load's rows to the index, and returns the buckets they are in."""
+    key = TABLES[table].unique
+    keys = spark.read.schema(TABLES[table].schema).parquet(f"{root}/{table}/{LOAD}={load}").select(key).where(F.col(key).isNotNull())
+    keys = keys.withColumn(BUCKET, bucket_of(key, KEY_BUCKETS))
+    used = sorted(r[0] for r in keys.select(BUCKET).distinct().collect())
+    laid = keys.withColumn(LOAD, F.lit(load)).repartition(BUCKET).sortWithinPartitions(BUCKET, key)
+    options = {name.format(key): value for name, value in _BLOOM.items()}
+    laid.write.options(**options).mode("append").partitionBy(BUCKET, LOAD).parquet(f"{root}/_keys/{table}")
+    return used
 
 
 def jdbc_options(table: str, target: Target) -> dict[str, str]:
     return {"dbtable": table, "batchsize": "1000", "numPartitions": JDBC_CONNECTIONS} | target.jdbc
 
 
-#: What has been loaded: the files, and the row keys that each load left unused.
-LOADS = "path string, bytes long, modified timestamp, next_id long"
+def log_of(spark: SparkSession, table: str, target: Target) -> Log | None:
+    """The log of a table in a folder; None for catalogs and databases, and before the first load."""
+    return Log.of(spark, target.path, table) if target.path is not None else None
 
 
-def loads(spark: SparkSession, table: str, target: Target) -> DataFrame | None:
-    """The record of loads of a table, one row per file; None for databases and before the first load."""
-    if target.jdbc:
-        return None
-    if target.database is not None:
-        name = f"{target.database}.{table}_LOADS"
-        return spark.table(name) if spark.catalog.tableExists(name) else None
-    folder = f"{target.path.rstrip('/')}/_loads/{table}"
-    return spark.read.schema(LOADS).parquet(folder) if _exists(spark, folder) else None
+def loaded_files(spark: SparkSession, table: str, target: Target, log: Log | None) -> DataFrame | None:
+    """The files loaded before: path, bytes, modified. None for databases and before the first load."""
+    if log is not None:
+        return log.files(spark)
+    name = f"{target.database}.{table}_LOADS"
+    return spark.table(name) if target.database is not None and spark.catalog.tableExists(name) else None
 
 
-def record_load(files: DataFrame, table: str, target: Target, next_id: int) -> None:
-    """Adds files (path, bytes, modified) to the record of loads, after their rows are in the table."""
-    if target.jdbc:
-        return
-    rows = files.select("path", "bytes", "modified", F.lit(next_id).cast("long").alias("next_id"))
-    if target.database is not None:
-        rows.write.mode("append").saveAsTable(f"{target.database}.{table}_LOADS")
-    else:
-        rows.write.mode("append").parquet(f"{target.path.rstrip('/')}/_loads/{table}")
-
-
-def next_id(spark: SparkSession, table: str, target: Target) -> int:
+def next_id(spark: SparkSession, table: str, target: Target, log: Log | None) -> int:
     """First unused row key of a table, from the record of loads; the table itself is read only if it has rows but no record."""
-    known = loads(spark, table, target)
-    rows, key = (stored(spark, table, target), TABLES[table].id) if known is None else (known, None)
-    if rows is None:
+    if target.jdbc:
         return 0
-    last = F.max("next_id") if key is None else F.max(key) + 1
-    return rows.agg(F.coalesce(last, F.lit(0))).first()[0]
+    if log is not None:
+        return log.next_id
+    known = loaded_files(spark, table, target, log)
+    if known is not None:
+        return known.agg(F.coalesce(F.max("next_id"), F.lit(0))).first()[0]
+    rows = stored(spark, table, target)
+    return 0 if rows is None else rows.agg(F.coalesce(F.max(TABLES[table].id) + 1, F.lit(0))).first()[0]
 
 
 def stored(spark: SparkSession, table: str, target: Target) -> DataFrame | None:
@@ -98,25 +135,21 @@ def stored(spark: SparkSession, table: str, target: Target) -> DataFrame | None:
         return None
     if target.database is not None:
         return spark.table(f"{target.database}.{table}")
+    log = log_of(spark, table, target)
+    if log is not None:
+        return log.rows(spark, TABLES[table].schema)
     folder = f"{target.path.rstrip('/')}/{table}"
-    return spark.read.schema(TABLES[table].schema).parquet(folder) if _exists(spark, folder) else None
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(TABLES[table].schema).parquet(folder) if names(spark, folder) else None
 
 
-def with_dense_keys(rows: DataFrame, key: str, first: int) -> DataFrame:
-    """Rows read from written files, numbered without gaps from ``first``: a row's place in its file plus the files before.
+def stored_keys(keys: DataFrame, table: str, target: Target, log: Log | None) -> DataFrame | None:
+    """Stored values of the table's unique column among which all of ``keys`` that are stored can be found.
 
-    The files stay as they are, so a row gets the same key however often it is computed.
+    In a folder these are the index's buckets that the keys fall into; only the numbers of buckets come to the driver. Elsewhere they are the column.
     """
-    name, place = F.col("_metadata.file_name").alias("_name"), F.col("_metadata.row_index").alias("_place")
-    placed = rows.select("*", name, place)
-    sizes = placed.groupBy("_name").agg(F.count("*").alias("n"))
-    # One row per file of this load.
-    ahead = F.coalesce(F.sum("n").over(Window.orderBy("_name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = written(sizes.select("_name", ahead.alias("_ahead")))
-    numbered = placed.join(starts, "_name").withColumn(key, F.lit(first) + F.col("_ahead") + F.col("_place"))
-    return numbered.drop("_name", "_place", "_ahead")
+    spark, key = keys.sparkSession, TABLES[table].unique
+    if log is not None:
+        hit = {r[0] for r in keys.select(bucket_of(F.col(key), KEY_BUCKETS)).distinct().collect()}
+        return log.keys(spark, key, hit)
+    rows = stored(spark, table, target)
+    return None if rows is None else rows.select(key).where(F.col(key).isNotNull())
