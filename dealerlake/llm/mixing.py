@@ -18,8 +18,11 @@ RANGES = 65_536
 
 
 def targets(sizes: Mapping[str | None, int], weights: Mapping[str | None, float], total: float, repeats: int = REPEATS) -> dict[str | None, float]:
-    """``total`` shared by weight; a target stops at ``repeats`` times its source's size and the excess is shared again."""
-    out, open_, left = {}, dict(weights), float(total)
+    """``total`` shared by weight; a target stops at ``repeats`` times its source's size and the excess is shared again.
+
+    Sources that weigh nothing get nothing, also where the others can't take all.
+    """
+    out, open_, left = dict.fromkeys(weights, 0.0), {s: w for s, w in weights.items() if w > 0}, float(total)
     while open_:
         level = left / sum(open_.values())
         full = [s for s, w in open_.items() if w * level >= repeats * sizes[s]]
@@ -98,6 +101,46 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def _sized(rows: DataFrame, tag: Column, seed: int) -> DataFrame:
+    """What the choice needs of rows (doc_id, text, sources), written: the tag that tells equal rows apart is the same for all that follows."""
+    null_source = F.array(F.lit(None).cast("string"))
+    sources = F.col("sources").cast("array<string>")
+    doc_id = F.col("doc_id").cast("long")
+    drawn = rows.select(
+        doc_id.alias("doc_id"),
+        F.when(F.size(sources) > 0, F.array_sort(F.array_distinct(sources))).otherwise(null_source).alias("sources"),
+        words(F.col("text")).alias("size"),
+        tag.alias("tag"),
+    ).withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "sources"))
+    return saved(drawn.withColumn("range", F.shiftrightunsigned("draw", 48).cast("int")))
+
+
+def _place() -> Column:
+    """Where a document stands in its pattern's order, by a seeded hash; it begins with the hash's range."""
+    return F.struct("range", "draw", "size", "tag")
+
+
+_PLACES = "struct<range: int, draw: long, size: long, tag: long>"
+
+
+def _filled(open_: DataFrame, state: DataFrame) -> list:
+    """Per pattern of ``state`` (sources, gap) the documents of ``open_`` that fill its gap in their order, up to the first that does not fit.
+
+    Returns (sources, last, filled) of patterns that could take some: the place of the last one taken, and their words. The
+    place is found from sums per hash range, so a pattern with most of all rows is never ordered in one task.
+    """
+    fitting = open_.join(state, "sources").where("size <= gap")
+    ranges = fitting.groupBy("sources", "range").agg(F.sum("size").alias("words"), F.max(_place()).alias("last"), F.first("gap").alias("gap"))
+    ranges = saved(ranges.withColumn("upto", F.sum("words").over(Window.partitionBy("sources").orderBy("range"))))
+    # Ranges that fit as a whole, and the one after them, the only one in which documents are put in order: one in RANGES of a pattern's rows.
+    whole = ranges.where("upto <= gap").groupBy("sources").agg(F.max("last").alias("last"), F.max("upto").alias("filled"))
+    edge = ranges.where("upto > gap AND upto - words < gap").select("sources", "range", (F.col("upto") - F.col("words")).alias("ahead"))
+    order = Window.partitionBy("sources").orderBy("draw", "size", "tag").rowsBetween(Window.unboundedPreceding, 0)
+    at_edge = fitting.join(edge, ["sources", "range"]).withColumn("upto", F.col("ahead") + F.sum("size").over(order)).where("upto <= gap")
+    found = whole.union(at_edge.groupBy("sources").agg(F.max(_place()).alias("last"), F.max("upto").alias("filled")))
+    return found.groupBy("sources").agg(F.max("last").alias("last"), F.max("filled").alias("filled")).collect()
+
+
 def mix(docs: DataFrame, weights=None, total: float = 1.0, repeats: int = REPEATS, seed: int = 0) -> tuple[DataFrame, dict, dict]:
     """Chooses how often documents (doc_id, text, sources) go into a mix; ``sources`` is an array of the sources a document is in.
 
@@ -108,27 +151,21 @@ def mix(docs: DataFrame, weights=None, total: float = 1.0, repeats: int = REPEAT
     ``weights`` maps a source to its weight, or is a function of the sorted sources; without it all weigh
     the same. They share ``total`` times all words; see ``targets``. Documents are summed by
     their set of sources, ``flow`` routes words to quotas, and then each pattern's documents are taken: as
-    many full uses as fit, and for the rest documents in the order of a seeded hash up to the first that does
-    not fit, then one fitting document per power of two in size, then the cut. The place in the hash
-    order is found from sums per hash range, so a pattern with most of all rows is never ordered in
-    one task. Only patterns and sources reach the driver.
+    many full uses as fit, and for the rest documents in the order of a seeded hash, past those that do not fit, until what is missing is a
+    thousandth of what the pattern gives or no document is that small. The shortest document left is cut for it. Each pass over the order ends at a
+    document that does not fit; there are a few. Only patterns and sources reach the driver.
 
     Null and empty texts have size 0 and are not taken. A null or empty array is the null source.
     Rows that repeat an id count each; equal rows are told apart by nothing and are taken alike or in
     any order of the same sizes. An empty table gives an empty one.
     """
-    null_source = F.array(F.lit(None).cast("string"))
-    sources = F.col("sources").cast("array<string>")
-    # The tag tells equal rows apart; it is written, so it is the same for all that follows.
-    sized = saved(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.when(F.size(sources) > 0, F.array_sort(F.array_distinct(sources))).otherwise(null_source).alias("sources"),
-            words(F.col("text")).alias("size"),
-        )
-        .withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "sources"))
-        .withColumn("tag", F.monotonically_increasing_id())
-    )
+    chosen, sizes, goal = _mixed(_sized(docs, F.monotonically_increasing_id(), seed), weights, total, repeats)
+    return chosen.drop("tag"), sizes, goal
+
+
+def _mixed(sized: DataFrame, weights, total: float, repeats: int) -> tuple[DataFrame, dict, dict]:
+    """See ``mix``; rows keep their tags."""
+    spark = sized.sparkSession
     found = {tuple(r["sources"]): r["size"] for r in sized.groupBy("sources").agg(F.sum("size").alias("size")).collect()}
     sizes: dict[str | None, int] = {}
     for pattern, size in found.items():
@@ -145,58 +182,33 @@ def mix(docs: DataFrame, weights=None, total: float = 1.0, repeats: int = REPEAT
     given: dict[tuple, int] = {}
     for (pattern, _), amount in flow(found, quotas, repeats).items():
         given[pattern] = given.get(pattern, 0) + amount
-    rows = [(list(p), given[p] // size, given[p] % size) for p, size in found.items() if size]
-    schema = T.StructType([T.StructField("sources", T.ArrayType(T.StringType())), T.StructField("uses", T.LongType()), T.StructField("rest", T.LongType())])
-    plan = docs.sparkSession.createDataFrame(rows, schema)
-
-    some = sized.where("size > 0").withColumn("range", F.pmod(F.shiftrightunsigned("draw", 48), F.lit(RANGES)))
-    ranges = some.groupBy("sources", "range").agg(F.sum("size").alias("words"))
-    order = Window.partitionBy("sources").orderBy("range")
-    upto = F.sum("words").over(order)
-    edge = saved(
-        ranges.withColumn("ahead", upto - F.col("words"))
-        .join(plan, "sources")
-        # The range where the rest runs out.
-        .where("ahead < rest AND ahead + words >= rest")
-        .select("sources", F.col("range").alias("edge"), "ahead")
-    )
-    # Only documents of the edge range are put in order: one in RANGES of a pattern's rows.
-    order = Window.partitionBy("sources").orderBy("draw", "size", "tag").rowsBetween(Window.unboundedPreceding, 0)
-    at_edge = some.join(edge, "sources").where("range = edge").withColumn("upto", F.col("ahead") + F.sum("size").over(order)).join(plan, "sources")
-    place = F.struct("draw", "size", "tag")
-    fits = at_edge.where("upto <= rest").groupBy("sources").agg(F.max(place).alias("last"), F.max("upto").alias("filled"))
-    state = saved(plan.join(edge, "sources", "left").join(fits, "sources", "left"))
-    in_edge = (F.col("range") == F.col("edge")) & (place <= F.col("last"))
-    chosen = (
-        some.join(state, "sources")
-        .withColumn("more", F.coalesce((F.col("range") < F.col("edge")) | in_edge, F.lit(False)))
-        .withColumn("gap", F.col("rest") - F.coalesce("filled", "ahead", F.lit(0)))
-        .select("doc_id", "sources", "size", "draw", "tag", "uses", "more", "gap")
-    )
 
-    # What is still missing to a pattern's rest is less than the document that did not fit. One more
-    # document of each power of two in size is tried, the largest first; the last words are a cut.
-    left = chosen.where("gap > 0 AND NOT more")
-    one = F.min(F.struct("draw", "size", "tag")).alias("doc")
-    fillers = left.where("size <= gap").groupBy("sources", "gap", F.floor(F.log2("size")).alias("class")).agg(one)
-    extra, gaps = [], {}
-    for r in sorted(fillers.collect(), key=lambda r: -r["class"]):
-        pattern = tuple(r["sources"])
-        gap = gaps.setdefault(pattern, r["gap"])
-        if r["doc"]["size"] <= gap:
-            gaps[pattern] = gap - r["doc"]["size"]
-            extra.append(r["doc"]["tag"])
-    # A document taken already as a filler may not be cut too: its size is at most the gap it filled.
-    still = docs.sparkSession.createDataFrame([(list(p), g) for p, g in gaps.items()], "sources array<string>, still long")
-    cuts = left.join(still, "sources", "left").withColumn("still", F.coalesce("still", "gap")).where("still > 0 AND size > gap")
-    cut = [(r["doc"]["tag"], r["still"]) for r in cuts.groupBy("sources", "still").agg(one).collect()]
-    changes = [(t, 1, 0) for t in extra] + [(t, 0, c) for t, c in cut]
-    change = docs.sparkSession.createDataFrame(changes, "tag long, extra long, cut long")
-    copies = F.col("uses") + F.col("more").cast("long") + F.coalesce("extra", F.lit(0))
+    some = sized.where("size > 0")
+    gaps = {p: given[p] % size for p, size in found.items() if size}
+    # Per pattern the passes over its order: the longest document that fitted, and the last that was taken.
+    passes: dict[tuple, list] = {p: [] for p in gaps}
+    open_ = {p for p, gap in gaps.items() if gap}
+    while open_:
+        state = spark.createDataFrame([(list(p), gaps[p], passes[p][-1][1] if passes[p] else None) for p in open_], f"sources array<string>, gap long, after {_PLACES}")
+        left = some.join(state.select("sources", "after"), "sources").where(F.col("after").isNull() | (_place() > F.col("after"))).drop("after")
+        step = {tuple(r["sources"]): r for r in _filled(left, state.drop("after"))}
+        for p in list(open_):
+            if p in step:
+                passes[p].append((gaps[p], tuple(step[p]["last"])))
+                gaps[p] -= step[p]["filled"]
+            if p not in step or gaps[p] * 1000 <= given[p]:
+                open_.discard(p)
+    rows = [(list(p), given[p] // size, gaps[p], passes[p]) for p, size in found.items() if size]
+    plan = spark.createDataFrame(rows, f"sources array<string>, uses long, gap long, passes array<struct<fits: long, last: {_PLACES}>>")
+    more = F.exists("passes", lambda x: (F.col("size") <= x["fits"]) & (_place() <= x["last"]))
+    chosen = some.join(plan, "sources").withColumn("more", more).drop("passes")
+    # A document that is taken once more anyway is not cut too, nor one that the gap would hold whole.
+    cuts = chosen.where("gap > 0 AND NOT more AND size > gap").groupBy("sources").agg(F.min(F.struct("size", "draw", "tag")).alias("doc"), F.first("gap").alias("gap"))
+    cut = spark.createDataFrame([(r["doc"]["tag"], r["gap"]) for r in cuts.collect()], "tag long, cut long")
     result = (
-        chosen.join(change, "tag", "left")
-        .select("doc_id", "sources", "size", copies.alias("copies"), F.coalesce("cut", F.lit(0)).cast("long").alias("cut"))
-        .union(sized.where("size = 0").select("doc_id", "sources", "size", F.lit(0).cast("long"), F.lit(0).cast("long")))
+        chosen.join(cut, "tag", "left")
+        .select("tag", "doc_id", "sources", "size", (F.col("uses") + F.col("more").cast("long")).alias("copies"), F.coalesce("cut", F.lit(0)).cast("long").alias("cut"))
+        .union(sized.where("size = 0").select("tag", "doc_id", "sources", "size", F.lit(0).cast("long"), F.lit(0).cast("long")))
     )
     return result.withColumn("taken", F.col("copies") * F.col("size") + F.col("cut")), sizes, goal
 
@@ -204,10 +216,12 @@ def mix(docs: DataFrame, weights=None, total: float = 1.0, repeats: int = REPEAT
 def mixed_rows(docs: DataFrame, weights=None, total: float = 1.0, repeats: int = REPEATS, seed: int = 0) -> DataFrame:
     """Each row of ``docs`` (doc_id, text, source, ...) as often as ``mix`` takes the whole document, all columns as they are.
 
-    Cuts are left out. Rows that repeat an id are each taken as often as the one taken most.
+    A cut counts as a whole use if it is half of the document or more, and as none otherwise. Rows are told apart by a tag that is written with them, so
+    rows that repeat an id are each taken as often as ``mix`` says.
     """
-    chosen, _, _ = mix(docs.select("doc_id", "text", F.array(F.col("source").cast("string")).alias("sources")), weights, total, repeats, seed)
-    copies = chosen.groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("copies")).where("copies > 0")
-    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("mixed.copies")))
-    joined = docs.alias("docs").join(copies.alias("mixed"), F.col("docs.doc_id").cast("long").eqNullSafe(F.col("mixed.mixed_id")))
-    return joined.select("docs.*", times.alias("__time")).drop("__time")
+    rows = saved(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("tag")))
+    parts = rows.select("row.doc_id", "row.text", F.array(F.col("row.source").cast("string")).alias("sources"), "tag")
+    chosen, _, _ = _mixed(_sized(parts, F.col("tag"), seed), weights, total, repeats)
+    copies = chosen.select("tag", (F.col("copies") + (2 * F.col("cut") >= F.col("size")).cast("long") * (F.col("cut") > 0).cast("long")).alias("copies"))
+    taken = rows.join(copies.where("copies > 0"), "tag")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("time")).select("row.*")
