@@ -127,6 +127,11 @@ def neighbours(docs: DataFrame) -> DataFrame:
     )
 
 
+def _key(doc_id: Column) -> Column:
+    """An id to join by; a null one has a key of its own."""
+    return F.coalesce(doc_id.cast("string"), F.lit(""))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -134,24 +139,38 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     (or all) of the next document in descending order of ids; after the last comes the first. ``near_edited`` and ``near_next`` are the
     ``likeness`` of the text's fingerprint to those of the edited text and of the next document.
 
+    Whole texts are shuffled once, to learn their neighbours; only as much of a text's beginning as the document before it takes travels on. Each
+    text is sketched once; sketches are written, and meet by neighbour. So a filter on the result computes no sketch again.
+
     Null texts are empty ones. Equal texts have equal fingerprints. A null id comes after all others. Of rows that
     repeat an id, each has its own next document, the one with the next smaller id; if that id has several
-    rows, the smallest text. An empty table gives an empty one.
+    rows, the smallest text. Of two texts beyond 2^26 words, k-mers from there on count as if at one place: their order does not tell. An empty table
+    gives an empty one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    links = saved(neighbours(docs)).withColumnRenamed("doc_id", "id")
-    both = docs.join(links, F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
-    once = both.where("copies = 1").select(F.col("prev_id").alias("at"), F.col("text").alias("next_text"))
-    many = both.where("copies > 1").groupBy(F.col("prev_id").alias("at")).agg(F.min("text").alias("next_text"))
-    paired = docs.join(once.union(many), F.col("doc_id").eqNullSafe(F.col("at"))).drop("at")
+    # Just these columns wherever texts are shuffled by their id, so that Spark does it once.
+    keyed = docs.select(_key(F.col("doc_id")).alias("key"), "text")
+    # How much of a text the document before it may take: a third of the longest row of that id.
+    wanted = keyed.groupBy("key").agg(F.max(F.floor(F.length("text") / 3).cast("int")).alias("third"))
+    links = neighbours(docs).select(_key(F.col("doc_id")).alias("key"), _key(F.col("prev_id")).alias("prev"), "copies")
+    links = saved(links.join(wanted.withColumnRenamed("key", "prev"), "prev"))
+    own = keyed.join(links, "key")
+    once = own.where("copies = 1").select(F.col("prev").alias("key"), F.substring("text", F.lit(1), F.col("third")).alias("head"))
+    many = own.where("copies > 1").groupBy("prev").agg(F.min("text").alias("text"), F.max("third").alias("third"))
+    heads = once.union(many.select(F.col("prev").alias("key"), F.substring("text", F.lit(1), F.col("third")).alias("head")))
     size = F.length("text")
     third = F.floor(size / 3).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), size - third), F.substring("next_text", F.lit(1), third))
-    with_edit = paired.withColumn("edited", edited).select(
-        "doc_id", size.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "text", "edited", "next_text"
-    )
-    sketched = with_sketches(with_edit, own="text", changed="edited", following="next_text").drop("text", "edited", "next_text")
-    return sketched.select(
-        "doc_id", "n_chars", "edited_sha256", as_string("own").alias("fingerprint"), as_string("changed").alias("edited_fingerprint"),
+    edited = F.concat(F.substring("text", F.lit(1), size - third), F.substring("head", F.lit(1), third))
+    with_edit = own.join(heads, "key").withColumn("edited", edited).select(
+        "key", "prev", size.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        # Of rows that repeat an id, the smallest text stands for it.
+        F.when(F.col("copies") > 1, F.col("text")).alias("among"), "text", "edited",
+    )
+    sketched = saved(with_sketches(with_edit, own="text", changed="edited").drop("text", "edited"))
+    following = sketched.where("among IS NULL").select(F.col("prev").alias("key"), F.col("own").alias("following"))
+    chosen = sketched.where("among IS NOT NULL").groupBy("prev").agg(F.min_by("own", "among").alias("following"))
+    met = sketched.drop("prev", "among").join(following.union(chosen.withColumnRenamed("prev", "key")), "key")
+    return met.select(
+        F.col("key").try_cast("long").alias("doc_id"), "n_chars", "edited_sha256", as_string("own").alias("fingerprint"), as_string("changed").alias("edited_fingerprint"),
         likeness("own", "changed").alias("near_edited"), likeness("own", "following").alias("near_next"),
     )
