@@ -160,7 +160,7 @@ BUSINESS = {
     "forecast_intervals": lambda b: series.forecast_intervals(_forecast(b), P.HORIZON, keys=["SERIE"]),
     "restock_recommendation": lambda b: reports.restock_recommendation(_risk(b)),
     "margin_uplift": lambda b: reports.margin_uplift(_integrated(b)),
-    "integrated_totals": lambda b: reports.integrated_totals(_integrated(b)),
+    "integrated_totals": lambda b: integrated.integrated_totals(b, *_PERIOD, window_days=P.WINDOW_DAYS),
     "model_label": lambda b: reports.model_label(_models(b)),
     "branch_totals": lambda b: reports.branch_totals(_performance(b)),
     "branch_benchmark": lambda b: reports.branch_benchmark(_performance(b), P.BRANCH_A, P.BRANCH_B),

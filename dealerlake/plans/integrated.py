@@ -97,11 +97,13 @@ def integrated_margin(
     sales = written(sales if limit is None else sales.orderBy(*newest).limit(limit))
     days = sales.agg(F.min("DT_VENDA"), F.max("DT_VENDA")).first()
     since, until = (days[0] or dt_ini, days[1] or dt_ini)
-    after = (
+    # One row per buyer and day before anything is joined: a generic buyer with a third of all rows is a row per day then.
+    daily = (
         _facts(b, (SERVICO, PECA), since, until, window_days, cod_concessionaria)
-        .select(*_BUYER, "DT_VENDA", F.lit(False).alias("is_anchor"), *_AFTER)
-        .join(sales.select(*_BUYER).distinct(), _BUYER, "left_semi")
+        .groupBy(*_BUYER, "DT_VENDA")
+        .agg(*[F.sum(c).alias(c) for c in _AFTER])
     )
+    after = daily.withColumn("is_anchor", F.lit(False)).join(sales.select(*_BUYER).distinct(), _BUYER, "left_semi")
     anchors = sales.select(*_BUYER, "DT_VENDA", F.lit(True).alias("is_anchor"))
     sums = forward_sums(
         after.unionByName(anchors, allowMissingColumns=True), _BUYER, "DT_VENDA", _AFTER, window_days
@@ -127,23 +129,16 @@ def integrated_margin(
     )
 
 
-def model_ranking(
-    b: Bronze,
-    dt_ini: date,
-    dt_fim: date,
-    window_days: int = 30,
-    cod_concessionaria: str | None = None,
-    cod_filial: str | None = None,
-    top_n: int = 15,
-    min_revenue: float = 0,
-) -> DataFrame:
-    """Models by integrated margin, among those whose vehicle revenue reaches ``min_revenue``."""
-    model = ["MARCA_VEICULO", "MODELO_VEICULO"]
-    # One row per buyer, day and model, so that a generic buyer's sales don't meet the sums one by one.
+def _sums_by(b: Bronze, keys: list[str], dt_ini, dt_fim, window_days, cod_concessionaria, cod_filial) -> DataFrame:
+    """Vehicle sales and what followed them, summed by columns of the sale: QTD_VENDAS, amounts of vehicles, services and parts, and all together.
+
+    Sales are reduced to one row per buyer, day and ``keys``, and after-sales to one per buyer and day, so a generic buyer's sales don't meet the
+    sums one by one.
+    """
     amounts = ["RECEITA_VEICULO", "LUCRO_VEICULO"]
     sales = (
-        _vehicle_sales(b, [*_BUYER, "DT_VENDA", *model], dt_ini, dt_fim, cod_concessionaria, cod_filial)
-        .groupBy(*_BUYER, "DT_VENDA", *model)
+        _vehicle_sales(b, [*_BUYER, "DT_VENDA", *keys], dt_ini, dt_fim, cod_concessionaria, cod_filial)
+        .groupBy(*_BUYER, "DT_VENDA", *keys)
         .agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in amounts])
     )
     filters = branch_keys(None, cod_filial)
@@ -157,16 +152,39 @@ def model_ranking(
     joined = sales.join(each, [*_BUYER, "DT_VENDA"], "left").withColumns(
         {c: or_zero(F.col(c)) * F.col("n").cast("decimal(18,0)") for c in _AFTER}
     )
-    sums = [*amounts, *_AFTER]
     integrated = {
         "RECEITA_INTEGRADA": F.col("RECEITA_VEICULO") + F.col("RECEITA_SERVICOS") + F.col("RECEITA_PECAS"),
         "LUCRO_INTEGRADO": F.col("LUCRO_VEICULO") + F.col("LUCRO_SERVICOS") + F.col("LUCRO_PECAS"),
     }
-    shown = ["QTD_VENDAS", "RECEITA_VEICULO", "RECEITA_SERVICOS", "RECEITA_PECAS", *integrated]
+    return joined.groupBy(*keys).agg(F.sum("n").alias("QTD_VENDAS"), *[F.sum(c).alias(c) for c in [*amounts, *_AFTER]]).withColumns(integrated)
+
+
+def integrated_totals(
+    b: Bronze, dt_ini: date, dt_fim: date, window_days: int = 30, cod_concessionaria: str | None = None, cod_filial: str | None = None
+) -> DataFrame:
+    """Revenue, profit and margin over all sales of the period with what followed them, one row.
+
+    The same as totals over ``integrated_margin`` without a limit, from sums per buyer and day: no row per sale is joined or sorted.
+    """
+    total = _sums_by(b, [], dt_ini, dt_fim, window_days, cod_concessionaria, cod_filial)
+    return total.select("RECEITA_INTEGRADA", "LUCRO_INTEGRADO", ratio(F.col("LUCRO_INTEGRADO"), F.col("RECEITA_INTEGRADA")).alias("MARGEM_INTEGRADA"))
+
+
+def model_ranking(
+    b: Bronze,
+    dt_ini: date,
+    dt_fim: date,
+    window_days: int = 30,
+    cod_concessionaria: str | None = None,
+    cod_filial: str | None = None,
+    top_n: int = 15,
+    min_revenue: float = 0,
+) -> DataFrame:
+    """Models by integrated margin, among those whose vehicle revenue reaches ``min_revenue``."""
+    model = ["MARCA_VEICULO", "MODELO_VEICULO"]
+    shown = ["QTD_VENDAS", "RECEITA_VEICULO", "RECEITA_SERVICOS", "RECEITA_PECAS", "RECEITA_INTEGRADA", "LUCRO_INTEGRADO"]
     return (
-        joined.groupBy(*model)
-        .agg(F.sum("n").alias("QTD_VENDAS"), *[F.sum(c).alias(c) for c in sums])
-        .withColumns(integrated)
+        _sums_by(b, model, dt_ini, dt_fim, window_days, cod_concessionaria, cod_filial)
         .select(*model, *shown)
         .filter(F.col("RECEITA_VEICULO") >= F.lit(min_revenue))
         .withColumn("MARGEM_INTEGRADA", ratio(F.col("LUCRO_INTEGRADO"), F.col("RECEITA_INTEGRADA")))

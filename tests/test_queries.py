@@ -6,6 +6,7 @@ import pytest
 from dealerchecks.compare import connect, difference
 from dealerlake import schemas as S
 from dealerlake.plans import branch, customers, daily, integrated, kpi, reports, stock
+from dealerlake.session import setting
 from tests.frames import D0, bronze, day, rows
 
 SMALL = "/root/testdata/sf0.001"
@@ -165,6 +166,29 @@ def test_daily_means_count_days_with_rows(spark):
     assert rows(deltas) == [("VEICULO", -1.0, 50.0), ("PECA", -2.0, 0.0), ("SERVICO", 0.0, 0.0)]
 
 
+def test_a_generic_buyer_is_a_row_per_day_before_any_join(spark):
+    """A third of all rows have one buyer; with broadcasts off no task joins or sorts more than a row per buyer and day of after-sales."""
+    n = 3000
+    name = lambda i: "CONSUMIDOR" if i % 3 == 0 else f"B{i}"
+    b = bronze(
+        spark,
+        veic=[{"VALOR_VENDA": 100, "LUCRO_VENDA": 10, "NOME_COMPRADOR": name(i), "DT_VENDA": day(i % 10)} for i in range(300)],
+        srv=[{"VALOR_TOTAL_SERVICO": 7, "LUCRO_SERVICO": 3, "NOME_CLIENTE": name(i), "DT_REALIZACAO_SERVICO": day(i % 10)} for i in range(n)],
+        pec=[{"VALOR_VENDA": 2, "LUCRO_VENDA": 1, "NOME_COMPRADOR": name(i), "DT_VENDA": day(i % 10)} for i in range(n)],
+    )
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        every = integrated.integrated_margin(b, *PERIOD, limit=None)
+        totals = integrated.integrated_totals(b, *PERIOD)
+        assert rows(totals) == rows(reports.integrated_totals(every))
+        for df in (every, totals):
+            lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+            # Read upwards from the facts: they are summed within tasks before their first shuffle.
+            for at, line in enumerate(lines):
+                if "Union" in line:
+                    above = [x for x in reversed(lines[:at]) if "Exchange" in x or "HashAggregate" in x]
+                    assert "partial_sum" in above[0]
+
+
 def test_after_sales_count_for_every_sale_they_follow(spark):
     sale = {"VALOR_VENDA": 100, "LUCRO_VENDA": 10, "NOME_COMPRADOR": "ANA"}
     b = bronze(
@@ -185,6 +209,10 @@ def test_after_sales_count_for_every_sale_they_follow(spark):
         ("ana", D0, Decimal(0), Decimal(0), Decimal(10)),
         (None, D0, Decimal(0), Decimal(0), Decimal(10)),
     ]
+    every = integrated.integrated_margin(b, *PERIOD, limit=None)
+    assert rows(integrated.integrated_totals(b, *PERIOD)) == rows(reports.integrated_totals(every)) == [(Decimal(419), Decimal(48), pytest.approx(48 / 419))]
+    one = integrated.integrated_totals(b, *PERIOD, cod_concessionaria="1", cod_filial="none")
+    assert rows(one) == [(None, None, None)]
     # A branch filter narrows the sales, not the after-sales; the period neither cuts the window.
     narrow = integrated.model_ranking(b, D0, D0, cod_concessionaria="1", cod_filial="1-1")
     assert rows(narrow, "QTD_VENDAS", "RECEITA_VEICULO", "RECEITA_SERVICOS") == [(3, Decimal(300), Decimal(7))]
