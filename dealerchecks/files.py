@@ -5,6 +5,8 @@ The files go to the shared folder, a new one for each run.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from dealerchecks.ingest import EXPORTS, RECORD_KEY, _input, _plain, projection_
 from dealerlake import schemas as S
 from dealerlake.plans.ingest import ORDER, run_job
 from dealerlake.session import new_folder
-from dealerlake.sources.bronze import Bronze
+from dealerlake.sources.bronze import AMOUNTS, SERVICO, Bronze
 from dealerlake.sources.csv import FILE, detect_dialects, read_dirty_csv
 from dealerlake.sources.sink import Target
 from dealerlake.sources.star import star_table
@@ -128,6 +130,29 @@ def _row_keys(spark: SparkSession, folder: str) -> DataFrame:
     return Bronze.from_path(spark, f"{out}/bronze").table(S.HIST_SERVICOS, ["ID_SERVICO"])
 
 
+def _monthly_after_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly services after two loads: from the sums that the loads brought, and from the rows themselves."""
+    export = _input(spark, folder, EXPORTS[S.HIST_SERVICOS])
+    out = new_folder(spark)
+    for i in (0, 1):
+        half = export.filter(F.pmod(F.xxhash64(*export.columns), F.lit(2)) == i)
+        half.write.csv(f"{out}/export{i}", header=True, sep=";", emptyValue="")
+        run_job(spark, S.HIST_SERVICOS, f"{out}/export{i}", Target(path=f"{out}/bronze"))
+    b = Bronze.from_path(spark, f"{out}/bronze")
+    columns, period = ["DT", "COD_FILIAL", *AMOUNTS], (date(1992, 6, 15), date(1998, 12, 31))
+    sides = [b.sums(columns, period, [SERVICO]).withColumn("FROM_SUMS", F.lit(True)), b.transactions(columns, period, [SERVICO]).withColumn("FROM_SUMS", F.lit(False))]
+    keys = ["FROM_SUMS", F.trunc("DT", "MM").alias("MES"), "COD_FILIAL"]
+    return sides[0].unionByName(sides[1]).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in AMOUNTS])
+
+
+def _monthly_sql() -> str:
+    sources = {"QTD": "QTDE_SERVICOS", "RECEITA": "VALOR_TOTAL_SERVICO", "LUCRO": "LUCRO_SERVICO"}
+    sums = ", ".join(f"CAST(sum(CAST(coalesce({source}, 0) AS DECIMAL(28, 2))) AS DOUBLE) AS {c}" for c, source in sources.items())
+    return f"""SELECT FROM_SUMS, CAST(date_trunc('month', DT_REALIZACAO_SERVICO) AS DATE) AS MES, COD_FILIAL, {sums}
+        FROM ({_load_sql(S.HIST_SERVICOS)}), (VALUES (true), (false)) s(FROM_SUMS)
+        WHERE DT_REALIZACAO_SERVICO BETWEEN DATE '1992-06-15' AND DATE '1998-12-31' GROUP BY ALL"""
+
+
 def _load_sql(table: str) -> str:
     spec = S.TABLES[table]
     kept = [f"{c} IS NOT NULL" for c in spec.required]
@@ -137,9 +162,9 @@ def _load_sql(table: str) -> str:
 
 def file_queries() -> dict:
     loads = {projection_name(t).replace("bronze_projection", "load"): _load(t) for t in EXPORTS}
-    return {"csv_dialects": _dialects, "csv_records": _records, "csv_rejects": _rejects, "load_row_keys": _row_keys} | loads
+    return {"csv_dialects": _dialects, "csv_records": _records, "csv_rejects": _rejects, "load_row_keys": _row_keys, "services_monthly_after_loads": _monthly_after_loads} | loads
 
 
 def file_sql() -> dict[str, str]:
     keys = f"SELECT row_number() OVER () - 1 AS ID_SERVICO FROM ({_load_sql(S.HIST_SERVICOS)})"
-    return _ODD_SQL | {"load_row_keys": keys} | {projection_name(t).replace("bronze_projection", "load"): _load_sql(t) for t in EXPORTS}
+    return _ODD_SQL | {"load_row_keys": keys, "services_monthly_after_loads": _monthly_sql()} | {projection_name(t).replace("bronze_projection", "load"): _load_sql(t) for t in EXPORTS}

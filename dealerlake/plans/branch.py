@@ -71,7 +71,7 @@ def _line_totals(b: Bronze, dt_ini: date, dt_fim: date, cod_concessionaria: str
     """Sums by (line or stock, branch code, branch name): one scan of each table, one small shuffle."""
     keys = [*CODE, "NOME_FILIAL"]
     rows = (
-        b.transactions([*keys, "QTD", "RECEITA", "LUCRO"], (dt_ini, dt_fim))
+        b.sums([*keys, "QTD", "RECEITA", "LUCRO"], (dt_ini, dt_fim))
         .unionByName(
             stock_as_facts(b, S.ESTOQUE_PECAS, "VALOR_PECA_ESTOQUE", STOCK_PARTS, keys), allowMissingColumns=True
         )
@@ -132,7 +132,7 @@ def roi_by_branch(b: Bronze, dt_ini: date, dt_fim: date, collapse_names: bool =
         return df.groupBy("COD_FILIAL", *names).agg(*spelling, *aggregates)
 
     profit = grouped(
-        b.transactions(["COD_FILIAL", "NOME_FILIAL", "LUCRO"], (dt_ini, dt_fim)), F.sum("LUCRO").alias("LUCRO_TOTAL")
+        b.sums(["COD_FILIAL", "NOME_FILIAL", "LUCRO"], (dt_ini, dt_fim)), F.sum("LUCRO").alias("LUCRO_TOTAL")
     )
     stocks = []
     for table, value in ((S.ESTOQUE_VEICULOS, "CUSTO_VEICULO"), (S.ESTOQUE_PECAS, "VALOR_PECA_ESTOQUE")):

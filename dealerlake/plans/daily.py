@@ -20,7 +20,7 @@ LOOKBACK_DAYS = 30
 def last_days(b: Bronze, as_of: date) -> DataFrame:
     """Daily sums of all lines over the day and the 30 before it in one scan, written: at most 93 rows."""
     measures = ("QTD", "RECEITA", "LUCRO")
-    rows = b.transactions(["DT", *measures], (as_of - timedelta(days=LOOKBACK_DAYS), as_of))
+    rows = b.sums(["DT", *measures], (as_of - timedelta(days=LOOKBACK_DAYS), as_of))
     return written(rows.groupBy("ORIGEM", F.col("DT").cast("date").alias("DIA")).agg(*[F.sum(m).alias(m) for m in measures]))
 
 
@@ -138,5 +138,5 @@ def series_services_revenue(b: Bronze, dt_ini: date, dt_fim: date, keys: Sequenc
 def series_all_lines(b: Bronze, dt_ini: date, dt_fim: date, keys: Sequence[str] = ()) -> DataFrame:
     """The three series above in one scan, told apart by ORIGEM: units of vehicles, revenue of parts and services."""
     value = F.when(F.col("ORIGEM") == VEICULO, F.col("QTD")).otherwise(F.col("RECEITA"))
-    rows = b.transactions([*keys, "DT", "QTD", "RECEITA"], (dt_ini, dt_fim))
+    rows = b.sums([*keys, "DT", "QTD", "RECEITA"], (dt_ini, dt_fim))
     return rows.groupBy("ORIGEM", *keys, F.col("DT").cast("date").alias("DIA")).agg(F.sum(value).alias("Y"))

@@ -52,7 +52,7 @@ def kpis_period(
     A line without rows gives null, and so does the total over it.
     """
     keys = branch_keys(cod_concessionaria, cod_filial)
-    sales = b.transactions([*keys, "RECEITA", "LUCRO"], (dt_ini, dt_fim))
+    sales = b.sums([*keys, "RECEITA", "LUCRO"], (dt_ini, dt_fim))
     stock = stock_as_facts(b, S.ESTOQUE_PECAS, "VALOR_PECA_ESTOQUE", STOCK_PARTS, keys)
     rows = in_branch(sales.unionByName(stock, allowMissingColumns=True), cod_concessionaria, cod_filial)
     origin = F.col("ORIGEM")
@@ -78,7 +78,7 @@ def kpis_period(
 def revenue_monthly(b: Bronze, dt_ini: date, dt_fim: date) -> DataFrame:
     """Total revenue by month."""
     return (
-        b.transactions(["DT", "RECEITA"], (dt_ini, dt_fim))
+        b.sums(["DT", "RECEITA"], (dt_ini, dt_fim))
         .groupBy(F.trunc("DT", "MM").alias("MES"))
         .agg(F.sum("RECEITA").alias("RECEITA_TOTAL"))
         .orderBy("MES")
@@ -90,7 +90,7 @@ def pnl_monthly(b: Bronze, dt_ini: date, dt_fim: date) -> DataFrame:
     origin = F.col("ORIGEM")
     lines = {"VEIC": VEICULO, "PEC": PECA, "SRV": SERVICO}
     return (
-        b.transactions(["DT", "RECEITA", "LUCRO"], (dt_ini, dt_fim))
+        b.sums(["DT", "RECEITA", "LUCRO"], (dt_ini, dt_fim))
         .groupBy(F.trunc("DT", "MM").alias("MES"))
         .agg(
             *[
@@ -124,7 +124,7 @@ def cashflow_proxy(
     """Capital tied up in both stocks against revenue of the three lines, five labelled rows."""
     keys = branch_keys(cod_concessionaria, cod_filial)
     rows = (
-        b.transactions([*keys, "RECEITA"], (dt_ini, dt_fim))
+        b.sums([*keys, "RECEITA"], (dt_ini, dt_fim))
         .unionByName(stock_as_facts(b, S.ESTOQUE_VEICULOS, "CUSTO_VEICULO", STOCK_VEHICLES, keys))
         .unionByName(stock_as_facts(b, S.ESTOQUE_PECAS, "VALOR_PECA_ESTOQUE", STOCK_PARTS, keys))
     )

@@ -67,6 +67,23 @@ LINES: dict[str, Line] = {
 }
 
 
+#: Columns of the sums per day and branch.
+BRANCH_DAY = ("DT", "COD_CONCESSIONARIA", "COD_FILIAL", "NOME_FILIAL")
+AMOUNTS = ("QTD", "RECEITA", "LUCRO")
+
+
+def day_sums(rows: DataFrame, line: Line) -> DataFrame:
+    """The amounts of a line's table per day and branch, missing ones as 0, exact."""
+    keys = [F.col(line.columns.get(c, c)).alias(c) for c in BRANCH_DAY]
+    amounts = [F.sum(or_zero(F.col(line.columns[c]).cast(S.MONEY))).cast(SUM).alias(c) for c in AMOUNTS]
+    return rows.groupBy(*keys).agg(*amounts)
+
+
+#: Type of a sum of amounts.
+SUM = "decimal(28,2)"
+_SUMS = "DT date, COD_CONCESSIONARIA string, COD_FILIAL string, NOME_FILIAL string, " + ", ".join(f"{c} {SUM}" for c in AMOUNTS)
+
+
 def between(column, period: Period | None):
     """Inclusive date range as a condition; either end may be open."""
     lo, hi = period or (None, None)
@@ -98,8 +115,13 @@ class Bronze:
     # Type of quantities and money in the unified fact.
     amount = S.MONEY.simpleString()
 
-    def __init__(self, open_table: Callable[[str], DataFrame]):
+    # Sums that loads brought of a table, and the rows of loads without; None where there are no sums.
+    _open_sums: Callable[[str], tuple[DataFrame, DataFrame] | None] = staticmethod(lambda name: None)
+
+    def __init__(self, open_table: Callable[[str], DataFrame], open_sums: Callable[[str], tuple[DataFrame, DataFrame] | None] | None = None):
         self._open = open_table
+        if open_sums is not None:
+            self._open_sums = open_sums
 
     @classmethod
     def from_frames(cls, frames: dict[str, DataFrame]) -> Bronze:
@@ -116,7 +138,11 @@ class Bronze:
             log = Log.of(spark, root, name)
             return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}") if log is None else log.rows(spark, schema)
 
-        return cls(open_table)
+        def open_sums(name: str) -> tuple[DataFrame, DataFrame] | None:
+            log = Log.of(spark, root, name)
+            return log and (log.sums(spark, _SUMS), log.rows(spark, S.TABLES[name].schema.add(S.MONTH_PARTITION, "integer"), summed=False))
+
+        return cls(open_table, open_sums)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str = "default") -> Bronze:
@@ -175,6 +201,25 @@ class Bronze:
             )
         return reduce(DataFrame.unionByName, parts)
 
+    def sums(self, columns: Iterable[str], period: Period | None = None, origins: Iterable[str] = tuple(LINES)) -> DataFrame:
+        """Rows whose amounts add up like those of ``transactions``: ORIGEM plus columns of BRANCH_DAY and AMOUNTS. For queries that sum only, and
+        count no rows.
+
+        In a folder they are the sums per day and branch that each load brought, a row per load, day and branch instead of one per transaction,
+        plus the rows of loads without. Elsewhere they are the transactions.
+        """
+        columns, parts = list(columns), []
+        held = {origin: self._open_sums(LINES[origin].table) for origin in origins}
+        plain = [origin for origin, found in held.items() if found is None]
+        if plain:
+            parts.append(self.transactions(columns, period, plain))
+        for origin, found in held.items():
+            if found is not None:
+                sums, rows = found
+                parts.append(sums.filter(between(F.col("DT"), period)).select(F.lit(origin).alias("ORIGEM"), *columns))
+                parts.append(Bronze.from_frames({LINES[origin].table: rows}).transactions(columns, period, [origin]))
+        return reduce(DataFrame.unionByName, parts)
+
     def _unified(self, source: str, name: str) -> Column:
         if name in ("QTD", "RECEITA", "LUCRO"):
             return or_zero(F.col(source).cast(self.amount))

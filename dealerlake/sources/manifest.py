@@ -1,7 +1,7 @@
 """The log of loads of a table in a folder: what a load wrote counts once its entry has been published, by one rename.
 
 Under ``root`` a load's rows lie in ``<table>/LOAD=<id>``, the files it read in ``_loads/<table>/files/LOAD=<id>``, its unique keys in
-``_keys/<table>/BUCKET=<n>/LOAD=<id>``. Its entry is ``_loads/<table>/<version>.json``, versions counting up from 0. Readers go by the
+``_keys/<table>/BUCKET=<n>/LOAD=<id>``, the sums of its rows per day and branch in ``_sums/<table>/LOAD=<id>``. Its entry is ``_loads/<table>/<version>.json``, versions counting up from 0. Readers go by the
 entries, so folders of a load that died are never read. A version is published once: the second of two loads that started from the same version
 fails, and leaves nothing behind that counts.
 """
@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOAD, BUCKET = "LOAD", "BUCKET"
-_ENTRY = "version long, load string, next_id long, rows long, buckets array<int>"
+_ENTRY = "version long, load string, next_id long, rows long, buckets array<int>, sums boolean"
 
 
 @dataclass(frozen=True)
 class Log:
-    """The published loads of a table, oldest first: (version, load, next_id, rows, buckets with keys). One entry per load."""
+    """The published loads of a table, oldest first: (version, load, next_id, rows, buckets with keys, whether it has sums). One entry per load."""
 
     root: str
     table: str
@@ -45,11 +45,16 @@ class Log:
     def next_id(self) -> int:
         return max((e["next_id"] for e in self.entries), default=0)
 
-    def rows(self, spark: SparkSession, schema) -> DataFrame:
-        """The table's rows, with the load and other folder columns behind those of ``schema``."""
-        paths = [f"{self.root}/{self.table}/{LOAD}={e['load']}" for e in self.entries if e["rows"]]
+    def rows(self, spark: SparkSession, schema, summed: bool | None = None) -> DataFrame:
+        """The table's rows, with the load and other folder columns behind those of ``schema``; of all loads, or of those with or without sums."""
+        paths = [f"{self.root}/{self.table}/{LOAD}={e['load']}" for e in self.entries if e["rows"] and summed in (None, bool(e["sums"]))]
         return _read(spark, schema, f"{self.root}/{self.table}", paths)
 
+    def sums(self, spark: SparkSession, schema) -> DataFrame:
+        """Sums per load, day and branch, of the loads that have them."""
+        base = f"{self.root}/_sums/{self.table}"
+        return _read(spark, schema, base, [f"{base}/{LOAD}={e['load']}" for e in self.entries if e["rows"] and e["sums"]])
+
     def files(self, spark: SparkSession) -> DataFrame:
         """The files that have been loaded: path, bytes, modified."""
         base = f"{self.root}/_loads/{self.table}/files"
@@ -76,9 +81,9 @@ def new_load() -> str:
     return uuid.uuid4().hex
 
 
-def publish(spark: SparkSession, root: str, table: str, load: str, version: int, next_id: int, rows: int, buckets: list[int]) -> None:
+def publish(spark: SparkSession, root: str, table: str, load: str, version: int, next_id: int, rows: int, buckets: list[int], sums: bool) -> None:
     """Makes a load count, as the given version. Raises FileExistsError if another load has become that version."""
-    entry = {"version": version, "load": load, "next_id": next_id, "rows": rows, "buckets": buckets}
+    entry = {"version": version, "load": load, "next_id": next_id, "rows": rows, "buckets": buckets, "sums": sums}
     folder = f"{root.rstrip('/')}/_loads/{table}"
     jvm = spark._jvm
     final, draft = (_path(spark, f"{folder}/{name}") for name in (f"{version:012d}.json", f".{load}.draft"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake.schemas import MONTH_PARTITION, TABLES
+from dealerlake.sources.bronze import LINES, day_sums
 from dealerlake.sources.manifest import BUCKET, FILES, LOAD, Log, bucket_of, names, new_load, publish
 
 
@@ -24,6 +25,8 @@ class Target:
 JDBC_CONNECTIONS = "8"
 
 
+#: Tables whose loads bring sums per day and branch, by their line of business.
+SUMMED = {line.table: line for line in LINES.values()}
 #: Hash buckets of a table's unique column. A load reads only the buckets that its keys fall into.
 KEY_BUCKETS = 256
 #: Lets a reader skip row groups without the values it looks for.
@@ -50,7 +53,7 @@ def append_bronze(
 ) -> None:
     """Appends rows to a table; see ``_laid_out``.
 
-    In a folder the rows, the files they came from and the table's unique keys count at once, when the load's entry is published, and not at all if
+    In a folder the rows, their sums per day and branch, the files they came from and the table's unique keys count at once, when the load's entry is published, and not at all if
     it dies before; see ``manifest``. ``log`` is the log that the load started from, ``count`` the number of rows, ``next_id`` the
     first key that is left unused.
 
@@ -81,10 +84,13 @@ def append_bronze(
         (writer.partitionBy(MONTH_PARTITION) if spec.date else writer).parquet(f"{root}/{table}/{LOAD}={load}")
         if spec.unique is not None:
             buckets = _write_keys(spark, root, table, load)
+        if table in SUMMED:
+            written = spark.read.schema(spec.schema).parquet(f"{root}/{table}/{LOAD}={load}")
+            day_sums(written, SUMMED[table]).sortWithinPartitions("DT").write.parquet(f"{root}/_sums/{table}/{LOAD}={load}")
     log = log or Log(root, table, ())
     folder = f"{root}/_loads/{table}/files/{LOAD}={load}"
     (spark.createDataFrame([], FILES) if files is None else files.select("path", "bytes", "modified")).write.parquet(folder)
-    publish(spark, root, table, load, log.version + 1, log.next_id if next_id is None else next_id, count, buckets)
+    publish(spark, root, table, load, log.version + 1, log.next_id if next_id is None else next_id, count, buckets, table in SUMMED)
 
 
 def _write_keys(spark: SparkSession, root: str, table: str, load: str) -> list[int]:

@@ -242,3 +242,27 @@ def test_dates_and_months_after_two_loads(spark, tmp_path):
     period = Bronze.from_path(spark, target.path).table(S.HIST_SERVICOS, ["DT_REALIZACAO_SERVICO"], (date(2025, 2, 1), date(2025, 2, 28)))
     assert period.count() == 3
     assert "ANO_MES" in period._jdf.queryExecution().executedPlan().toString()
+
+
+def test_period_queries_read_the_sums_of_loads(spark, tmp_path, monkeypatch):
+    from dealerlake.plans import kpi
+
+    target = Target(path=str(tmp_path / "bronze"))
+    ingest.run_job(spark, S.HIST_SERVICOS, services(tmp_path / "a.csv", 40), target)
+    # A load without sums is read by its rows.
+    with monkeypatch.context() as m:
+        m.setattr(sink, "SUMMED", {})
+        ingest.run_job(spark, S.HIST_SERVICOS, services(tmp_path / "b.csv", 30), target)
+    ingest.run_job(spark, S.HIST_SERVICOS, services(tmp_path / "c.csv", 20, 5), target)
+    b = Bronze.from_path(spark, target.path)
+    found = b.sums(["DT", "QTD", "COD_FILIAL"], (date(2025, 1, 1), date(2025, 2, 28)), ["SERVICO"])
+    # A row per load, day and branch where there are sums.
+    assert sum("_sums" in p for p in found.inputFiles()) >= 2 and found.count() == 2 + 20 + 2
+    plain = b.transactions(["DT", "QTD"], (date(2025, 1, 1), date(2025, 2, 28)), ["SERVICO"])
+    assert found.agg(F.sum("QTD")).first() == plain.agg(F.sum("QTD")).first()
+    frames = {t: spark.createDataFrame([], S.SCHEMAS[t]) for t in S.SCHEMAS}
+    whole = Bronze(lambda t: b._open(t) if t == S.HIST_SERVICOS else frames[t], lambda t: b._open_sums(t) if t == S.HIST_SERVICOS else None)
+    rows = Bronze.from_frames(frames | {S.HIST_SERVICOS: b._open(S.HIST_SERVICOS)})
+    period = date(2025, 1, 1), date(2025, 12, 31)
+    for query in (kpi.kpis_period, kpi.pnl_monthly, kpi.revenue_monthly, kpi.cashflow_proxy):
+        assert query(whole, *period).collect() == query(rows, *period).collect()
