@@ -9,13 +9,13 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake.llm import words as W
 from dealerlake.llm.store import remainder, saved
 
-#: Words that have a number, the most frequent ones; pairs of them fit 32 bits. Every other word has the number RARE, and
+#: Words that have a number, at most, the most frequent ones; pairs of them fit 32 bits. Every other word has the number RARE, and
 #: pairs with such a side are counted under the words' 64-bit hashes instead.
 FAST = 65_533
 END, RARE, START = 65_533, 65_534, 65_535
@@ -25,7 +25,7 @@ BOTH, SECOND, FIRST, NEITHER, COUNT = range(5)
 AFTER, WEIGHT = 5, 6
 #: The documents of a block, and what they ask of the table: numbered pairs, and unnumbered words with the tokens on either side.
 _DOCS, _PAIRS, _WORDS = range(10, 13)
-#: Pairs resolved from a broadcast table instead of a shuffle: the most frequent ones, so that no key is hot.
+#: Pairs resolved from a broadcast table instead of a shuffle, at most: the most frequent ones, so that no key is hot.
 FREQUENT_PAIRS = 262_144
 #: Counts above this are not discounted.
 TOP = 5
@@ -621,16 +621,44 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([pa.array(held["ids"], pa.int64()), *map(pa.array, (tokens, known, base, score))], names=names)
 
 
-def _top_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's most frequent numbered pairs."""
-    pair, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+def _grade(count):
+    """Sixteen grades for each doubling of a count, from 0 on; of NumPy numbers or of a column."""
+    log2, floor = (F.log2, F.floor) if isinstance(count, Column) else (np.log2, np.floor)
+    return floor(log2(count) * 16)
+
+
+def _least(grades: list, number: int) -> int:
+    """The lowest grade that ``number`` things at most have or surpass, from (grade, how many) rows."""
+    total = 0
+    for grade, n in sorted(grades, reverse=True):
+        total += n
+        if total > number:
+            return int(grade) + 1
+    return 0
+
+
+def _pair_grades(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of a task's numbered pairs have each grade."""
+    found = np.zeros(1, np.int64)
     for r in _read(batches):
-        pair = np.concatenate([pair, np.frombuffer(r["a"], np.uint32)])
-        count = np.concatenate([count, _widened(r["c"])])
-        often = np.lexsort((pair, -count))[:FREQUENT_PAIRS]
-        often = often[count[often] > 1]
-        pair, count = pair[often], count[often]
-    yield pa.record_batch([pa.array(pair.astype(np.int64)), pa.array(count)], names=["pair", "count"])
+        own = np.bincount(_grade(_widened(r["c"])).astype(np.int64))
+        found = np.pad(found, (0, max(0, len(own) - len(found))))
+        found[: len(own)] += own
+    grade = np.flatnonzero(found)
+    yield pa.record_batch([pa.array(grade), pa.array(found[grade])], names=["grade", "n"])
+
+
+def _top_pairs(least: int):
+    """Numbered pairs of a grade or above that occur twice or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in _read(batches):
+            count = _widened(r["c"])
+            often = np.flatnonzero((count > 1) & (_grade(count) >= least))
+            if len(often):
+                yield pa.record_batch([pa.array(np.frombuffer(r["a"], np.uint32)[often].astype(np.int64)), pa.array(count[often])], names=["pair", "count"])
+
+    return run
 
 
 @dataclass
@@ -666,7 +694,9 @@ def train(docs: DataFrame, taught) -> KatzModel:
     sums = words.agg(F.sum("count"), F.count("*"), *[F.sum((F.col("count") == r).cast("long")) for r in range(1, TOP + 2)]).first()
     tokens, distinct = (sums[0] or 0) + n_docs, sums[1] + (n_docs > 0)
     of_counts = [(sums[1 + r] or 0) + (n_docs == r) for r in range(1, TOP + 2)]
-    top = words.orderBy(F.desc("count"), "word").limit(FAST).toPandas()
+    # By grades of counts, so that the driver gets FAST words at most, from all tasks together.
+    least = _least(words.groupBy(_grade(F.col("count")).alias("grade")).agg(F.count("*")).collect(), FAST)
+    top = words.where(_grade(F.col("count")) >= least).toPandas().sort_values(["count", "word"], ascending=[False, True])
     hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     count = np.zeros(START + 1, np.int64)
     count[: len(top)] = top["count"].to_numpy(np.int64)
@@ -683,8 +713,9 @@ def train(docs: DataFrame, taught) -> KatzModel:
     contexts = pairs.where(F.col("kind") != COUNT).mapInArrow(_contexts(unigrams), "context long, " + ", ".join(f"{c} double" for c in _COLUMNS))
     # Sums in a fixed order, so that reruns agree.
     summed = contexts.groupBy("context").agg(*[F.sum(F.col(c).cast("decimal(38,18)")).cast("double").alias(c) for c in _COLUMNS])
-    top_pairs = pairs.where(F.col("kind") == BOTH).mapInArrow(_top_pairs, "pair long, count long").orderBy(F.desc("count"), "pair").limit(FREQUENT_PAIRS)
-    top_pairs = top_pairs.toPandas().sort_values("pair")
+    numbered = pairs.where(F.col("kind") == BOTH)
+    least = _least(numbered.mapInArrow(_pair_grades, "grade long, n long").groupBy("grade").agg(F.sum("n")).collect(), FREQUENT_PAIRS)
+    top_pairs = numbered.mapInArrow(_top_pairs(least), "pair long, count long").toPandas().sort_values("pair")
     frequent = top_pairs["pair"].to_numpy(np.int64).astype(np.uint32), top_pairs["count"].to_numpy(np.int64)
     back = backoff(summed.collect(), unigrams)
     weights = saved(_dealt(pairs.where(F.col("kind").isin(FIRST, NEITHER)), buckets).mapInArrow(_weights(sent, back.factors), _ROWS))
