@@ -57,6 +57,19 @@ def _risk(b: Bronze) -> DataFrame:
     return stock.stockout_risk(b, P.AS_OF, P.WINDOW_DAYS, top_n=None)
 
 
+# With the dealer given and, as an optional bind, left out.
+_BOUND = """SELECT :label AS DEALER, COD_FILIAL, count(*) AS REGISTROS, sum(coalesce(VALOR_TOTAL_SERVICO, 0)) AS RECEITA FROM {services}
+WHERE DT_REALIZACAO_SERVICO BETWEEN :since AND :until AND (:dealer IS NULL OR COD_CONCESSIONARIA = :dealer) GROUP BY COD_FILIAL"""
+
+
+def _bound(spark: SparkSession, folder: str) -> DataFrame:
+    b = bronze(spark, folder)
+    services = (S.HIST_SERVICOS, ["COD_CONCESSIONARIA", "COD_FILIAL", "DT_REALIZACAO_SERVICO", "VALOR_TOTAL_SERVICO"])
+    binds = {"since": P.DT_INI, "until": P.AS_OF}
+    one, every = (b.query(spark, _BOUND, binds | {"dealer": dealer, "label": dealer or "all"}, services=services) for dealer in (P.DEALER, None))
+    return one.unionByName(every)
+
+
 def _integrated(b: Bronze) -> DataFrame:
     return integrated.integrated_margin(b, *_PERIOD, window_days=P.WINDOW_DAYS, limit=None)
 
@@ -180,6 +193,7 @@ def business_queries() -> dict:
         return lambda spark, folder: build(bronze(spark, folder))
 
     return {name: over_star(build) for name, build in BUSINESS.items()} | {
+        "named_binds": _bound,
         "safe_sql": _gated,
         "safe_sql_own_limit": _own_limit,
     }

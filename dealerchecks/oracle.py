@@ -529,6 +529,13 @@ def business_sql() -> dict[str, str]:
               {_d('sum(QTDE_SERVICOS)')} / count(*) AS QTDE_MEDIA_SERVICOS_POR_REGISTRO
             FROM srv WHERE DT_REALIZACAO_SERVICO {PERIOD}"""
         ),
+        "named_binds": _q(
+            select=" UNION ALL ".join(
+                f"""SELECT '{label}' AS DEALER, COD_FILIAL, count(*) AS REGISTROS, {_d('sum(VALOR_TOTAL_SERVICO)')} AS RECEITA
+            FROM srv WHERE DT_REALIZACAO_SERVICO BETWEEN DATE '{DT_INI}' AND DATE '{AS_OF}' AND {condition} GROUP BY COD_FILIAL"""
+                for label, condition in ((DEALER, f"COD_CONCESSIONARIA = '{DEALER}'"), ("all", "true"))
+            )
+        ),
         "services_kpis_of_dealer": _q(
             select=f"""SELECT count(*) AS REGISTROS, {_d('sum(QTDE_SERVICOS)')} AS QTDE_SERVICOS,
               {_d('sum(VALOR_TOTAL_SERVICO)')} AS RECEITA_SERVICOS, {_d('sum(LUCRO_SERVICO)')} AS LUCRO_SERVICOS,

@@ -71,6 +71,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a table that is held by the driver rather than written.
+FEW = 2000
+
+
+def noted(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` computed once, for rows about files and tasks rather than data: held by the driver if they are FEW at most, written if there are more."""
+    rows = df.orderBy(*order).limit(FEW + 1).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= FEW else written(df)
+
+
 def new_folder(spark: SparkSession) -> str:
     """A path of its own in the shared folder."""
     return f"{_own_folder(spark)}/{uuid.uuid4().hex}"

@@ -183,6 +183,11 @@ class Bronze:
                 df = df.filter(between(F.col(S.MONTH_PARTITION), (lo, hi)))
         return df.select(*columns)
 
+    def query(self, spark: SparkSession, sql: str, args: dict[str, object] | None = None, **tables: tuple[str, list[str]]) -> DataFrame:
+        """The rows of an SQL text with named binds: ``:name`` takes its value from ``args``, None being null, and ``{alias}`` stands for
+        some columns of a table, ``alias=(table, columns)``."""
+        return spark.sql(sql, args=args, **{alias: self.table(name, columns) for alias, (name, columns) in tables.items()})
+
     def transactions(
         self, columns: Iterable[str], period: Period | None = None, origins: Iterable[str] = tuple(LINES)
     ) -> DataFrame:

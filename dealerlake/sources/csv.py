@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealerlake.functions.clean import null_token
-from dealerlake.session import setting, written
+from dealerlake.session import noted, setting, written
 
 UTF8, LATIN1 = "utf-8-sig", "latin-1"
 BOM = "\ufeff"
@@ -345,13 +345,13 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def file_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row (path, bytes, modified, line) per file that is not empty, written: its first line that is not blank, as bytes. Each file is opened
+    """One row (path, bytes, modified, line) per file that is not empty: its first line that is not blank, as bytes. Each file is opened
     by a task of its own, which reads no further."""
     with ExitStack() as settings:
         for key, value in _HEADER_LINES.items():
             settings.enter_context(setting(spark, key, value))
         lines = _lines(spark, paths).select(F.col(FILE).alias("path"), "bytes", "modified", F.col("value").cast("binary").alias("line"))
-        return written(lines.mapInArrow(_first_lines, "path string, bytes long, modified timestamp, line binary"))
+        return noted(lines.mapInArrow(_first_lines, "path string, bytes long, modified timestamp, line binary"), "path")
 
 
 def _with_headers(heads: DataFrame) -> DataFrame:
@@ -398,7 +398,7 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
     heads = file_heads(spark, paths)
     if loaded is not None:
         heads = heads.join(loaded, ["path", "bytes", "modified"], "left_anti")
-    heads = written(_with_headers(heads))
+    heads = _with_headers(heads)
     columns, layouts = _layouts(heads, (), True)
     if not columns:
         return None
@@ -432,8 +432,7 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
         flags = [F.lit(False).alias(c) for c in ("_first", "_latin", "_wide", "_open")]
         more, more_groups = _shaped(scan.select(*POSITION, F.col("line_number").alias(LINE), "fields", "width", "places", *flags, "n_fields"), columns, shape)
         whole = whole.join(doubtful, FILE, "left_anti").unionByName(more)
-        groups = groups.join(doubtful, FILE, "left_anti").unionByName(more_groups)
-    groups = written(groups)
+        groups = noted(groups.join(doubtful, FILE, "left_anti").unionByName(more_groups), FILE, SPLIT, NAME, FATE)
 
     # The first line that equals the header is the header; others are rows like any.
     header = groups.where((F.col(FATE) == HEAD) & (F.col(SPLIT) == 0)).groupBy(FILE).agg(F.min("seq").alias("header_seq"))
@@ -476,7 +475,7 @@ def _shaped(parsed: DataFrame, columns: list[str], shape) -> tuple[DataFrame, Da
     groups = placed.groupBy(NAME, FATE, FILE, SPLIT).agg(
         F.count("*").alias("n"), F.min(PLACE).alias("place"), F.min(SEQ).alias("seq"), F.max("_refused").alias("refused"), *[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")]
     )
-    return placed.drop("_first", "_latin", "_wide", "_open", "_refused"), written(groups)
+    return placed.drop("_first", "_latin", "_wide", "_open", "_refused"), noted(groups, FILE, SPLIT, NAME, FATE)
 
 
 def numbered(load: Load, key: str, first: int) -> DataFrame:
@@ -486,7 +485,7 @@ def numbered(load: Load, key: str, first: int) -> DataFrame:
     """
     # One row per written file and split.
     ahead = F.coalesce(F.sum("n").over(Window.orderBy(FILE, SPLIT, NAME, FATE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = written(load.groups.select(NAME, FILE, SPLIT, F.col("first_place"), "n", ahead.alias("_ahead")).where("n > 0"))
+    starts = load.groups.select(NAME, FILE, SPLIT, F.col("first_place"), "n", ahead.alias("_ahead")).where("n > 0")
     at = (F.col(PLACE) >= F.col("first_place")) & (F.col(PLACE) < F.col("first_place") + F.col("n"))
     placed = load.rows.join(starts, [NAME, FILE, SPLIT]).where(at)
     return placed.withColumn(key, F.lit(first) + F.col("_ahead") + F.col(PLACE) - F.col("first_place"))

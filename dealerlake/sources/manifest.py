@@ -1,6 +1,6 @@
 """The log of loads of a table in a folder: what a load wrote counts once its entry has been published, by one rename.
 
-Under ``root`` a load's rows lie in ``<table>/LOAD=<id>``, the files it read in ``_loads/<table>/files/LOAD=<id>``, its unique keys in
+Under ``root`` a load's rows lie in ``<table>/LOAD=<id>``, the files it read, if they are many, in ``_loads/<table>/files/LOAD=<id>``, its unique keys in
 ``_keys/<table>/BUCKET=<n>/LOAD=<id>``, the sums of its rows per day and branch in ``_sums/<table>/LOAD=<id>``. Its entry is ``_loads/<table>/<version>.json``, versions counting up from 0. Readers go by the
 entries, so folders of a load that died are never read. A version is published once: the second of two loads that started from the same version
 fails, and leaves nothing behind that counts.
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOAD, BUCKET = "LOAD", "BUCKET"
-_ENTRY = "version long, load string, next_id long, rows long, buckets array<int>, sums boolean"
+_ENTRY = "version long, load string, next_id long, rows long, buckets array<int>, sums boolean, files array<struct<path: string, bytes: long, modified: long>>"
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,9 @@ class Log:
     def files(self, spark: SparkSession) -> DataFrame:
         """The files that have been loaded: path, bytes, modified."""
         base = f"{self.root}/_loads/{self.table}/files"
-        return _read(spark, FILES, base, [f"{base}/{LOAD}={e['load']}" for e in self.entries]).select("path", "bytes", "modified")
+        many = _read(spark, FILES, base, [f"{base}/{LOAD}={e['load']}" for e in self.entries if e["files"] is None])
+        noted = spark.createDataFrame([tuple(f) for e in self.entries for f in e["files"] or ()], "path string, bytes long, micros long")
+        return many.select("path", "bytes", "modified").union(noted.select("path", "bytes", F.timestamp_micros("micros")))
 
     def keys(self, spark: SparkSession, key: str, buckets: set[int]) -> DataFrame:
         """Stored values of a unique column whose hash falls into some of the buckets; the files of others are not opened."""
@@ -81,9 +83,9 @@ def new_load() -> str:
     return uuid.uuid4().hex
 
 
-def publish(spark: SparkSession, root: str, table: str, load: str, version: int, next_id: int, rows: int, buckets: list[int], sums: bool) -> None:
-    """Makes a load count, as the given version. Raises FileExistsError if another load has become that version."""
-    entry = {"version": version, "load": load, "next_id": next_id, "rows": rows, "buckets": buckets, "sums": sums}
+def publish(spark: SparkSession, root: str, table: str, load: str, version: int, next_id: int, rows: int, buckets: list[int], sums: bool, files: list | None) -> None:
+    """Makes a load count, as the given version; ``files`` (path, bytes, modified in microseconds) are None if they were written. Raises FileExistsError if another load has become that version."""
+    entry = {"version": version, "load": load, "next_id": next_id, "rows": rows, "buckets": buckets, "sums": sums, "files": files}
     folder = f"{root.rstrip('/')}/_loads/{table}"
     jvm = spark._jvm
     final, draft = (_path(spark, f"{folder}/{name}") for name in (f"{version:012d}.json", f".{load}.draft"))

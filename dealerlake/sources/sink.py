@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake.schemas import MONTH_PARTITION, TABLES
+from dealerlake.session import FEW
 from dealerlake.sources.bronze import LINES, day_sums
 from dealerlake.sources.manifest import BUCKET, FILES, LOAD, Log, bucket_of, names, new_load, publish
 
@@ -88,9 +89,12 @@ def append_bronze(
             written = spark.read.schema(spec.schema).parquet(f"{root}/{table}/{LOAD}={load}")
             day_sums(written, SUMMED[table]).sortWithinPartitions("DT").write.parquet(f"{root}/_sums/{table}/{LOAD}={load}")
     log = log or Log(root, table, ())
-    folder = f"{root}/_loads/{table}/files/{LOAD}={load}"
-    (spark.createDataFrame([], FILES) if files is None else files.select("path", "bytes", "modified")).write.parquet(folder)
-    publish(spark, root, table, load, log.version + 1, log.next_id if next_id is None else next_id, count, buckets, table in SUMMED)
+    read = (spark.createDataFrame([], FILES) if files is None else files).select("path", "bytes", F.unix_micros("modified").alias("modified"))
+    few = [r.asDict() for r in read.orderBy("path").limit(FEW + 1).collect()]
+    if len(few) > FEW:
+        few = None
+        files.select("path", "bytes", "modified").write.parquet(f"{root}/_loads/{table}/files/{LOAD}={load}")
+    publish(spark, root, table, load, log.version + 1, log.next_id if next_id is None else next_id, count, buckets, table in SUMMED, few)
 
 
 def _write_keys(spark: SparkSession, root: str, table: str, load: str) -> list[int]:

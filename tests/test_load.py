@@ -174,9 +174,10 @@ def test_a_load_that_dies_leaves_nothing_and_runs_again(spark, tmp_path, monkeyp
 
     with monkeypatch.context() as m:
         if dies == "files":
-            # The rows are there, the record of files is not.
+            # The rows are there, the record of its many files is not.
+            m.setattr(sink, "FEW", 0)
             m.setattr(sink, "new_load", lambda: "x")
-            (tmp_path / "bronze" / "_loads" / S.HIST_SERVICOS / "files" / "LOAD=x").mkdir()
+            (tmp_path / "bronze" / "_loads" / S.HIST_SERVICOS / "files" / "LOAD=x").mkdir(parents=True)
         elif dies == "publish":
             m.setattr(sink, "publish", die)
         else:
@@ -192,6 +193,20 @@ def test_a_load_that_dies_leaves_nothing_and_runs_again(spark, tmp_path, monkeyp
     assert ingest.run_job(spark, S.HIST_SERVICOS, str(tmp_path / "*.csv"), target).written == 0
 
 
+def test_many_files_are_recorded_in_a_table(spark, tmp_path, monkeypatch):
+    target = Target(path=str(tmp_path / "bronze"))
+    monkeypatch.setattr(sink, "FEW", 2)
+    monkeypatch.setattr("dealerlake.session.FEW", 1)
+    for i in range(4):
+        services(tmp_path / f"{i}.csv", 3, 10 * i)
+    assert ingest.run_job(spark, S.HIST_SERVICOS, str(tmp_path / "*.csv"), target).written == 12
+    assert (tmp_path / "bronze" / "_loads" / S.HIST_SERVICOS / "files").exists()
+    services(tmp_path / "4.csv", 1, 99)
+    assert ingest.run_job(spark, S.HIST_SERVICOS, str(tmp_path / "*.csv"), target).written == 1
+    log = Log.of(spark, target.path, S.HIST_SERVICOS)
+    assert [e["files"] is None for e in log.entries] == [True, False] and log.files(spark).count() == 5
+
+
 def test_of_two_loads_at_a_time_one_fails(spark, tmp_path):
     target = Target(path=str(tmp_path / "bronze"))
     ingest.run_job(spark, S.HIST_SERVICOS, services(tmp_path / "a.csv", 2), target)
