@@ -3,32 +3,17 @@
 from __future__ import annotations
 
 import os
-from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealerlake.session import new_folder
+from dealerlake.session import new_folder, setting
 
 #: Once a write has ended, nothing reads its shuffle files any more.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    """A session setting that holds inside the block."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 #: Bytes and rows of texts that a Python worker gets at once. Spark's defaults suit short rows.
 BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
