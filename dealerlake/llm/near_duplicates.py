@@ -319,7 +319,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
 
 
 def keep_one(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns as they are. Of rows that repeat an id one stays."""
-    kept = near_duplicates(docs, percent, size).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return stay.union(docs.where("doc_id IS NULL"))
+    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns as they are.
+
+    Rows that repeat an id with another text are documents of their own: each goes only where its text is a near
+    duplicate, and then a document with an id of its own stays rather than one of them. Rows without an id all stay.
+    """
+    doc_id = F.col("row.doc_id").cast("long")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.xxhash64("row.text")
+    known = rows.where(doc_id.isNotNull()).groupBy(doc_id.alias("id")).agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    # Written, so that Spark knows its size when it picks the join.
+    repeated = saved(known.where("low <> high").select("id"))
+    # Beyond all usual ids, so that those come first.
+    own = F.xxhash64(doc_id, "row.text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    rows = rows.join(repeated, doc_id == F.col("id"), "left").select("row", F.when(F.col("id").isNotNull(), own).otherwise(doc_id).alias("node"))
+    found = near_duplicates(rows.where("node IS NOT NULL").select(F.col("node").alias("doc_id"), "row.text"), percent, size)
+    kept = found.where("kept").select(F.col("doc_id").alias("node")).distinct()
+    stay = rows.join(kept, "node", "left_semi").dropDuplicates(["node"])
+    return stay.select("row").union(rows.where("node IS NULL").select("row")).select("row.*")
