@@ -277,7 +277,8 @@ def run_job(
     folder, and from there to the table, in which they get the next unused keys without gaps. Files that have been
     loaded before (same path, size and time) are left out, so a load can be run again; a table's unique column admits each
     value once. In a folder, rows, files and keys count at once when the load is published, and of two loads at a time one fails; see ``append_bronze``.
-    With ``rejects_path`` the odd records and the rows refused by the contract are written under it.
+    Odd records, if there are any, are listed under ``rejects_path``, or under ``_rejects`` in the folder of the tables; with ``rejects_path`` the
+    rows refused by the contract, too.
     """
     spec = S.TABLES[table]
     log = log_of(spark, table, target)
@@ -294,9 +295,9 @@ def run_job(
         rows, refused, kept, rejected = _across_rows(load, table, target, log)
         rows = row_numbered(rows, spec.id, first)
     append_bronze(rows, table, target, count=kept, files=load.files, next_id=first + kept, log=log)
-    if rejects_path is not None:
-        folder = f"{rejects_path.rstrip('/')}/{table}"
-        load.rejects.write.mode("append").parquet(f"{folder}/records")
-        if rejected:
-            refused.select(*spec.schema.fieldNames()[1:], "REASON").write.mode("append").parquet(f"{folder}/contract")
+    audit = rejects_path if rejects_path is not None or target.path is None else f"{target.path.rstrip('/')}/_rejects"
+    if audit is not None and load.odd:
+        load.rejects.write.mode("append").parquet(f"{audit.rstrip('/')}/{table}/records")
+    if rejects_path is not None and rejected:
+        refused.select(*spec.schema.fieldNames()[1:], "REASON").write.mode("append").parquet(f"{rejects_path.rstrip('/')}/{table}/contract")
     return JobReport(read, kept + rejected, rejected, kept)

@@ -368,7 +368,7 @@ class Load:
     """The records of CSV files, parsed and shaped in one scan of their lines, in a table of their own.
 
     ``rows`` and ``refused`` have the columns that the shape gave, ``rejects`` those of ``read_dirty_csv``, ``files`` (path, bytes, modified).
-    ``sizes`` has the number of rows and refused rows; ``rows`` come with ``NAME`` and ``PLACE``, see ``numbered``.
+    ``sizes`` has the number of rows and refused rows, ``odd`` bounds that of rejects; ``rows`` come with ``NAME`` and ``PLACE``, see ``numbered``.
     """
 
     rows: DataFrame
@@ -377,6 +377,7 @@ class Load:
     files: DataFrame
     groups: DataFrame
     sizes: dict[str, int]
+    odd: int
 
 
 #: A row's written file and its place there.
@@ -438,8 +439,9 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
     header = groups.where((F.col(FATE) == HEAD) & (F.col(SPLIT) == 0)).groupBy(FILE).agg(F.min("seq").alias("header_seq"))
     kept = groups.join(header, FILE, "left").withColumn("heads", ((F.col(FATE) == HEAD) & (F.col("seq") == F.col("header_seq"))).cast("long"))
     fate = F.when(F.col(FATE) != HEAD, F.col(FATE)).otherwise(F.when(F.col("refused"), REFUSED).otherwise(ROW))
-    kept = kept.select(NAME, FATE, FILE, SPLIT, fate.alias("becomes"), (F.col("n") - F.col("heads")).alias("n"), (F.col("place") + F.col("heads")).alias("first_place"))
-    sizes = {r["becomes"]: r["n"] for r in kept.groupBy("becomes").agg(F.sum("n").alias("n")).collect()}
+    kept = kept.select(NAME, FATE, FILE, SPLIT, fate.alias("becomes"), "odd", (F.col("n") - F.col("heads")).alias("n"), (F.col("place") + F.col("heads")).alias("first_place"))
+    found = kept.groupBy("becomes").agg(F.sum("n").alias("n"), F.sum("odd").alias("odd")).collect()
+    sizes = {r["becomes"]: r["n"] for r in found if r["n"]}
     starts = F.sum("n").over(Window.partitionBy(FILE).orderBy(SPLIT)) - F.col("n")
     lines_before = groups.groupBy(FILE, SPLIT).agg(F.sum("n").alias("n"), F.min("seq").alias("first_seq")).select(FILE, SPLIT, "first_seq", starts.alias("lines_before"))
 
@@ -453,7 +455,9 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
     rejects = odd.select(F.col(FILE).alias("path"), number.alias("line_number"), F.col(N_FIELDS).alias("n_fields"), F.array_join(F.transform(ODD, _unquoted), "|").alias("raw_row"))
     internal = [FATE, *POSITION, LINE, ODD, N_FIELDS, "first_place"]
     rows, refused = (of(f).drop(*[c for c in internal if c not in POSITION]) for f in (ROW, REFUSED))
-    return Load(rows.drop(SEQ), refused.drop(*POSITION, NAME, PLACE), rejects, heads.select("path", "bytes", "modified"), kept.where(F.col("becomes") == ROW), sizes)
+    taken = kept.where(F.col("becomes") == ROW).drop("odd")
+    odd_lines = sum(r["odd"] for r in found)
+    return Load(rows.drop(SEQ), refused.drop(*POSITION, NAME, PLACE), rejects, heads.select("path", "bytes", "modified"), taken, sizes, odd_lines)
 
 
 def _shaped(parsed: DataFrame, columns: list[str], shape) -> tuple[DataFrame, DataFrame]:
@@ -473,7 +477,8 @@ def _shaped(parsed: DataFrame, columns: list[str], shape) -> tuple[DataFrame, Da
     table = written(rows.sortWithinPartitions(FATE, *POSITION))
     placed = table.select("*", F.col("_metadata.file_name").alias(NAME), F.col("_metadata.row_index").alias(PLACE))
     groups = placed.groupBy(NAME, FATE, FILE, SPLIT).agg(
-        F.count("*").alias("n"), F.min(PLACE).alias("place"), F.min(SEQ).alias("seq"), F.max("_refused").alias("refused"), *[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")]
+        F.count("*").alias("n"), F.count(ODD).alias("odd"), F.min(PLACE).alias("place"), F.min(SEQ).alias("seq"), F.max("_refused").alias("refused"),
+        *[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")],
     )
     return placed.drop("_first", "_latin", "_wide", "_open", "_refused"), noted(groups, FILE, SPLIT, NAME, FATE)
 

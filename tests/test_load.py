@@ -193,6 +193,16 @@ def test_a_load_that_dies_leaves_nothing_and_runs_again(spark, tmp_path, monkeyp
     assert ingest.run_job(spark, S.HIST_SERVICOS, str(tmp_path / "*.csv"), target).written == 0
 
 
+def test_odd_records_of_an_ordinary_load_are_listed(spark, tmp_path):
+    target = Target(path=str(tmp_path / "bronze"))
+    assert ingest.run_job(spark, S.HIST_SERVICOS, services(tmp_path / "a.csv", 2), target).written == 2
+    assert not (tmp_path / "bronze" / "_rejects").exists()
+    (tmp_path / "b.csv").write_text(SERVICES + "1,1-1,2025-1-5,3,x,y\n1,1-1,2025-1-6,3\n")
+    assert ingest.run_job(spark, S.HIST_SERVICOS, str(tmp_path / "b.csv"), target).written == 1
+    listed = spark.read.parquet(f"{target.path}/_rejects/{S.HIST_SERVICOS}/records").collect()
+    assert [(r.line_number, r.n_fields, r.raw_row) for r in listed] == [(2, 6, "1|1-1|2025-1-5|3|x|y")]
+
+
 def test_many_files_are_recorded_in_a_table(spark, tmp_path, monkeypatch):
     target = Target(path=str(tmp_path / "bronze"))
     monkeypatch.setattr(sink, "FEW", 2)
