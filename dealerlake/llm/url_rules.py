@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: Rows per range, and keys drawn per range to find the ranges' borders.
 ROWS_PER_RANGE = 200_000
 KEYS_PER_RANGE = 40
+#: Keys drawn in all, at most, whatever the size of the table: that many come to the driver, and are sent to every task as borders.
+DRAWN = 50_000
 
 _DOT, _END = "\x01", "\x00"
 
@@ -133,8 +135,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     path. Without a fitting rule it is null and the verdict is ``default``.
 
     Both sides get keys in which a host's labels stand in reverse, so the URLs of a rule's host and
-    its subdomains are one interval. Keys are cut into ranges at borders drawn from the URLs, a bounded number per
-    range; equal keys are told apart by a salt, so a busy host is many ranges. A rule goes to
+    its subdomains are one interval. Keys are cut into ranges at borders drawn from the URLs, a bounded number in
+    all; equal keys are told apart by a salt, so a busy host is many ranges. A rule goes to
     each range that its interval meets. Each range is then swept in order: the stack holds the hosts
     that enclose the current key, with their paths. Neither side is gathered or broadcast.
 
@@ -153,11 +155,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     wanted = max(count // ROWS_PER_RANGE, int(spark.conf.get("spark.sql.shuffle.partitions")))
     borders: list[tuple[bytes, int]] = []
     if wanted > 1 and count:
-        share = min(1.0, wanted * KEYS_PER_RANGE / count)
-        drawn = urls.where(F.pmod(F.xxhash64("page_id", "path", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("key", "salt")
-        keys = sorted((r["key"].encode(), r["salt"]) for r in drawn.limit(4 * wanted * KEYS_PER_RANGE).collect())
+        share = min(1.0, min(wanted * KEYS_PER_RANGE, DRAWN) / count)
+        drawn = urls.where(F.pmod(F.xxhash64("page_id", "path", F.lit(1)), F.lit(1 << 40)) < int(share * (1 << 40)) + 1).select("key", "salt")
+        keys = sorted((r["key"].encode(), r["salt"]) for r in drawn.limit(4 * DRAWN).collect())
         if keys:
-            borders = [keys[int(i)] for i in np.linspace(0, len(keys), wanted + 1)[1:-1]]
+            # With fewer keys than ranges, ranges are longer: they are sorted and swept as streams.
+            cuts = min(wanted, len(keys))
+            borders = [keys[int(i)] for i in np.linspace(0, len(keys), cuts + 1)[1:-1]]
     columns = ["range", "key", "is_url", "page_id", "host", "path", "rule", "verdict"]
     placed_urls = urls.mapInArrow(_ranges(borders), "range int, key string, page_id long, host string, path string, salt long").select(
         "range", "key", F.lit(True).alias("is_url"), "page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict")
