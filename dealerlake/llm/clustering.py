@@ -143,6 +143,24 @@ def _moved(near: Nearest, table: DataFrame, pivots: np.ndarray) -> Nearest:
     return Nearest(centroids, _distances(centroids, pivots))
 
 
+def _first_by_hash(kept: DataFrame, rows: int, seed: int, k: int) -> list[bytes]:
+    """The vectors with the smallest hashes, some ``rows`` of them, ``k`` at least if there are so many.
+
+    Only hashes below a share of all are looked at, so that tasks send the driver little however many they are; the share grows while too few are found.
+    """
+    digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
+    hashed = kept.select("vector", digest.alias("h"))
+    count = kept.count()
+    share = 2 * rows / max(count, 1)
+    while True:
+        # The first 13 hexadecimal digits are 52 bits.
+        low = hashed.where(F.conv(F.substring("h", 1, 13), 16, 10).cast("double") <= share * 2.0**52) if share < 1 else hashed
+        found = [bytes(r["vector"]) for r in low.orderBy("h", "vector").limit(max(rows, k)).collect()]
+        if share >= 1 or len(found) >= k:
+            return found
+        share *= 8
+
+
 def clusters(embeddings: DataFrame, k: int = 16, rounds: int = 3, size: int = 64, factor: int = 64, seed: int = 1) -> DataFrame:
     """The cluster of each usable row of ``embeddings`` (vec_id, embedding): vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256, n_distances.
 
@@ -160,12 +178,11 @@ def clusters(embeddings: DataFrame, k: int = 16, rounds: int = 3, size: int = 64
     spark = embeddings.sparkSession
     source = V.checked(embeddings, "vec_id", "embedding").select(F.col("vec_id").cast("long").alias("vec_id"), V.as_doubles("embedding").alias("vector"))
     kept = source.mapInArrow(_prepared(size, factor), "vec_id long, vector binary")
-    order = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
-    sample = [bytes(r["vector"]) for r in kept.orderBy(order, "vector").limit(max(k, PIVOT_SAMPLE)).select("vector").collect()]
+    sample = _first_by_hash(kept, PIVOT_SAMPLE, seed, k)
     out = "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string, n_distances int"
     if not sample:
         return spark.createDataFrame([], out)
-    # Equal hashes mean equal ids; the sort above takes such rows by their bytes, as good as any order.
+    # Equal hashes mean equal ids; such rows come by their bytes, as good as any order.
     drawn = V.matrix(sample, size)
     pivots = _pivots(drawn, PIVOTS)
     table = saved(kept.mapInArrow(_tabled(pivots), "vec_id long, vector binary, pivots binary"))

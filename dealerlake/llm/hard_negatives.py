@@ -226,16 +226,16 @@ def hard_negatives(
             width = max(len(r["vector"]) for r in own) // 4
             vectors = V.matrix([bytes(r["vector"]) for r in own], width)
             anchors = Anchors.of(np.array([r["row"] for r in own]), np.array([r["label"] for r in own]), vectors)
-            found = _block(rows, anchors, {r["row"]: r["vec_id"] for r in own}, positives, negatives, low, high)
-            saved(found, path=f"{folder}/block={b}")
+            _block(rows, anchors, {r["row"]: r["vec_id"] for r in own}, positives, negatives, low, high, f"{folder}/block={b}")
     return spark.read.schema(schema + ", block int").parquet(folder).drop("block")
 
 
-def _block(rows: DataFrame, anchors: Anchors, ids: dict[int, int], positives: int, negatives: int, low: int, high: int) -> DataFrame:
-    """The results of one block of anchors. The driver holds the block and its positives."""
+def _block(rows: DataFrame, anchors: Anchors, ids: dict[int, int], positives: int, negatives: int, low: int, high: int, path: str) -> None:
+    """Writes the results of one block of anchors. The driver holds the block and its positives; executors let go of them in the end."""
     spark, n = rows.sparkSession, len(anchors.row)
     sent = spark.sparkContext.broadcast((anchors, np.full((n, 1), -(1 << 62)), np.full((n, 1), 1 << 62)))
     first = _top(rows.mapInArrow(_task(sent, True, positives), _OFFER), positives).collect()
+    sent.unpersist()
     place = {int(r): i for i, r in enumerate(anchors.row)}
     least, most = np.ones((n, positives), np.int64), np.zeros((n, positives), np.int64)
     for r in first:
@@ -247,6 +247,8 @@ def _block(rows: DataFrame, anchors: Anchors, ids: dict[int, int], positives: in
     )
     sent = spark.sparkContext.broadcast((anchors, least, most))
     found = _top(rows.mapInArrow(_task(sent, False, negatives), _OFFER), negatives)
-    return found.join(known, ["anchor", "window"]).select(
+    named = found.join(known, ["anchor", "window"]).select(
         "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
     )
+    saved(named, path=path)
+    sent.unpersist()

@@ -144,3 +144,12 @@ def test_pivots_are_far_apart():
     sample = np.array([[0.0, 0.0], [1.0, 0.0], [9.0, 0.0], [0.0, 8.0], [0.0, 0.0]])
     assert clustering._pivots(sample, 3).tolist() == [[0, 0], [9, 0], [0, 8]]
     assert len(clustering._pivots(sample[:1].repeat(4, 0), 3)) == 1
+
+
+def test_first_vectors_by_hash(spark):
+    rows = [(i if i % 7 else None if i == 7 else i // 7, bytes([i % 256, i // 256])) for i in range(3000)]
+    kept = spark.createDataFrame(rows, "vec_id long, vector binary")
+    order = sorted(rows, key=lambda r: (hashlib.sha256(f"9:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    for number, k in ((5, 2), (5, 20), (40, 3)):
+        assert clustering._first_by_hash(kept, number, 9, k)[:k] == [v for _, v in order[:k]]
+    assert clustering._first_by_hash(kept.limit(0), 5, 9, 3) == []
