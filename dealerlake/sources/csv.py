@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from contextlib import ExitStack
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -335,23 +334,23 @@ ODD, N_FIELDS, LINE = "_odd", "_n_fields", "_line"
 _HEADER_LINES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64", "spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line of a task's file that is not blank. What comes after is not asked for, and so not read."""
-    for batch in batches:
-        for i, line in enumerate(batch.column("line")):
-            if len(line.as_buffer()):
-                yield batch.slice(i, 1)
-                return
-
-
 def file_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """One row (path, bytes, modified, line) per file that is not empty: its first line that is not blank, as bytes. Each file is opened
     by a task of its own, which reads no further."""
+
+    # Within this function, so that it travels to the workers as it is: they need not have this package.
+    def first_lines(batches):
+        for batch in batches:
+            for i, line in enumerate(batch.column("line")):
+                if len(line.as_buffer()):
+                    yield batch.slice(i, 1)
+                    return
+
     with ExitStack() as settings:
         for key, value in _HEADER_LINES.items():
             settings.enter_context(setting(spark, key, value))
         lines = _lines(spark, paths).select(F.col(FILE).alias("path"), "bytes", "modified", F.col("value").cast("binary").alias("line"))
-        return noted(lines.mapInArrow(_first_lines, "path string, bytes long, modified timestamp, line binary"), "path")
+        return noted(lines.mapInArrow(first_lines, "path string, bytes long, modified timestamp, line binary"), "path")
 
 
 def _with_headers(heads: DataFrame) -> DataFrame:
