@@ -8,6 +8,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "dealerlake", **conf: str) -> SparkSession:
@@ -58,16 +59,21 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, by: str | None = None) -> DataFrame:
     """``df`` written once as a table in the shared folder, so that later uses read it back.
 
     This runs ``df``: a query that calls it does part of its work while it is being built.
 
     For small results that a query uses several times, and for rows whose placement must not change
-    between uses. Losing executors loses nothing of it.
+    between uses. Losing executors loses nothing of it. ``by`` names a column of few values; each task writes a file for each
+    of them, in which its rows keep their order, and nothing is sorted for it.
     """
     path = new_folder(df.sparkSession)
-    df.write.parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "16"):
+            df.write.partitionBy(by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -81,6 +87,16 @@ def noted(df: DataFrame, *order: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= FEW else written(df)
 
 
+def met(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of so many rows about files and tasks, to be joined to data: with FEW at most every task gets it, so the data is not shuffled for it and
+    keeps its order. Left to itself Spark shuffles the data first, as it does not know the size of what the driver holds."""
+    return F.broadcast(df) if rows <= FEW else df
+
+
+#: The virtual machine never compiles a method beyond this size, and Spark's own limit is higher: wide projections would run interpreted.
+COMPILED = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def new_folder(spark: SparkSession) -> str:
     """A path of its own in the shared folder."""
     return f"{_own_folder(spark)}/{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealerlake.functions.clean import null_token
-from dealerlake.session import noted, setting, written
+from dealerlake.session import FEW, met, noted, setting, written
 
 UTF8, LATIN1 = "utf-8-sig", "latin-1"
 BOM = "\ufeff"
@@ -206,59 +206,166 @@ def _states(rows: DataFrame, group: Sequence[str], order: str, entry: Column) ->
     return placed.withColumn("before", F.coalesce(F.lag("after").over(along), entry))
 
 
-def _joined_records(lines: DataFrame) -> DataFrame:
+def _walkers(limit: int):
+    """(ways, records): functions on Arrow batches of lines, those of a piece (a split of a file) behind one another in their order."""
+
+    # Imported and defined within this function, so that it travels to the workers as it is: they need not have this package.
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def walked(outside, inside, entry):
+        """The states before lines that come one after another, and after them, by the rule of ``_states``; NumPy arrays."""
+        turns = np.cumsum((outside == 1) & (inside == 0))
+        fixed = np.maximum.accumulate(np.where(outside == inside, np.arange(len(outside)), -1))
+        since = turns - np.where(fixed >= 0, turns[fixed], 0)
+        after = (np.where(fixed >= 0, outside[fixed], entry) + since) % 2
+        return np.concatenate([[entry], after[:-1]]), after
+
+    def runs(batches, *columns):
+        """(piece, NumPy arrays of the columns, texts) of runs of lines of one piece, as they come."""
+        for batch in batches:
+            pieces = batch.column("piece").to_numpy()
+            ends = np.append(np.flatnonzero(pieces[1:] != pieces[:-1]) + 1, len(pieces))
+            for start, end in zip(np.append(0, ends[:-1]), ends):
+                if end > start:
+                    run = batch.slice(start, end - start)
+                    yield int(pieces[start]), [run.column(c).to_numpy() for c in columns], run.column("text") if "text" in run.schema.names else None
+
+    def ways(batches):
+        """A row per piece: the state it is left in and the records begun there, when entered outside and inside quotes."""
+        names = ["piece", "outside", "inside", "begun_outside", "begun_inside"]
+        at, found = None, [0, 1, 0, 0]
+        for piece, (outside, inside), _ in runs(batches, "outside", "inside"):
+            if at is not None and piece != at:
+                yield pa.RecordBatch.from_pydict({n: [v] for n, v in zip(names, [at, *found])})
+                found = [0, 1, 0, 0]
+            at = piece
+            for way in (0, 1):
+                before, after = walked(outside, inside, found[way])
+                found[way] = int(after[-1])
+                found[2 + way] += int((before == 0).sum())
+        if at is not None:
+            yield pa.RecordBatch.from_pydict({n: [v] for n, v in zip(names, [at, *found])})
+
+    def records(batches):
+        """The records of pieces: (piece, number of the record there, seq of its first line, size, text, edge). What is open on either side of a piece
+        is an ``edge``; number 0 continues a record. Lines of a record beyond ``limit`` characters are left behind."""
+        names = ["piece", "number", "seq", "size", "text", "edge"]
+
+        def shut(edge):
+            text = "\n".join(t for part in rest["texts"] for t in part.to_pylist())
+            values = [rest["piece"], rest["number"], rest["seq"], rest["size"], text, edge or rest["number"] == 0]
+            return pa.RecordBatch.from_pydict({n: [v] for n, v in zip(names, values)})
+
+        rest, at, state, count = None, None, 0, 0
+        for piece, (seq, size, entry, outside, inside), texts in runs(batches, "seq", "size", "entry", "outside", "inside"):
+            if piece != at:
+                if rest:
+                    yield shut(True)
+                rest, at, state, count = None, piece, int(entry[0]), 0
+            before, after = walked(outside, inside, state)
+            state = int(after[-1])
+            starts = np.flatnonzero(before == 0)
+            head = starts[0] if len(starts) else len(seq)
+            if head:
+                rest = rest or {"piece": piece, "number": 0, "seq": int(seq[0]), "size": 0, "texts": []}
+                upto = rest["size"] + np.cumsum(size[:head])
+                rest["texts"].append(texts.slice(0, head).filter(pa.array(upto <= limit)))
+                rest["size"] = int(upto[-1])
+            if rest and after[head - 1] == 0:
+                yield shut(False)
+                rest = None
+            if not len(starts):
+                continue
+            bounds = np.append(starts, len(seq))
+            sizes, upto = np.add.reduceat(size, starts), np.cumsum(size)
+            begun = np.repeat(upto[starts] - size[starts], np.diff(bounds))
+            keep = upto[head:] - begun <= limit
+            kept, places = texts.slice(head).filter(pa.array(keep)), np.append(0, np.cumsum(keep))[bounds - head]
+            whole = len(starts) - state
+            if whole:
+                offsets = pa.array(places[: whole + 1], pa.int32())
+                joined = pc.binary_join(pa.ListArray.from_arrays(offsets, kept), "\n")
+                columns = [np.full(whole, piece), count + 1 + np.arange(whole), seq[starts[:whole]], sizes[:whole], joined, np.zeros(whole, bool)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+            count += len(starts)
+            if state:
+                rest = {"piece": piece, "number": count, "seq": int(seq[starts[-1]]), "size": int(sizes[-1]), "texts": [kept.slice(places[-2])]}
+        if rest:
+            yield shut(True)
+
+    return ways, records
+
+
+#: Bounds what a Python worker holds of the lines.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 26)}
+
+
+def _joined_records(lines: DataFrame, splits: DataFrame, files: DataFrame) -> DataFrame:
     """Records of files in which quotes span lines: (file, split, seq of the first line, number of the record, text, whether it is too long).
 
-    Each split of a file is walked for itself: first to learn in which state it would be left, had it been entered outside or inside
+    Each split of a file is walked for itself, by the task that scans it: first to learn in which state it would be left, had it been entered outside or inside
     quotes; these pairs, one row per split, are walked file by file and give every split the state it is entered in, and the number of
-    records before it. Then records are put together within each split, and across its borders only what is open there. Texts of a record beyond
-    MAX_RECORD are left behind, where it is too long.
+    records before it. Then records are put together within each split as its lines are scanned, and across its borders only what is open there: no line is
+    shuffled or sorted for it. Texts of a record beyond MAX_RECORD are left behind, where it is too long.
     """
     sep, text = F.col("sep"), F.col("text")
+    spark = lines.sparkSession
 
     def ends_open(line: Column) -> Column:
         return F.when(sep == ";", _left_open(line, ";")).otherwise(_left_open(line, ",")).cast("int")
 
+    split = [FILE, SPLIT]
+    # A number for each split, so that lines need not carry the path of their file.
+    pieces = written(splits.select(*split).join(files.filter("spans").select(F.col("path").alias(FILE)), FILE).select(*split, F.monotonically_increasing_id().alias("piece")))
+    n_pieces = pieces.count()
     # What a line does inside quotes is what it does outside after a quote. Without any quote it keeps the state.
     quoted = F.contains(text, F.lit('"'))
     inside = F.when(quoted, ends_open(F.concat(F.lit('"'), text))).otherwise(1)
-    marked = written(lines.withColumns({"outside": F.when(quoted, ends_open(text)).otherwise(0), "inside": inside}))
-    split = [FILE, SPLIT]
-    small = marked.select(*split, SEQ, "outside", "inside")
-    ways = None
-    for name, entry in (("outside", 0), ("inside", 1)):
-        walked = _states(small, split, SEQ, F.lit(entry)).groupBy(*split)
-        left = walked.agg(F.max_by("after", SEQ).alias(name), F.sum((F.col("before") == 0).cast("long")).alias(f"begun_{name}"))
-        ways = left if ways is None else ways.join(left, split)
-    entered = _states(ways, [FILE], SPLIT, F.lit(0))
-    begun = F.when(F.col("before") == 0, F.col("begun_outside")).otherwise(F.col("begun_inside"))
-    ahead = F.sum(begun).over(Window.partitionBy(FILE).orderBy(SPLIT)) - begun
-    entered = written(entered.select(*split, F.col("before").alias("entry"), ahead.alias("ahead")))
-
-    walked = _states(marked.join(entered, split), split, SEQ, F.col("entry"))
-    so_far = Window.partitionBy(*split).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
-    size = F.col("size")
-    walked = walked.withColumn("size", F.length("text") + 1).withColumn("upto", F.sum("size").over(so_far)).withColumn("number", F.sum((F.col("before") == 0).cast("long")).over(so_far))
-    start = F.last(F.when(F.col("before") == 0, F.col("upto") - size), ignorenulls=True).over(so_far)
-    near = walked.withColumn("from", F.coalesce(start, F.lit(0))).withColumn("line_number", F.col("ahead") + F.col("number"))
-    near = near.withColumn("text", F.when(F.col("upto") - F.col("from") <= MAX_RECORD, F.col("text")))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct(SEQ, "text")))), lambda r: r["text"]), "\n")
+    marked = lines.withColumns({"outside": F.when(quoted, ends_open(text)).otherwise(0), "inside": inside})
+
+    def by_piece(entered: DataFrame, *columns) -> DataFrame:
+        """Lines in the order of their split, a split's behind one another: as the scan gives them, unless the splits are too many to be sent to its tasks."""
+        numbered_lines = marked.join(met(entered, n_pieces), split).select("piece", *columns, "outside", "inside")
+        return numbered_lines if n_pieces <= FEW else numbered_lines.repartition("piece").sortWithinPartitions("piece", "seq")
+
     about = ["sep", "header_seq", "width", "places"]
-    parts = near.groupBy(FILE, "line_number", SPLIT).agg(F.min(SEQ).alias(SEQ), F.sum("size").alias("size"), joined.alias("text"), *[F.first(c).alias(c) for c in about])
+    ways_of, records_of = _walkers(MAX_RECORD)
+    with ExitStack() as settings:
+        for key, value in _BATCHES.items():
+            settings.enter_context(setting(spark, key, value))
+        ways = by_piece(pieces, F.col(SEQ).alias("seq")).mapInArrow(ways_of, "piece long, outside long, inside long, begun_outside long, begun_inside long")
+        entered = _states(written(ways).join(pieces, "piece"), [FILE], SPLIT, F.lit(0))
+        begun = F.when(F.col("before") == 0, F.col("begun_outside")).otherwise(F.col("begun_inside"))
+        ahead = F.sum(begun).over(Window.partitionBy(FILE).orderBy(SPLIT)) - begun
+        entered = written(entered.select("piece", *split, F.col("before").cast("int").alias("entry"), ahead.alias("ahead")))
+        size = F.length("text").cast("long") + 1
+        columns = [F.col(SEQ).alias("seq"), size.alias("size"), F.when(size <= MAX_RECORD, text).otherwise("").alias("text"), "entry"]
+        found = by_piece(entered, *columns).mapInArrow(records_of, "piece long, number long, seq long, size long, text string, edge boolean")
+        found = written(found)
+
+    known = entered.join(files.select(F.col("path").alias(FILE), *about), FILE)
+    near = found.join(met(known, n_pieces), "piece").withColumn("line_number", F.col("ahead") + F.col("number")).withColumnRenamed("seq", SEQ)
+    columns = [FILE, "line_number", SPLIT, SEQ, "text", "long", *about]
+    alone = near.filter(~F.col("edge")).withColumn("long", F.col("size") > MAX_RECORD).select(*columns)
     upto = F.sum("size").over(Window.partitionBy(FILE, "line_number").orderBy(SPLIT))
-    parts = parts.withColumn("upto", upto).withColumn("text", F.when((F.col("upto") <= MAX_RECORD) | (F.col("upto") == F.col("size")), F.col("text")))
+    parts = near.filter("edge").withColumn("upto", upto).withColumn("text", F.when((F.col("upto") <= MAX_RECORD) | (F.col("upto") == F.col("size")), F.col("text")))
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct(SPLIT, "text")))), lambda r: r["text"]), "\n")
-    return parts.groupBy(FILE, "line_number").agg(
+    across = parts.groupBy(FILE, "line_number").agg(
         F.min(SPLIT).alias(SPLIT), F.min(SEQ).alias(SEQ), whole.alias("text"), (F.sum("size") > MAX_RECORD).alias("long"), *[F.first(c).alias(c) for c in about]
     )
+    return alone.unionByName(across.select(*columns))
 
 
 def _scan(spark: SparkSession, paths: Sequence[str], splits: DataFrame, files: DataFrame) -> DataFrame:
     """Every record after its header: position, line_number, raw fields, the header's width and the columns' places in it."""
     about = ["encoding", "sep", "header_seq", "spans", "width", "places"]
+    files = written(files)
+    n_files, n_splits = files.count(), splits.count()
     lines = (
         _lines(spark, paths)
-        .join(files.select(F.col("path").alias(FILE), *about), FILE)
+        .join(met(files.select(F.col("path").alias(FILE), *about), n_files), FILE)
         .withColumn("text", _decoded(F.col("value"), F.col("encoding")))
         .drop("value", "encoding", "bytes", "modified")
     )
@@ -266,13 +373,15 @@ def _scan(spark: SparkSession, paths: Sequence[str], splits: DataFrame, files: D
     starts = splits.select(FILE, SPLIT, "first", before.alias("before"))
     plain = (
         lines.filter(~F.col("spans"))
-        .join(starts, [FILE, SPLIT])
+        .join(met(starts, n_splits), [FILE, SPLIT])
         .withColumn("line_number", F.col("before") + F.col(SEQ) - F.col("first") + 1)
     )
     columns = [*POSITION, "line_number", "text", "sep", "header_seq", "width", "places"]
     records = plain.select(*columns, F.lit(False).alias("long"))
-    if files.filter("spans").head(1):
-        records = records.unionByName(_joined_records(lines.filter("spans")).select(*columns, "long"))
+    spanning = files.filter("spans").count()
+    if spanning:
+        joined = _joined_records(lines.filter("spans"), splits, files).select(*columns, "long")
+        records = joined if spanning == n_files else records.unionByName(joined)
     fields = F.when(F.col("long"), F.array(F.substring("text", 1, LISTED))).otherwise(_parsed(F.col("text"), F.col("sep")))
     parsed = records.filter((F.col(SEQ) > F.col("header_seq")) | (F.col(SPLIT) > 0))
     parsed = parsed.select(*POSITION, "line_number", fields.alias("fields"), "width", "places", "long")
@@ -392,7 +501,7 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
     Header and separator are known from the first line of each file. The lines are then scanned once, on two assumptions: that a line that is not
     UTF-8 belongs to a Latin-1 file and any other to a UTF-8 one, and that no record spans lines. The scan also notes
     which lines speak against it: files that hold both lines that are no UTF-8 and others beyond ASCII, or a line that ends within quotes. Only those files
-    are read again, by ``read_dirty_csv``'s way. What was parsed is written once, sorted by fate and position.
+    are read again, by ``read_dirty_csv``'s way. What was parsed is written once, each fate for itself in the order of positions.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     heads = file_heads(spark, paths)
@@ -402,7 +511,8 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
     columns, layouts = _layouts(heads, (), True)
     if not columns:
         return None
-    files = heads.join(layouts, "header").select(F.col("path").alias(FILE), F.col("line").alias("head"), "sep", "width", "places")
+    n_files = heads.count()
+    files = met(heads.join(layouts, "header").select(F.col("path").alias(FILE), F.col("line").alias("head"), "sep", "width", "places"), n_files)
     line = F.col("value")
     valid = F.is_valid_utf8(line)
     lines = _lines(spark, paths).join(files, FILE).withColumn("text", F.when(valid, line).otherwise(F.decode(line.cast("binary"), "ISO-8859-1")))
@@ -419,7 +529,7 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
         (valid & (F.length(line) != F.octet_length(line))).alias("_wide"),
         (quoted & open_).alias("_open"),
     ).withColumn("n_fields", F.size("fields"))
-    whole, groups = _shaped(parsed, columns, shape)
+    whole, groups = _shaped(parsed, columns, shape, in_order=n_files <= FEW)
 
     doubtful = groups.groupBy(FILE).agg(*[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")]).where("_open OR (_latin AND _wide)").select(FILE)
     again = [r[0] for r in doubtful.limit(1).collect()]
@@ -435,6 +545,7 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
         groups = noted(groups.join(doubtful, FILE, "left_anti").unionByName(more_groups), FILE, SPLIT, NAME, FATE)
 
     # The first line that equals the header is the header; others are rows like any.
+    n_groups = groups.count()
     header = groups.where((F.col(FATE) == HEAD) & (F.col(SPLIT) == 0)).groupBy(FILE).agg(F.min("seq").alias("header_seq"))
     kept = groups.join(header, FILE, "left").withColumn("heads", ((F.col(FATE) == HEAD) & (F.col("seq") == F.col("header_seq"))).cast("long"))
     fate = F.when(F.col(FATE) != HEAD, F.col(FATE)).otherwise(F.when(F.col("refused"), REFUSED).otherwise(ROW))
@@ -442,14 +553,15 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
     found = kept.groupBy("becomes").agg(F.sum("n").alias("n"), F.sum("odd").alias("odd")).collect()
     sizes = {r["becomes"]: r["n"] for r in found if r["n"]}
     starts = F.sum("n").over(Window.partitionBy(FILE).orderBy(SPLIT)) - F.col("n")
+    header = met(header, n_groups)
     lines_before = groups.groupBy(FILE, SPLIT).agg(F.sum("n").alias("n"), F.min("seq").alias("first_seq")).select(FILE, SPLIT, "first_seq", starts.alias("lines_before"))
 
     def of(becomes: str) -> DataFrame:
         mine = kept.where((F.col("becomes") == becomes) & (F.col("n") > 0)).select(NAME, FATE, FILE, SPLIT, "first_place")
-        return whole.join(mine, [NAME, FATE, FILE, SPLIT]).where(F.col(PLACE) >= F.col("first_place"))
+        return whole.join(met(mine, n_groups), [NAME, FATE, FILE, SPLIT]).where(F.col(PLACE) >= F.col("first_place"))
 
     odd = whole.where(F.col(ODD).isNotNull()).join(header, FILE, "left").where("header_seq IS NULL OR _split > 0 OR _seq > header_seq")
-    odd = odd.join(lines_before, [FILE, SPLIT])
+    odd = odd.join(met(lines_before, n_groups), [FILE, SPLIT])
     number = F.coalesce(F.col(LINE), F.col("lines_before") + F.col(SEQ) - F.col("first_seq") + 1)
     rejects = odd.select(F.col(FILE).alias("path"), number.alias("line_number"), F.col(N_FIELDS).alias("n_fields"), F.array_join(F.transform(ODD, _unquoted), "|").alias("raw_row"))
     internal = [FATE, *POSITION, LINE, ODD, N_FIELDS, "first_place"]
@@ -459,8 +571,10 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
     return Load(rows.drop(SEQ), refused.drop(*POSITION, NAME, PLACE), rejects, heads.select("path", "bytes", "modified"), taken, sizes, odd_lines)
 
 
-def _shaped(parsed: DataFrame, columns: list[str], shape) -> tuple[DataFrame, DataFrame]:
-    """Parsed lines as shaped rows in a written table, with the place of each there; and what is to be known of each run of lines of one fate and split."""
+def _shaped(parsed: DataFrame, columns: list[str], shape, in_order: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Parsed lines as shaped rows in a written table, with the place of each there; and what is to be known of each run of lines of one fate and split.
+
+    The rows of a fate and split lie behind one another in one file: each task sorts its rows for that, unless they come ``in_order``, straight from the scan."""
     n_fields, width = F.col("n_fields"), F.col("width")
     kept = (*POSITION, LINE, ODD, N_FIELDS, FATE, "_first", "_latin", "_wide", "_open")
     values = [null_token(_unquoted(F.get("fields", F.get("places", F.lit(i))))).alias(c) for i, c in enumerate(columns)]
@@ -473,8 +587,9 @@ def _shaped(parsed: DataFrame, columns: list[str], shape) -> tuple[DataFrame, Da
     rows = shape(parsed.select(*values, *POSITION, LINE, *flags, "_first", "_latin", "_wide", "_open"), kept)
     reason = F.col("REASON").isNotNull() if "REASON" in rows.columns else F.lit(False)
     rows = rows.withColumn("_refused", reason).withColumn(FATE, F.when((F.col(FATE) == ROW) & F.col("_refused"), REFUSED).otherwise(F.col(FATE)))
-    table = written(rows.sortWithinPartitions(FATE, *POSITION))
-    placed = table.select("*", F.col("_metadata.file_name").alias(NAME), F.col("_metadata.row_index").alias(PLACE))
+    table = written(rows if in_order else rows.sortWithinPartitions(FATE, *POSITION), by=FATE)
+    # A task's files of several fates have one name.
+    placed = table.select("*", F.concat_ws("/", FATE, "_metadata.file_name").alias(NAME), F.col("_metadata.row_index").alias(PLACE))
     groups = placed.groupBy(NAME, FATE, FILE, SPLIT).agg(
         F.count("*").alias("n"), F.count(ODD).alias("odd"), F.min(PLACE).alias("place"), F.min(SEQ).alias("seq"), F.max("_refused").alias("refused"),
         *[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")],
@@ -491,7 +606,7 @@ def numbered(load: Load, key: str, first: int) -> DataFrame:
     ahead = F.coalesce(F.sum("n").over(Window.orderBy(FILE, SPLIT, NAME, FATE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = load.groups.select(NAME, FILE, SPLIT, F.col("first_place"), "n", ahead.alias("_ahead")).where("n > 0")
     at = (F.col(PLACE) >= F.col("first_place")) & (F.col(PLACE) < F.col("first_place") + F.col("n"))
-    placed = load.rows.join(starts, [NAME, FILE, SPLIT]).where(at)
+    placed = load.rows.join(met(starts, starts.count()), [NAME, FILE, SPLIT]).where(at)
     return placed.withColumn(key, F.lit(first) + F.col("_ahead") + F.col(PLACE) - F.col("first_place"))
 
 
