@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake.functions import clean
+from dealerlake.session import written
 
 
 def _each(df: DataFrame, columns: Sequence[str], rule: Callable[[Column], Column]) -> DataFrame:
@@ -132,6 +133,17 @@ def dedupe_keep_first(df: DataFrame, order: str, subset: Sequence[str] = ()) ->
     return kept.select(*[F.col(c) if c in keys else F.col(f"kept.{c}").alias(c) for c in df.columns])
 
 
+def dedupe_numbered(df: DataFrame, number: str, subset: Sequence[str] = ()) -> DataFrame:
+    """``dedupe_keep_first`` for rows that come with a whole number each, none twice and none missing.
+
+    Only the numbers are aggregated, in hash maps and before the shuffle, whereas whole rows would be sorted. The first numbers are written,
+    so that Spark knows whether they are few enough to be sent to the rows.
+    """
+    keys = [c for c in subset if c in df.columns] or [c for c in df.columns if c != number]
+    first = written(df.groupBy(*keys).agg(F.min(number).alias(number)).select(number))
+    return df.join(first, number, "left_semi").select(*df.columns)
+
+
 def contract_reason(required: Sequence[str], max_lengths: dict[str, int] | None = None) -> Column:
     """Which required columns are missing and which texts are too long, null when none is."""
     rules = {f"missing: {c}": F.col(c).isNull() for c in required}

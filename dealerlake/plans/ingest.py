@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dealerlake import schemas as S
 from dealerlake.functions import clean
 from dealerlake.operators import cleaning
-from dealerlake.session import written
+from dealerlake.session import COMPILED, setting, written
 from dealerlake.sources.csv import FILE, NAME, PLACE, REFUSED, ROW, SPLIT, Load, load_files, numbered, row_numbered
 from dealerlake.sources.manifest import Log
 from dealerlake.sources.sink import Target, append_bronze, loaded_files, log_of, next_id, stored_keys
@@ -184,7 +184,8 @@ def restructured(table: str, df: DataFrame) -> DataFrame:
     if table == S.ESTOQUE_VEICULOS:
         df = cleaning.coalesce_duplicate_columns(df, "Data_de_Entrada_do_Veiculo_no_Estoque")
         if ORDER in df.columns:
-            df = cleaning.dedupe_keep_first(df, ORDER, VEHICLE_IDENTITY)
+            numbered_rows = dict(df.dtypes)[ORDER] == "bigint"
+            df = (cleaning.dedupe_numbered if numbered_rows else cleaning.dedupe_keep_first)(df, ORDER, VEHICLE_IDENTITY)
         df = _with_columns(df, "Nome_da_Concessionaria", "Nome_da_Filial")
         return cleaning.derive_branch_codes(df, "Nome_da_Concessionaria", "Nome_da_Filial")
     if table == S.HIST_VENDAS_PECAS:
@@ -254,7 +255,7 @@ def _across_rows(load: Load, table: str, target: Target, log: Log | None) -> tup
     """Of a table whose rows depend on each other, the (rows, refused rows, number of rows, number refused), each written: repeats are
     left out, and a unique value is admitted once."""
     spec, spark = S.TABLES[table], load.rows.sparkSession
-    records = load.rows.withColumn(ORDER, F.struct(FILE, SPLIT, PLACE)).drop(FILE, SPLIT, NAME, PLACE)
+    records = numbered(load, ORDER, 0).drop(FILE, SPLIT, NAME, PLACE, "n", "_ahead", "first_place")
     rows = written(_judged(table, transform(table, records, ORDER)))
     if spec.unique is not None:
         keys = rows.where(F.col("REASON").isNull() & F.col(spec.unique).isNotNull()).select(spec.unique)
@@ -280,6 +281,11 @@ def run_job(
     Odd records, if there are any, are listed under ``rejects_path``, or under ``_rejects`` in the folder of the tables; with ``rejects_path`` the
     rows refused by the contract, too.
     """
+    with setting(spark, *COMPILED):
+        return _run_job(spark, table, paths, target, rejects_path)
+
+
+def _run_job(spark: SparkSession, table: str, paths: str | Sequence[str], target: Target, rejects_path: str | None) -> JobReport:
     spec = S.TABLES[table]
     log = log_of(spark, table, target)
     alone = table not in DEPENDENT
