@@ -87,10 +87,14 @@ def noted(df: DataFrame, *order: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= FEW else written(df)
 
 
+def few(rows: int) -> bool:
+    return rows <= FEW
+
+
 def met(df: DataFrame, rows: int) -> DataFrame:
     """``df`` of so many rows about files and tasks, to be joined to data: with FEW at most every task gets it, so the data is not shuffled for it and
     keeps its order. Left to itself Spark shuffles the data first, as it does not know the size of what the driver holds."""
-    return F.broadcast(df) if rows <= FEW else df
+    return F.broadcast(df) if few(rows) else df
 
 
 #: The virtual machine never compiles a method beyond this size, and Spark's own limit is higher: wide projections would run interpreted.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealerlake.functions.clean import null_token
-from dealerlake.session import FEW, met, noted, setting, written
+from dealerlake.session import few, met, noted, setting, written
 
 UTF8, LATIN1 = "utf-8-sig", "latin-1"
 BOM = "\ufeff"
@@ -328,7 +328,7 @@ def _joined_records(lines: DataFrame, splits: DataFrame, files: DataFrame) -> Da
     def by_piece(entered: DataFrame, *columns) -> DataFrame:
         """Lines in the order of their split, a split's behind one another: as the scan gives them, unless the splits are too many to be sent to its tasks."""
         numbered_lines = marked.join(met(entered, n_pieces), split).select("piece", *columns, "outside", "inside")
-        return numbered_lines if n_pieces <= FEW else numbered_lines.repartition("piece").sortWithinPartitions("piece", "seq")
+        return numbered_lines if few(n_pieces) else numbered_lines.repartition("piece").sortWithinPartitions("piece", "seq")
 
     about = ["sep", "header_seq", "width", "places"]
     ways_of, records_of = _walkers(MAX_RECORD)
@@ -529,7 +529,7 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], shape: Callable[
         (valid & (F.length(line) != F.octet_length(line))).alias("_wide"),
         (quoted & open_).alias("_open"),
     ).withColumn("n_fields", F.size("fields"))
-    whole, groups = _shaped(parsed, columns, shape, in_order=n_files <= FEW)
+    whole, groups = _shaped(parsed, columns, shape, in_order=few(n_files))
 
     doubtful = groups.groupBy(FILE).agg(*[F.max(c).alias(c) for c in ("_latin", "_wide", "_open")]).where("_open OR (_latin AND _wide)").select(FILE)
     again = [r[0] for r in doubtful.limit(1).collect()]

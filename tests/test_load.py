@@ -100,6 +100,45 @@ def test_no_task_walks_a_whole_file(spark, tmp_path):
     assert windows and all("_split" in line for line in windows)
 
 
+def plans_written(monkeypatch):
+    """The plans of all tables that the CSV source writes from now on."""
+    plans, write = [], csv.written
+
+    def noting(df, *a, **b):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *a, **b)
+
+    monkeypatch.setattr(csv, "written", noting)
+    return plans
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("few", [2000, 0])
+def test_records_over_batches_and_splits(spark, tmp_path, monkeypatch, seed, few):
+    monkeypatch.setattr(csv, "_BATCHES", {"spark.sql.execution.arrow.maxRecordsPerBatch": "3"})
+    monkeypatch.setattr("dealerlake.session.FEW", few)
+    test_records_across_splits(spark, tmp_path, seed, "200")
+
+
+def test_records_over_lines_are_joined_without_a_shuffle(spark, tmp_path, monkeypatch):
+    (tmp_path / "f.csv").write_bytes(b'a;b\n1;"x\ny"\n2;3\n')
+    plans = plans_written(monkeypatch)
+    records, _, _ = read_dirty_csv(spark, str(tmp_path))
+    assert sorted((r.a, r.b) for r in records.collect()) == [("1", "x\ny"), ("2", "3")]
+    walks = [p for p in plans if "MapInArrow" in p]
+    assert len(walks) == 2 and not any(x in p for p in walks for x in ("Exchange hashpartitioning", "Sort ["))
+
+
+def test_a_load_neither_shuffles_nor_sorts_the_lines(spark, tmp_path, monkeypatch):
+    (tmp_path / "f.csv").write_text("k;v\n" + "1;2\n;;;\n" * 50)
+    plans = plans_written(monkeypatch)
+    load = load_files(spark, str(tmp_path), lambda df, kept: df)
+    assert load.sizes == {"row": 50, "none": 50}
+    (scan,) = [p for p in plans if "FileScan text" in p]
+    assert "Exchange hashpartitioning(_file" not in scan and "Sort [_f" not in scan
+    assert sorted(r.id for r in numbered(load, "id", 7).collect()) == list(range(7, 57))
+
+
 FILES = {
     "plain.csv": "k;v;w\n1;2;3\n4;5\n\n6;7;8;9\nk;v;w\n",
     "late header.csv": "\n\nk;v;w\n1;é;3\nx\n",

@@ -127,6 +127,16 @@ def test_dedupe_keeps_the_first_of_each(spark):
     assert sorted(rows(cleaning.dedupe_keep_first(same, "ord"), "ord")) == [(1,), (2,)]
 
 
+def test_dedupe_by_number_aggregates_no_whole_rows(spark, monkeypatch):
+    data = [(3, "a", None, "third"), (1, "a", None, "first"), (2, "a", "x", "other"), (4, None, None, "null"), (5, None, None, "again")]
+    df = spark.createDataFrame(data, "ord long, k string, l string, v string")
+    plans, write = [], cleaning.written
+    monkeypatch.setattr(cleaning, "written", lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString()) or write(d))
+    assert sorted(rows(cleaning.dedupe_numbered(df, "ord", ["k", "l", "absent"]), "v")) == [("first",), ("null",), ("other",)]
+    assert "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+    assert sorted(rows(cleaning.dedupe_numbered(df.select("ord", "l"), "ord"), "ord")) == [(1,), (2,)]
+
+
 def test_contract(spark):
     df = spark.createDataFrame([("1", None), (None, None), ("1", "longer")], "a string, b string")
     assert rows(cleaning.contract_rejects(df, ["a"], {"b": 5}), "REASON") == [("missing: a",), ("longer than 5: b",)]
